@@ -1,8 +1,9 @@
 """HTML extraction: a wrapper per host, inferred by aligning its pages, says where main texts are.
 
 A wrapper is a union-free regular expression over tags: a list of items, each [label, least, many, inside]. least is 0
-for an optional item, many is true for a repeated one. The label "#" is text: inside is its hash while it is the same
-on all pages, and null once it differs (a slot). The label "()" is a group. Other labels are tags with their classes.
+for an optional item, many is true for a repeated one. The label "#" is text: inside lists hashes of the texts that all
+pages have there, and is null once there are none (a slot). The label "()" is a group. Other labels are tags with their
+classes.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ _MARKS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+_WITHIN = _INLINE | {"script", "style", "noscript", "template"}
 #: What an opening tag closes, if that is open in the same block.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _HOLDS = frozenset("ul ol dl table tbody thead tfoot article section main body div nav aside footer header form select".split())
@@ -36,6 +38,9 @@ _OTHER_WORDS = frozenset(
 )
 _MAIN_WORDS = frozenset("article main content post entry story".split())
 
+#: A place with more texts than this on one page is a slot.
+MOST_FIXED = 64
+
 
 def _label(tag: str, attributes: str) -> str:
     marks = sorted({w for m in _MARKS.findall(attributes) for w in re.sub(r"\d+", "0", m.strip("\"'")).lower().split()}) if attributes else ()
@@ -128,7 +133,7 @@ def skeleton(children: list) -> list:
     for c in children:
         if type(c) is str:
             if c.strip():
-                items.append(["#", 1, False, zlib.crc32(" ".join(c.split()).encode())])
+                items.append(["#", 1, False, [zlib.crc32(" ".join(html.unescape(c).split()).encode())]])
         else:
             items.append([c[0], 1, False, skeleton(c[1])])
     return fold(items)
@@ -136,7 +141,13 @@ def skeleton(children: list) -> list:
 
 def _join(a: list, b: list, together: bool) -> list:
     """Two items of one label as one: on the same place of two pages, or (together) side by side on one."""
-    inside = (a[3] if a[3] == b[3] and not together else None) if a[0] == "#" else merge(a[3], b[3])
+    if a[0] != "#":
+        inside = merge(a[3], b[3], together)
+    elif a[3] is None or b[3] is None:
+        inside = None
+    else:
+        inside = sorted({*a[3], *b[3]} if together else {*a[3]} & {*b[3]})
+        inside = inside if 0 < len(inside) <= MOST_FIXED else None
     return [a[0], max(a[1], b[1]) if together else min(a[1], b[1]), a[2] or b[2] or together, inside]
 
 
@@ -158,15 +169,18 @@ def fold(items: list) -> list:
             group = out[at : at + width]
             to = at + width
             while [x[0] for x in out[to : to + width]] == labels:
-                group = [_join(a, b, False) for a, b in zip(group, out[to : to + width], strict=True)]
+                group = [[a[0], min(a[1], b[1]), a[2] or b[2], _join(a, b, True)[3]] for a, b in zip(group, out[to : to + width], strict=True)]
                 to += width
             out[at:to] = [["()", 1, True, group]]
             at += 1
     return out
 
 
-def merge(a: list, b: list) -> list:
-    """Two wrappers aligned: what only one has is optional, texts that differ are slots, what repeats is folded."""
+def merge(a: list, b: list, together: bool = False) -> list:
+    """Two wrappers aligned: what only one has is optional, texts that differ are slots, what repeats is folded.
+
+    together: both are of one page, so that texts of either are texts of it.
+    """
     if a == b:
         return a
     n, m = len(a), len(b)
@@ -177,7 +191,8 @@ def merge(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
-            out.append(_join(a[i], b[j], False))
+            joined = _join(a[i], b[j], together)
+            out.append([joined[0], min(a[i][1], b[j][1]), a[i][2] or b[j][2], joined[3]])
             i, j = i + 1, j + 1
         elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             out.append([a[i][0], 0, a[i][2], a[i][3]])
@@ -210,7 +225,7 @@ def main_paths(wrapper: list) -> list[str]:
 
 def constants(wrapper: list) -> set[int]:
     """Hashes of texts that are the same on all pages of the host."""
-    return {i[3] for i in wrapper if i[0] == "#" and i[3] is not None} | {h for i in wrapper if i[0] != "#" for h in constants(i[3])}
+    return {h for i in wrapper for h in ((i[3] or ()) if i[0] == "#" else constants(i[3]))}
 
 
 def blocks(children: list, in_main: bool, fixed: set[int]) -> Iterator[str]:
@@ -220,7 +235,7 @@ def blocks(children: list, in_main: bool, fixed: set[int]) -> Iterator[str]:
         if type(c) is str:
             line.append(c)
             continue
-        if c is not None and c[0].split(".")[0] in _INLINE:  # one that isn't the article
+        if c is not None and c[0].split(".")[0] in _WITHIN:  # not the article, but no end of a block either
             continue
         if (text := " ".join(html.unescape("".join(line)).split())) and not (fixed and zlib.crc32(text.encode()) in fixed):
             yield text
