@@ -100,11 +100,11 @@ def read_chains(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     A chain is what a header line begins, whether or not an empty line is before it.
     """
-    raw = spark.read.option("lineSep", "\nchain ").text(path).select(F.regexp_replace("value", r"\A(#[^\n]*\n|\s)*(chain )?", "").alias("v")).filter(F.trim("v") != "")
+    raw = spark.read.option("lineSep", "\nchain ").text(path).select(F.regexp_replace("value", r"\A(#[^\n]*\n|\s)*(chain )?", "").alias("v")).filter(F.col("v").rlike(r"\S"))
     lines = F.filter(F.split("v", r"\r?\n"), lambda x: ~x.rlike(r"^\s*(#.*)?$"))
-    h = raw.select(lines.alias("l")).select(F.split(F.trim(F.col("l")[0]), r"\s+").alias("h"), F.slice("l", F.lit(2), F.size("l")).alias("b"))
-    n = lambda k: F.col("h")[k].cast("bigint")
-    target = F.when(F.col("h")[3] == "+", F.col("h")[3]).otherwise(F.raise_error(F.lit("the target strand isn't plus")))
-    chains = h.select(n(11).alias("chain_id"), n(0).alias("score"), F.col("h")[1].alias("t_name"), n(2).alias("t_size"), target.alias("t_strand"), n(4).alias("t_start"), n(5).alias("t_end"), F.col("h")[6].alias("q_name"), n(7).alias("q_size"), F.col("h")[8].alias("q_strand"), n(9).alias("q_start"), n(10).alias("q_end"))
+    h = raw.select(lines.alias("l")).filter(F.size("l") > 0).select(F.split(F.trim(F.get("l", F.lit(0))), r"\s+").alias("h"), F.slice("l", F.lit(2), F.size("l")).alias("b")).filter("h is not null")
+    n = lambda k: F.get("h", F.lit(k)).cast("bigint")
+    target = F.when(F.get("h", F.lit(3)) == "+", F.get("h", F.lit(3))).otherwise(F.raise_error(F.lit("the target strand isn't plus")))
+    chains = h.select(n(11).alias("chain_id"), n(0).alias("score"), F.get("h", F.lit(1)).alias("t_name"), n(2).alias("t_size"), target.alias("t_strand"), n(4).alias("t_start"), n(5).alias("t_end"), F.get("h", F.lit(6)).alias("q_name"), n(7).alias("q_size"), F.get("h", F.lit(8)).alias("q_strand"), n(9).alias("q_start"), n(10).alias("q_end"))
     blocks = h.select(n(11).alias("chain_id"), F.posexplode("b").alias("block_no", "line")).withColumn("x", F.split(F.trim("line"), r"\s+"))
-    return chains, blocks.select("chain_id", "block_no", F.col("x")[0].cast("bigint").alias("size"), F.get("x", F.lit(1)).cast("bigint").alias("dt"), F.get("x", F.lit(2)).cast("bigint").alias("dq"))
+    return chains, blocks.select("chain_id", "block_no", F.get("x", F.lit(0)).cast("bigint").alias("size"), F.get("x", F.lit(1)).cast("bigint").alias("dt"), F.get("x", F.lit(2)).cast("bigint").alias("dq"))
