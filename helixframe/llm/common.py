@@ -17,11 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a private one only where none is set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="helixframe-")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the folder in spark.checkpoint.dir (a private one only where none is set), lineage cut."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="helixframe-"))
+    """`df` written to the shared folder, lineage cut."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
