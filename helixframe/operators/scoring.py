@@ -36,15 +36,26 @@ def one_hot_strict(seq: str) -> np.ndarray:
     return table[np.frombuffer(seq.encode("latin-1", "replace"), dtype=np.uint8)]
 
 
-def library_vector(size: int = LIBRARY, at: int = LIBRARY_AT) -> np.ndarray:
-    out = np.zeros((1, size), dtype=np.float32)
-    out[0, at] = 1
-    return out
+def window_inputs(windows: list[str], length: int = WINDOW, library: int = LIBRARY, at: int | None = LIBRARY_AT, channels_last: bool = True) -> list[np.ndarray]:
+    """What a window model takes: one-hot rows, a library vector (all zero if `at` is None) and ones.
+
+    channels_last: (n, length, 4, 1), else (n, 1, length, 4), as older models of windows of 185 and 36 libraries want.
+    """
+    if bad := [len(w) for w in windows if len(w) != length]:
+        raise ValueError(f"windows must have {length} bases, not {bad[0]}")
+    x = np.stack([one_hot_strict(w) for w in windows])
+    libraries = np.zeros((len(windows), library), dtype=np.float32)
+    if at is not None:
+        libraries[:, at] = 1
+    return [x[..., None] if channels_last else x[:, None], libraries, np.ones((len(windows), 1), dtype=np.float32)]
 
 
-def pair_distance(first: int, second: int) -> float:
-    """The natural log of the distance of two sites, as pairwise encoders take it."""
-    return float(np.log(abs(second - first))) if first != second else 0.0
+def pair_inputs(sites: pd.DataFrame) -> list[np.ndarray]:
+    """What a pairwise model takes of rows with proximal, distal (windows), their cut starts and ends, and distance: nine arrays, the distance as its log."""
+    near, library, ones = window_inputs(list(sites["proximal"]), at=None)
+    far = window_inputs(list(sites["distal"]), at=None)[0]
+    column = lambda c: sites[c].to_numpy(dtype=float)[:, None]
+    return [near, far, *(column(c) for c in ("proximal_start", "proximal_end", "distal_start", "distal_end")), np.log(column("distance")), library, ones]
 
 
 def score_sites(chunks: DataFrame, scorer: Callable[[], Callable[[np.ndarray], np.ndarray]], context: int = CONTEXT) -> DataFrame:
@@ -85,8 +96,7 @@ def score_windows(windows: DataFrame, scorer: Callable[[], Callable], key: str =
         predict = scorer()
         for b in batches:
             if len(b):
-                x = np.stack([one_hot_strict(w) for w in b["window"]])[..., None]
-                iso, cuts = predict([x, np.repeat(library_vector(), len(b), axis=0), np.ones((len(b), 1), dtype=np.float32)])
+                iso, cuts = predict(window_inputs(list(b["window"])))
                 yield pd.DataFrame({key: b[key], "window_start": b["window_start"], "iso": iso[:, 0].astype(float), "cuts": [c[:WINDOW].astype(float) for c in cuts]})
 
     return windows.selectExpr(f"cast(`{key}` as string) `{key}`", "window_start", "window").mapInPandas(run, schema)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import file_safe, region_header
+from ..functions.sequence import file_safe, region_header, site_key
 from ..operators.ordering import in_order
 from .paths import chunk_name
 
@@ -37,6 +37,23 @@ def derived_lines(derived: DataFrame) -> DataFrame:
     return lines_of(derived, ["chrom", "coordinate", "strand", "site", "derived_score"], output_order())
 
 
+def size_lines(genome: DataFrame) -> DataFrame:
+    """chrom and size of each sequence."""
+    return lines_of(genome.select("chrom", F.length("seq").alias("size")), ["chrom", "size"], ["chrom"])
+
+
+def site_lines(sites: DataFrame, strand: str) -> DataFrame:
+    """Scored sites of a strand as key, site, score and motif."""
+    rows = sites.filter(F.col("strand") == strand).withColumn("key", site_key(F.col("chrom"), F.col("pos"), F.col("strand")))
+    return lines_of(rows, ["key", "site", "score", "motif"], ["chrom", "pos", "site"])
+
+
+def numbered_patch_lines(patches: DataFrame, first: int = 0) -> DataFrame:
+    """A header line for each patch, by chain, block and rank, ending in its number from `first` on."""
+    placed = in_order(patches, ["chain_id", "block_no", "rank"], "_k")
+    return lines_of(placed.withColumn("number", F.col("_k") + first), ["score", "t_start", "t_end", "q_start", "q_end", "number"], ["number"])
+
+
 def _write(groups: DataFrame, by: str, folder: str, gz: bool) -> list[str]:
     """The lines (file, ord, value) of each file, joined; names of the files."""
 

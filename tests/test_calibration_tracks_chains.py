@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,7 +117,14 @@ def test_patch(spark):
 def test_encoders():
     assert scoring.one_hot_mod("ACGTNR").argmax(1).tolist() == [0, 1, 2, 3, 0, 1] and scoring.one_hot_mod("N").sum() == 0
     assert scoring.one_hot_strict("AcX").sum(1).tolist() == [1, 0, 0]
-    assert scoring.library_vector().argmax() == 4 and scoring.pair_distance(3, 3 + 7) == math.log(7)
+    x, library, ones = scoring.window_inputs(["A" * 205] * 2)
+    assert x.shape == (2, 205, 4, 1) and library.shape == (2, 13) and library[0].argmax() == 4 and ones.shape == (2, 1)
+    old = scoring.window_inputs(["A" * 185], 185, 36, None, channels_last=False)
+    assert old[0].shape == (1, 1, 185, 4) and old[1].shape == (1, 36) and not old[1].any()
+    pair = scoring.pair_inputs(pd.DataFrame([{"proximal": "A" * 205, "distal": "C" * 205, "proximal_start": 1, "proximal_end": 2, "distal_start": 3, "distal_end": 4, "distance": 7}]))
+    assert len(pair) == 9 and pair[6][0, 0] == math.log(7) and pair[7].shape == (1, 13)
+    with pytest.raises(ValueError):
+        scoring.window_inputs(["A"])
 
 
 def test_scoring(spark):
