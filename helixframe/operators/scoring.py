@@ -58,21 +58,22 @@ def pair_inputs(sites: pd.DataFrame) -> list[np.ndarray]:
     return [near, far, *(column(c) for c in ("proximal_start", "proximal_end", "distal_start", "distal_end")), np.log(column("distance")), library, ones]
 
 
-def score_sites(chunks: DataFrame, scorer: Callable[[], Callable[[np.ndarray], np.ndarray]], context: int = CONTEXT) -> DataFrame:
-    """chrom, start, end, strand, acceptor and donor (arrays, one value a base of seq).
+def score_sites(chunks: DataFrame, scorer: Callable[[], Callable[[np.ndarray], np.ndarray]], context: int = CONTEXT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """chrom, start, end, strand, the columns `keep` (longs), acceptor and donor (arrays, one value a base of seq).
 
     The model gets (1, L + 2 * context, 4) and gives (1, L, 3): nothing, acceptor, donor. Models of an ensemble are
     averaged by the scorer that is given (see `ensemble`).
     """
-    schema = "chrom string, start long, end long, strand string, acceptor array<float>, donor array<float>"
+    more = "".join(f"`{c}` long, " for c in keep)
+    schema = f"chrom string, start long, end long, strand string, {more}acceptor array<float>, donor array<float>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = scorer()
         for b in batches:
             made = [predict(one_hot_mod("N" * context + s + "N" * context)[None])[0] for s in b["seq"]]
-            yield pd.DataFrame({**{c: b[c] for c in ("chrom", "start", "end", "strand")}, "acceptor": [y[:, 1] for y in made], "donor": [y[:, 2] for y in made]})
+            yield pd.DataFrame({**{c: b[c] for c in ("chrom", "start", "end", "strand", *keep)}, "acceptor": [y[:, 1] for y in made], "donor": [y[:, 2] for y in made]})
 
-    return chunks.selectExpr("chrom", "cast(start as long) start", "cast(`end` as long) `end`", "strand", "seq").mapInPandas(run, schema)
+    return chunks.selectExpr("chrom", "cast(start as long) start", "cast(`end` as long) `end`", "strand", "seq", *[f"cast(`{c}` as long) `{c}`" for c in keep]).mapInPandas(run, schema)
 
 
 def ensemble(scorers: list[Callable[[], Callable]]) -> Callable[[], Callable]:

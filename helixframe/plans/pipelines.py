@@ -34,13 +34,11 @@ def predict_sites(spark: SparkSession, path: str, scorer: Callable, out: str, fl
     paths.check_number("least", least, most=1)
     records = text.read_fasta(spark, path, mode="predict")
     head = sequence.parsed_region_header(F.col("chrom"))
-    # neither is null, so that no null filter can hide a bad header
     bad = head["start"].isNull() | (F.length("seq") == 0)
-    checked = lambda c, kind: F.when(bad, F.raise_error(F.concat(F.lit("not a chunk: "), F.col("chrom"))).cast(kind)).otherwise(head[c]).alias(c)
-    chunks = records.select(checked("chrom", "string"), checked("start", "bigint"), head["end"].alias("end"), head["strand"].alias("strand"), F.upper("seq").alias("seq"))
-    chunks = chunks.withColumn("f", tracks.flanks(F.col("start"), F.col("end"), F.length("seq").cast("bigint"), flank))
-    sizes = chunks.select("chrom", "start", "strand", "f.before", "f.after")
-    scored = scoring.score_sites(chunks, scorer, context).join(sizes, ["chrom", "start", "strand"])
+    start = F.when(bad, F.raise_error(F.concat(F.lit("not a chunk: "), F.col("chrom"))).cast("bigint")).otherwise(head["start"])
+    chunks = records.select(head["chrom"].alias("chrom"), start.alias("start"), head["end"].alias("end"), head["strand"].alias("strand"), F.upper("seq").alias("seq"))
+    chunks = chunks.withColumn("f", tracks.flanks(F.col("start"), F.col("end"), F.length("seq").cast("bigint"), flank)).select("*", "f.before", "f.after")
+    scored = scoring.score_sites(chunks, scorer, context, keep=("before", "after"))
     cut = lambda c: tracks.core(F.col(c), F.col("before"), F.col("after"), F.col("strand")).alias(c)
     return sinks.write_wig(scored.select("chrom", "start", "strand", cut("acceptor"), cut("donor")), out, paths.output_stem(path), least, digits)
 
