@@ -40,9 +40,14 @@ def extracted(seq: Column, start: Column, end: Column, strand: Column, clip: boo
     return F.when(strand == "-", strict_reverse_complement(got)).otherwise(got)
 
 
+def site_start(pos: Column, strand: Column, site: Column) -> Column:
+    """Where the two bases of a splice site begin: at pos for plus donors and minus acceptors, else one before."""
+    return F.when(((site == "D") & (strand == "+")) | ((site == "A") & (strand == "-")), pos).otherwise(pos - 1)
+
+
 def site_motif(seq: Column, pos: Column, strand: Column, site: Column) -> Column:
-    """The two bases of a splice site: from pos for plus donors and minus acceptors, else from pos - 1; minus ones reverse complemented."""
-    start = F.when(((site == "D") & (strand == "+")) | ((site == "A") & (strand == "-")), pos).otherwise(pos - 1)
+    """The two bases of a splice site, reverse complemented on the minus strand; null where they aren't within seq."""
+    start = site_start(pos, strand, site)
     pair = between(seq, start, start + 2)
     return F.when(strand == "-", reverse_complement(pair)).otherwise(F.upper(pair))
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import between, reverse_complement
-from .genome import with_sequence
+from ..functions.sequence import reverse_complement, site_start
+from .calibration import scored
+from .genome import cut, known_only
 from .intervals import introns
 
 
@@ -15,17 +16,17 @@ def splice_sites(transcripts: DataFrame, genome: DataFrame) -> DataFrame:
 
     An intron [a, b) has its left motif at [a, a + 2) and its right one at [b - 2, b). Plus donors are keyed a and
     acceptors b - 1; minus donors b and acceptors a, with reverse complemented motifs. A strand that is neither is
-    taken as plus and keeps its own sign, so that it matches no scored site; a null strand is an error. The genome is
-    joined to introns by chrom, each intron once.
+    taken as plus and keeps its own sign, so that it matches no scored site; a null strand is an error. Each intron
+    meets the piece of the genome that it needs.
     """
     strand = F.when(F.col("strand").isNull(), F.raise_error(F.lit("a transcript without strand")).cast("string")).otherwise(F.col("strand"))
     gaps = transcripts.select("chrom", strand.alias("strand"), F.explode(introns(F.col("exons"))).alias("i")).select("chrom", "strand", "i.start", "i.end").distinct()
     a, b, minus = F.col("start"), F.col("end"), F.col("strand") == "-"
     site = lambda kind, pos, at: F.struct(F.lit(kind).alias("site"), pos.cast("bigint").alias("pos"), at.cast("bigint").alias("a"))
     both = F.when(minus, F.array(site("D", b, b - 2), site("A", a, a))).otherwise(F.array(site("D", a, a), site("A", b - 1, b - 2)))
-    rows = with_sequence(gaps.select("chrom", "strand", F.explode(both).alias("s")).select("chrom", "strand", "s.site", "s.pos", "s.a"), genome)
-    pair = between(F.col("seq"), F.col("a"), F.col("a") + 2)
-    motif = F.when(minus, reverse_complement(pair)).otherwise(F.upper(pair))
+    at = gaps.select("chrom", "strand", F.explode(both).alias("s")).select("chrom", "strand", "s.site", "s.pos", F.col("s.a").alias("_a"), (F.col("s.a") + 2).alias("_b"))
+    rows = cut(at, genome, "_a", "_b", "_pair", reach=2)
+    motif = F.when(minus, reverse_complement(F.col("_pair"))).otherwise(F.upper("_pair"))
     return rows.select("chrom", "pos", "strand", "site", motif.alias("motif")).filter(F.col("motif").isNotNull())
 
 
@@ -34,9 +35,8 @@ def scored_sites(tracks: DataFrame, genome: DataFrame, least: float = 0.001) ->
 
     Contigs that the genome lacks, and sites whose motif isn't whole, are left out.
     """
-    from ..functions.sequence import site_motif
-    from .calibration import scored
-
-    rows = scored(tracks, least).join(genome.select("chrom", "seq"), "chrom")
-    found = site_motif(F.col("seq"), F.col("pos"), F.col("strand"), F.col("site"))
-    return rows.select("chrom", "pos", "strand", "site", "score", found.alias("motif")).filter(F.col("motif").isNotNull())
+    start = site_start(F.col("pos"), F.col("strand"), F.col("site"))
+    rows = known_only(scored(tracks, least), genome).withColumn("_a", start).withColumn("_b", start + 2)
+    pair = F.col("_pair")
+    motif = F.when(F.col("strand") == "-", reverse_complement(pair)).otherwise(F.upper(pair))
+    return cut(rows, genome, "_a", "_b", "_pair", reach=2).select("chrom", "pos", "strand", "site", "score", motif.alias("motif")).filter(F.col("motif").isNotNull())

@@ -53,11 +53,38 @@ def pair_counts(genome: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("pair", reverse_complement(F.col("pair")))).alias("motif"), "n").groupBy("motif").agg(F.sum("n").alias("n"))
 
 
-def with_sequence(rows: DataFrame, genome: DataFrame) -> DataFrame:
-    """`rows` with the sequence of their chrom; a chrom that the genome lacks is an error."""
-    joined = rows.join(genome.select("chrom", F.struct("seq").alias("_g")), "chrom", "left")
-    seq = F.when(F.col("_g").isNull(), F.raise_error(F.concat(F.lit("no such sequence: "), F.col("chrom")))).otherwise(F.col("_g.seq"))
-    return joined.withColumn("seq", seq).drop("_g")
+def pieces(genome: DataFrame, length: int = 1 << 12, reach: int = 0) -> DataFrame:
+    """chrom, size, tile and piece: each sequence as pieces of `length`, with the `reach` (at most `length`) letters that follow.
+
+    A sequence is cut in one pass over it, whatever its length; an empty one has one empty piece.
+    """
+    if not 0 <= reach <= length:
+        raise ValueError("reach must be at most the length of a piece")
+    cut = genome.select("chrom", F.length("seq").cast("bigint").alias("size"), F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{length}}}"), F.lit(0)).alias("_cut"))
+    more = lambda i: F.concat(F.coalesce(F.get("_cut", i), F.lit("")), F.substring(F.coalesce(F.get("_cut", i + 1), F.lit("")), 1, reach))
+    whole = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_cut") - 1, F.lit(0))), more)
+    return cut.select("chrom", "size", F.posexplode(whole).alias("tile", "piece"))
+
+
+def cut(rows: DataFrame, genome: DataFrame, start: str = "start", end: str = "end", to: str = "seq", reach: int = 1 << 12) -> DataFrame:
+    """`rows` with letters [start, end) of their chrom in `to`, null where those aren't within it.
+
+    Rows meet pieces of the genome by chrom and tile, so that no row ever carries a whole sequence and no task needs
+    one. Intervals may be up to `reach` long; longer ones, and chroms that the genome lacks, are errors.
+    """
+    length = max(1 << 12, reach)
+    tiled = pieces(genome, length, reach)
+    sizes = genome.select(F.col("chrom").alias("_chrom"), F.length("seq").cast("bigint").alias("_size"))
+    known = rows.join(sizes, F.col("chrom") == F.col("_chrom"), "left")
+    size = F.when(F.col("_chrom").isNull(), F.raise_error(F.concat(F.lit("no such sequence: "), F.col("chrom"))).cast("bigint")).otherwise(F.col("_size"))
+    known = known.withColumn("_size", size).withColumn("_tile", F.floor(F.greatest(F.col(start), F.lit(0)) / length).cast("int")).drop("_chrom")
+    own = tiled.select(F.col("chrom").alias("_chrom"), F.col("tile").alias("_t"), F.col("piece").alias("_piece"))
+    met = known.join(own, (F.col("chrom") == F.col("_chrom")) & (F.col("_tile") == F.col("_t")), "left")
+    span = F.col(end) - F.col(start)
+    letters = F.substring("_piece", (F.col(start) - F.col("_tile") * length + 1).cast("int"), span.cast("int"))
+    inside = (F.col(start) >= 0) & (span >= 0) & (F.col(end) <= F.col("_size"))
+    found = F.when(inside & (span > reach), F.raise_error(F.lit(f"an interval is longer than {reach}")).cast("string")).when(inside & (span == 0), F.lit("")).when(inside, letters)
+    return met.withColumn(to, found).drop("_chrom", "_t", "_piece", "_tile", "_size")
 
 
 def known_only(rows: DataFrame, chroms: DataFrame) -> DataFrame:

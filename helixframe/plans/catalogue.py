@@ -115,9 +115,11 @@ SELECT chrom, start, "end", strand, CASE WHEN strand = '-' THEN translate(revers
 )
 def interval_sequence(spark, d):
     asked = views.intervals(spark, d).selectExpr("concat('doc', (start div 100) % 200) chrom", "start % 50 start", "start % 50 + (`end` - start) % 90 `end`", "strand").distinct()
-    rows = genome.with_sequence(asked, views.sequences(spark, d))
-    cut = q.extracted(F.col("seq"), F.col("start"), F.col("end"), F.col("strand"), clip=True)
-    return rows.select("chrom", "start", "end", "strand", cut.alias("seq")).filter(F.col("seq").isNotNull())
+    g = views.sequences(spark, d)
+    sizes = genome.sizes(g).withColumnRenamed("chrom", "_chrom")
+    clipped = asked.join(sizes, F.col("chrom") == F.col("_chrom")).withColumn("_end", F.least("end", "size")).filter("start <= _end").drop("_chrom", "size")
+    rows = genome.cut(clipped, g, "start", "_end", reach=100)
+    return rows.select("chrom", "start", "end", "strand", F.when(F.col("strand") == "-", q.strict_reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
 @query(

@@ -65,9 +65,13 @@ def utr_windows(transcripts: DataFrame, whole: DataFrame, upstream: int = 100, d
     paths.check_number("most", most, strictly=True)
     parts = intervals.three_prime_parts(F.col("exons"), F.col("strand"), F.col("thick_start"), F.col("thick_end"))
     utr = transcripts.select("chrom", "strand", F.explode(parts).alias("p")).select("chrom", "strand", "p.start", "p.end")
-    cut = intervals.split(intervals.merge(intervals.expand(utr, upstream, downstream)), most)
-    rows = genome.with_sequence(cut, whole)
-    return rows.select("chrom", "start", "end", "strand", sequence.extracted(F.col("seq"), F.col("start"), F.col("end"), F.col("strand"), clip).alias("seq")).filter(F.col("seq").isNotNull())
+    windows = intervals.split(intervals.merge(intervals.expand(utr, upstream, downstream)), most)
+    if clip:  # to the contig; what begins past its end goes
+        sizes = genome.sizes(whole).withColumnRenamed("chrom", "_chrom")
+        windows = windows.join(sizes, F.col("chrom") == F.col("_chrom")).withColumn("end", F.least("end", "size")).filter("start < `end`").drop("_chrom", "size")
+    rows = genome.cut(windows, whole, reach=most + intervals.LEAST_TAIL)
+    seq = F.when(F.col("seq").isNull(), F.raise_error(F.lit("a window ends past its sequence")).cast("string")).when(F.col("strand") == "-", sequence.strict_reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    return rows.select("chrom", "start", "end", "strand", seq.alias("seq"))
 
 
 def chunk_utrs(spark: SparkSession, bed: str, sequence_path: str, out: str, upstream: int = 100, downstream: int = 100, most: int = 500, rows_per_file: int | None = None, prefix: str = "part", gz: bool = False) -> list[str]:
@@ -109,11 +113,11 @@ def fill_gaps(spark: SparkSession, chain_path: str, target: str, query: str, out
     eligible = chains.wanted(head, least_score, least_target, least_query)
     jobs = chains.gap_jobs(eligible, blocks.join(eligible.select("chain_id"), "chain_id", "left_semi"), **limits)
     base = (lambda c: F.upper(c)) if unmask else (lambda c: c)
-    t = paths.read_genome(spark, target).select(F.col("chrom").alias("t_name"), F.col("seq").alias("t_all"))
-    own = paths.read_genome(spark, query).select(F.col("chrom").alias("q_name"), F.col("seq").alias("q_all"))
-    q_part = sequence.between(F.col("q_all"), F.col("q_lo") - 1, F.col("q_hi"))
-    q_part = F.when(F.col("q_strand") == "-", sequence.reverse_complement(q_part)).otherwise(q_part)
-    both = jobs.join(t, "t_name").join(own, "q_name").withColumn("t_seq", base(sequence.between(F.col("t_all"), F.col("t_lo") - 1, F.col("t_hi")))).withColumn("q_seq", base(q_part))
+    most = limits.get("most_t", 100_000), limits.get("most_q", 100_000)
+    t_cut = genome.cut(jobs.withColumnRenamed("t_name", "chrom").withColumn("_a", F.col("t_lo") - 1), paths.read_genome(spark, target), "_a", "t_hi", "t_seq", most[0]).drop("chrom")
+    q_at = t_cut.withColumnRenamed("q_name", "chrom").withColumn("_a", F.col("q_lo") - 1)
+    both = genome.cut(q_at, paths.read_genome(spark, query), "_a", "q_hi", "q_seq", most[1]).withColumn("t_seq", base(F.col("t_seq")))
+    both = both.withColumn("q_seq", base(F.when(F.col("q_strand") == "-", sequence.reverse_complement(F.col("q_seq"))).otherwise(F.col("q_seq"))))
     best = chains.best_patches(chains.realigned(both.filter("t_seq is not null and q_seq is not null"), align), least_patch)
     done = chains.patched(chains.coordinates(blocks, head), best)
     if out:

@@ -91,7 +91,22 @@ def test_lookups(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "chrom string, x int")
     assert [r.x for r in genome.known_only(rows, g).collect()] == [1] and [r.chrom for r in genome.missing(rows, g).collect()] == ["b"]
     with pytest.raises(Exception, match="no such sequence"):
-        genome.with_sequence(rows, g).collect()
+        genome.cut(rows.selectExpr("chrom", "0L start", "1L `end`"), g).collect()
+
+
+def test_cuts_over_pieces(spark):
+    rng = random.Random(6)
+    seqs = {"a": "".join(rng.choices("ACGTN", k=10_000)), "b": "ACG", "e": ""}
+    asked = [(c, x, x + rng.randrange(0, 90)) for c in seqs for x in (rng.randrange(-5, len(seqs[c]) + 5) for _ in range(150))] + [("a", 4090, 4100), ("a", 4096, 4196), ("a", 9990, 10_000), ("a", 9990, 10_001)]
+    g = spark.createDataFrame(list(seqs.items()), "chrom string, seq string")
+    got = genome.cut(spark.createDataFrame(asked, "chrom string, start long, end long"), g, reach=100).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        whole = seqs[r.chrom]
+        assert r.seq == (whole[r.start : r.end] if 0 <= r.start and r.end <= len(whole) else None)
+    assert "".join(r.piece for r in sorted(genome.pieces(g, 7).filter("chrom = 'a'").collect(), key=lambda r: r.tile)) == seqs["a"]
+    with pytest.raises(Exception, match="longer than"):
+        genome.cut(spark.createDataFrame([("a", 0, 200)], "chrom string, start long, end long"), g, reach=100).collect()
 
 
 @pytest.mark.parametrize("touch", [False, True])
