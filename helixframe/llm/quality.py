@@ -17,12 +17,13 @@ SYMBOLS, SPACES = "#*$%&|<>", " \t\n\v\f\r"
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 #: Per language (None: others): least and most characters a token, most byte fallback, least and most bits of entropy a token.
-#: The lower ends are the least 0.1 to 0.3 % of the rows labelled good of 10,000 documents; the others are wide.
+#: Few tokens can't have much entropy: the lower end is at most this share of what as many unlike tokens have.
+SHARE = 0.76
 BANDS: dict[str | None, dict[str, tuple[float, float]]] = {
-    "en": {"chars": (2.42, 8.0), "fallback": (0.0, 0.1), "entropy": (5.75, 15.0)},
-    "de": {"chars": (2.535, 8.0), "fallback": (0.0, 0.1), "entropy": (5.86, 15.0)},
-    "es": {"chars": (2.3, 8.0), "fallback": (0.0, 0.1), "entropy": (5.71, 15.0)},
-    "fr": {"chars": (2.14, 8.0), "fallback": (0.0, 0.1), "entropy": (5.66, 15.0)},
+    "en": {"chars": (2.36, 8.0), "fallback": (0.0, 0.1), "entropy": (5.75, 15.0)},
+    "de": {"chars": (2.43, 8.0), "fallback": (0.0, 0.1), "entropy": (5.8, 15.0)},
+    "es": {"chars": (2.25, 8.0), "fallback": (0.0, 0.1), "entropy": (5.7, 15.0)},
+    "fr": {"chars": (2.11, 8.0), "fallback": (0.0, 0.1), "entropy": (5.65, 15.0)},
     None: {"chars": (0.7, 12.0), "fallback": (0.0, 0.4), "entropy": (4.0, 16.0)},
 }
 
@@ -58,14 +59,14 @@ class Fertility:
         for token, n in numbers.items():
             self.is_byte[n] = _is_part(token)
 
-    def measure(self, text: str) -> tuple[float, float, float]:
-        """Characters a token, share of tokens that are no whole characters, bits of entropy of the tokens; zeros for an empty text."""
+    def measure(self, text: str) -> tuple[float, float, float, int]:
+        """Characters a token, share of tokens that are no whole characters, bits of entropy of the tokens, tokens; zeros for an empty text."""
         ids = np.array(self.encoding.encode_ordinary(text), dtype=np.int64)
         if not len(ids):
-            return 0.0, 0.0, 0.0
+            return 0.0, 0.0, 0.0, 0
         times = np.bincount(ids)
         share = times[times > 0] / len(ids)
-        return len(text) / len(ids), float(times[self.is_byte[: len(times)]].sum() / len(ids)), float(-(share * np.log2(share)).sum())
+        return len(text) / len(ids), float(times[self.is_byte[: len(times)]].sum() / len(ids)), float(-(share * np.log2(share)).sum()), len(ids)
 
 
 def _is_part(token: bytes) -> bool:
@@ -76,8 +77,10 @@ def _is_part(token: bytes) -> bool:
     return False
 
 
-def in_band(measures: tuple[float, float, float], band: dict[str, tuple[float, float]]) -> bool:
-    return all(lo <= x <= hi for x, (lo, hi) in zip(measures, (band[k] for k in ("chars", "fallback", "entropy")), strict=True))
+def in_band(measures: tuple[float, float, float, int], band: dict[str, tuple[float, float]]) -> bool:
+    chars, fallback, entropy, n = measures
+    (least, most), able = band["entropy"], SHARE * float(np.log2(max(n, 1)))
+    return band["chars"][0] <= chars <= band["chars"][1] and band["fallback"][0] <= fallback <= band["fallback"][1] and min(least, able) <= entropy <= most
 
 
 def _judge(docs: DataFrame, bands: dict | None, vocabulary: str | None, pattern: str | None):
@@ -99,7 +102,7 @@ def _judge(docs: DataFrame, bands: dict | None, vocabulary: str | None, pattern:
             chars = len(string) - sum(map(string.count, SPACES))
             repeated = repeat_words(words)
             failed = len(words) < LEAST_WORDS or 100 * repeated > MOST_REPEATED * len(words)
-            found = (None, None, None) if failed else model.measure(string)
+            found = (None, None, None, None) if failed else model.measure(string)
             kept = not failed and in_band(found, bands.get(language) or bands[None])
             return len(words), chars, sum(map(string.count, SYMBOLS)), dup_lines(t), repeated, failed, kept, *found
 
@@ -108,7 +111,7 @@ def _judge(docs: DataFrame, bands: dict | None, vocabulary: str | None, pattern:
     return make
 
 
-SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, chars_per_token double, fallback_share double, token_entropy double"
+SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, chars_per_token double, fallback_share double, token_entropy double, n_tokens long"
 _KEPT = 6
 
 
