@@ -245,6 +245,8 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
 # what the tree finds is checked by sketches, which are whole shingle sets up to SKETCH shingles.
 ANCHORS, SKETCH, FAR_BITS, WORDS, LIKENESS = 4, 512, 58, 5, 0.8
+#: A shard of more members is dealt again.
+SHARD_MOST = 1024
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + ANCHORS)], dtype="<u8")
 
 
@@ -294,19 +296,14 @@ def _sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 
 
 class Shard:
-    """Members of one shard: a BK-tree of their fingerprints, their sketches, and the classes that the checked links make.
+    """Members of one shard: a BK-tree of their fingerprints, their sketches, and the classes that the checked links make."""
 
-    Past `most` members, a member that is linked to one that is kept isn't kept itself, so that a shard that is one
-    large group of near copies needs little memory.
-    """
-
-    def __init__(self, radius: int, least: float, most: int) -> None:
-        self.radius, self.least, self.most = radius, least, most
+    def __init__(self, radius: int, least: float) -> None:
+        self.radius, self.least = radius, least
         self.tree, self.at, self.classes = BKTree(), {}, Classes()
         self.links: list[tuple[int, int]] = []
 
     def add(self, key: int, fp: int, sketch: np.ndarray) -> None:
-        linked = False
         for near in self.tree.within(fp, self.radius):
             for other, theirs in self.at[near]:
                 if self.classes.find(key) == self.classes.find(other):
@@ -314,14 +311,12 @@ class Shard:
                 if min(len(sketch), len(theirs)) >= self.least * max(len(sketch), len(theirs)) and likeness(sketch, theirs) >= self.least:
                     self.classes.join(key, other)
                     self.links.append((max(key, other), min(key, other)))
-                    linked = True
-        if not linked or len(self.at) < self.most:
-            if fp not in self.at:
-                self.tree.add(fp, 0)
-            self.at.setdefault(fp, []).append((key, sketch))
+        if fp not in self.at:
+            self.tree.add(fp, 0)
+        self.at.setdefault(fp, []).append((key, sketch))
 
 
-def _checked_links(shards: DataFrame, radius: int, least: float, most: int) -> DataFrame:
+def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
     """a, b: links between members (id, fp, sketch) of each shard; a task holds one shard at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,7 +326,7 @@ def _checked_links(shards: DataFrame, radius: int, least: float, most: int) -> D
             for name, key, fp, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if name != at:
                     found += shard.links if shard else []
-                    at, shard = name, Shard(radius, least, most)
+                    at, shard = name, Shard(radius, least)
                 shard.add(key, int.from_bytes(fp, "little"), np.frombuffer(sketch, dtype="<u8"))
             found += shard.links if shard else []
             if shard:
@@ -341,27 +336,39 @@ def _checked_links(shards: DataFrame, radius: int, least: float, most: int) -> D
     return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "sketch").mapInArrow(run, "a long, b long")
 
 
-def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WORDS, radius: int = FAR_BITS, key: str = "doc_id", text: str = "text", tree_most: int = TREE_MOST) -> DataFrame:
+def _with_sizes(placed: DataFrame) -> DataFrame:
+    """`placed` with the number n of members of their shard; members alone in theirs go."""
+    sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return placed.join(sizes, "shard")
+
+
+def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WORDS, radius: int = FAR_BITS, key: str = "doc_id", text: str = "text", tree_most: int = SHARD_MOST) -> DataFrame:
     """`key` and component_id (least key of its class) of every key that has near copies.
 
     Near copies are texts whose sets of `width`-word shingles (words at ASCII spaces, A-Z lower-cased; fewer words make
     one shingle) have a likeness of `least` or more; texts without words are copies of each other. Equal sets are taken
     together before anything is searched. A shard of more than tree_most members is dealt again by each of its other
-    anchors. Keys must tell rows apart; rows with a null key have no copies. An empty table gives none.
+    anchors; one that is still larger, whose members have two least shingles in common, is dealt into parts of about
+    tree_most, of which about half are the same members in every part: two members of different parts are linked if
+    the links of those connect them. Keys must tell rows apart; rows with a null key have no copies. An empty table gives none.
     """
     rows = checkpointed(_narrow(docs, key, text, width).filter(F.col(key).isNotNull()))
     same = rows.groupBy("same").agg(F.min(key).alias("id"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors"))
     reps = checkpointed(same)
-    shard = lambda *c: F.xxhash64(*c)
-    one = reps.select("id", "fp", "anchors", F.posexplode("anchors").alias("k", "anchor")).withColumn("shard", shard("k", "anchor"))
-    sizes = one.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    many = one.join(sizes, "shard")
-    again = many.filter(F.col("n") > tree_most).select("id", "fp", "k", "anchor", F.posexplode("anchors").alias("j", "other")).filter("j <> k").withColumn("shard", shard("k", "anchor", "j", "other"))
-    again = again.join(again.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shard"), "shard").select("id", "fp", "shard")
-    placed = many.filter(F.col("n") <= tree_most).select("id", "fp", "shard").unionByName(again)
-    wanted = placed.groupBy("id").agg(F.min("fp").alias("fp"), F.collect_set("shard").alias("shards"))  # at most 4 + 12 shards
-    sketched = _sketches(docs, key, text, width).withColumnRenamed(key, "id").join(wanted, "id")
-    edges = _checked_links(sketched.select("id", "fp", "sketch", F.explode("shards").alias("shard")), radius, least, tree_most)
+    one = reps.select("id", "fp", "anchors", F.posexplode("anchors").alias("k", "anchor")).withColumn("shard", F.xxhash64("k", "anchor"))
+    many = _with_sizes(one)
+    again = many.filter(F.col("n") > tree_most).select("id", "fp", "k", "anchor", F.posexplode("anchors").alias("j", "other")).filter("j <> k")
+    pair = F.sort_array(F.array(F.struct("k", "anchor"), F.struct(F.col("j").alias("k"), F.col("other").alias("anchor"))))  # one shard, whichever of the two is large
+    again = _with_sizes(again.withColumn("shard", F.xxhash64(pair)).select("id", "fp", "shard").dropDuplicates(["id", "shard"]))
+    half = max(1, tree_most // 2)
+    parts = F.ceil(F.col("n") / half).cast("int")
+    place = F.pmod(F.xxhash64("shard", "id"), F.lit(1 << 30)) / float(1 << 30)  # even over [0, 1)
+    dealt = F.when(place < half / F.col("n"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts).cast("int")))
+    large = again.filter(F.col("n") > tree_most).select("id", "fp", "shard", F.explode(dealt).alias("part")).select("id", "fp", F.xxhash64("shard", "part").alias("shard"))
+    whole = lambda df: df.filter(F.col("n") <= tree_most).select("id", "fp", "shard")
+    placed = whole(many).unionByName(whole(again)).unionByName(large)
+    members = _sketches(docs, key, text, width).withColumnRenamed(key, "id").join(placed, "id")
+    edges = _checked_links(members, radius, least)
     tops = classes_of(checkpointed(edges.distinct())).withColumnRenamed("fp", "id")
     named = reps.join(tops, "id", "left").select("same", F.coalesce("top", "id").alias("component_id"))
     return rows.join(named, "same").select(key, "component_id")

@@ -88,7 +88,7 @@ def test_near_copies_of_a_planted_corpus(spark):
                 copy[rng.randrange(len(copy))] = "changed"
             text[10 * i + k], source[10 * i + k] = " ".join(copy), 10 * i
     docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(6)
-    for most in (4096, 4):
+    for most in (4096, 12):
         classes = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=most).collect()}
         sure = [k for k, o in source.items() if len(shingle_set(text[k]) & shingle_set(text[o])) >= 0.8 * len(shingle_set(text[k]) | shingle_set(text[o]))]
         assert len(sure) > 100 and sum(classes[k] // 10 == k // 10 and classes[k] != k for k in sure) >= 0.97 * len(sure)
@@ -97,6 +97,20 @@ def test_near_copies_of_a_planted_corpus(spark):
     assert {10 * i for i in range(150)} <= kept
 
 
+def test_one_large_group_of_near_copies(spark):
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(3000)}" for _ in range(300)]
+    rows = []
+    for i in range(400):
+        copy = list(base)
+        copy[rng.randrange(300)] = f"new{i}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for most in (4096, 60):
+        classes = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=most).collect()}
+        assert set(classes.values()) == {0} and len(classes) == 400
+
+
 def test_near_copy_stage_keeps_columns_and_odd_rows(docs, odd_docs, no_docs):
     kept = s.drop_near_copies(docs)
     assert kept.columns == docs.columns
