@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as q
-from ..operators import calibration, chains, genome, intervals, junctions, ordering, scoring, tracks
+from ..operators import annotation, calibration, chains, genome, intervals, junctions, ordering, scoring, tracks
 from . import views
 from .views import with_views
 
@@ -427,3 +427,75 @@ def model_score_stub(spark, d):
     return scored.groupBy("seq_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("iso"), 6).alias("iso"))
 
 
+
+
+@query(with_views("sequences") + _TILES + """SELECT chrom || ':' || start || '-' || "end" || '(+)' AS header, chrom, start, "end", '+' AS strand FROM tiles""")
+def region_headers(spark, d):
+    head = _tiles(spark, d).select(q.region_header(F.col("chrom"), F.col("start"), F.col("end"), F.lit("+")).alias("header"))
+    return head.withColumn("x", q.parsed_region_header(F.col("header"))).select("header", "x.chrom", "x.start", "x.end", "x.strand")
+
+
+@query(with_views("sites") + "SELECT chrom, pos, strand, site, CAST(pos % 1000 + 0.5 AS FLOAT) AS score, motif FROM sites WHERE pos % 7 <> 0")
+def scored_records(spark, d):
+    """Lines of scored sites, every seventh of which lacks a field and is left out."""
+    line = "concat_ws('\\t', concat(chrom, ':', pos, '(', strand, ')'), site, concat(pos % 1000, '.5'), lower(motif))"
+    lines = views.sites(spark, d).selectExpr(f"if(pos % 7 = 0, 'x\\ty', {line}) line")
+    return lines.select(q.parsed_scored_site(F.col("line")).alias("x")).filter(F.col("x").isNotNull()).select("x.*")
+
+
+@query(with_views("sequences") + "SELECT chrom, regexp_replace(chrom || ' /' || (length(seq) % 5), '[^A-Za-z0-9._-]', '_', 'g') AS file, repeat('N', 50) || seq || repeat('N', 50) AS padded FROM sequences")
+def padded_sequences(spark, d):
+    name = F.concat("chrom", F.lit(" /"), (F.length("seq") % 5).cast("string"))
+    return views.sequences(spark, d).select("chrom", q.file_safe(name).alias("file"), q.padded(F.col("seq"), 50).alias("padded"))
+
+
+@query(with_views("tracks") + "SELECT vec_id, i, round(ln(p / (1 - p)), 6) AS logit FROM (SELECT vec_id, i, 0.001 + 0.998 * abs(value) / (1 + abs(value)) AS p FROM tracks)")
+def logits(spark, d):
+    rows = views.tracks(spark, d).withColumn("p", 0.001 + 0.998 * F.abs("value") / (1 + F.abs("value")))
+    return rows.select("vec_id", "i", F.round(q.logit(F.col("p")), 6).alias("logit"))
+
+
+@query(with_views("tracks") + "SELECT seq_id, i, max(value) AS most, round(avg(value), 6) AS mean, round(median(value), 6) AS middle FROM tracks GROUP BY seq_id, i")
+def offset_statistics(spark, d):
+    return views.tracks(spark, d).groupBy("seq_id", "i").agg(F.max("value").alias("most"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.median("value"), 6).alias("middle"))
+
+
+@query(
+    with_views("tracks")
+    + """, cores AS (SELECT vec_id, i, value, least(5, vec_id) AS before, 64 - 50 - least(5, vec_id) AS after FROM tracks)
+SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN i - before ELSE 63 - before - i END AS place, value FROM cores
+WHERE CASE WHEN vec_id % 2 = 0 THEN i >= before AND i < 64 - after ELSE i >= after AND i < 64 - before END"""
+)
+def chunk_cores(spark, d):
+    """Each embedding as the values of a chunk of 50 from vec_id on, with a flank of 5 before it where there is room."""
+    rows = views.table(spark, d, "embeddings").selectExpr("vec_id", "if(vec_id % 2 = 0, '+', '-') strand", "transform(embedding, x -> cast(x as double)) v")
+    f = tracks.flanks(F.col("vec_id"), F.col("vec_id") + 50, F.size("v").cast("bigint"), 14)
+    before, after = F.least(F.lit(5).cast("bigint"), F.col("vec_id")), F.lit(14) - F.least(F.lit(5).cast("bigint"), F.col("vec_id"))
+    checked = rows.withColumn("f", f).filter("f.before >= 0")
+    return checked.select("vec_id", F.posexplode(tracks.core(F.col("v"), before, after, F.col("strand"))).alias("place", "value"))
+
+
+@query(
+    with_views("blocks", "sequences")
+    + _EXONS
+    + """, gaps AS (SELECT DISTINCT 'doc' || (chain_id % 200) AS chrom, CASE WHEN chain_id % 2 = 0 THEN '+' ELSE '-' END AS strand, "end" AS a, next AS b FROM (SELECT *, lead(start) OVER (PARTITION BY chain_id ORDER BY start, "end") AS next FROM exons) WHERE next IS NOT NULL),
+ends AS (SELECT chrom, strand, CASE strand WHEN '+' THEN 'D' ELSE 'A' END AS site, a AS pos, a AS spot FROM gaps
+    UNION ALL SELECT chrom, strand, CASE strand WHEN '+' THEN 'A' ELSE 'D' END, CASE strand WHEN '+' THEN b - 1 ELSE b END, b - 2 FROM gaps),
+cut AS (SELECT e.*, upper(substr(seq, CAST(spot + 1 AS INT), 2)) AS pair FROM ends e JOIN sequences s ON s.chrom = e.chrom WHERE spot >= 0 AND spot + 2 <= length(seq))
+SELECT chrom, pos, strand, site, CASE strand WHEN '-' THEN translate(reverse(pair), 'ACGT', 'TGCA') ELSE pair END AS motif FROM cut"""
+)
+def annotated_sites(spark, d):
+    known = _transcripts(spark, d).withColumn("chrom", F.concat(F.lit("doc"), (F.col("chain_id") % 200).cast("string")))
+    return annotation.splice_sites(known, views.sequences(spark, d))
+
+
+@query(
+    with_views("sequences")
+    + """, peaks AS (SELECT chrom, seq, unnest([60, 100, 140]) AS peak FROM sequences), inner_peaks AS (SELECT * FROM peaks WHERE peak > 75 AND peak < length(seq) - 150),
+shifted AS (SELECT *, peak - 80 - unnest(range(0, 30, 2)) AS window_start FROM inner_peaks)
+SELECT chrom, peak, window_start, substr(repeat('X', 35) || seq || repeat('X', 35), CAST(window_start + 36 AS INT), 205) AS window FROM shifted
+WHERE window_start + 35 >= 0 AND length(substr(repeat('X', 35) || seq || repeat('X', 35), CAST(window_start + 36 AS INT), 205)) = 205"""
+)
+def peak_windows(spark, d):
+    peaks = views.sequences(spark, d).withColumn("peak", F.explode(F.array(F.lit(60), F.lit(100), F.lit(140))))
+    return scoring.peak_windows(peaks).select("chrom", "peak", "window_start", "window")
