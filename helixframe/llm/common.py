@@ -55,6 +55,7 @@ def numbered(df: DataFrame, group: str, order: list[str], to: str, buckets: int
 
     Rows of a group go to hash buckets of the order columns; rows are numbered within a bucket and each bucket starts
     where those before it end. The numbers follow (bucket, order); rows equal in `order` are numbered in any order.
+    No group may be null. The join needs no shuffle of its own, as the window's is by the same columns.
     """
     put = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +65,7 @@ def numbered(df: DataFrame, group: str, order: list[str], to: str, buckets: int
     within = Window.partitionBy(group, "_bucket").orderBy(*order)
     rows = put.withColumn("_row", F.row_number().over(within) - 1)
     return (
-        rows.join(starts, rows[group].eqNullSafe(F.col("_g")) & (rows["_bucket"] == F.col("_b")))
+        rows.join(starts, (rows[group] == F.col("_g")) & (rows["_bucket"] == F.col("_b")))
         .withColumn(to, F.col("_start") + F.col("_row"))
         .drop("_bucket", "_g", "_b", "_start", "_row")
     )
