@@ -36,20 +36,16 @@ def pair_counts(genome: DataFrame) -> DataFrame:
     itself, so what goes when it is removed tells how many there are; of like letters there is one fewer than letters
     in each run. Sequences with other letters are taken apart pair by pair. Either way one partial sum a task leaves it.
     """
-    upper = genome.select(F.upper("seq").alias("seq")).filter(F.length("seq") >= 2)
-    plain = upper.filter(F.col("seq").rlike("^[ACGTN]*$"))
-    count = lambda s, x: F.length(s) - F.length(F.replace(s, F.lit(x), F.lit("")))
+    upper, s = genome.select(F.upper("seq").alias("seq")), F.col("seq")
+    count = lambda c, x: F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))
     each = []
     for a in "ACGT":
         for b in "ACGT":
-            s = F.col("seq")
             n = count(s, a) - count(F.regexp_replace(s, f"{a}+", a), a) if a == b else F.floor(count(s, a + b) / 2)
-            each.append(F.sum(n).cast("bigint").alias(a + b))
-    summed = plain.agg(*each)
-    fast = summed.select(F.explode(F.array(*[F.struct(F.lit(c).alias("pair"), F.col(c).alias("n")) for c in summed.columns])).alias("x")).select("x.*")
-    other = upper.filter(~F.col("seq").rlike("^[ACGTN]*$")).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - 1), lambda i: F.substring(F.col("seq"), i, F.lit(2)))).alias("pair"))
-    slow = other.filter(~F.contains("pair", F.lit("N"))).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
-    pairs = fast.unionByName(slow).filter("n > 0")
+            each.append(F.struct(F.lit(a + b).alias("pair"), n.cast("bigint").alias("n")))
+    one = lambda i: F.struct(F.substring(s, i, F.lit(2)).alias("pair"), F.lit(1).cast("bigint").alias("n"))
+    found = F.when(F.length(s) < 2, F.array().cast("array<struct<pair:string,n:bigint>>")).when(s.rlike("^[ACGTN]*$"), F.array(*each)).otherwise(F.transform(F.sequence(F.lit(1), F.length(s) - 1), one))
+    pairs = upper.select(F.explode(found).alias("x")).select("x.pair", "x.n").filter((F.col("n") > 0) & ~F.contains("pair", F.lit("N"))).groupBy("pair").agg(F.sum("n").alias("n"))
     return pairs.select(F.explode(F.array("pair", reverse_complement(F.col("pair")))).alias("motif"), "n").groupBy("motif").agg(F.sum("n").alias("n"))
 
 

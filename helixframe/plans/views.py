@@ -20,7 +20,7 @@ def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr("concat('doc', doc_id) chrom", "regexp_replace(text, '[^ACGTNacgtn]', '') seq")
+    return table(spark, sf_dir, "documents").selectExpr("concat('doc', doc_id) chrom", "regexp_replace(text, '[^ACGTNacgtn]+', '') seq")
 
 
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
