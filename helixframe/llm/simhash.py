@@ -190,8 +190,7 @@ def links(fps: DataFrame, radius: int, tree_most: int = TREE_MOST) -> DataFrame:
     shard = F.array(*[F.xxhash64(F.lit(k), F.shiftrightunsigned("fp", first).bitwiseAND(F.lit(mask))) for k, (first, mask) in enumerate(_blocks(radius))])
     placed = fps.select("fp", F.explode(shard).alias("shard"))
     # two blocks' shards could have one hash; then they are one shard, which adds no link and loses none
-    sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    both = placed.join(sizes, "shard")
+    both = _with_sizes(placed)
     small = both.filter(F.col("n") <= tree_most)
     large = both.filter(F.col("n") > tree_most).select("fp").distinct()
     return linked_by_trees(small, radius).unionByName(linked_by_centres(large, radius)).distinct()
@@ -213,7 +212,7 @@ def classes_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         before = tuple(sums)
         # large-star: neighbours above a node go to the least of its neighbours and itself
         around = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = checkpointed(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))  # see _with_sizes
         large = around.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         # small-star: neighbours below a node, and it, go to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -234,7 +233,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
     edges = checkpointed(links(least.select("fp"), radius))
     tops = classes_of(edges)
     named = least.join(tops, "fp", "left").withColumn("top", F.coalesce("top", "fp"))
-    ids = named.groupBy("top").agg(F.min("least").alias("component_id"))
+    ids = checkpointed(named.groupBy("top").agg(F.min("least").alias("component_id")))  # see _with_sizes
     named = named.join(ids, "top").select("fp", "component_id")
     return rows.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -338,7 +337,8 @@ def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
 
 def _with_sizes(placed: DataFrame) -> DataFrame:
     """`placed` with the number n of members of their shard; members alone in theirs go."""
-    sizes = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # written first, so that both sides of the join are plain exchanges, and a large shard's rows can be split
+    sizes = checkpointed(placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     return placed.join(sizes, "shard")
 
 
