@@ -276,10 +276,9 @@ def _narrow(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 
     def start():
         def one(t: bytes | None) -> tuple:
-            h = shingle_hashes(t, width)
-            distinct = np.unique(h)
+            distinct = np.unique(shingle_hashes(t, width))  # fingerprints are of sets, as likeness is
             anchors = [int(_mixed(distinct, 4 + k).min()) if len(distinct) else 0 for k in range(ANCHORS)]
-            return xxhash.xxh3_128_digest(distinct.tobytes()), wide_simhash(h), [a - (1 << 64) if a >> 63 else a for a in anchors]
+            return xxhash.xxh3_128_digest(distinct.tobytes()), wide_simhash(distinct), [a - (1 << 64) if a >> 63 else a for a in anchors]
 
         return lambda columns: [columns[0], *map(list, zip(*map(one, columns[1]), strict=True))]
 

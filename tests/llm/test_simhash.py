@@ -127,3 +127,17 @@ def test_likeness_is_exact_for_small_sets():
     assert s.likeness(a, b) == 80 / 120 and s.likeness(a[:0], b[:0]) == 1.0 and s.likeness(a, b[:0]) == 0.0
     big, other = np.arange(5000, dtype="<u8")[:512], np.arange(5000, dtype="<u8")[:512]
     assert s.likeness(big, other) == 1.0
+
+
+def test_near_copies_that_repeat_a_passage_unlike_often(spark):
+    rng = random.Random(11)
+    text = {}
+    for i in range(40):
+        base, passage = [f"u{rng.randrange(5000)}" for _ in range(120)], [f"p{rng.randrange(5000)}" for _ in range(12)]
+        copy = list(base)
+        copy[60] = "changed"
+        text[2 * i], text[2 * i + 1] = " ".join(base + passage * 8), " ".join(copy + passage)
+    sure = [k for k in range(0, 80, 2) if len(shingle_set(text[k]) & shingle_set(text[k + 1])) >= 0.85 * len(shingle_set(text[k]) | shingle_set(text[k + 1]))]
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    classes = {r.doc_id: r.component_id for r in s.near_copy_classes(docs).collect()}
+    assert len(sure) == 40 and sum(classes[k + 1] == k for k in sure) >= 39
