@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
 # what the tree finds is checked by sketches, which are whole shingle sets up to SKETCH shingles.
 ANCHORS, SKETCH, FAR_BITS, WORDS, LIKENESS = 4, 512, 58, 5, 0.8
-#: A shard of more members is dealt again.
+#: A shard of more members is dealt into parts of about this many, and every two parts are compared.
 SHARD_MOST = 1024
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + ANCHORS)], dtype="<u8")
 
@@ -271,6 +271,10 @@ def likeness(a: np.ndarray, b: np.ndarray, most: int = SKETCH) -> float:
     return int(np.isin(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True).sum()) / len(union)
 
 
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    return min(len(a), len(b)) >= least * max(len(a), len(b)) and likeness(a, b) >= least
+
+
 def _narrow(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """key, same (a hash of the shingle set), fp (32 bytes) and anchors of every row."""
 
@@ -306,7 +310,7 @@ class Shard:
             for other, theirs in self.at[near]:
                 if self.classes.find(key) == self.classes.find(other):
                     continue
-                if min(len(sketch), len(theirs)) >= self.least * max(len(sketch), len(theirs)) and likeness(sketch, theirs) >= self.least:
+                if alike(sketch, theirs, self.least):
                     self.classes.join(key, other)
                     self.links.append((max(key, other), min(key, other)))
         if fp not in self.at:
@@ -314,24 +318,54 @@ class Shard:
         self.at.setdefault(fp, []).append((key, sketch))
 
 
+def crossed_links(left: list[tuple], right: list[tuple], radius: int, least: float) -> list[tuple[int, int]]:
+    """Links that connect what is linked between members (id, fp as bytes, sketch) of `left` and of `right`; every pair is compared.
+
+    Fingerprints are compared by counting bits, a row of `right` at a time: at a radius this wide a tree skips nothing.
+    """
+    ids, sketches = [m[0] for m in right], [m[2] for m in right]
+    bits = np.frombuffer(b"".join(m[1] for m in right), dtype="<u8").reshape(len(right), -1)
+    name = np.arange(len(left), len(left) + len(right))  # of the class of each of `right`; a left member starts with its own
+    links = []
+    for own, (key, fp, sketch) in enumerate(left):
+        close = np.bitwise_count(bits ^ np.frombuffer(fp, dtype="<u8")).sum(1, dtype=np.int64) <= radius
+        for k in np.flatnonzero(close).tolist():
+            if name[k] != own and alike(sketch, sketches[k], least):
+                name[name == name[k]] = own
+                links.append((max(key, ids[k]), min(key, ids[k])))
+    return links
+
+
 def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
-    """a, b: links between members (id, fp, sketch) of each shard; a task holds one shard at a time."""
+    """a, b: links between members (id, fp, sketch) of each shard; a task holds one shard at a time.
+
+    Where side is 0, a shard's members are compared with each other, else those of side 1 with those of side 2.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, shard = None, None
+        at, shard, sides = None, None, ([], [])
+
+        def close() -> list[tuple[int, int]]:
+            return (shard.links if shard else []) + (crossed_links(*sides, radius, least) if sides[0] and sides[1] else [])
+
+        def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for name, key, fp, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, key, fp, side, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if name != at:
-                    found += shard.links if shard else []
-                    at, shard = name, Shard(radius, least)
-                shard.add(key, int.from_bytes(fp, "little"), np.frombuffer(sketch, dtype="<u8"))
-            found += shard.links if shard else []
-            if shard:
-                shard.links = []
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+                    found += close()
+                    at, shard, sides = name, Shard(radius, least), ([], [])
+                sketch = np.frombuffer(sketch, dtype="<u8")
+                if side:
+                    sides[side - 1].append((key, fp, sketch))
+                else:
+                    shard.add(key, int.from_bytes(fp, "little"), sketch)
+            yield links(found)
+        yield links(close())
 
-    return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "sketch").mapInArrow(run, "a long, b long")
+    return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "side", "sketch").mapInArrow(run, "a long, b long")
 
 
 def _with_sizes(placed: DataFrame) -> DataFrame:
@@ -346,26 +380,22 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
 
     Near copies are texts whose sets of `width`-word shingles (words at ASCII spaces, A-Z lower-cased; fewer words make
     one shingle) have a likeness of `least` or more; texts without words are copies of each other. Equal sets are taken
-    together before anything is searched. A shard of more than tree_most members is dealt again by each of its other
-    anchors; one that is still larger, whose members have two least shingles in common, is dealt into parts of about
-    tree_most, of which about half are the same members in every part: two members of different parts are linked if
-    the links of those connect them. Keys must tell rows apart; rows with a null key have no copies. An empty table gives none.
+    together before anything is searched. A shard of more than tree_most members is dealt into parts of about tree_most
+    by hash; each part, and each pair of parts, is a task's work, so that every two members of a shard are compared,
+    whatever its size (n members make about n * n / tree_most rows). Keys must tell rows apart; rows with a null key have no copies. An empty table gives none.
     """
     rows = checkpointed(_narrow(docs, key, text, width).filter(F.col(key).isNotNull()))
     same = rows.groupBy("same").agg(F.min(key).alias("id"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors"))
     reps = checkpointed(same)
-    one = reps.select("id", "fp", "anchors", F.posexplode("anchors").alias("k", "anchor")).withColumn("shard", F.xxhash64("k", "anchor"))
+    one = reps.select("id", "fp", F.posexplode("anchors").alias("k", "anchor")).select("id", "fp", F.xxhash64("k", "anchor").alias("shard"))
     many = _with_sizes(one)
-    again = many.filter(F.col("n") > tree_most).select("id", "fp", "k", "anchor", F.posexplode("anchors").alias("j", "other")).filter("j <> k")
-    pair = F.sort_array(F.array(F.struct("k", "anchor"), F.struct(F.col("j").alias("k"), F.col("other").alias("anchor"))))  # one shard, whichever of the two is large
-    again = _with_sizes(again.withColumn("shard", F.xxhash64(pair)).select("id", "fp", "shard").dropDuplicates(["id", "shard"]))
-    half = max(1, tree_most // 2)
-    parts = F.ceil(F.col("n") / half).cast("int")
-    place = F.pmod(F.xxhash64("shard", "id"), F.lit(1 << 30)) / float(1 << 30)  # even over [0, 1)
-    dealt = F.when(place < half / F.col("n"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts).cast("int")))
-    large = again.filter(F.col("n") > tree_most).select("id", "fp", "shard", F.explode(dealt).alias("part")).select("id", "fp", F.xxhash64("shard", "part").alias("shard"))
-    whole = lambda df: df.filter(F.col("n") <= tree_most).select("id", "fp", "shard")
-    placed = whole(many).unionByName(whole(again)).unionByName(large)
+    parts = F.ceil(F.col("n") / tree_most).cast("int")
+    large = many.filter(F.col("n") > tree_most).select("id", "fp", "shard", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # each part with itself and every other
+    pair = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))
+    side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
+    small = many.filter(F.col("n") <= tree_most).select("id", "fp", "shard", F.lit(0).alias("side"))
+    placed = small.unionByName(met.select("id", "fp", pair.alias("shard"), side.alias("side")))
     members = _sketches(docs, key, text, width).withColumnRenamed(key, "id").join(placed, "id")
     edges = _checked_links(members, radius, least)
     tops = classes_of(checkpointed(edges.distinct())).withColumnRenamed("fp", "id")

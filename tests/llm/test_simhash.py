@@ -141,3 +141,46 @@ def test_near_copies_that_repeat_a_passage_unlike_often(spark):
     docs = spark.createDataFrame(list(text.items()), "doc_id long, text string")
     classes = {r.doc_id: r.component_id for r in s.near_copy_classes(docs).collect()}
     assert len(sure) == 40 and sum(classes[k + 1] == k for k in sure) >= 39
+
+
+def crowd(rng, n, template):
+    """n pairs of near copies; all texts share a template of 180 words, which is 60 % of each."""
+    text = {}
+    for i in range(n):
+        base = [f"u{rng.randrange(10**6)}" for _ in range(120)]
+        text[2 * i] = " ".join(template + base)
+        for at in (20, 50, 80, 110):
+            base[at] = f"x{i}"
+        text[2 * i + 1] = " ".join(template + base)
+    return text
+
+
+def test_pairs_in_a_crowd_over_the_limit(spark):
+    rng = random.Random(21)
+    text = crowd(rng, 600, [f"t{rng.randrange(10**6)}" for _ in range(180)])
+    docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(4)
+    sets = {i: shingle_set(t) for i, t in text.items()}
+    assert all(len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1]) for k in range(0, 1200, 2))
+    whole = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=4096).collect()}
+    dealt = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=40).collect()}
+    assert dealt == whole and sum(dealt[k + 1] == k for k in range(0, 1200, 2)) >= 590
+
+
+def test_crossed_parts_compare_every_pair():
+    rng = np.random.default_rng(2)
+    bases = [rng.integers(0, 1 << 62, 60).astype("<u8") for _ in range(6)]
+    made = []
+    for i in range(60):
+        mine = np.unique(np.concatenate([bases[i % 6][4:], rng.integers(0, 1 << 62, 4).astype("<u8")]))
+        made.append((i, s.wide_simhash(mine), mine))
+    left, right = made[:25], made[25:]
+    up = s.Classes()
+    for a, b in s.crossed_links(left, right, 128, 0.8):
+        up.join(a, b)
+    want = s.Classes()
+    for i, _, x in left:
+        for j, _, y in right:
+            if s.likeness(x, y) >= 0.8:
+                want.join(i, j)
+    assert [up.find(i) for i in range(60)] == [want.find(i) for i in range(60)]
+    assert 1 < len({want.find(i) for i in range(60)}) < 60
