@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_rows
+from .common import BROADCAST_BYTES, checkpointed, map_rows
 
 BITS = 64
 #: A shard of more fingerprints than this isn't given to one tree; `linked_by_centres` does it exactly.
@@ -242,8 +242,11 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # differ, give or take 6, and among unlike texts 128, give or take 8. Blocks of bits can't shard a search at such a
 # radius, so shards are texts that have the least of their shingles in common, by one of ANCHORS orders of shingles:
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
-# what the tree finds is checked by sketches, which are whole shingle sets up to SKETCH shingles.
+# what the tree finds is checked by sketches, which are whole shingle sets under SKETCH shingles; pairs of larger sets
+# that the sketches don't rule out are checked on whole sets.
 ANCHORS, SKETCH, FAR_BITS, WORDS, LIKENESS = 4, 512, 58, 5, 0.8
+#: Over five times the standard error of a sketch's likeness at 0.8.
+MARGIN = 0.1
 #: A shard of more members is dealt into parts of about this many, and every two parts are compared.
 SHARD_MOST = 1024
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + ANCHORS)], dtype="<u8")
@@ -271,8 +274,19 @@ def likeness(a: np.ndarray, b: np.ndarray, most: int = SKETCH) -> float:
     return int(np.isin(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True).sum()) / len(union)
 
 
-def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    return min(len(a), len(b)) >= least * max(len(a), len(b)) and likeness(a, b) >= least
+def verdict(a: np.ndarray, b: np.ndarray, least: float) -> tuple[bool, bool] | None:
+    """Whether two sketches' texts are surely alike, and whether the sketches were whole sets; None if surely not alike.
+
+    With sketches of larger sets likeness is an estimate, off by MARGIN or more in about one of 10**8 pairs: one less by
+    MARGIN is rejected, and any other pair is to be checked on whole sets (at over `least` + MARGIN it may be taken as a link
+    for the time being, which spares the search of more links between the same classes).
+    """
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return None
+    like = likeness(a, b)
+    if len(a) < SKETCH and len(b) < SKETCH:
+        return (True, True) if like >= least else None
+    return None if like < least - MARGIN else (like >= least + MARGIN, False)
 
 
 def _narrow(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -303,23 +317,24 @@ class Shard:
     def __init__(self, radius: int, least: float) -> None:
         self.radius, self.least = radius, least
         self.tree, self.at, self.classes = BKTree(), {}, Classes()
-        self.links: list[tuple[int, int]] = []
+        self.links: list[tuple[int, int, bool]] = []
 
     def add(self, key: int, fp: int, sketch: np.ndarray) -> None:
         for near in self.tree.within(fp, self.radius):
             for other, theirs in self.at[near]:
                 if self.classes.find(key) == self.classes.find(other):
                     continue
-                if alike(sketch, theirs, self.least):
-                    self.classes.join(key, other)
-                    self.links.append((max(key, other), min(key, other)))
+                if found := verdict(sketch, theirs, self.least):
+                    if found[0]:
+                        self.classes.join(key, other)
+                    self.links.append((max(key, other), min(key, other), found[1]))
         if fp not in self.at:
             self.tree.add(fp, 0)
         self.at.setdefault(fp, []).append((key, sketch))
 
 
-def crossed_links(left: list[tuple], right: list[tuple], radius: int, least: float) -> list[tuple[int, int]]:
-    """Links that connect what is linked between members (id, fp as bytes, sketch) of `left` and of `right`; every pair is compared.
+def crossed_links(left: list[tuple], right: list[tuple], radius: int, least: float) -> list[tuple[int, int, bool]]:
+    """Links (see `verdict`) that connect what is linked between members (id, fp as bytes, sketch) of `left` and of `right`; every pair is compared.
 
     Fingerprints are compared by counting bits, a row of `right` at a time: at a radius this wide a tree skips nothing.
     """
@@ -330,14 +345,15 @@ def crossed_links(left: list[tuple], right: list[tuple], radius: int, least: flo
     for own, (key, fp, sketch) in enumerate(left):
         close = np.bitwise_count(bits ^ np.frombuffer(fp, dtype="<u8")).sum(1, dtype=np.int64) <= radius
         for k in np.flatnonzero(close).tolist():
-            if name[k] != own and alike(sketch, sketches[k], least):
-                name[name == name[k]] = own
-                links.append((max(key, ids[k]), min(key, ids[k])))
+            if name[k] != own and (found := verdict(sketch, sketches[k], least)):
+                if found[0]:
+                    name[name == name[k]] = own
+                links.append((max(key, ids[k]), min(key, ids[k]), found[1]))
     return links
 
 
 def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
-    """a, b: links between members (id, fp, sketch) of each shard; a task holds one shard at a time.
+    """a, b, whole: links between members (id, fp, sketch) of each shard, those not whole to be checked; a task holds one shard at a time.
 
     Where side is 0, a shard's members are compared with each other, else those of side 1 with those of side 2.
     """
@@ -345,14 +361,15 @@ def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, shard, sides = None, None, ([], [])
 
-        def close() -> list[tuple[int, int]]:
+        def close() -> list[tuple[int, int, bool]]:
             return (shard.links if shard else []) + (crossed_links(*sides, radius, least) if sides[0] and sides[1] else [])
 
-        def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+        def links(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+            columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "whole"])
 
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, int, bool]] = []
             for name, key, fp, side, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if name != at:
                     found += close()
@@ -365,7 +382,41 @@ def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
             yield links(found)
         yield links(close())
 
-    return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "side", "sketch").mapInArrow(run, "a long, b long")
+    return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "side", "sketch").mapInArrow(run, "a long, b long, whole boolean")
+
+
+def _alike_as_a_whole(edges: DataFrame, docs: DataFrame, least: float, key: str, text: str, width: int) -> DataFrame:
+    """Those of `edges` (a, b) whose texts' whole shingle sets have a likeness of `least` or more."""
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
+    ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    n = edges.count()
+    if not n:
+        return edges
+    texts = texts.join(F.broadcast(ids) if 32 * n <= BROADCAST_BYTES else ids, "id", "left_semi")  # so that few texts are shuffled
+    met = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
+
+    def start():
+        last: list = [None, None]  # one text's pairs often follow each other
+
+        def whole(t: bytes | None, keep: bool) -> np.ndarray:
+            if keep and last[0] == t:
+                return last[1]
+            made = np.unique(shingle_hashes(t, width))
+            if keep:
+                last[:] = t, made
+            return made
+
+        def step(columns: list[list]) -> list[list]:
+            kept = []
+            for a, b, left, right in zip(*columns, strict=True):
+                x, y = whole(left, False), whole(right, True)
+                if likeness(x, y, len(x) + len(y) + 1) >= least:
+                    kept.append((a, b))
+            return [[a for a, _ in kept], [b for _, b in kept]]
+
+        return step
+
+    return map_rows(met.select("a", "b", "left", "right"), "a long, b long", start)
 
 
 def _with_sizes(placed: DataFrame) -> DataFrame:
@@ -397,8 +448,10 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
     small = many.filter(F.col("n") <= tree_most).select("id", "fp", "shard", F.lit(0).alias("side"))
     placed = small.unionByName(met.select("id", "fp", pair.alias("shard"), side.alias("side")))
     members = _sketches(docs, key, text, width).withColumnRenamed(key, "id").join(placed, "id")
-    edges = _checked_links(members, radius, least)
-    tops = classes_of(checkpointed(edges.distinct())).withColumnRenamed("fp", "id")
+    found = checkpointed(_checked_links(members, radius, least).distinct())
+    unsure = found.filter("not whole").select("a", "b")
+    edges = found.filter("whole").select("a", "b").unionByName(_alike_as_a_whole(unsure, docs, least, key, text, width))
+    tops = classes_of(edges).withColumnRenamed("fp", "id")
     named = reps.join(tops, "id", "left").select("same", F.coalesce("top", "id").alias("component_id"))
     return rows.join(named, "same").select(key, "component_id")
 

@@ -175,7 +175,7 @@ def test_crossed_parts_compare_every_pair():
         made.append((i, s.wide_simhash(mine), mine))
     left, right = made[:25], made[25:]
     up = s.Classes()
-    for a, b in s.crossed_links(left, right, 128, 0.8):
+    for a, b, _ in s.crossed_links(left, right, 128, 0.8):
         up.join(a, b)
     want = s.Classes()
     for i, _, x in left:
@@ -184,3 +184,21 @@ def test_crossed_parts_compare_every_pair():
                 want.join(i, j)
     assert [up.find(i) for i in range(60)] == [want.find(i) for i in range(60)]
     assert 1 < len({want.find(i) for i in range(60)}) < 60
+
+
+def test_long_texts_are_decided_on_whole_sets(spark):
+    rng = random.Random(31)
+    text = {}
+    for i in range(60):
+        base = [f"u{rng.randrange(10**6)}" for _ in range(1200)]
+        copy = list(base)
+        for k in range(29 - 4 * (i % 2)):  # likeness just under, or just over, 0.8
+            copy[20 + 40 * k] = f"x{k}"
+        text[2 * i], text[2 * i + 1] = " ".join(base), " ".join(copy)
+    sets = {i: shingle_set(t) for i, t in text.items()}
+    likeness = {k: len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, 120, 2)}
+    classes = {r.doc_id: r.component_id for r in s.near_copy_classes(spark.createDataFrame(list(text.items()), "doc_id long, text string")).collect()}
+    joined = {k: classes[k + 1] == k for k in likeness}
+    assert {likeness[k] >= 0.8 for k in likeness} == {True, False} and all(0.77 < x < 0.83 for x in likeness.values())
+    assert not any(joined[k] for k in likeness if likeness[k] < 0.8)
+    assert sum(joined[k] for k in likeness if likeness[k] >= 0.8) >= 29
