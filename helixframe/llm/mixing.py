@@ -1,20 +1,26 @@
 """Mixing sources to target weights: Pfair windows for each source's blocks, earliest deadline first.
 
 The rows are handled with DataFrame and SQL functions only. What is worked out beforehand is the plan: a schedule for
-one cycle of the weights, which depends on the weights and the number of blocks of each source, not on the rows.
+each phase (until a source runs out), which depends on the weights and the number of blocks of each source, not on the rows.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import Counter
+from collections.abc import Iterator
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered
+from .common import BROADCAST_BYTES, numbered
 
-#: Rows of a block, and blocks of a cycle: weights are rounded to whole blocks of CYCLE.
-BLOCK, CYCLE = 16, 1000
+#: Rows of a block, and slots of a phase that are worked out one by one, from the exact weights. In a longer phase, cycles
+#: of this many slots are repeated, in which weights are rounded to whole blocks.
+BLOCK, CYCLE = 16, 1 << 18
+#: Slots in a row of the plan.
+CHUNK = 1000
 
 
 def whole_weights(weights: dict[str, float], cycle: int) -> dict[str, int]:
@@ -55,39 +61,71 @@ def pfair_cycle(blocks: dict[str, int]) -> list[str]:
     return slots
 
 
+def pfair_until_out(weights: dict[str, float], left: dict[str, int]) -> list[str]:
+    """The source of each slot until the first source has run all of its left[s] blocks.
+
+    As in `pfair_cycle`, but windows are of the exact weights: block j of s, with w its part of all weights, is released
+    at floor(j / w) and due by ceil((j + 1) / w). After any t slots a source has had less than one block more or less
+    than t * w.
+    """
+    exact = {s: Fraction(weights[s]) for s in left}
+    every = {s: sum(exact.values()) / w for s, w in exact.items()}  # slots for each block
+    every = {s: (x.numerator, x.denominator) for s, x in every.items()}
+    waiting = [(0, s, 0) for s in sorted(left)]
+    ready: list[tuple[int, str, int]] = []
+    slots: list[str] = []
+    while True:
+        while waiting and waiting[0][0] <= len(slots):
+            _, s, j = heapq.heappop(waiting)
+            up, down = every[s]
+            heapq.heappush(ready, (-(-(j + 1) * up // down), s, j))
+        due, s, j = heapq.heappop(ready)
+        assert len(slots) < due
+        slots.append(s)
+        if j + 1 == left[s]:
+            return slots
+        up, down = every[s]
+        heapq.heappush(waiting, ((j + 1) * up // down, s, j + 1))
+
+
+def _phases(blocks: dict[str, int], weights: dict[str, float], cycle: int) -> Iterator[tuple[list[str], int]]:
+    """(source of each slot of a cycle, cycles) in turn, until every block is placed."""
+    left = {s: n for s, n in blocks.items() if n}
+    while left:
+        total, cycles = sum(Fraction(weights[s]) for s in left), 0
+        if min(n * total / Fraction(weights[s]) for s, n in left.items()) > cycle:
+            share = whole_weights({s: weights[s] for s in left}, cycle)
+            cycles = min(left[s] // share[s] for s in left)
+        slots = pfair_cycle(share) if cycles else pfair_until_out(weights, left)
+        yield slots, cycles or 1
+        ran = Counter(slots)
+        left = {s: n for s, m in left.items() if (n := m - (cycles or 1) * ran[s])}
+
+
 def plan_phases(blocks: dict[str, int], weights: dict[str, float], cycle: int) -> list[tuple[dict[str, int], int]]:
     """(blocks of each source in a cycle, cycles) in turn, until every block is placed.
 
-    While all sources last, whole cycles of the weights run. When a source has less than a cycle's worth left, one
-    cycle runs with what it has left, and the others go on with the weights they have among themselves.
+    Rates change only at the slot where a source runs out: from there the others go on with the weights they have among
+    themselves. A phase of at most `cycle` slots is one cycle of the exact weights; of a longer one, whole cycles of
+    rounded weights run first.
     """
-    left, phases = {s: n for s, n in blocks.items() if n}, []
-    while left:
-        share = whole_weights({s: weights[s] for s in left}, cycle)
-        cycles = min(left[s] // share[s] for s in left)
-        if cycles:
-            phases.append((share, cycles))
-            left = {s: n - cycles * share[s] for s, n in left.items()}
-        last = {s: min(n, share[s]) for s, n in left.items() if n}
-        if last:
-            phases.append((last, 1))
-            left = {s: left[s] - last[s] for s in last}
-        left = {s: n for s, n in left.items() if n}
-    return phases
-
-
-def _plan_rows(blocks: dict[str, int], weights: dict[str, float], cycle: int) -> list[tuple]:
-    """For each source and phase: source, its blocks [start, stop), blocks a cycle, first slot, slots a cycle, its slots in a cycle."""
-    done, first, rows = dict.fromkeys(blocks, 0), 0, []
-    for share, cycles in plan_phases(blocks, weights, cycle):
-        n, own = sum(share.values()), {s: [] for s in share}
-        for at, s in enumerate(pfair_cycle(share)):
-            own[s].append(at)
-        for s, k in share.items():
-            rows.append((s, done[s], done[s] + cycles * k, k, first, n, own[s]))
-            done[s] += cycles * k
-        first += n * cycles
-    return rows
+    return [(dict(Counter(slots)), cycles) for slots, cycles in _phases(blocks, weights, cycle)]
+
+
+def _plan_rows(blocks: dict[str, int], weights: dict[str, float], cycle: int) -> tuple[list[tuple], list[tuple]]:
+    """For each source and phase: source, phase, its blocks [start, stop), blocks a cycle, first slot, slots a cycle.
+    And for each CHUNK of its blocks in a cycle: source, phase, chunk, their slots in the cycle."""
+    done, first, rows, chunks = dict.fromkeys(blocks, 0), 0, [], []
+    for phase, (slots, cycles) in enumerate(_phases(blocks, weights, cycle)):
+        own: dict[str, list[int]] = {}
+        for at, s in enumerate(slots):
+            own.setdefault(s, []).append(at)
+        for s, mine in own.items():
+            rows.append((s, phase, done[s], done[s] + cycles * len(mine), len(mine), first, len(slots)))
+            chunks += [(s, phase, k, mine[k * CHUNK : (k + 1) * CHUNK]) for k in range(-(-len(mine) // CHUNK))]
+            done[s] += cycles * len(mine)
+        first += len(slots) * cycles
+    return rows, chunks
 
 
 def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, block: int = BLOCK, cycle: int = CYCLE, key: str = "doc_id", source: str = "source") -> DataFrame:
@@ -98,8 +136,10 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     distinct and ascend in the mixed order; a source's last block may be short, which leaves a gap. Rows of a source
     are taken by bucket of the key's hash, then by key. A null source is a source like any other, named by None; null
     keys and repeated rows are rows like any other; an empty table gives no rows. A weight that isn't over 0 is an
-    error. One row per source reaches the driver, and the plan, which is broadcast, has at most `cycle` slots (or one
-    per source, if more) in each of at most two phases per source.
+    error. Until the first source runs out, and between any two that do, a source has less than a block more or less than
+    its exact weight's share, in phases of up to `cycle` slots; a longer one repeats cycles of rounded weights, which adds
+    up to a block for each (or more, for weights under 1 / cycle). One row per source reaches the driver; the plan has at
+    most about `cycle` slots in each of at most two phases per source, and is broadcast if it is small.
     """
     if weights and min(weights.values()) <= 0:
         raise ValueError("weights must be over 0")
@@ -107,12 +147,16 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     rows = docs.select(F.col(key), F.col(source), name.alias("_name"))
     counts = {r["_name"]: r["n"] for r in rows.groupBy("_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     weigh = {s: (weights or {}).get(s[1:] if s != "null" else None, n**power) for s, n in counts.items()}
-    made = _plan_rows({s: -(-n // block) for s, n in counts.items()}, weigh, cycle)
-    plan = docs.sparkSession.createDataFrame(made, "_s string, _start long, _stop long, _k long, _first long, _n long, _slots array<int>")
+    made, chunks = _plan_rows({s: -(-n // block) for s, n in counts.items()}, weigh, cycle)
+    plan = docs.sparkSession.createDataFrame(made, "_s string, _phase long, _start long, _stop long, _k long, _first long, _n long")
+    slots = docs.sparkSession.createDataFrame(chunks, "_s2 string, _phase2 long, _chunk long, _slots array<int>")
     put = numbered(rows, "_name", [key], "_seq").withColumn("block", F.floor(F.col("_seq") / block))
     hit = put.join(F.broadcast(plan), (F.col("_name") == F.col("_s")) & (F.col("block") >= F.col("_start")) & (F.col("block") < F.col("_stop")))
     since = F.col("block") - F.col("_start")
-    slot = F.col("_first") + F.floor(since / F.col("_k")) * F.col("_n") + F.get("_slots", (since % F.col("_k")).cast("int"))
+    at = since % F.col("_k")
+    here = (F.col("_name") == F.col("_s2")) & (F.col("_phase") == F.col("_phase2")) & (F.floor(at / CHUNK) == F.col("_chunk"))
+    hit = hit.join(F.broadcast(slots) if 4 * CHUNK * len(chunks) <= BROADCAST_BYTES else slots, here)
+    slot = F.col("_first") + F.floor(since / F.col("_k")) * F.col("_n") + F.get("_slots", (at % CHUNK).cast("int"))
     return hit.withColumn("slot", slot).select(key, source, "block", "slot", (F.col("slot") * block + F.col("_seq") % block).alias("position"))
 
 

@@ -53,3 +53,40 @@ def test_keeps_every_row(docs, odd_docs, no_docs):
     assert mixed.columns == docs.columns and sorted(mixed.collect(), key=str) == sorted(docs.collect(), key=str)
     with pytest.raises(ValueError):
         m.mix_sources(docs, {"a": 0})
+
+
+def furthest(blocks, weights, cycle=m.CYCLE):
+    """The most blocks that any source is from its weight's share, up to the slot where the first source runs out."""
+    seen, total, worst, t = dict.fromkeys(blocks, 0), sum(weights.values()), 0.0, 0
+    rows, chunks = m._plan_rows(blocks, weights, cycle)
+    at = {(s, p): [] for s, p, *_ in rows}
+    for s, p, _, mine in chunks:
+        at[s, p] += mine
+    order = sorted((first + c * n + x, s) for s, p, start, stop, k, first, n in rows for c in range((stop - start) // k) for x in at[s, p])
+    assert [x for x, _ in order] == list(range(sum(blocks.values())))
+    for t, (_, s) in enumerate(order, 1):
+        seen[s] += 1
+        worst = max(worst, *(abs(seen[x] - t * weights[x] / total) for x in blocks))
+        if seen[s] == blocks[s]:
+            return worst
+
+
+def test_never_a_block_off_until_a_source_runs_out():
+    hot = {"hot": 625} | {f"s{i}": 63 for i in range(20)}
+    assert furthest(hot, {s: n**0.5 for s, n in hot.items()}) < 1 + 1e-9
+    assert furthest({"a": 500, "b": 500}, {"a": 0.9, "b": 0.1}) < 1 + 1e-9
+    assert furthest({"a": 40_000, "b": 40_000, "c": 100}, {"a": 1, "b": 1, "c": 0.0014}) < 1 + 1e-9
+    assert furthest({"a": 7, "b": 5, "c": 1}, {"a": 0.31, "b": 0.2, "c": 0.017}) < 1 + 1e-9
+
+
+def test_rows_follow_exact_weights(spark):
+    docs = spark.createDataFrame([(i, "hot" if i < 10_000 else f"s{i % 20}") for i in range(30_000)], "doc_id long, source string")
+    rows = sorted(m.mix_sources(docs).collect(), key=lambda r: r.position)
+    weights = {"hot": 100.0} | {f"s{i}": 1000**0.5 for i in range(20)}
+    assert len({r.position for r in rows}) == 30_000
+    slots, seen = sorted({(r.slot, r.source) for r in rows}), dict.fromkeys(weights, 0)
+    for t, (slot, s) in enumerate(slots, 1):
+        seen[s] += 1
+        assert slot == t - 1 and abs(seen["hot"] - t * 100 / sum(weights.values())) < 1 + 1e-9
+        if seen[s] == (625 if s == "hot" else 63):
+            break
