@@ -141,32 +141,36 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     up to a block for each (or more, for weights under 1 / cycle). One row per source reaches the driver; the plan has at
     most about `cycle` slots in each of at most two phases per source, and is broadcast if it is small.
     """
+    return _placed(docs.select(key, source), weights, power, block, cycle, key, source, [key]).select(key, source, "block", "slot", "position")
+
+
+def _placed(docs: DataFrame, weights: dict[str | None, float] | None, power: float, block: int, cycle: int, key: str, source: str, order: list[str]) -> DataFrame:
+    """`docs` with block, slot and position (see `mix_sources`); rows of a source are taken by bucket of `order`'s hash, then by `order`."""
     if weights and min(weights.values()) <= 0:
         raise ValueError("weights must be over 0")
     name = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))  # tells null from "null"
-    rows = docs.select(F.col(key), F.col(source), name.alias("_name"))
+    rows = docs.select("*", name.alias("_name"))
     counts = {r["_name"]: r["n"] for r in rows.groupBy("_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     weigh = {s: (weights or {}).get(s[1:] if s != "null" else None, n**power) for s, n in counts.items()}
     made, chunks = _plan_rows({s: -(-n // block) for s, n in counts.items()}, weigh, cycle)
     plan = docs.sparkSession.createDataFrame(made, "_s string, _phase long, _start long, _stop long, _k long, _first long, _n long")
     slots = docs.sparkSession.createDataFrame(chunks, "_s2 string, _phase2 long, _chunk long, _slots array<int>")
-    put = numbered(rows, "_name", [key], "_seq").withColumn("block", F.floor(F.col("_seq") / block))
+    put = numbered(rows, "_name", order, "_seq").withColumn("block", F.floor(F.col("_seq") / block))
     hit = put.join(F.broadcast(plan), (F.col("_name") == F.col("_s")) & (F.col("block") >= F.col("_start")) & (F.col("block") < F.col("_stop")))
     since = F.col("block") - F.col("_start")
     at = since % F.col("_k")
     here = (F.col("_name") == F.col("_s2")) & (F.col("_phase") == F.col("_phase2")) & (F.floor(at / CHUNK) == F.col("_chunk"))
     hit = hit.join(F.broadcast(slots) if 4 * CHUNK * len(chunks) <= BROADCAST_BYTES else slots, here)
     slot = F.col("_first") + F.floor(since / F.col("_k")) * F.col("_n") + F.get("_slots", (at % CHUNK).cast("int"))
-    return hit.withColumn("slot", slot).select(key, source, "block", "slot", (F.col("slot") * block + F.col("_seq") % block).alias("position"))
+    return hit.withColumn("slot", slot).withColumn("position", F.col("slot") * block + F.col("_seq") % block)
 
 
-def in_mixed_order(docs: DataFrame, key: str = "doc_id", source: str = "source", **how) -> DataFrame:
+def in_mixed_order(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, block: int = BLOCK, cycle: int = CYCLE, key: str = "doc_id", source: str = "source") -> DataFrame:
     """`docs` with its rows laid out in mixed order: partitions are ranges of positions, sorted within.
 
-    `key` must tell rows apart (null keys and repeated keys would be joined with each other, so they are an error).
+    Rows are carried along, not joined back by key, so keys may be null or repeated; rows of a source are taken by bucket
+    of the hash of the key and the whole row, then by those.
     """
-    at = mix_sources(docs, key=key, source=source, **how).select(F.col(key).alias("_key"), "position")
-    at = at.groupBy("_key").agg(F.min("position").alias("position"), F.count(F.lit(1)).alias("_n"))
-    only = F.when((F.col("_n") > 1) | F.col("_key").isNull(), F.raise_error(F.lit(f"{key} is repeated or null")).cast("long")).otherwise(F.col("position"))
-    joined = docs.join(at.select("_key", only.alias("_position")), docs[key].eqNullSafe(F.col("_key")))
-    return joined.repartitionByRange("_position").sortWithinPartitions("_position").select(*[docs[c] for c in docs.columns])
+    whole = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.xxhash64(*docs.columns).alias("_tie"), F.struct(*docs.columns).alias("_doc"))
+    at = _placed(whole, weights, power, block, cycle, "_key", "_source", ["_key", "_tie"]).select("position", "_doc")
+    return at.repartitionByRange("position").sortWithinPartitions("position").select("_doc.*")

@@ -459,11 +459,21 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """`docs` without the rows whose near copy with a lesser key stays; one row of each class stays, all columns as they are.
 
-    Rows with a null key stay. Of rows with one key, one stays.
+    Where keys are null or repeated, rows get keys of their own, in the order of `key` (nulls last), which are written
+    once with the rows, so that rows are compared by their texts whatever their keys.
     """
-    classes = checkpointed(near_copy_classes(docs, key=key, text=text, **how))
-    drop = classes.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_drop")).distinct()
-    kept = docs.join(drop, docs[key] == F.col("_drop"), "left_anti")
-    if classes.groupBy(key).count().filter("count > 1").isEmpty():
-        return kept
-    return kept.filter(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(kept.filter(F.col(key).isNull()))
+    if docs.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
+        return _without_copies(docs, key, text, **how)
+    own = "_place"
+    while own in docs.columns:
+        own += "_"
+    order = [F.col(key).asc_nulls_last(), F.xxhash64(text).asc()]  # rows with one key can be on many tasks
+    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(own, F.monotonically_increasing_id())
+    return _without_copies(checkpointed(placed), own, text, **how).drop(own)
+
+
+def _without_copies(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
+    """`docs`, whose keys are distinct and not null, without the rows that aren't the least of their class."""
+    classes = near_copy_classes(docs, key=key, text=text, **how)
+    drop = checkpointed(classes.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_drop")))
+    return docs.join(drop, docs[key] == F.col("_drop"), "left_anti")

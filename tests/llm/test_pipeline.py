@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from helixframe.llm import credentials, pieces, quality
 
@@ -21,3 +23,21 @@ def test_stages_over_a_small_table(spark, tmp_path):
     coder = pieces.Coder(pieces.load_vocabulary())
     for i, r in ran.items():
         assert r.decoded == texts[i] and r.ids == coder.encode(texts[i])
+
+
+def test_odd_rows_through_all_stages(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    good = quality.judge_quality(docs).filter("kept").select("doc_id").limit(40).collect()
+    some = docs.filter(docs.doc_id.isin([r.doc_id for r in good]))
+    ids = F.when(F.col("doc_id") % 3 == 0, F.lit(None)).when(F.col("doc_id") % 3 == 1, F.lit(7)).otherwise(F.col("doc_id")).cast("long")
+    odd = some.withColumn("doc_id", ids)
+    odd = odd.unionByName(odd)
+    got = {}
+    for name, now in (("plain", some), ("odd", odd)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            at = str(tmp_path / f"{name}{k}")
+            stage(spark, now, "/root/testdata/sf0.001").write.parquet(at)
+            now = spark.read.parquet(at)
+        got[name] = now.select("doc_id", "decoded").collect()
+    assert len(got["plain"]) > 10 and sum(r.doc_id is None for r in got["odd"]) > 2
+    assert sorted(r.decoded for r in got["odd"]) == sorted(r.decoded for r in got["plain"])
