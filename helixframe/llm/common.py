@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -13,13 +15,24 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 << 20
 
 
+_private: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a private one only where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="helixframe-")
+    """The folder that the cluster names in spark.checkpoint.dir; on one machine (a local master) a private one where none is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if spark.sparkContext.applicationId not in _private:
+        _private[spark.sparkContext.applicationId] = folder = tempfile.mkdtemp(prefix="helixframe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return _private[spark.sparkContext.applicationId]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -50,12 +63,25 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[list[list
     return df.mapInArrow(run, schema)
 
 
+def buckets_for(rows: int) -> int:
+    """How many hash buckets a group of so many rows is numbered in: about 65,536 rows each, 1,024 to 1,048,576 buckets."""
+    return max(1024, min(1 << 20, rows >> 16))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores behind it as make it no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(df: DataFrame, group: str, order: list[str], to: str, buckets: int = 1024) -> DataFrame:
     """`df` with a number in column `to`, gapless from 0 within each `group`, without one task per group.
 
     Rows of a group go to hash buckets of the order columns; rows are numbered within a bucket and each bucket starts
     where those before it end. The numbers follow (bucket, order); rows equal in `order` are numbered in any order.
-    No group may be null. The join needs no shuffle of its own, as the window's is by the same columns.
+    No group may be null. Rows equal in `order` are in one bucket, so `order` should tell most rows apart. The join needs no shuffle of its own, as the window's is by the same columns.
     """
     put = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

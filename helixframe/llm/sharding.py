@@ -7,7 +7,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, text_or_empty
+from .common import buckets_for, numbered, text_or_empty
 
 
 def longest_first(sizes: dict[tuple, int], shards: int) -> dict[tuple, int]:
@@ -33,7 +33,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, bins: int = 16_384, heavy_p
     whole = text_or_empty(text)
     rows = docs.select(F.col(key), (F.octet_length(whole) + 1).cast("long").alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32"), F.xxhash64(whole).alias("_group"))
     groups = rows.groupBy("_group").agg(F.sum("size").alias("_size"))
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     least = total / (shards * heavy_parts)
     # heavy groups are told by -1, other groups by their bin
     item = F.when(F.col("_size") > least, F.struct(F.lit(-1).alias("bin"), F.col("_group").alias("hash"))).otherwise(
@@ -48,6 +48,6 @@ def assign_shards(docs: DataFrame, shards: int = 16, bins: int = 16_384, heavy_p
         .join(F.broadcast(light), F.pmod("_group", F.lit(bins)).cast("int") == F.col("_bin"), "left")
         .select(key, "size", "text_crc32", F.coalesce("_heavy_shard", "_bin_shard").alias("shard"))
     )
-    return numbered(out, "shard", [key, "text_crc32"], "slot").select(
+    return numbered(out, "shard", [key, "text_crc32"], "slot", buckets_for(n // shards)).select(
         key, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )

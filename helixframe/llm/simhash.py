@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, checkpointed, map_rows
+from .common import BROADCAST_BYTES, checkpointed, free_name, map_rows
 
 BITS = 64
 #: A shard of more fingerprints than this isn't given to one tree; `linked_by_centres` does it exactly.
@@ -464,9 +464,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     """
     if docs.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
         return _without_copies(docs, key, text, **how)
-    own = "_place"
-    while own in docs.columns:
-        own += "_"
+    own = free_name(docs, "_place")
     order = [F.col(key).asc_nulls_last(), F.xxhash64(text).asc()]  # rows with one key can be on many tasks
     placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(own, F.monotonically_increasing_id())
     return _without_copies(checkpointed(placed), own, text, **how).drop(own)
@@ -475,5 +473,6 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
 def _without_copies(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
     """`docs`, whose keys are distinct and not null, without the rows that aren't the least of their class."""
     classes = near_copy_classes(docs, key=key, text=text, **how)
-    drop = checkpointed(classes.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_drop")))
-    return docs.join(drop, docs[key] == F.col("_drop"), "left_anti")
+    gone = free_name(docs, "_drop")
+    drop = checkpointed(classes.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias(gone)))
+    return docs.join(drop, F.col(key) == F.col(gone), "left_anti")
