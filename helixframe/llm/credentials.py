@@ -21,8 +21,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # greedy runs, so the same as runs of any length of which the short are dropped
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-#: Strings that the models judge.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Strings that the models judge: runs of these characters, without what base spans cover, of LEAST or more.
+LEAST = 12
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: What a candidate's log-likelihood ratio must be over, and how much more for each character that it has fewer than FULL.
+THRESHOLD, SHORT, FULL = 12.0, 3.0, 16
 
 #: Words that identifiers are made of, for the labelled samples.
 _PARTS = (
@@ -38,10 +41,10 @@ def labelled_samples(n: int = 4000, seed: int = 7) -> list[tuple[str, int]]:
     """n random strings (1) and n identifiers, paths and slugs (0), from a seeded rule."""
     rng = random.Random(seed)
     base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    alphabets = (base62, base62 + "+/", base62 + "_-", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    alphabets = (base62, base62 + "+/", base62 + "_-", base62[:52], base62[26:], "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
     samples = []
     for _ in range(n):
-        samples.append(("".join(rng.choices(rng.choice(alphabets), k=rng.randint(20, 64))), 1))
+        samples.append(("".join(rng.choices(rng.choice(alphabets), k=rng.randint(LEAST, 64))), 1))
         words = [rng.choice(_PARTS) for _ in range(rng.randint(3, 7))]
         if rng.random() < 0.25:
             words[rng.randrange(len(words))] = str(rng.choice((rng.randint(0, 99), rng.randint(1990, 2030))))
@@ -69,8 +72,12 @@ def fit_models(samples: list[tuple[str, int]]) -> dict[tuple[str, str], float]:
 
 
 def score(text: str, ratio: dict[tuple[str, str], float]) -> float:
-    """Mean log-likelihood ratio a character; over 0 speaks for a random string."""
-    return sum(ratio.get(pair, 0.0) for pair in zip(["", *text], text)) / max(1, len(text))  # noqa: B905
+    """Log-likelihood ratio of the whole string; the more over 0, the surer is it random."""
+    return sum(ratio.get(pair, 0.0) for pair in zip(["", *text], text))  # noqa: B905
+
+
+def is_random(text: str, ratio: dict[tuple[str, str], float], threshold: float = THRESHOLD) -> bool:
+    return score(text, ratio) > threshold + SHORT * max(0, FULL - len(text))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -85,13 +92,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def all_spans(text: str, ratio: dict[tuple[str, str], float], threshold: float) -> list[tuple[int, int, int]]:
-    """Base spans, and candidates that the models call random and no base span covers, by start, then kind."""
+    """Base spans, and candidates that the models call random, by start, then kind. Where base spans lie within a run, what is left of it on either side is judged."""
     base = base_spans(text)
-    more = []
+    covered, more, k = sorted(base), [], 0
     for m in _CANDIDATE.finditer(text):
-        s, e = m.span()
-        if not any(a < e and s < b for a, b, _ in base) and any(c.isdigit() for c in m[0]) and score(m[0], ratio) > threshold:
-            more.append((s, e, 3))
+        at, end = m.span()
+        while k < len(covered) and covered[k][1] <= at:
+            k += 1
+        j = k
+        while at < end:  # covered[j] is the next base span that ends after `at`
+            while j < len(covered) and covered[j][1] <= at:
+                j += 1
+            to = min(end, max(at, covered[j][0])) if j < len(covered) else end
+            if to - at >= LEAST and is_random(text[at:to], ratio, threshold):
+                more.append((at, to, 3))
+            at = covered[j][1] if j < len(covered) else end
     return sorted(base + more, key=lambda x: (x[0], x[2]))
 
 
@@ -99,12 +114,14 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in spans)
 
 
-def scan_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key` (a long), n_assign, n_access, n_hex, n_random, base_sha256 and spans of every row.
 
-    Spans are kind:start:end in code points, end exclusive, by start and then kind. A null text is empty; an empty text
-    has no spans; repeated rows are each scanned; an empty table gives none. The models are fitted to `samples`
-    (labelled_samples() if None); a candidate's mean log-likelihood ratio must be over `threshold`.
+    Spans are kind:start:end in code points, end exclusive, by start and then kind; base spans that begin together are
+    listed as they are in KINDS. A null text is empty; an empty text has no spans; very long ones are scanned whole, in
+    linear time; repeated rows are each scanned; an empty table gives none. The models are fitted to `samples`
+    (labelled_samples() if None). Strings of under LEAST characters aren't judged: words are as short. The
+    log-likelihood ratio of any other must be over `threshold`, and by SHORT more for each character under FULL.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit_models(samples or labelled_samples()))
 
@@ -126,8 +143,11 @@ def scan_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None,
     return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("string")), f"`{key}` long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string", start)
 
 
-def redact_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None, threshold: float = 0.5, mark: str = "[secret]", text: str = "text", chars: str = "n_chars") -> DataFrame:
-    """`docs` with every span of its text (overlapping spans as one) replaced by `mark`, and `chars`, if there, as long as the new text. Null texts stay null."""
+def redact_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None, threshold: float = THRESHOLD, mark: str = "[secret]", text: str = "text", chars: str = "n_chars") -> DataFrame:
+    """`docs` with every span of its text (overlapping spans as one) replaced by `mark`, and `chars`, if there, as long as the new text.
+
+    Null texts stay null, other columns are as they are, whatever they are called; repeated rows are each done; an empty table gives none.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit_models(samples or labelled_samples()))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at, count = docs.columns.index(text), docs.columns.index(chars) if chars in docs.columns else None

@@ -120,7 +120,7 @@ class Coder:
         whole = (v.check[leaf] == np.arange(len(v.base))) & (leaf > 0)
         self.ends = [v.scores[-v.base[b] - 1] if w else None for w, b in zip(whole.tolist(), leaf.tolist(), strict=True)]
         self.singles = {k for k in v.keys if len(k.decode()) == 1}
-        self.byte_ids = v.byte_ids
+        self.byte_ids, self.longest = v.byte_ids, max(map(len, v.keys), default=0)
         # no piece has a mark behind another character, or (mostly) a line end, so that texts can be cut there
         self.segments = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+" if v.line_ends else f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n").findall
         self.known: dict[str, list[int]] = {}
@@ -135,7 +135,7 @@ class Coder:
 
     def viterbi(self, segment: bytes) -> list[int]:
         """Ids of the best path; of equal ones, that whose last pieces begin first. Characters without a piece give their bytes."""
-        base, check, ends = self.base, self.check, self.ends
+        base, check, ends, longest = self.base, self.check, self.ends, self.longest
         n = len(segment)
         best = [_NEVER] * (n + 1)
         came_from, came_by = [0] * (n + 1), [-1] * (n + 1)  # start of the last piece, its number or -1
@@ -145,7 +145,7 @@ class Coder:
             if so_far == _NEVER:  # within a character, or not reached
                 continue
             state, to = 0, at
-            for byte in segment[at:]:
+            for byte in segment[at : at + longest]:
                 child = base[state] + byte
                 if check[child] != state:
                     break
@@ -204,8 +204,9 @@ class Coder:
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """The columns `keep`, ids, n_ids, n_byte_ids and decoded (the text that the ids give) of every row.
 
-    A null text has null ids and decoded, and counts of 0; an empty text has no ids. Any other text decodes to itself.
-    Repeated rows are each encoded; an empty table gives none.
+    A null text has null ids and decoded, and counts of 0; an empty text has no ids. Any other text decodes to itself,
+    very long ones without a space included, in time that is linear in their length. Of equally good codings that whose
+    last pieces begin first is taken. Repeated rows are each encoded; an empty table gives none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
 

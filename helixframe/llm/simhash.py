@@ -1,13 +1,15 @@
 """SimHash near-dedup: fingerprints, shards, BK-trees over each shard, and connected classes.
 
-Two fingerprints within `radius` differing bits agree on at least one of radius + 1 blocks of bits. A shard is the
-fingerprints that agree on one block; a BK-tree over a shard finds every link in it. Trees are built where their shard
-is, which the shuffle decides: all shards' trees together grow with the corpus, so that they are not broadcast.
+Two fingerprints within `radius` differing bits agree on at least KEPT of radius + KEPT blocks of bits. A shard is the
+fingerprints that agree on one choice of KEPT blocks; a BK-tree over a shard finds every link in it. Trees are built
+where their shard is, which the shuffle decides: all shards' trees together grow with the corpus, so that they are not
+broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_BYTES, checkpointed, free_name, map_rows
 
 BITS = 64
+#: Blocks that a shard's fingerprints agree on: with a radius of 2, 3 of 5, which are 37 to 39 bits, so that 50 billion
+#: fingerprints spread over 10 times as many shards.
+KEPT = 3
 #: A shard of more fingerprints than this isn't given to one tree; `linked_by_centres` does it exactly.
 TREE_MOST = 4096
 
@@ -126,10 +131,11 @@ def shard_links(members: list[int], radius: int) -> list[tuple[int, int]]:
     return [(fp, top) for fp in members if (top := classes.find(fp)) != fp]
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    """(first bit, mask) of radius + 1 blocks that make up the 64 bits."""
-    edges = [round(k * BITS / (radius + 1)) for k in range(radius + 2)]
-    return [(a, (1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+def shard_masks(radius: int) -> list[int]:
+    """The bits that a shard's fingerprints agree on, for each choice of KEPT of radius + KEPT blocks that make up the 64 bits."""
+    edges = [round(k * BITS / (radius + KEPT)) for k in range(radius + KEPT + 1)]
+    blocks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(blocks, KEPT)]
 
 
 def linked_by_trees(shards: DataFrame, radius: int) -> DataFrame:
@@ -187,9 +193,10 @@ def links(fps: DataFrame, radius: int, tree_most: int = TREE_MOST) -> DataFrame:
         if radius == 0:
             return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter("false")
         raise ValueError("radius must be 0, 1 or 2: shards over the limit are linked exactly for these only")
-    shard = F.array(*[F.xxhash64(F.lit(k), F.shiftrightunsigned("fp", first).bitwiseAND(F.lit(mask))) for k, (first, mask) in enumerate(_blocks(radius))])
+    signed = [m - (1 << 64) if m >> 63 else m for m in shard_masks(radius)]
+    shard = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m))) for k, m in enumerate(signed)])
     placed = fps.select("fp", F.explode(shard).alias("shard"))
-    # two blocks' shards could have one hash; then they are one shard, which adds no link and loses none
+    # two choices' shards could have one hash; then they are one shard, which adds no link and loses none
     both = _with_sizes(placed)
     small = both.filter(F.col("n") <= tree_most)
     large = both.filter(F.col("n") > tree_most).select("fp").distinct()

@@ -1,6 +1,8 @@
 import random
 import re
 
+import duckdb
+
 from helixframe.llm import credentials as c
 
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -23,12 +25,40 @@ def test_base_spans_against_the_plain_patterns():
 
 def test_held_out_accuracy():
     ratio = c.fit_models(c.labelled_samples(seed=7))
-    held = c.labelled_samples(n=1500, seed=1234)
-    right = sum((c.score(t, ratio) > 0.5) == bool(y) for t, y in held)
-    wrong = sum(c.score(t, ratio) > 0.5 for t, y in held if not y)
+    held = [x for x in c.labelled_samples(n=1500, seed=1234) if len(x[0]) >= c.FULL]
+    right = sum(c.is_random(t, ratio) == bool(y) for t, y in held)
+    wrong = sum(c.is_random(t, ratio) for t, y in held if not y)
     assert right >= 0.97 * len(held) and wrong <= 0.01 * len(held)
 
 
+def test_strings_planted_in_documents_are_found_and_nothing_else():
+    rng, ratio = random.Random(31), c.fit_models(c.labelled_samples())
+    texts = [t for (t,) in duckdb.connect().execute("SELECT text FROM read_parquet('/root/testdata/sf0.01/documents.parquet') WHERE text IS NOT NULL ORDER BY doc_id").fetchall()]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    found, planted, wrong = 0, 0, 0
+    for t in texts:
+        own = {x for x in c.all_spans(t, ratio, c.THRESHOLD) if x[2] == 3}
+        wrong += len(own)
+        words = t.split(" ")
+        at = rng.randrange(len(words) + 1)
+        new = "".join(rng.choices(rng.choice((letters, letters + "0123456789", letters + "0123456789+/")), k=rng.randint(16, 40)))
+        changed = " ".join([*words[:at], new, *words[at:]])
+        start = len(" ".join(words[:at])) + (at > 0)
+        planted += 1
+        found += any(s < start + len(new) and start < e for s, e, _ in c.all_spans(changed, ratio, c.THRESHOLD))
+    assert found >= 0.98 * planted and wrong <= 0.001 * len(texts)
+
+
+def test_what_surrounds_base_spans_is_judged():
+    ratio, key = c.fit_models(c.labelled_samples()), "Zx9Kq2LmP0vB7nT4rY8w"
+    text = f"{key}{'0a1b' * 8}G{key} a {key}{'0a1b' * 8}"
+    assert c.all_spans(text, ratio, c.THRESHOLD) == [(0, 20, 3), (20, 52, 2), (52, 73, 3), (76, 96, 3), (96, 128, 2)]
+    one = "Qk8ZpX7vR2mN9tB4wL1c"
+    assert c.all_spans(f"token={key} {one}", ratio, c.THRESHOLD) == [(0, 26, 0), (27, 47, 3)]
+    long = "a1" * 200_000 + " " + "Ab" * 200_000
+    assert c.all_spans(long, ratio, c.THRESHOLD)[0] == (0, 400_000, 2)
+
+
 def test_rows(docs, odd_docs, no_docs, spark):
     assert c.scan_secrets(odd_docs).count() == odd_docs.count() and c.scan_secrets(no_docs).count() == 0
     extra = spark.createDataFrame([(1, 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'), (2, "key Zx9Kq2LmP0vB7nT4rY8wJ5 ok internationalization_of_everything"), (3, None), (4, "")], "doc_id long, text string")
