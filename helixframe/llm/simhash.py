@@ -249,13 +249,15 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # differ, give or take 6, and among unlike texts 128, give or take 8. Blocks of bits can't shard a search at such a
 # radius, so shards are texts that have the least of their shingles in common, by one of ANCHORS orders of shingles:
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
-# what the tree finds is checked by sketches, which are whole shingle sets under SKETCH shingles; pairs of larger sets
-# that the sketches don't rule out are checked on whole sets.
-ANCHORS, SKETCH, FAR_BITS, WORDS, LIKENESS = 4, 512, 58, 5, 0.8
+# what the tree finds is checked by sketches, which are whole shingle sets (as 32-bit hashes) under SKETCH shingles;
+# pairs of larger sets that the sketches don't rule out are checked on whole sets.
+ANCHORS, SKETCH, FAR_BITS, WORDS, LIKENESS = 4, 1024, 58, 5, 0.8
 #: Over five times the standard error of a sketch's likeness at 0.8.
-MARGIN = 0.1
-#: A shard of more members is dealt into parts of about this many, and every two parts are compared.
-SHARD_MOST = 1024
+MARGIN = 0.07
+#: A shard of more members is dealt into parts of about so many (an eighth of it, between the two), and every two parts are compared.
+SHARD_MOST, PART_MOST = 512, 8192
+#: Members that are compared at once, and shards for which it pays.
+TILE, FEW = 1024, 32
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + ANCHORS)], dtype="<u8")
 
 
@@ -312,50 +314,127 @@ def _narrow(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
 
 def _sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     def start():
-        sketch = lambda t: np.unique(_mixed(shingle_hashes(t, width), 0))[:SKETCH].astype("<u8").tobytes()
+        sketch = lambda t: np.unique((_mixed(shingle_hashes(t, width), 0) >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
         return lambda columns: [columns[0], [sketch(t) for t in columns[1]]]
 
     return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), f"`{key}` long, sketch binary", start)
 
 
-class Shard:
-    """Members of one shard: a BK-tree of their fingerprints, their sketches, and the classes that the checked links make."""
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of `left` has in common with each of `right`, as a matrix.
 
-    def __init__(self, radius: int, least: float) -> None:
-        self.radius, self.least = radius, least
-        self.tree, self.at, self.classes = BKTree(), {}, Classes()
-        self.links: list[tuple[int, int, bool]] = []
-
-    def add(self, key: int, fp: int, sketch: np.ndarray) -> None:
-        for near in self.tree.within(fp, self.radius):
-            for other, theirs in self.at[near]:
-                if self.classes.find(key) == self.classes.find(other):
+    Hashes that many sets have are columns of two matrices that are multiplied; pairs that meet in others are counted one by one.
+    """
+    n, m = len(left), len(right)
+    out = np.zeros((n, m), dtype=np.float32)
+    sides = []
+    for sets in (left, right):
+        hashes = np.concatenate(sets) if sets else np.zeros(0, dtype="<u4")
+        sides.append((hashes, np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+    both = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    if not len(both):
+        return out
+    met = []
+    for hashes, rows in sides:
+        at = np.minimum(np.searchsorted(both, hashes), len(both) - 1)
+        kept = both[at] == hashes
+        order = np.argsort(at[kept], kind="stable")
+        column, row = at[kept][order], rows[kept][order]
+        met.append((column, row, np.bincount(column, minlength=len(both))))
+    (lc, lr, ln), (rc, rr, rn) = met
+    dense = ln * rn > max(1, n * m // 150)
+    columns = np.flatnonzero(dense)
+    for k in range(0, len(columns), 4096):
+        some = np.full(len(both), -1)
+        some[columns[k : k + 4096]] = np.arange(len(columns[k : k + 4096]))
+        tall = []
+        for c, r, size in ((lc, lr, n), (rc, rr, m)):
+            own = some[c] >= 0
+            matrix = np.zeros((size, min(4096, len(columns) - k)), dtype=np.float32)
+            matrix[r[own], some[c[own]]] = 1
+            tall.append(matrix)
+        out += tall[0] @ tall[1].T
+    rare = ~dense[lc]
+    times, starts = rn[lc[rare]], np.concatenate([[0], np.cumsum(rn)])[lc[rare]]
+    which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(starts, times)
+    out += np.bincount(np.repeat(lr[rare], times) * m + rr[which], minlength=n * m).reshape(n, m)
+    return out
+
+
+def alike(left: list[np.ndarray], right: list[np.ndarray], least: float) -> np.ndarray:
+    """Whether each whole set of `left` and each of `right` have a likeness of `least` or more; empty ones are alike."""
+    common = common_counts(left, right)
+    union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - common
+    return np.where(union == 0, True, common >= least * union - 1e-3)  # counts are whole, and least * union isn't off by as much
+
+
+Member = tuple[int, bytes, np.ndarray]  # key, fingerprint, sketch
+Link = tuple[int, int, bool]  # greater key, lesser key, whether that is sure
+
+
+def own_links(members: list[Member], radius: int, least: float) -> list[Link]:
+    """Links (see `verdict`) that connect what is linked among a shard's members, found with a BK-tree of their fingerprints."""
+    tree, at, classes, links = BKTree(), {}, Classes(), []
+    whole = [k for k, m in enumerate(members) if len(m[2]) < SKETCH] if len(members) > FEW else []
+    place = dict(zip(whole, range(len(whole)), strict=True))
+    sure = alike([members[k][2] for k in whole], [members[k][2] for k in whole], least) if whole else None
+    for k, (key, bits, sketch) in enumerate(members):
+        fp = int.from_bytes(bits, "little")
+        for near in tree.within(fp, radius):
+            for o in at[near]:
+                if classes.find(k) == classes.find(o):
                     continue
-                if found := verdict(sketch, theirs, self.least):
+                if k in place and o in place:
+                    found = (True, True) if sure[place[k], place[o]] else None
+                else:
+                    found = verdict(sketch, members[o][2], least)
+                if found:
                     if found[0]:
-                        self.classes.join(key, other)
-                    self.links.append((max(key, other), min(key, other), found[1]))
-        if fp not in self.at:
-            self.tree.add(fp, 0)
-        self.at.setdefault(fp, []).append((key, sketch))
+                        classes.join(k, o)
+                    links.append((max(key, members[o][0]), min(key, members[o][0]), found[1]))
+        if fp not in at:
+            tree.add(fp, 0)
+        at.setdefault(fp, []).append(k)
+    return links
 
 
-def crossed_links(left: list[tuple], right: list[tuple], radius: int, least: float) -> list[tuple[int, int, bool]]:
-    """Links (see `verdict`) that connect what is linked between members (id, fp as bytes, sketch) of `left` and of `right`; every pair is compared.
+def crossed_links(left: list[Member], right: list[Member], radius: int, least: float) -> list[Link]:
+    """Links (see `verdict`) that connect what is linked between members of `left` and of `right`; every pair is compared, TILE by TILE.
 
-    Fingerprints are compared by counting bits, a row of `right` at a time: at a radius this wide a tree skips nothing.
+    Fingerprints are compared by counting bits: at a radius this wide a tree skips nothing.
     """
-    ids, sketches = [m[0] for m in right], [m[2] for m in right]
-    bits = np.frombuffer(b"".join(m[1] for m in right), dtype="<u8").reshape(len(right), -1)
-    name = np.arange(len(left), len(left) + len(right))  # of the class of each of `right`; a left member starts with its own
-    links = []
-    for own, (key, fp, sketch) in enumerate(left):
-        close = np.bitwise_count(bits ^ np.frombuffer(fp, dtype="<u8")).sum(1, dtype=np.int64) <= radius
-        for k in np.flatnonzero(close).tolist():
-            if name[k] != own and (found := verdict(sketch, sketches[k], least)):
-                if found[0]:
-                    name[name == name[k]] = own
-                links.append((max(key, ids[k]), min(key, ids[k]), found[1]))
+    own, other = (np.array([m[0] for m in side], dtype=np.int64) for side in (left, right))
+    words = [np.frombuffer(b"".join(m[1] for m in side), dtype="<u8").reshape(len(side), -1) for side in (left, right)]
+    name = [np.arange(len(left)), np.arange(len(left), len(left) + len(right))]  # of each member's class
+    links: list[Link] = []
+
+    def link(i: int, j: int, found: tuple[bool, bool]) -> None:
+        if found[0]:
+            gone = name[1][j]
+            for side in name:
+                side[side == gone] = name[0][i]
+        links.append((int(max(own[i], other[j])), int(min(own[i], other[j])), found[1]))
+
+    for a in range(0, len(left), TILE):
+        for b in range(0, len(right), TILE):
+            rows, columns = left[a : a + TILE], right[b : b + TILE]
+            close = np.zeros((len(rows), len(columns)), dtype=np.uint16)
+            for w in range(words[0].shape[1]):
+                close += np.bitwise_count(words[0][a : a + TILE, None, w] ^ words[1][None, b : b + TILE, w])
+            close = close <= radius
+            short = [np.array([len(m[2]) < SKETCH for m in side], dtype=bool) for side in (rows, columns)]
+            x, y = (np.flatnonzero(k) for k in short)
+            if len(x) and len(y):
+                sure = alike([rows[k][2] for k in x], [columns[k][2] for k in y], least) & close[np.ix_(x, y)]
+                for k in np.flatnonzero(sure.any(axis=1)):
+                    i = a + x[k]
+                    near = b + y[np.flatnonzero(sure[k])]
+                    near = near[name[1][near] != name[0][i]]
+                    for j in near[np.unique(name[1][near], return_index=True)[1]]:  # one of each class
+                        link(i, j, (True, True))
+            for k, o in zip(*np.nonzero(close & ~(short[0][:, None] & short[1][None, :])), strict=True):
+                if name[0][a + k] != name[1][b + o] and (found := verdict(rows[k][2], columns[o][2], least)):
+                    link(a + k, b + o, found)
     return links
 
 
@@ -366,26 +445,22 @@ def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, shard, sides = None, None, ([], [])
+        at, sides = None, ([], [], [])
 
-        def close() -> list[tuple[int, int, bool]]:
-            return (shard.links if shard else []) + (crossed_links(*sides, radius, least) if sides[0] and sides[1] else [])
+        def close() -> list[Link]:
+            return own_links(sides[0], radius, least) + (crossed_links(*sides[1:], radius, least) if sides[1] and sides[2] else [])
 
-        def links(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        def links(found: list[Link]) -> pa.RecordBatch:
             columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
             return pa.RecordBatch.from_arrays(columns, names=["a", "b", "whole"])
 
         for batch in batches:
-            found: list[tuple[int, int, bool]] = []
+            found: list[Link] = []
             for name, key, fp, side, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if name != at:
                     found += close()
-                    at, shard, sides = name, Shard(radius, least), ([], [])
-                sketch = np.frombuffer(sketch, dtype="<u8")
-                if side:
-                    sides[side - 1].append((key, fp, sketch))
-                else:
-                    shard.add(key, int.from_bytes(fp, "little"), sketch)
+                    at, sides = name, ([], [], [])
+                sides[side].append((key, fp, np.frombuffer(sketch, dtype="<u4")))
             yield links(found)
         yield links(close())
 
@@ -438,16 +513,18 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
 
     Near copies are texts whose sets of `width`-word shingles (words at ASCII spaces, A-Z lower-cased; fewer words make
     one shingle) have a likeness of `least` or more; texts without words are copies of each other. Equal sets are taken
-    together before anything is searched. A shard of more than tree_most members is dealt into parts of about tree_most
-    by hash; each part, and each pair of parts, is a task's work, so that every two members of a shard are compared,
-    whatever its size (n members make about n * n / tree_most rows). Keys must tell rows apart; rows with a null key have no copies. An empty table gives none.
+    together before anything is searched. A shard of more than tree_most members is dealt by hash into parts of about an
+    eighth of it (tree_most to PART_MOST); each part, and each pair of parts, is a task's work, so that every two members
+    of a shard are compared, whatever its size (n members make 8 n rows, or n * n / PART_MOST if that is more). Keys must
+    tell rows apart; rows with a null key have no copies. An empty table gives none.
     """
     rows = checkpointed(_narrow(docs, key, text, width).filter(F.col(key).isNotNull()))
     same = rows.groupBy("same").agg(F.min(key).alias("id"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors"))
     reps = checkpointed(same)
     one = reps.select("id", "fp", F.posexplode("anchors").alias("k", "anchor")).select("id", "fp", F.xxhash64("k", "anchor").alias("shard"))
     many = _with_sizes(one)
-    parts = F.ceil(F.col("n") / tree_most).cast("int")
+    part = F.least(F.lit(max(PART_MOST, tree_most)), F.greatest(F.lit(tree_most), F.ceil(F.col("n") / 8)))
+    parts = F.ceil(F.col("n") / part).cast("int")
     large = many.filter(F.col("n") > tree_most).select("id", "fp", "shard", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
     met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # each part with itself and every other
     pair = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))

@@ -88,7 +88,7 @@ def test_near_copies_of_a_planted_corpus(spark):
                 copy[rng.randrange(len(copy))] = "changed"
             text[10 * i + k], source[10 * i + k] = " ".join(copy), 10 * i
     docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(6)
-    for most in (4096, 12):
+    for most in (512, 12):
         classes = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=most).collect()}
         sure = [k for k, o in source.items() if len(shingle_set(text[k]) & shingle_set(text[o])) >= 0.8 * len(shingle_set(text[k]) | shingle_set(text[o]))]
         assert len(sure) > 100 and sum(classes[k] // 10 == k // 10 and classes[k] != k for k in sure) >= 0.97 * len(sure)
@@ -106,7 +106,7 @@ def test_one_large_group_of_near_copies(spark):
         copy[rng.randrange(300)] = f"new{i}"
         rows.append((i, " ".join(copy)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    for most in (4096, 60):
+    for most in (512, 60):
         classes = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=most).collect()}
         assert set(classes.values()) == {0} and len(classes) == 400
 
@@ -125,7 +125,7 @@ def test_near_copy_stage_keeps_columns_and_odd_rows(docs, odd_docs, no_docs):
 def test_likeness_is_exact_for_small_sets():
     a, b = np.arange(100, dtype="<u8"), np.arange(20, 120, dtype="<u8")
     assert s.likeness(a, b) == 80 / 120 and s.likeness(a[:0], b[:0]) == 1.0 and s.likeness(a, b[:0]) == 0.0
-    big, other = np.arange(5000, dtype="<u8")[:512], np.arange(5000, dtype="<u8")[:512]
+    big, other = np.arange(5000, dtype="<u8")[: s.SKETCH], np.arange(5000, dtype="<u8")[: s.SKETCH]
     assert s.likeness(big, other) == 1.0
 
 
@@ -161,18 +161,45 @@ def test_pairs_in_a_crowd_over_the_limit(spark):
     docs = spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(4)
     sets = {i: shingle_set(t) for i, t in text.items()}
     assert all(len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1]) for k in range(0, 1200, 2))
-    whole = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=4096).collect()}
+    whole = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=8192).collect()}
     dealt = {r.doc_id: r.component_id for r in s.near_copy_classes(docs, tree_most=40).collect()}
     assert dealt == whole and sum(dealt[k + 1] == k for k in range(0, 1200, 2)) >= 590
 
 
+def test_a_crowd_that_shares_most_of_its_text_loses_no_pair(spark):
+    """At default settings: texts of 200 words of which all share 165, so that unlike ones have a likeness of about 0.7."""
+    rng = random.Random(17)
+    template, text = [f"t{rng.randrange(10**6)}" for _ in range(165)], {}
+    for i in range(2500):
+        own = [f"u{rng.randrange(10**6)}" for _ in range(35)]
+        text[2 * i] = " ".join(template + own)
+        own[20] = f"x{i}"
+        text[2 * i + 1] = " ".join(template + own)
+    sets = {i: shingle_set(text[i]) for i in range(0, 40)}
+    assert all(len(sets[k] & sets[k + 1]) >= 0.9 * len(sets[k] | sets[k + 1]) for k in range(0, 40, 2))
+    assert all(0.6 < len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.75 for a in range(0, 40, 2) for b in range(a + 2, 40, 2))
+    classes = {r.doc_id: r.component_id for r in s.near_copy_classes(spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(4)).collect()}
+    assert len(classes) == 5000 and all(classes[k] == classes[k + 1] == k for k in range(0, 5000, 2))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_common_counts_of_sets(seed):
+    rng = np.random.default_rng(seed)
+    template = rng.integers(0, 1 << 32, 50 * seed).astype("<u4")
+    make = lambda n: [np.unique(np.concatenate([rng.choice(template, len(template) // 2) if len(template) else template, rng.integers(0, 400, rng.integers(0, 30)).astype("<u4")])) for _ in range(n)]
+    left, right = make(40), make(25)
+    assert (s.common_counts(left, right) == [[len(np.intersect1d(x, y)) for y in right] for x in left]).all()
+    assert (s.alike(left, right, 0.8) == [[s.likeness(x, y) >= 0.8 for y in right] for x in left]).all()
+    assert s.alike(left[:1], [left[0][:0]], 0.8).tolist() == [[len(left[0]) == 0]] and s.common_counts([], right).shape == (0, 25)
+
+
 def test_crossed_parts_compare_every_pair():
     rng = np.random.default_rng(2)
-    bases = [rng.integers(0, 1 << 62, 60).astype("<u8") for _ in range(6)]
+    bases = [rng.integers(0, 1 << 32, 60).astype("<u4") for _ in range(6)]
     made = []
     for i in range(60):
-        mine = np.unique(np.concatenate([bases[i % 6][4:], rng.integers(0, 1 << 62, 4).astype("<u8")]))
-        made.append((i, s.wide_simhash(mine), mine))
+        mine = np.unique(np.concatenate([bases[i % 6][4:], rng.integers(0, 1 << 32, 4).astype("<u4")]))
+        made.append((i, s.wide_simhash(mine.astype("<u8")), mine))
     left, right = made[:25], made[25:]
     up = s.Classes()
     for a, b, _ in s.crossed_links(left, right, 128, 0.8):
