@@ -29,23 +29,30 @@ def both_strands(rows: DataFrame, revcomp_minus: bool = False) -> DataFrame:
     return twice.withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq"))) if revcomp_minus else twice
 
 
-def pair_counts(genome: DataFrame) -> DataFrame:
+def pair_counts(genome: DataFrame, length: int = 1 << 14) -> DataFrame:
     """motif and n of all adjacent pairs without N, upper case, each counted for itself and for its reverse complement.
 
-    Sequences of A, C, G, T and N are counted without a row for each base: a pair of unlike letters can't overlap
-    itself, so what goes when it is removed tells how many there are; of like letters there is one fewer than letters
-    in each run. Sequences with other letters are taken apart pair by pair. Either way one partial sum a task leaves it.
+    Sequences are cut into pieces that are dealt to all tasks, with the letter that follows, so that a long contig is no
+    task's own work. In a piece, pairs of unlike letters can't overlap themselves, so what goes when they are removed
+    tells how many there are; a letter's pairs with itself are the rest of the pairs that it begins. Only pairs with
+    letters beyond A, C, G, T and N are taken out one by one. One partial sum a task leaves it.
     """
-    upper, s = genome.select(F.upper("seq").alias("seq")), F.col("seq")
-    count = lambda c, x: F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))
+    cut = pieces(genome.select("chrom", "seq"), length, 1).filter(F.length("piece") > 1).repartition("chrom", "tile").select(F.upper("piece").alias("_s"))
+    odd = F.col("_s").rlike("[^ACGTN]")
+    rows = cut.select("_s", odd.alias("_odd"), F.when(odd, F.regexp_replace("_s", "[^ACGT]", "N")).otherwise(F.col("_s")).alias("s"))
+    s, head = F.col("s"), F.substring("s", F.lit(1), F.length("s") - 1)
+    count = lambda c, x: F.octet_length(c) - F.octet_length(F.replace(c, F.lit(x), F.lit("")))
+    rows = rows.select("_s", "_odd", *[F.floor(count(s, x + y) / 2).alias(x + y) for x in "ACGT" for y in "ACGTN" if x != y], *[count(head, x).alias(x) for x in "ACGT"])
+    one = lambda pair, n: F.struct(F.lit(pair).alias("pair"), n.cast("bigint").alias("n"))
     each = []
-    for a in "ACGT":
-        for b in "ACGT":
-            n = count(s, a) - count(F.regexp_replace(s, f"{a}+", a), a) if a == b else F.floor(count(s, a + b) / 2)
-            each.append(F.struct(F.lit(a + b).alias("pair"), n.cast("bigint").alias("n")))
-    one = lambda i: F.struct(F.substring(s, i, F.lit(2)).alias("pair"), F.lit(1).cast("bigint").alias("n"))
-    found = F.when(F.length(s) < 2, F.array().cast("array<struct<pair:string,n:bigint>>")).when(s.rlike("^[ACGTN]*$"), F.array(*each)).otherwise(F.transform(F.sequence(F.lit(1), F.length(s) - 1), one))
-    pairs = upper.select(F.explode(found).alias("x")).select("x.pair", "x.n").filter((F.col("n") > 0) & ~F.contains("pair", F.lit("N"))).groupBy("pair").agg(F.sum("n").alias("n"))
+    for x in "ACGT":
+        others = [F.col(x + y) for y in "ACGTN" if y != x]
+        each += [one(x + y, F.col(x + y)) for y in "ACGT" if y != x] + [one(x + x, F.col(x) - others[0] - others[1] - others[2] - others[3])]
+    letters = F.split("_s", "")
+    beside = F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.size(letters) - 1), lambda x, y: F.concat(x, y))
+    rare = F.transform(F.filter(beside, lambda p: p.rlike("[^ACGTN]")), lambda p: F.struct(p.alias("pair"), F.lit(1).cast("bigint").alias("n")))
+    found = F.when(F.col("_odd"), F.concat(F.array(*each), rare)).otherwise(F.array(*each))
+    pairs = rows.select(F.explode(found).alias("x")).select("x.pair", "x.n").filter((F.col("n") > 0) & ~F.contains("pair", F.lit("N"))).groupBy("pair").agg(F.sum("n").alias("n"))
     return pairs.select(F.explode(F.array("pair", reverse_complement(F.col("pair")))).alias("motif"), "n").groupBy("motif").agg(F.sum("n").alias("n"))
 
 

@@ -27,12 +27,18 @@ def _islands(rows: DataFrame, by: list[str], touch: bool) -> DataFrame:
 def merge(rows: DataFrame, by: tuple[str, ...] = ("chrom", "strand"), touch: bool = False, bin_width: int = 1 << 20) -> DataFrame:
     """Bounds of each set of intervals that overlap, by `by`; with `touch`, those that only meet are merged too.
 
-    Intervals are first merged within bins of their start, many tasks to a chrom, so that the pass along the whole
-    chrom sees few rows. Joining unions gives what joining the intervals would.
+    Intervals are merged within bins of their start, many tasks to a chrom. What passes from bin to bin is how far the
+    bins before reach, and where the last union that they begin starts: one row a bin, and the only thing that is put in
+    order along a whole chrom. A bin's unions that begin before that reach belong to that last union.
     """
-    rows = rows.select(*by, "start", "end")
-    binned = rows.withColumn("_bin", F.floor(F.col("start") / bin_width))
-    return _islands(_islands(binned, [*by, "_bin"], touch).drop("_bin"), list(by), touch)
+    rows = rows.select(*by, "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_width))
+    unions = _islands(rows, [*by, "_bin"], touch)
+    apart = lambda start: F.col("_reach").isNull() | ((start > F.col("_reach")) if touch else (start >= F.col("_reach")))
+    before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = unions.groupBy(*by, "_bin").agg(F.max("start").alias("_last"), F.max("end").alias("_to")).withColumn("_reach", F.max("_to").over(before))
+    ends = ends.withColumn("_open", F.max(F.when(apart(F.col("_last")), F.col("_last"))).over(before)).select(*by, "_bin", "_reach", "_open")
+    whole = unions.join(ends, [*by, "_bin"]).withColumn("start", F.when(apart(F.col("start")), F.col("start")).otherwise(F.col("_open")))
+    return whole.groupBy(*by, "start").agg(F.max("end").alias("end"))
 
 
 def windows(start: Column, end: Column, most: int, least_tail: int = LEAST_TAIL) -> Column:

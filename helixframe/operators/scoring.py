@@ -7,6 +7,8 @@ on executors, when the first batch is there.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -86,6 +88,15 @@ def ensemble(scorers: list[Callable[[], Callable]]) -> Callable[[], Callable]:
     return load
 
 
+def models_from(paths: list[str], load: Callable[[str], Callable]) -> Callable[[], Callable]:
+    """One scorer of the models at `paths`, each loaded by `load` once a task; a path that isn't there is an error on the driver."""
+    if lacking := [p for p in paths if not Path(p).exists()]:
+        raise FileNotFoundError(f"no model at {', '.join(lacking)}")
+    if not paths:
+        raise ValueError("no models")
+    return ensemble([partial(load, p) for p in paths])
+
+
 def score_windows(windows: DataFrame, scorer: Callable[[], Callable], key: str = "seq_id") -> DataFrame:
     """`key`, window_start, iso and cuts (array, one value a base) of each window; what the model gives for `none` is dropped.
 
@@ -127,7 +138,7 @@ def composition_scorer() -> Callable[[list[np.ndarray]], tuple[np.ndarray, np.nd
     """A stand-in for a model, without weights: the share of A and T around each base."""
 
     def predict(inputs):
-        at = inputs[0][:, :, (0, 3), 0].sum(2)
+        at = inputs[0][:, :, (0, 3), 0].sum(2, dtype=float)
         cuts = np.concatenate([at, 1 - at.mean(1, keepdims=True)], axis=1)
         return at.mean(1, keepdims=True), cuts / np.maximum(cuts.sum(1, keepdims=True), 1e-9)
 

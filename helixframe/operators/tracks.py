@@ -32,16 +32,21 @@ def spread(n_windows: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), squared) / F.col("coverage"))
 
 
-def smoothed(column: str, key: str = "seq_id", pos: str = "pos", kernel: tuple[float, ...] = KERNEL) -> Column:
-    """Weighted sum over neighbours by position; positions beyond the ends, or that are missing, count as 0."""
+def smoothed(rows: DataFrame, column: str, to: str, key: str = "seq_id", pos: str = "pos", kernel: tuple[float, ...] = KERNEL, tile: int = 1 << 16) -> DataFrame:
+    """`rows` with the weighted sum of `column` over neighbours by position in `to`; positions beyond the ends, or that are missing, count as 0.
+
+    A sequence is done in tiles of positions; rows near an edge are copied to the tile beyond it, and their copies dropped.
+    """
     half = len(kernel) // 2
+    at, within = F.floor(F.col(pos) / tile), F.pmod(F.col(pos), F.lit(tile))
+    tiles = F.filter(F.array(at, F.when(within < half, at - 1), F.when(within >= tile - half, at + 1)), lambda t: t.isNotNull())
+    dealt = rows.withColumn("_home", at).withColumn("_tile", F.explode(tiles))
     # by range, so that a missing position isn't taken for its neighbour
-    near = lambda d: F.sum(column).over(Window.partitionBy(key).orderBy(pos).rangeBetween(d, d))
-    parts = [F.coalesce(near(d - half), F.lit(0.0)) * w for d, w in enumerate(kernel)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
+    near = lambda d: F.sum(column).over(Window.partitionBy(key, "_tile").orderBy(pos).rangeBetween(d, d))
+    out = F.lit(0.0)
+    for d, w in enumerate(kernel):
+        out = out + F.coalesce(near(d - half), F.lit(0.0)) * w
+    return dealt.withColumn(to, out).filter(F.col("_home") == F.col("_tile")).drop("_home", "_tile")
 
 
 def ensemble_mean(predictions: DataFrame, by: list[str], value: str = "value") -> DataFrame:

@@ -57,17 +57,21 @@ def chrom_sizes(spark, d):
     return genome.sizes(views.sequences(spark, d), 50)
 
 
-_TILES = """, tiled AS (SELECT chrom, seq, length(seq) AS n, unnest(range(0, length(seq), 100)) AS start FROM sequences WHERE length(seq) >= 50),
-tiles AS (SELECT chrom, start // 100 AS chunk_index, start, least(start + 100, n) AS "end", greatest(0, start - 20) AS flank_start, least(n, start + 120) AS flank_end,
-    translate(substr(seq, CAST(greatest(0, start - 20) + 1 AS INT), CAST(least(n, least(start + 100, n) + 20) - greatest(0, start - 20) AS INT)), 'Nn', 'AA') AS seq FROM tiled)
+def tiles_sql(chunk: int, flank: int) -> str:
+    return f""", tiled AS (SELECT chrom, seq, length(seq) AS n, unnest(range(0, length(seq), {chunk})) AS start FROM sequences WHERE length(seq) >= 50),
+tiles AS (SELECT chrom, start // {chunk} AS chunk_index, start, least(start + {chunk}, n) AS "end", greatest(0, start - {flank}) AS flank_start, least(n, least(start + {chunk}, n) + {flank}) AS flank_end,
+    translate(substr(seq, CAST(greatest(0, start - {flank}) + 1 AS INT), CAST(least(n, least(start + {chunk}, n) + {flank}) - greatest(0, start - {flank}) AS INT)), 'Nn', 'AA') AS seq FROM tiled)
 """
 
 
-def _tiles(spark, d):
-    return genome.tiles(views.sequences(spark, d), chunk=100, flank=20, least=50)
+_TILES = tiles_sql(100, 20)
 
 
-@query(with_views("sequences") + _TILES + 'SELECT chrom, chunk_index, start, "end", flank_start, least(flank_end, "end" + 20) AS flank_end, seq FROM tiles')
+def _tiles(spark, d, chunk=100, flank=20):
+    return genome.tiles(views.sequences(spark, d), chunk=chunk, flank=flank, least=50)
+
+
+@query(with_views("sequences") + _TILES + 'SELECT chrom, chunk_index, start, "end", flank_start, flank_end, seq FROM tiles')
 def genome_tiles(spark, d):
     return _tiles(spark, d)
 
@@ -96,29 +100,35 @@ def dinucleotide_counts(spark, d):
 
 @query(
     with_views("sequences")
-    + """, sited AS (SELECT chrom, seq, i * 37 AS pos, CASE WHEN i % 2 = 0 THEN '+' ELSE '-' END AS strand, CASE WHEN i % 3 = 0 THEN 'D' ELSE 'A' END AS site FROM (SELECT *, unnest(range(0, 8)) AS i FROM sequences)),
+    + """, sited AS (SELECT chrom, seq, i * 37 AS pos, CASE WHEN i % 2 = 0 THEN '+' ELSE '-' END AS strand, CASE WHEN i % 3 = 0 THEN 'D' ELSE 'A' END AS site FROM (SELECT *, unnest(range(0, length(seq) // 37 + 2)) AS i FROM sequences)),
 offs AS (SELECT *, CASE WHEN (site = 'D') = (strand = '+') THEN pos ELSE pos - 1 END AS a FROM sited),
 cut AS (SELECT *, CASE WHEN a >= 0 AND a + 2 <= length(seq) THEN upper(substr(seq, CAST(a + 1 AS INT), 2)) END AS pair FROM offs)
 SELECT chrom, pos, strand, site, CASE WHEN strand = '-' THEN translate(reverse(pair), 'ACGT', 'TGCA') ELSE pair END AS motif FROM cut WHERE pair IS NOT NULL"""
 )
 def site_motif_extract(spark, d):
-    rows = views.sequences(spark, d).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(7)))).selectExpr("chrom", "seq", "cast(i * 37 as bigint) pos", "if(i % 2 = 0, '+', '-') strand", "if(i % 3 = 0, 'D', 'A') site")
-    motif = q.site_motif(F.col("seq"), F.col("pos"), F.col("strand"), F.col("site"))
-    return rows.select("chrom", "pos", "strand", "site", motif.alias("motif")).filter(F.col("motif").isNotNull())
+    """A site every 37 letters of each whole sequence, and one past its end."""
+    i = lambda k: (k * 37).cast("bigint")
+    kind = lambda k: (F.when(k % 2 == 0, "+").otherwise("-"), F.when(k % 3 == 0, "D").otherwise("A"))
+    one = lambda k: F.struct(i(k).alias("pos"), kind(k)[0].alias("strand"), kind(k)[1].alias("site"), q.site_motif(F.col("seq"), i(k), *kind(k)).alias("motif"))
+    rows = views.sequences(spark, d).select("chrom", F.explode(F.transform(F.sequence(F.lit(0), (F.length("seq") / 37).cast("int") + 1), one)).alias("x"))
+    return rows.select("chrom", "x.*").filter(F.col("motif").isNotNull())
 
 
 @query(
     with_views("sequences", "intervals")
-    + """, asked AS (SELECT DISTINCT 'doc' || ((start // 100) % 200) AS chrom, start % 50 AS start, start % 50 + ("end" - start) % 90 AS "end", strand FROM intervals),
-cut AS (SELECT a.*, substr(seq, CAST(a.start + 1 AS INT), CAST(least(a."end", length(seq)) - a.start AS INT)) AS piece FROM asked a JOIN sequences s ON a.chrom = s.chrom WHERE a.start <= least(a."end", length(seq)))
+    + """, asked AS (SELECT DISTINCT 'doc' || ((start // 100) % (SELECT count(*) FROM documents)) AS chrom, start * 7 + "end" AS x, ("end" - start) % 90 AS span, strand FROM intervals),
+placed AS (SELECT DISTINCT a.chrom, strand, seq, x % greatest(length(seq), 1) AS start, least(x % greatest(length(seq), 1) + span, length(seq)) AS "end" FROM asked a JOIN sequences s ON a.chrom = s.chrom),
+cut AS (SELECT *, substr(seq, CAST(start + 1 AS INT), CAST("end" - start AS INT)) AS piece FROM placed)
 SELECT chrom, start, "end", strand, CASE WHEN strand = '-' THEN translate(reverse(piece), 'ACGTacgt', 'TGCAtgca') ELSE piece END AS seq FROM cut"""
 )
 def interval_sequence(spark, d):
-    asked = views.intervals(spark, d).selectExpr("concat('doc', (start div 100) % 200) chrom", "start % 50 start", "start % 50 + (`end` - start) % 90 `end`", "strand").distinct()
+    """Intervals spread over all sequences and over the whole of each, cut at its end."""
     g = views.sequences(spark, d)
+    asked = views.intervals(spark, d).selectExpr(f"concat('doc', (start div 100) % {max(1, g.count())}) chrom", "start * 7 + `end` x", "(`end` - start) % 90 span", "strand").distinct()
     sizes = genome.sizes(g).withColumnRenamed("chrom", "_chrom")
-    clipped = asked.join(sizes, F.col("chrom") == F.col("_chrom")).withColumn("_end", F.least("end", "size")).filter("start <= _end").drop("_chrom", "size")
-    rows = genome.cut(clipped, g, "start", "_end", reach=100)
+    placed = asked.join(sizes, F.col("chrom") == F.col("_chrom")).withColumn("start", F.col("x") % F.greatest("size", F.lit(1)))
+    placed = placed.select("chrom", "strand", "start", F.least(F.col("start") + F.col("span"), "size").alias("end")).distinct()
+    rows = genome.cut(placed, g, reach=100)
     return rows.select("chrom", "start", "end", "strand", F.when(F.col("strand") == "-", q.strict_reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
@@ -214,8 +224,7 @@ _ANNOTATED_COUNTS = """, site_motifs AS (SELECT site, chrom, pos, strand, min(mo
 @query(with_views("sites", "annotated") + _ANNOTATED_COUNTS + "SELECT site, motif, n FROM annotated_counts")
 def distinct_site_motifs(spark, d):
     known = views.annotated(spark, d)
-    parts = [calibration.distinct_motifs(known.filter(F.col("site") == s)).select(F.lit(s).alias("site"), "motif", "n") for s in ("D", "A")]
-    return parts[0].unionAll(parts[1])
+    return calibration.distinct_motifs(known, ("site",))
 
 
 @query(
@@ -247,12 +256,9 @@ bins AS (SELECT site, motif, bin, CAST(t + CASE WHEN bin = 0 THEN more ELSE 0 EN
 @query(with_views("sites", "annotated", "sequences", "genome_counts") + _BINS + "SELECT site, motif, bin, n_total, n_real, round(CASE WHEN n_total > 0 THEN n_real::DOUBLE / n_total ELSE 0.0 END, 12) AS p FROM bins")
 def calibration_bins(spark, d):
     counts, known, scored = genome.pair_counts(views.sequences(spark, d)), views.annotated(spark, d), calibration.scored(views.sites(spark, d))
-    parts = []
-    for s in ("D", "A"):
-        real = known.filter(F.col("site") == s)
-        made = calibration.bins(calibration.flagged(scored.filter(F.col("site") == s), real), counts, calibration.distinct_motifs(real))
-        parts.append(made.select(F.lit(s).alias("site"), "motif", "bin", "n_total", "n_real", F.round("p", 12).alias("p")))
-    return parts[0].unionAll(parts[1])
+    site = ("site",)
+    made = calibration.bins(calibration.flagged(scored, known, site), calibration.by_site(counts), calibration.distinct_motifs(known, site), site)
+    return made.select("site", "motif", "bin", "n_total", "n_real", F.round("p", 12).alias("p"))
 
 
 @query(
@@ -317,8 +323,8 @@ _TAPS = " + ".join(f"{w} * coalesce(sum(total) OVER (PARTITION BY seq_id ORDER B
 
 @query(with_views("tracks") + _ADDED + f"SELECT seq_id, pos, round(({_TAPS}) / coverage, 6) AS value FROM added")
 def smooth_profile(spark, d):
-    added = tracks.overlap_add(views.tracks(spark, d))
-    return added.select("seq_id", "pos", F.round(tracks.smoothed("total") / F.col("coverage"), 6).alias("value"))
+    added = tracks.smoothed(tracks.overlap_add(views.tracks(spark, d)), "total", "smooth", tile=32)
+    return added.select("seq_id", "pos", F.round(F.col("smooth") / F.col("coverage"), 6).alias("value"))
 
 
 @query(
@@ -337,7 +343,21 @@ def profile_argmax(spark, d):
     return tracks.argmax(views.tracks(spark, d), key="vec_id", pos="i").select("vec_id", "peak", "height")
 
 
-@query()
+# maxima that are high enough; the highest (of equal ones the last) is kept and those near it go, until none is left; then
+# how far a kept one stands over the higher of the two lowest values between it and what is higher on either side
+_PEAKS_SQL = """, around AS (SELECT vec_id, i, value, lag(value) OVER w AS before, lead(value) OVER w AS after FROM tracks WINDOW w AS (PARTITION BY vec_id ORDER BY i)),
+runs AS (SELECT *, count(*) FILTER (WHERE before IS NULL OR value <> before) OVER (PARTITION BY vec_id ORDER BY i) AS run FROM around),
+flat AS (SELECT vec_id, run, min(i) AS a, max(i) AS b, min(value) AS value, arg_min(before, i) AS before, arg_max(after, i) AS after FROM runs GROUP BY vec_id, run),
+found AS (SELECT vec_id, list({h: value, i: (a + b) // 2}) AS todo FROM flat WHERE value > before AND value > after AND value >= 0.001 GROUP BY vec_id),
+step AS (SELECT vec_id, todo, list_sort(todo, 'DESC')[1] AS top FROM found
+    UNION ALL SELECT vec_id, rest, list_sort(rest, 'DESC')[1] FROM (SELECT vec_id, list_filter(todo, lambda x: abs(x.i - top.i) >= 3) AS rest FROM step) WHERE len(rest) > 0),
+kept AS (SELECT vec_id, top.i AS i, top.h AS h FROM step),
+walls AS (SELECT k.vec_id, k.i, k.h, coalesce(max(t.i) FILTER (WHERE t.i < k.i AND t.value > k.h), -1) AS lo, coalesce(min(t.i) FILTER (WHERE t.i > k.i AND t.value > k.h), 64) AS hi FROM kept k JOIN tracks t ON t.vec_id = k.vec_id GROUP BY ALL),
+lows AS (SELECT w.vec_id, w.i, w.h, min(t.value) FILTER (WHERE t.i <= w.i) AS below, min(t.value) FILTER (WHERE t.i >= w.i) AS above FROM walls w JOIN tracks t ON t.vec_id = w.vec_id AND t.i > w.lo AND t.i < w.hi GROUP BY ALL)
+SELECT vec_id AS seq_id, CAST(i AS INT) AS peak FROM lows WHERE h - greatest(below, above) >= 0.01"""
+
+
+@query(with_views("tracks").replace("WITH", "WITH RECURSIVE", 1) + _PEAKS_SQL)
 def profile_peaks(spark, d):
     rows = views.table(spark, d, "embeddings").selectExpr("vec_id seq_id", "transform(embedding, x -> cast(x as double)) profile")
     return tracks.peaks(rows)
@@ -387,7 +407,7 @@ def chain_gap_jobs(spark, d):
 @query(
     with_views("blocks")
     + _PLACED
-    + """, gaps AS (SELECT *, t_pos + size AS t0, q_pos + size AS q0 FROM placed WHERE dt BETWEEN 10 AND 100000 AND dq BETWEEN 10 AND 100000 AND block_no % 3 = 1 AND size * 100 >= 2000),
+    + """, gaps AS (SELECT *, t_pos + size AS t0, q_pos + size AS q0 FROM placed WHERE dt BETWEEN 10 AND 100000 AND dq BETWEEN 10 AND 100000 AND size * 100 >= 2000),
 parts AS (SELECT b.chain_id, b.block_no, 0 AS part, b.size, CASE WHEN g.size IS NULL THEN b.dt ELSE 2 END AS dt, CASE WHEN g.size IS NULL THEN b.dq ELSE 3 END AS dq FROM blocks b LEFT JOIN gaps g ON b.chain_id = g.chain_id AND b.block_no = g.block_no
     UNION ALL SELECT chain_id, block_no, 1, 2, 1, 0 FROM gaps
     UNION ALL SELECT chain_id, block_no, 2, 3, dt - 8, dq - 8 FROM gaps)
@@ -395,16 +415,16 @@ SELECT chain_id, block_no, part, size, dt, dq FROM parts"""
 )
 def gap_patch(spark, d):
     placed = chains.coordinates(views.blocks(spark, d))
-    wide = chains.gaps(placed).filter("block_no % 3 = 1").selectExpr("chain_id", "block_no", "t_pos + size t0", "q_pos + size q0", "size * 100 score")
+    wide = chains.gaps(placed).selectExpr("chain_id", "block_no", "t_pos + size t0", "q_pos + size q0", "size * 100 score")
     inner = "array(named_struct('size', 2L, 'dt', 1L, 'dq', 0L), named_struct('size', 3L, 'dt', cast(null as bigint), 'dq', cast(null as bigint)))"
     first = wide.selectExpr("chain_id", "block_no", "0 rank", "score", "t0 + 2 t_start", "t0 + 8 t_end", "q0 + 3 q_start", "q0 + 8 q_end", f"{inner} blocks")
     second = first.withColumn("rank", F.lit(1)).withColumn("score", F.col("score") + 5000)  # only the first counts
     return chains.patched(placed, chains.best_patches(first.unionAll(second)))
 
 
-@query(with_views("sites") + "SELECT chrom, pos FROM sites WHERE chrom IN (SELECT event_type FROM events WHERE user_id % 100 = 7)")
+@query(with_views("sites") + "SELECT chrom, pos FROM sites WHERE chrom IN (SELECT event_type FROM events WHERE value > 490)")
 def chrom_semi(spark, d):
-    known = views.table(spark, d, "events").filter("user_id % 100 = 7").select(F.col("event_type").alias("chrom"))
+    known = views.table(spark, d, "events").filter("value > 490").select(F.col("event_type").alias("chrom"))
     return genome.known_only(views.sites(spark, d), known).select("chrom", "pos")
 
 
@@ -417,18 +437,21 @@ def chrom_missing(spark, d):
 @query(with_views("sites") + "SELECT chrom, pos, strand FROM sites WHERE strand = '+' UNION SELECT chrom, pos, strand FROM sites WHERE strand = '-'")
 def strand_union(spark, d):
     rows = views.sites(spark, d).select("chrom", "pos", "strand")
-    return rows.filter("strand = '+'").unionByName(rows.filter("strand = '-'")).distinct()
+    return calibration.united(rows.filter("strand = '+'"), rows.filter("strand = '-'"))
 
 
-@query()
+_WINDOWS = """, starts AS (SELECT chrom, seq, unnest(range(0, CASE WHEN length(seq) <= 205 THEN 1 ELSE CAST(ceil((length(seq) - 205) / 10.0) AS BIGINT) * 10 + 1 END, 10)) AS window_start FROM sequences WHERE length(seq) > 0),
+windows AS (SELECT chrom, window_start, rpad(substr(seq, CAST(window_start + 1 AS INT), 205), 205, 'X') AS w FROM starts)
+"""
+
+
+@query(with_views("sequences") + _WINDOWS + "SELECT chrom AS seq_id, count(*) AS n, round(avg((205 - length(translate(w, 'AT', ''))) / 205.0::DOUBLE), 6) AS iso FROM windows GROUP BY chrom")
 def model_score_stub(spark, d):
-    windows = tracks.sliding_windows(views.sequences(spark, d).filter(F.length("seq") >= 205)).withColumnRenamed("chrom", "seq_id")
+    windows = tracks.sliding_windows(views.sequences(spark, d)).withColumnRenamed("chrom", "seq_id")
     scored = scoring.score_windows(windows, scoring.composition_scorer, "seq_id")
     return scored.groupBy("seq_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("iso"), 6).alias("iso"))
 
 
-
-
 @query(with_views("sequences") + _TILES + """SELECT chrom || ':' || start || '-' || "end" || '(+)' AS header, chrom, start, "end", '+' AS strand FROM tiles""")
 def region_headers(spark, d):
     head = _tiles(spark, d).select(q.region_header(F.col("chrom"), F.col("start"), F.col("end"), F.lit("+")).alias("header"))
@@ -455,47 +478,84 @@ def logits(spark, d):
     return rows.select("vec_id", "i", F.round(q.logit(F.col("p")), 6).alias("logit"))
 
 
-@query(with_views("tracks") + "SELECT seq_id, i, max(value) AS most, round(avg(value), 6) AS mean, round(median(value), 6) AS middle FROM tracks GROUP BY seq_id, i")
-def offset_statistics(spark, d):
-    return views.tracks(spark, d).groupBy("seq_id", "i").agg(F.max("value").alias("most"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.median("value"), 6).alias("middle"))
-
-
 @query(
     with_views("tracks")
-    + """, cores AS (SELECT vec_id, i, value, least(5, vec_id) AS before, 64 - 50 - least(5, vec_id) AS after FROM tracks)
+    + """, cores AS (SELECT vec_id, i, value, least(14, vec_id) AS before, 14 - least(14, vec_id) AS after FROM tracks)
 SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN i - before ELSE 63 - before - i END AS place, value FROM cores
 WHERE CASE WHEN vec_id % 2 = 0 THEN i >= before AND i < 64 - after ELSE i >= after AND i < 64 - before END"""
 )
 def chunk_cores(spark, d):
-    """Each embedding as the values of a chunk of 50 from vec_id on, with a flank of 5 before it where there is room."""
+    """Each embedding as the values of a chunk of 50 from vec_id on, with flanks of up to 14 as far as there is room."""
     rows = views.table(spark, d, "embeddings").selectExpr("vec_id", "if(vec_id % 2 = 0, '+', '-') strand", "transform(embedding, x -> cast(x as double)) v")
-    f = tracks.flanks(F.col("vec_id"), F.col("vec_id") + 50, F.size("v").cast("bigint"), 14)
-    before, after = F.least(F.lit(5).cast("bigint"), F.col("vec_id")), F.lit(14) - F.least(F.lit(5).cast("bigint"), F.col("vec_id"))
-    checked = rows.withColumn("f", f).filter("f.before >= 0")
-    return checked.select("vec_id", F.posexplode(tracks.core(F.col("v"), before, after, F.col("strand"))).alias("place", "value"))
+    rows = rows.withColumn("f", tracks.flanks(F.col("vec_id"), F.col("vec_id") + 50, F.size("v").cast("bigint"), 14))
+    return rows.select("vec_id", F.posexplode(tracks.core(F.col("v"), F.col("f.before"), F.col("f.after"), F.col("strand"))).alias("place", "value"))
 
 
 @query(
     with_views("blocks", "sequences")
     + _EXONS
-    + """, gaps AS (SELECT DISTINCT 'doc' || (chain_id % 200) AS chrom, CASE WHEN chain_id % 2 = 0 THEN '+' ELSE '-' END AS strand, "end" AS a, next AS b FROM (SELECT *, lead(start) OVER (PARTITION BY chain_id ORDER BY start, "end") AS next FROM exons) WHERE next IS NOT NULL),
+    + """, homes AS (SELECT DISTINCT chain_id, 'doc' || (chain_id % (SELECT count(*) FROM documents)) AS chrom FROM exons),
+moved AS (SELECT h.chain_id, h.chrom, (h.chain_id * 131) % greatest(length(seq), 1) AS way FROM homes h JOIN sequences s ON s.chrom = h.chrom),
+nexts AS (SELECT *, lead(start) OVER (PARTITION BY chain_id ORDER BY start, "end") AS next FROM exons),
+gaps AS (SELECT DISTINCT m.chrom, CASE WHEN m.chain_id % 2 = 0 THEN '+' ELSE '-' END AS strand, "end" + way AS a, next + way AS b FROM nexts e JOIN moved m ON m.chain_id = e.chain_id WHERE next IS NOT NULL),
 ends AS (SELECT chrom, strand, CASE strand WHEN '+' THEN 'D' ELSE 'A' END AS site, a AS pos, a AS spot FROM gaps
     UNION ALL SELECT chrom, strand, CASE strand WHEN '+' THEN 'A' ELSE 'D' END, CASE strand WHEN '+' THEN b - 1 ELSE b END, b - 2 FROM gaps),
 cut AS (SELECT e.*, upper(substr(seq, CAST(spot + 1 AS INT), 2)) AS pair FROM ends e JOIN sequences s ON s.chrom = e.chrom WHERE spot >= 0 AND spot + 2 <= length(seq))
 SELECT chrom, pos, strand, site, CASE strand WHEN '-' THEN translate(reverse(pair), 'ACGT', 'TGCA') ELSE pair END AS motif FROM cut"""
 )
 def annotated_sites(spark, d):
-    known = _transcripts(spark, d).withColumn("chrom", F.concat(F.lit("doc"), (F.col("chain_id") % 200).cast("string")))
-    return annotation.splice_sites(known, views.sequences(spark, d))
+    """Sites of transcripts that are spread over all sequences, each from somewhere in the whole of its sequence on."""
+    g = views.sequences(spark, d)
+    known = _transcripts(spark, d).withColumn("chrom", F.concat(F.lit("doc"), (F.col("chain_id") % max(1, g.count())).cast("string")))
+    sizes = genome.sizes(g).withColumnRenamed("chrom", "_chrom")
+    way = (F.col("chain_id") * 131) % F.greatest("size", F.lit(1))
+    moved = known.join(sizes, F.col("chrom") == F.col("_chrom")).withColumn("exons", F.transform("exons", lambda e: F.struct((e["start"] + way).alias("start"), (e["end"] + way).alias("end"))))
+    return annotation.splice_sites(moved.drop("_chrom", "size"), g)
 
 
-@query(
-    with_views("sequences")
-    + """, peaks AS (SELECT chrom, seq, unnest([60, 100, 140]) AS peak FROM sequences), inner_peaks AS (SELECT * FROM peaks WHERE peak > 75 AND peak < length(seq) - 150),
-shifted AS (SELECT *, peak - 80 - unnest(range(0, 30, 2)) AS window_start FROM inner_peaks)
-SELECT chrom, peak, window_start, substr(repeat('X', 35) || seq || repeat('X', 35), CAST(window_start + 36 AS INT), 205) AS window FROM shifted
-WHERE window_start + 35 >= 0 AND length(substr(repeat('X', 35) || seq || repeat('X', 35), CAST(window_start + 36 AS INT), 205)) = 205"""
-)
+#: A peak every 100 letters of each whole sequence; those too near an end have no window.
+_PEAK_WINDOWS = """, peaks AS (SELECT chrom, seq, unnest(range(0, length(seq) + 1, 100)) AS peak FROM sequences WHERE seq IS NOT NULL), inner_peaks AS (SELECT * FROM peaks WHERE peak > 75 AND peak < length(seq) - 150),
+shifted AS (SELECT *, peak - 80 - unnest(range(0, 30, 2)) AS window_start FROM inner_peaks),
+cut AS (SELECT chrom, peak, window_start, substr(repeat('X', 35) || seq || repeat('X', 35), CAST(window_start + 36 AS INT), 205) AS w FROM shifted WHERE window_start + 35 >= 0),
+windows AS (SELECT * FROM cut WHERE length(w) = 205)
+"""
+
+
+def _peaks(spark, d):
+    return views.sequences(spark, d).withColumn("peak", F.explode(F.sequence(F.lit(0), F.length("seq"), F.lit(100))))
+
+
+@query(with_views("sequences") + _PEAK_WINDOWS + "SELECT chrom, CAST(peak AS INT) AS peak, CAST(window_start AS INT) AS window_start, w AS window FROM windows")
 def peak_windows(spark, d):
-    peaks = views.sequences(spark, d).withColumn("peak", F.explode(F.array(F.lit(60), F.lit(100), F.lit(140))))
-    return scoring.peak_windows(peaks).select("chrom", "peak", "window_start", "window")
+    return scoring.peak_windows(_peaks(spark, d)).select("chrom", "peak", "window_start", "window")
+
+
+def _peak_scores_sql(pick: str, value: str) -> str:
+    return (
+        with_views("sequences")
+        + _PEAK_WINDOWS
+        + f""", counted AS (SELECT chrom, peak, (205 - length(translate(w, 'AT', ''))) AS n, (30 - length(translate(substr(w, 78, 30), 'AT', ''))) AS near FROM windows),
+rated AS (SELECT chrom, peak, n / 205.0::DOUBLE AS iso, near / greatest(n + 1 - n / 205.0::DOUBLE, 1e-9) AS cuts FROM counted),
+picked AS (SELECT chrom, peak, {pick}(iso) AS iso, {pick}(cuts) AS cuts FROM rated GROUP BY chrom, peak), valued AS (SELECT chrom, peak, {value} AS v FROM picked)
+SELECT p.chrom || ':' || p.peak AS seq_id, coalesce(round_even(v, 3), -10.0) AS peak_score FROM peaks p LEFT JOIN valued ON valued.chrom = p.chrom AND valued.peak = p.peak"""
+    )
+
+
+def _peak_scores(spark, d, **how):
+    peaks = _peaks(spark, d).withColumn("seq_id", F.concat_ws(":", "chrom", "peak"))
+    return scoring.peak_scores(scoring.score_windows(scoring.peak_windows(peaks), scoring.composition_scorer), peaks, ["seq_id"], **how)
+
+
+@query(_peak_scores_sql("max", "CASE WHEN iso + cuts > 0 AND iso + cuts < 2 THEN ln((iso + cuts) / 2 / (1 - (iso + cuts) / 2)) END"))
+def peak_scores(spark, d):
+    return _peak_scores(spark, d)
+
+
+@query(_peak_scores_sql("avg", "iso"))
+def peak_scores_mean(spark, d):
+    return _peak_scores(spark, d, aggregate="mean", mode="from_iso", unit="probability")
+
+
+@query(_peak_scores_sql("median", "cuts"))
+def peak_scores_median(spark, d):
+    return _peak_scores(spark, d, aggregate="median", mode="from_cuts", unit="probability")

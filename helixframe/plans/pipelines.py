@@ -29,15 +29,19 @@ def chunk_genome(spark: SparkSession, path: str, out: str, chunk: int = 6_000_00
     return sinks.write_chunk_fasta(made, f"{out}/chunks", gz)
 
 
-def predict_sites(spark: SparkSession, path: str, scorer: Callable, out: str, flank: int = 50_000, least: float = 0.001, digits: int = 4, context: int = scoring.CONTEXT) -> list[str]:
-    """Four fixed-step files of the scores of a chunk file's records, without flanks; their names."""
-    paths.check_number("least", least, most=1)
-    records = text.read_fasta(spark, path, mode="predict")
+def checked_chunks(records: DataFrame, flank: int) -> DataFrame:
+    """chrom, start, end, strand, seq (upper case), before and after of FASTA records of chunks; an error where a header or a length doesn't fit."""
     head = sequence.parsed_region_header(F.col("chrom"))
     bad = head["start"].isNull() | (F.length("seq") == 0)
     start = F.when(bad, F.raise_error(F.concat(F.lit("not a chunk: "), F.col("chrom"))).cast("bigint")).otherwise(head["start"])
     chunks = records.select(head["chrom"].alias("chrom"), start.alias("start"), head["end"].alias("end"), head["strand"].alias("strand"), F.upper("seq").alias("seq"))
-    chunks = chunks.withColumn("f", tracks.flanks(F.col("start"), F.col("end"), F.length("seq").cast("bigint"), flank)).select("*", "f.before", "f.after")
+    return chunks.withColumn("f", tracks.flanks(F.col("start"), F.col("end"), F.length("seq").cast("bigint"), flank)).select("*", "f.before", "f.after").drop("f")
+
+
+def predict_sites(spark: SparkSession, path: str, scorer: Callable, out: str, flank: int = 50_000, least: float = 0.001, digits: int = 4, context: int = scoring.CONTEXT) -> list[str]:
+    """Four fixed-step files of the scores of a chunk file's records, without flanks; their names."""
+    paths.check_number("least", least, most=1)
+    chunks = checked_chunks(text.read_fasta(spark, path, mode="predict"), flank)
     scored = scoring.score_sites(chunks, scorer, context, keep=("before", "after"))
     cut = lambda c: tracks.core(F.col(c), F.col("before"), F.col("after"), F.col("strand")).alias(c)
     return sinks.write_wig(scored.select("chrom", "start", "strand", cut("acceptor"), cut("donor")), out, paths.output_stem(path), least, digits)
@@ -93,8 +97,8 @@ def polya_profiles(windows: DataFrame, scorer: Callable, smooth: bool = True, up
     lengths = rows.select("seq_id", F.length("seq").alias("n"))
     flat = scored.select("seq_id", "window_start", F.posexplode("cuts").alias("i", "value")).withColumn("pos", F.col("window_start") + F.col("i")).join(lengths, "seq_id").filter(F.col("pos") < F.col("n"))
     added = tracks.overlap_add(flat)
-    value = (tracks.smoothed("total") if smooth else F.col("total")) / F.col("coverage")
-    profile = added.select("seq_id", "pos", value.alias("v")).groupBy("seq_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda x: x["v"]).alias("profile"))
+    added = tracks.smoothed(added, "total", "_total") if smooth else added.withColumn("_total", F.col("total"))
+    profile = added.select("seq_id", "pos", (F.col("_total") / F.col("coverage")).alias("v")).groupBy("seq_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda x: x["v"]).alias("profile"))
     return rows.select("seq_id", "chrom", "start", "end", "strand").join(profile, "seq_id").drop("seq_id")
 
 

@@ -7,10 +7,14 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThan, GreaterThanOrEqual, InputPartition
 
+from .files import local_path
+
 TWOBIT, BIGWIG = 0x1A412743, 0x888FFC26
+MOST_ROWS = 1 << 16
 
 
 def sniff(head: bytes) -> str:
@@ -41,7 +45,7 @@ class TwoBitReader(DataSourceReader):
     """One partition a sequence; each task seeks to its own."""
 
     def __init__(self, path: str, mask: bool) -> None:
-        self.path, self.mask = path, mask
+        self.path, self.mask = local_path(path), mask
 
     def partitions(self) -> list[_Range]:
         with open(self.path, "rb") as f:
@@ -93,7 +97,7 @@ class BigWigReader(DataSourceReader):
     """One partition a contig. `score >= x` and `score > x` are applied while values are read."""
 
     def __init__(self, path: str) -> None:
-        self.path, self.least, self.strictly = path, None, False
+        self.path, self.least, self.strictly = local_path(path), None, False
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -126,7 +130,7 @@ class BigWigReader(DataSourceReader):
                         todo.append(struct.unpack(order + "Q", f.read(8))[0])
         return found
 
-    def read(self, part: _Range) -> Iterator[tuple]:
+    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
         with open(self.path, "rb") as f:
             order, _, index, packed = self._header(f)
             spots, todo = [], [index + 48]
@@ -143,7 +147,8 @@ class BigWigReader(DataSourceReader):
                 data = f.read(size)
                 yield from self._section(zlib.decompress(data) if packed else data, order, part)
 
-    def _section(self, data: bytes, order: str, part: _Range) -> Iterator[tuple]:
+    def _section(self, data: bytes, order: str, part: _Range) -> Iterator[pa.RecordBatch]:
+        """The positions of a section that have a value, as Arrow batches of at most MOST_ROWS (or one item's) rows."""
         number, start, _, step, span, kind, _, n = struct.unpack(order + "IIIIIBBH", data[:24])
         if number != part.at:
             return
@@ -157,10 +162,17 @@ class BigWigReader(DataSourceReader):
             values = np.frombuffer(data, dtype=order + "f4", count=n, offset=24)
             starts = start + step * np.arange(n, dtype=np.int64)
             ends = starts + span
-        for s, e, v in zip(starts.tolist(), ends.tolist(), values.tolist(), strict=True):
-            if v == v and (self.least is None or v >= np.float32(self.least)):
-                for p in range(s, min(e, part.size)):
-                    yield part.name, p, v
+        starts, ends = starts.astype(np.int64), np.minimum(ends.astype(np.int64), part.size)
+        kept = (ends > starts) & (values >= np.float32(-np.inf if self.least is None else self.least))  # not where the value is NaN
+        starts, lengths, values = starts[kept], (ends - starts)[kept], values[kept].astype(np.float32)
+        total = np.cumsum(lengths)
+        while len(lengths):
+            n = max(1, int(np.searchsorted(total - total[0] + lengths[0], MOST_ROWS, side="right")))
+            own = lengths[:n]
+            pos = np.repeat(starts[:n] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            name = pa.DictionaryArray.from_arrays(np.zeros(len(pos), dtype=np.int32), [part.name]).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([name, pa.array(pos), pa.array(np.repeat(values[:n], own))], names=["chrom", "pos", "score"])
+            starts, lengths, values, total = starts[n:], lengths[n:], values[n:], total[n:]
 
 
 class BigWigSource(DataSource):
@@ -182,3 +194,53 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TwoBitSource)
     spark.dataSource.register(BigWigSource)
+
+
+def pack_twobit(records: list[tuple[str, str]]) -> bytes:
+    """A 2bit file of (name, sequence): letters other than A, C, G and T are N, lower case is masked."""
+
+    def spans(marks: np.ndarray) -> bytes:
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
+        starts, ends = edge[::2], edge[1::2]
+        return struct.pack("<I", len(starts)) + starts.astype("<u4").tobytes() + (ends - starts).astype("<u4").tobytes()
+
+    code = np.full(256, 255, dtype=np.uint8)
+    for k, letter in enumerate("TCAG"):
+        code[ord(letter)] = code[ord(letter.lower())] = k
+    bodies = []
+    for _, seq in records:
+        letters = np.frombuffer(seq.encode(), dtype=np.uint8)
+        codes = code[letters]
+        two = np.concatenate([np.where(codes == 255, 0, codes), np.zeros(-len(codes) % 4, dtype=np.uint8)]).reshape(-1, 4)
+        packed = two[:, 0] << 6 | two[:, 1] << 4 | two[:, 2] << 2 | two[:, 3]
+        bodies.append(struct.pack("<I", len(letters)) + spans(codes == 255) + spans((letters >= 97) & (letters <= 122)) + struct.pack("<I", 0) + packed.astype(np.uint8).tobytes())
+    names = [n.encode() for n, _ in records]
+    at, index = 16 + sum(len(n) + 5 for n in names), []
+    for name, body in zip(names, bodies, strict=True):
+        index.append(bytes([len(name)]) + name + struct.pack("<I", at))
+        at += len(body)
+    return struct.pack("<IIII", TWOBIT, 0, len(records), 0) + b"".join(index) + b"".join(bodies)
+
+
+def pack_bigwig(values: list[tuple[str, int, float]], per_section: int = 1024) -> bytes:
+    """A BigWig file of (chrom, position, score), one base each: sections of (start, end, score), compressed, one index node."""
+    rows: dict[str, list[tuple[int, float]]] = {}
+    for chrom, pos, score in values:
+        rows.setdefault(chrom, []).append((pos, score))
+    names = sorted(rows)
+    key = max([len(n.encode()) for n in names], default=1)
+    items = b"".join(n.encode().ljust(key, b"\0") + struct.pack("<II", k, max(p for p, _ in rows[n]) + 1) for k, n in enumerate(names))
+    tree = struct.pack("<IIIIQQBBH", 0x78CA8C91, max(1, len(names)), key, 8, len(names), 0, 1, 0, len(names)) + items
+    at, data, leaves = 64 + len(tree), [], []
+    for k, n in enumerate(names):
+        own = sorted(rows[n])
+        for i in range(0, len(own), per_section):
+            part = own[i : i + per_section]
+            body = b"".join(struct.pack("<IIf", p, p + 1, v) for p, v in part)
+            packed = zlib.compress(struct.pack("<IIIIIBBH", k, part[0][0], part[-1][0] + 1, 0, 0, 1, 0, len(part)) + body)
+            leaves.append(struct.pack("<IIIIQQ", k, part[0][0], k, part[-1][0] + 1, at, len(packed)))
+            data.append(packed)
+            at += len(packed)
+    index = struct.pack("<IIQIIIIQII", 0x2468ACE0, max(1, len(leaves)), len(leaves), 0, 0, 0, 0, 0, 1, 0) + struct.pack("<BBH", 1, 0, len(leaves)) + b"".join(leaves)
+    head = struct.pack("<IHHQQQHHQQIQ", BIGWIG, 4, 0, 64, 64 + len(tree), at, 0, 0, 0, 0, 1 << 16, 0)
+    return head + tree + b"".join(data) + index

@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+import io
 import re
 import shutil
 import sys
-import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import files
 from .binary import register, sniff
 from .text import read_fasta
 
 SITES, STRANDS = ("donor", "acceptor"), ("plus", "minus")
 
 
+class _After(io.RawIOBase):
+    """A stream of which the head is read already."""
+
+    def __init__(self, head: bytes, rest) -> None:
+        self.head, self.rest = head, rest
+
+    def read(self, n: int = -1) -> bytes:
+        head, self.head = self.head, b""
+        return head or self.rest.read(n)
+
+
 def genome_kind(path: str) -> str:
     """2bit or fasta by extension; .gz is FASTA."""
     end = path.rsplit(".", 1)[-1].lower()
@@ -23,19 +35,17 @@ def genome_kind(path: str) -> str:
         return "2bit"
     if end in ("fa", "fasta", "fna", "gz"):
         return "fasta"
-    raise ValueError(f"unsupported sequence file: {path}")
+    raise ValueError(f"{path} has the ending of neither FASTA nor 2bit")
 
 
 def read_genome(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    """chrom and seq of a FASTA or 2bit file; `-` is standard input, kept in a file of the driver's, told by its first bytes."""
+    """chrom and seq of a FASTA or 2bit file; `-` is standard input, kept in the shared folder, told by its first bytes."""
     if path == "-":
-        data = sys.stdin.buffer.read()
-        if not data:
+        head = sys.stdin.buffer.read(1 << 16)
+        if not head:
             raise ValueError("standard input is empty")
-        kind = sniff(data[:64])
-        with tempfile.NamedTemporaryFile(suffix={"gzip": ".fa.gz", "2bit": ".2bit", "fasta": ".fa"}[kind], delete=False) as f:
-            f.write(data)
-        path = f.name
+        name = {"gzip": "input.fa.gz", "2bit": "input.2bit", "fasta": "input.fa"}[sniff(head)]
+        path = files.keep_stream(spark, _After(head, sys.stdin.buffer), f"{files.work_folder(spark)}/{name}")
     if genome_kind(path) == "2bit":
         register(spark)
         return spark.read.format("twobit").option("path", path).load()
@@ -50,23 +60,23 @@ def classify_track(stem: str) -> tuple[str, str] | None:
         return None
     for kinds, found in ((SITES, sites), (STRANDS, strands)):
         if len(found) != 1:
-            raise ValueError(f"{stem}: {'missing' if not found else 'ambiguous'} {'/'.join(kinds)} token")
+            raise ValueError(f"{stem} names {'none' if not found else 'both'} of {' and '.join(kinds)}")
     return sites[0], strands[0]
 
 
 def discover_tracks(folder: str) -> dict[tuple[str, str], str]:
     """The BigWig file of each site and strand in a folder; each must be there once."""
     if not Path(folder).is_dir():
-        raise ValueError(f"no such folder: {folder}")
+        raise ValueError(f"{folder} isn't a folder of tracks")
     found: dict[tuple[str, str], list[str]] = {}
     for p in sorted(Path(folder).iterdir()):
         if p.suffix.lower() in (".bw", ".bigwig") and (kind := classify_track(p.stem)):
             found.setdefault(kind, []).append(str(p))
     for kind, paths in found.items():
         if len(paths) > 1:
-            raise ValueError(f"more than one {' '.join(kind)} file: {', '.join(paths)}")
+            raise ValueError(f"{len(paths)} files tell {' '.join(kind)}: {', '.join(sorted(paths))}")
     if lacking := [f"{s} {t}" for s in SITES for t in STRANDS if (s, t) not in found]:
-        raise ValueError(f"missing: {', '.join(lacking)}")
+        raise ValueError(f"no file tells {', '.join(lacking)}")
     return {kind: paths[0] for kind, paths in found.items()}
 
 
@@ -87,7 +97,7 @@ def chunk_folder(out: str) -> str:
 def single_file(out: str, gz: bool) -> str:
     """`out`, with .gz added once if compressed; a folder is an error."""
     if Path(out).is_dir():
-        raise ValueError(f"{out} is a folder; one file can't be written to it")
+        raise ValueError(f"a single file can't be written to the folder {out}")
     return out if not gz or out.endswith(".gz") else f"{out}.gz"
 
 

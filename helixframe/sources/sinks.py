@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import gzip
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import file_safe, region_header, site_key
 from ..operators.ordering import in_order
+from .files import local_path
 from .paths import chunk_name
 
 
@@ -56,6 +57,7 @@ def numbered_patch_lines(patches: DataFrame, first: int = 0) -> DataFrame:
 
 def _write(groups: DataFrame, by: str, folder: str, gz: bool) -> list[str]:
     """The lines (file, ord, value) of each file, joined; names of the files."""
+    folder = local_path(folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, out, names = None, None, []
@@ -98,7 +100,7 @@ def write_chunk_fasta(chunks: DataFrame, folder: str, gz: bool = False) -> list[
 
 
 def wig_lines(scored: DataFrame, column: str, least: float = 0.001, digits: int = 4) -> DataFrame:
-    """file, ord and value (a fixedStep block) of each record's values; blocks begin two after the chunk's start.
+    """file, ord (chrom and start) and value (a fixedStep block) of each record's values; blocks begin two after the chunk's start.
 
     scored: chrom, start, strand and `column` (an array). Numbers are written as Python writes them.
     """
@@ -107,17 +109,18 @@ def wig_lines(scored: DataFrame, column: str, least: float = 0.001, digits: int
     def text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             made = ["\n".join([f"fixedStep chrom={c} start={s + 2} step=1", *(repr(round(float(x), digits)) if x >= least else "0.0" for x in v)]) for c, s, v in zip(b["chrom"], b["start"], b["values"], strict=True)]
-            yield pd.DataFrame({"file": b["file"], "ord": b["ord"], "value": made})
+            yield pd.DataFrame({"file": b["file"], "chrom": b["chrom"], "start": b["start"], "value": made})
 
-    rows = scored.select(F.concat(site, F.lit(".wig")).alias("file"), F.struct("chrom", "start").alias("o"), "chrom", F.col("start").cast("long"), F.col(column).alias("values"))
-    ordered = rows.withColumn("ord", F.row_number().over(Window.partitionBy("file").orderBy("o")).cast("long")).drop("o")
-    return ordered.mapInPandas(text, "file string, ord long, value string")
+    rows = scored.select(F.concat(site, F.lit(".wig")).alias("file"), "chrom", F.col("start").cast("long"), F.col(column).alias("values"))
+    return rows.mapInPandas(text, "file string, chrom string, start long, value string").select("file", F.struct("chrom", "start").alias("ord"), "value")
 
 
 def write_wig(scored: DataFrame, folder: str, prefix: str, least: float = 0.001, digits: int = 4) -> list[str]:
-    """Four files, <prefix>.{acceptor,donor}_{plus,minus}.wig, each there even if empty."""
+    """Four files, <prefix>.{acceptor,donor}_{plus,minus}.wig, each there even if empty; a task sorts and writes a file, block by block."""
     both = wig_lines(scored, "acceptor", least, digits).unionAll(wig_lines(scored, "donor", least, digits))
+    folder = local_path(folder)
     made = _write(both.withColumn("file", F.concat(F.lit(f"{prefix}."), "file")), "file", folder, False)
+    os.makedirs(folder, exist_ok=True)
     for kind in ("acceptor", "donor"):
         for strand in ("plus", "minus"):
             if (name := f"{prefix}.{kind}_{strand}.wig") not in made:
@@ -126,6 +129,25 @@ def write_wig(scored: DataFrame, folder: str, prefix: str, least: float = 0.001,
     return sorted(made)
 
 
+def write_parts(rows: DataFrame, folder: str, ending: str, pack: Callable[[list[tuple]], bytes]) -> list[str]:
+    """A binary file of each partition's rows, as `pack` makes it; partitions without rows have none. Their paths."""
+    folder = local_path(folder)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        own = [r for b in batches for r in b.itertuples(index=False, name=None)]
+        if own:
+            os.makedirs(folder, exist_ok=True)
+            name = f"{folder}/part-{TaskContext.get().partitionId():05d}.{ending}"
+            with open(f"{name}.tmp", "wb") as f:
+                f.write(pack(own))
+            os.replace(f"{name}.tmp", name)
+            yield pd.DataFrame({"name": [name]})
+
+    return sorted(r.name for r in rows.mapInPandas(run, "name string").collect())
+
+
 def peak_lines(lines: DataFrame, mode: str = "bedgraph") -> DataFrame:
     """bedGraph (4 columns) or BED6 lines of profile_lines."""
     columns = {"bedgraph": ["chrom", "line_start", "line_end", "value"], "bed": ["chrom", "line_start", "line_end", "name", "value", "strand"]}[mode]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 _JUNCTION = ("chr", "start", "end", "strand", "motif", "annotated", "coverage", "multimap", "overhang")
 
 
@@ -28,27 +30,38 @@ def read_junctions(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    """chrom (the whole header line) and seq of FASTA files; gzip by name.
+    """chrom (the whole header line) and seq of FASTA files; gzip by name, or of a single file by its first bytes.
 
-    lenient: white space at line ends is dropped, a repeated header's last record holds. strict: headers are trimmed
-    and must be non-empty, space or tab within a sequence is an error. predict: lines are stripped at both ends. In any
-    mode a file must begin with a header. Records are split by the text source, so a file of many records is read in
-    parallel unless it is compressed.
+    lenient: white space at line ends is dropped, a repeated header's last record holds, and letters before a single
+    file's first header begin its first record. strict: headers are trimmed and must be non-empty, space or tab within a
+    sequence is an error. predict: lines are stripped at both ends. In these two a file must begin with a header.
+    Records are split by the text source, so a file of many records is read in parallel unless it is compressed.
     """
     if mode not in ("lenient", "strict", "predict"):
         raise ValueError(f"no such mode: {mode}")
+    head = files.head_of(spark, path)
+    if head and head[:2] == files.GZIP:
+        path, head = files.named_gz(spark, path), files.unpacked(head)
+    headless = bool(head) and mode == "lenient" and head.strip()[:1] not in (b">", b"")
     raw = spark.read.option("lineSep", "\n>").text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
     # the first record of a file still has its `>`
     first = raw.groupBy("_file").agg(F.min("_at").alias("_first"))
     rows = raw.join(F.broadcast(first), "_file").filter(F.length(F.trim("value")) > 0)
-    begins = F.col("value").startswith(">")
-    record = F.when((F.col("_at") == F.col("_first")) & ~begins, F.raise_error(F.lit("the file doesn't begin with a header"))).when(F.col("_at") == F.col("_first"), F.substring("value", 2, 2_000_000_000)).otherwise(F.col("value"))
+    if headless:  # the file's first record is letters only; the next one gets them
+        lead = rows.filter(F.col("_at") == F.col("_first")).select("_file", F.col("value").alias("_lead"))
+        second = rows.filter(F.col("_at") > F.col("_first")).groupBy("_file").agg(F.min("_at").alias("_second"))
+        rows = rows.filter(F.col("_at") > F.col("_first")).join(F.broadcast(second), "_file").join(lead, "_file")
+        joined = F.concat(F.substring_index("value", "\n", 1), F.lit("\n"), "_lead", F.substring("value", F.length(F.substring_index("value", "\n", 1)) + 1, F.length("value")))
+        rows = rows.withColumn("value", F.when(F.col("_at") == F.col("_second"), joined).otherwise(F.col("value")))
+    begins = F.col("value").startswith(">") | F.lit(headless)
+    record = F.when((F.col("_at") == F.col("_first")) & ~begins, F.raise_error(F.lit("the file doesn't begin with a header"))).when((F.col("_at") == F.col("_first")) & F.col("value").startswith(">"), F.substring("value", 2, 2_000_000_000)).otherwise(F.col("value"))
     rows = rows.select(F.regexp_replace(record, "\r", "").alias("r"), "_at")
     header, body = F.substring_index("r", "\n", 1), F.when(F.instr("r", "\n") > 0, F.substring("r", F.instr("r", "\n") + 1, F.length("r"))).otherwise(F.lit(""))
     if mode == "strict":
         header = F.when(F.trim(header) == "", F.raise_error(F.lit("an empty header"))).otherwise(F.trim(header))
         body = F.when(body.rlike("[ \t]"), F.raise_error(F.lit("white space within a sequence"))).otherwise(body)
     elif mode == "predict":
+        header = F.rtrim(header)
         body = F.regexp_replace(body, r"(?m)^[ \t]+|[ \t]+$", "")
     named = rows.select(header.alias("chrom"), F.replace(body, F.lit("\n"), F.lit("")).alias("seq"), "_at")
     return named.groupBy("chrom").agg(F.max_by("seq", "_at").alias("seq"))
@@ -108,3 +121,27 @@ def read_chains(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     chains = h.select(n(11).alias("chain_id"), n(0).alias("score"), F.get("h", F.lit(1)).alias("t_name"), n(2).alias("t_size"), target.alias("t_strand"), n(4).alias("t_start"), n(5).alias("t_end"), F.get("h", F.lit(6)).alias("q_name"), n(7).alias("q_size"), F.get("h", F.lit(8)).alias("q_strand"), n(9).alias("q_start"), n(10).alias("q_end"))
     blocks = h.select(n(11).alias("chain_id"), F.posexplode("b").alias("block_no", "line")).withColumn("x", F.split(F.trim("line"), r"\s+"))
     return chains, blocks.select("chain_id", "block_no", F.get("x", F.lit(0)).cast("bigint").alias("size"), F.get("x", F.lit(1)).cast("bigint").alias("dt"), F.get("x", F.lit(2)).cast("bigint").alias("dq"))
+
+
+def read_mini_chains(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Gaps and patches of an aligner's stream: for each gap a line `LINE<n>`, five numbers, chains, and the same line again.
+
+    gaps: line (n), size, t_block_end, t_gap_end, q_block_end, q_gap_end. patches: line, rank (from 0, in order of the
+    stream), score, t_start, t_end, q_strand, q_size, q_start, q_end and blocks (array of size, dt, dq); positions are
+    as in the chain's header. A gap without an alignment has no patch. A block that doesn't end with its line is an error.
+    """
+    raw = spark.read.option("lineSep", "LINE").text(path).select(F.regexp_extract("value", r"\A(\d+)", 1).alias("n"), F.regexp_replace("value", r"\A\d+\s*", "").alias("rest"), F.monotonically_increasing_id().alias("at")).filter("n <> ''")
+    whole = raw.groupBy(F.col("n").cast("bigint").alias("line")).agg(F.count(F.lit(1)).alias("times"), F.min_by("rest", "at").alias("rest"))
+    lines = F.filter(F.split("rest", r"\r?\n"), lambda x: F.trim(x) != "")
+    checked = F.when(F.col("times") == 2, lines).otherwise(F.raise_error(F.concat(F.lit("a block isn't closed: LINE"), F.col("line").cast("string"))).cast("array<string>"))
+    rows = whole.select("line", checked.alias("l"))
+    n = lambda k: F.trim(F.get("l", F.lit(k))).cast("bigint")
+    gaps = rows.select("line", *[n(k).alias(c) for k, c in enumerate(("size", "t_block_end", "t_gap_end", "q_block_end", "q_gap_end"))])
+    chains = F.split(F.array_join(F.slice("l", F.lit(6), F.size("l")), "\n"), r"(?m)^chain ")
+    found = rows.select("line", F.posexplode(F.filter(chains, lambda x: F.trim(x) != "")).alias("rank", "c")).select("line", "rank", F.split("c", "\n").alias("c"))
+    found = found.select("line", "rank", F.split(F.trim(F.get("c", F.lit(0))), r"\s+").alias("h"), F.filter(F.slice("c", F.lit(2), F.size("c")), lambda x: x.rlike(r"^\d")).alias("b"))
+    h = lambda k: F.get("h", F.lit(k))
+    cell = lambda x, k: F.get(F.split(F.trim(x), r"\s+"), F.lit(k)).cast("bigint")
+    blocks = F.transform("b", lambda x: F.struct(cell(x, 0).alias("size"), cell(x, 1).alias("dt"), cell(x, 2).alias("dq")))
+    numbers = [h(k).cast("bigint").alias(c) for k, c in ((0, "score"), (4, "t_start"), (5, "t_end"), (7, "q_size"), (9, "q_start"), (10, "q_end"))]
+    return gaps, found.select("line", "rank", *numbers, h(8).alias("q_strand"), blocks.alias("blocks"))

@@ -13,19 +13,25 @@ SITES = "chrom string, pos long, strand string, site string, score float, motif
 
 
 def test_bins_of_scores(spark):
-    f = lambda x: float(np.float32(x))
-    rows = [1.0, 0.0, f(0.01), f(0.9), f(0.95), float("nan"), 2.0, -1.0, f(0.999), f(0.0009)]
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in rows], "score float").select(c.score_bin(F.col("score"))).collect()]
-    assert got == [13, 0, 2, 8, 9, 13, 13, 0, 13, 0]
-    assert c.scored(spark.createDataFrame([(x,) for x in rows], "score float")).count() == 6
+    rng = random.Random(12)
+    edges = [np.float32(e) for e in c.EDGES]
+    near = [float(np.nextafter(e, np.float32(way))) for e in edges for way in (-9, 9)]
+    rows = [*map(float, edges), *near, *(float(np.float32(rng.random())) for _ in range(200)), float("nan"), 7.5, -3.25]
+    want = [13 if x != x else max(0, min(13, sum(np.float32(x) >= e for e in edges) - 1)) for x in rows]
+    got = [r[0] for r in spark.createDataFrame([(k, x) for k, x in enumerate(rows)], "k int, score float").select("k", c.score_bin(F.col("score")).alias("b")).orderBy("k").select("b").collect()]
+    assert got == want
+    assert c.scored(spark.createDataFrame([(x,) for x in rows], "score float")).count() == sum(x == x and np.float32(x) >= np.float32(0.001) for x in rows)
 
 
 def test_derived_scores(spark):
-    cases = [(0.0, 0.2, 7, -7, -7), (0.2, 0.0, 7, -7, 7), (0.0, 0.0, 7, -7, -7), (0.8, 0.2, 10, -10, 4), (1.0, 0.01, 3, -3, 3), (0.01, 1.0, 9, -4, -4)]
-    for p, q, hi, lo, want in cases:
-        assert spark.range(1).select(c.derived_score(F.lit(p), F.lit(q), lo, hi)).first()[0] == want
+    rng = random.Random(13)
+    cases = [(p, x, lo, lo + rng.randrange(0, 25)) for p in (0.0, 1.0, rng.random(), rng.random() / 999) for x in (0.0, 1.0, rng.random(), rng.random() / 999) for lo in (-6, 0)]
+    for p, x, lo, hi in cases:
+        raw = 0 if p == 0 or x == 0 else 2 * math.log2(p / x)
+        want = lo if p == 0 else hi if x == 0 else max(lo, min(hi, int(math.copysign(math.floor(abs(raw) + 0.5), raw))))
+        assert spark.range(1).select(c.derived_score(F.lit(p), F.lit(x), lo, hi)).first()[0] == want
     with pytest.raises(ValueError):
-        c.derived_score(F.lit(1.0), F.lit(1.0), 2, 1)
+        c.derived_score(F.lit(0.5), F.lit(0.5), 4, 3)
 
 
 def test_zero_bin_is_filled_up(spark):
@@ -75,8 +81,9 @@ def test_smoothing_and_overlap_add_against_numpy(spark):
         cover[s : s + 15] += 1
     want = np.convolve(whole, tracks.KERNEL, mode="same") / cover
     flat = spark.createDataFrame([("x", s + i, float(v)) for s, p in zip(starts, preds, strict=True) for i, v in enumerate(p)], "seq_id string, pos long, value double")
-    got = tracks.overlap_add(flat).select("pos", (tracks.smoothed("total") / F.col("coverage")).alias("v")).orderBy("pos").collect()
-    assert np.allclose([r.v for r in got], want)
+    for tile in (1 << 16, 7):
+        got = tracks.smoothed(tracks.overlap_add(flat), "total", "smooth", tile=tile).select("pos", (F.col("smooth") / F.col("coverage")).alias("v")).orderBy("pos").collect()
+        assert np.allclose([r.v for r in got], want)
 
 
 def test_floor_flanks_and_core(spark):

@@ -30,12 +30,11 @@ def cut(spark, rows, most):
 
 
 def test_windows(spark):
-    assert cut(spark, [(190, 330), (190, 240), (190, 190), (190, 291)], 50) == [[(190, 240), (240, 290), (290, 330)], [(190, 240)], [], [(190, 240), (240, 291)]]
-    two, three = cut(spark, [(0, 1009), (0, 1010)], 500)
-    assert len(two) == 2 and two[-1][1] == 1009 and three[2] == (1000, 1010)
     rng = random.Random(0)
-    for most in (1, 7, 10, 33):
-        rows = [(a, a + rng.randrange(0, 120)) for a in (rng.randrange(50) for _ in range(60))]
+    for most in (1, 7, 10, 33, 64, 500):
+        starts = [rng.randrange(3 * most) for _ in range(60)]
+        rows = [(a, a + rng.choice((rng.randrange(4 * most), most * rng.randrange(4) + rng.randrange(-2, 13) if most > 2 else 0))) for a in starts]
+        rows = [(a, max(a, b)) for a, b in rows]
         assert cut(spark, rows, most) == [loop(a, b, most) for a, b in rows]
 
 
@@ -166,3 +165,38 @@ def test_junctions(spark):
 def test_complement_table_is_an_involution(s):
     t = str.maketrans("ACGT", "TGCA")
     assert s[::-1].translate(t)[::-1].translate(t) == s
+
+
+def test_pair_counts_of_any_letters(spark):
+    rng = random.Random(5)
+    rows = [(f"c{k}", "".join(rng.choices("ACGTacgtNnRYx", k=rng.randrange(0, 200)))) for k in range(30)] + [("e", ""), ("n", None), ("long", "ACGTNR" * 2000 + "AAAA")]
+    want = {}
+    for _, s in rows:
+        s = (s or "").upper()
+        for pair in map("".join, zip(s, s[1:])):  # noqa: B905
+            if "N" not in pair:
+                for motif in (pair, pair[::-1].translate(str.maketrans("ACGT", "TGCA"))):
+                    want[motif] = want.get(motif, 0) + 1
+    frame = spark.createDataFrame(rows, "chrom string, seq string")
+    for length in (1 << 14, 7, 1):
+        assert {r.motif: r.n for r in genome.pair_counts(frame, length).collect()} == want
+
+
+@pytest.mark.parametrize("touch", [False, True])
+def test_merging_across_bins(spark, touch):
+    rng = random.Random(6)
+    rows = []
+    for chrom in "ab":
+        for _ in range(120):
+            a = rng.randrange(1500)
+            rows.append((chrom, "+", a, a + rng.choice((1, 3, 10, 10, 200))))
+    want = []
+    for chrom in "ab":
+        for _, _, a, b in sorted(r for r in rows if r[0] == chrom):
+            if want and want[-1][0] == chrom and (a <= want[-1][3] if touch else a < want[-1][3]):
+                want[-1] = (*want[-1][:3], max(b, want[-1][3]))
+            else:
+                want.append((chrom, "+", a, b))
+    frame = spark.createDataFrame(rows, "chrom string, strand string, start long, end long")
+    for width in (1 << 20, 16, 100):
+        assert sorted(map(tuple, intervals.merge(frame, touch=touch, bin_width=width).select("chrom", "strand", "start", "end").collect())) == want
