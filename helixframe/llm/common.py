@@ -2,47 +2,24 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: A frame is broadcast by hint only if its measured size is at most this; beyond it, joins shuffle.
-BROADCAST_BYTES = 32 << 20
+from ..storage import checkpointed, shared_folder
 
+__all__ = ["BROADCAST_BYTES", "buckets_for", "checkpointed", "free_name", "map_rows", "numbered", "shared_folder", "table", "text_or_empty"]
 
-_private: dict[str, str] = {}
+#: A frame is broadcast by hint only if its measured size is at most this; beyond it, joins shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; on one machine (a local master) a private one where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if spark.sparkContext.applicationId not in _private:
-        _private[spark.sparkContext.applicationId] = folder = tempfile.mkdtemp(prefix="helixframe-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return _private[spark.sparkContext.applicationId]
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder, lineage cut."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
-
-
 def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[list[list]], list[list]]]) -> DataFrame:
     """Rows of `df`, batch by batch, through `start()(columns)`, which returns the columns of `schema`.
 

@@ -15,28 +15,58 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k sketches of all documents and of their edited texts (see fingerprints.compare_with_edits).
+
+    A null text is empty; empty texts have empty fingerprints, alike only to each other; very long texts are sketched whole;
+    rows with equal ids follow each other by their text's hash; other columns aren't read; an empty table gives no rows.
+    """
     found = fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
     text = fingerprints.fingerprint_text
     return found.select("doc_id", "n_chars", "edited_sha256", text(F.col("sketch")).alias("fingerprint"), text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next", "n_shingles")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by Pfair windows; target weights are the square roots of the sources' counts (see mixing.mix_sources).
+
+    Null sources are one source, null ids and repeated rows are rows like any other, texts aren't read, ties between
+    deadlines go by source, and an empty table gives no rows.
+    """
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and their components at 2 bits (see simhash.near_duplicates).
+
+    BK-trees are built where the shuffle puts their shard and not broadcast, as all trees together grow with the corpus:
+    no size bound could be proven. Null and empty texts have fingerprint zero; very long ones are hashed whole; equal
+    fingerprints are taken together first; repeated rows stay; an empty table gives no rows.
+    """
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2, width=3)
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page urls judged by the contract's rules (see url_rules.filter_urls).
+
+    A null url, or one without `://`, has empty host and path; of rules that fit, the longest wins; repeated rows are each
+    judged; an empty table gives no rows.
+    """
     return url_rules.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages, by wrappers of their hosts (see html_wrappers.extract_pages).
+
+    Null, empty, very long and very deep pages have a defined text; repeated rows are each extracted; an empty table gives none.
+    """
     return html_wrappers.extract_pages(table(spark, sf_dir, "pages"))
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and the contract's own, folded from events, rendered, and read back (see chat).
+
+    A null text or role is empty; turns that are equal go by role and text; a very long conversation is one group, as it is
+    one row of output; repeated rows are turns of their own; an empty table gives conversation -1 only.
+    """
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = f"{chat.END}{chat.START}assistant ok"
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(own).alias("text"))
@@ -44,18 +74,38 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in all documents (see credentials.scan_secrets).
+
+    A null text is empty; very long texts are scanned whole; spans that begin together are listed by kind; repeated rows are
+    each scanned; an empty table gives no rows.
+    """
     return credentials.scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, tokenizer measures and verdicts of all documents (see quality.judge_quality).
+
+    A null text has no words and fails; a null language has the bands of others; very long texts are counted whole; repeated
+    rows are each judged; an empty table gives no rows.
+    """
     return quality.judge_quality(table(spark, sf_dir, "documents"))
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as piece ids, and the texts that these give back (see pieces.encode_documents).
+
+    A null text has null ids; an empty one has none; very long ones are coded whole; repeated rows are each coded; an empty
+    table gives no rows.
+    """
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes, equal texts together (see sharding.assign_shards).
+
+    A null text is empty; ties between loads go to the lowest shard and between sizes by item; rows with null or equal ids are
+    rows like any other; an empty table gives no rows.
+    """
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 

@@ -1,4 +1,5 @@
 import math
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -84,3 +85,10 @@ def test_rows(docs, odd_docs, no_docs, texts, spark):
     assert back == texts
     assert p.encode_documents(odd_docs).count() == odd_docs.count() and p.encode_documents(no_docs).count() == 0
     assert p.Coder(small()).decode([0xFF, 256]) == " "  # the first space goes with the mark, here with a bad byte
+
+
+def test_long_texts_without_spaces_take_linear_time():
+    coder, text = p.Coder(p.load_vocabulary()), "".join(chr(97 + k * k % 26) for k in range(400_000))
+    began = time.time()
+    ids = coder.encode(text)
+    assert time.time() - began < 20 and coder.decode(ids) == text

@@ -41,3 +41,22 @@ def test_odd_rows_through_all_stages(spark, tmp_path):
         got[name] = now.select("doc_id", "decoded").collect()
     assert len(got["plain"]) > 10 and sum(r.doc_id is None for r in got["odd"]) > 2
     assert sorted(r.decoded for r in got["odd"]) == sorted(r.decoded for r in got["plain"])
+
+
+def test_clashing_names_nulls_and_an_empty_table(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ("_key", "_position", "_drop", "_place", "_name", "_seq", "slot", "block", "position", "fp", "shard", "id", "n", "side", "part", "same", "ids", "decoded", "Text_")
+    clash = docs
+    for k, n in enumerate(names):
+        clash = clash.withColumn(n, F.lit(None).cast("string") if k % 2 else F.col("doc_id"))
+    nulls = clash.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).withColumn("source", F.when(F.col("doc_id") % 3 == 0, F.col("source"))).withColumn("n_chars", F.lit(None).cast("long"))
+    nulls = nulls.withColumn("text", F.when(F.col("doc_id") % 7 > 0, F.col("text")))
+    for name, now in (("clash", nulls), ("empty", clash.limit(0))):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, now, "/root/testdata/sf0.001")
+            if k < 4:
+                assert out.columns == clash.columns
+            at = str(tmp_path / f"{name}{k}")
+            out.write.parquet(at)
+            now = spark.read.parquet(at)
+        assert (now.count() > 20) == (name == "clash")

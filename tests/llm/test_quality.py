@@ -2,6 +2,9 @@ import random
 import re
 from collections import Counter
 
+import duckdb
+import public_tokenizers
+
 from helixframe.llm import quality as q
 
 
@@ -48,3 +51,19 @@ def test_rows(docs, odd_docs, no_docs):
     kept = q.keep_good(docs)
     want = {r.doc_id for r in q.judge_quality(docs).collect() if r.kept}
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want and q.keep_good(no_docs).count() == 0
+
+
+def measured(where):
+    """(language, label, measures) of the labelled rows of sf0.1 that pass the base rules."""
+    at = "/root/testdata/sf0.1"
+    rows = duckdb.connect().execute(f"SELECT text, lang, quality FROM read_parquet('{at}/documents.parquet') d JOIN read_parquet('{at}/labels.parquet') l USING (doc_id) WHERE text IS NOT NULL AND {where}").fetchall()
+    model = q.Fertility(open(public_tokenizers.path(q.VOCABULARY), "rb").read(), public_tokenizers.PATTERN)
+    return [(g, y, model.measure(t)) for t, g, y in rows if not base(t)[-1]]
+
+
+def test_bands_are_those_of_the_fitted_rows_and_hold_for_others():
+    fitted = [(g, c, e, n) for g, _, (c, _, e, n) in measured("quality = 1 AND doc_id % 2 = 0")]
+    assert len(fitted) == 1578 and q.fit_bands(fitted) == (q.BANDS, q.SHARE)
+    held = [(y, q.in_band(m, q.BANDS[g])) for g, y, m in measured("doc_id % 2 = 1")]
+    good, bad = ([k for y, k in held if y == x] for x in (1, 0))
+    assert sum(good) >= 0.998 * len(good) and sum(bad) <= 0.4 * len(bad)

@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 import duckdb
 import pytest
 
-from helixframe.llm import queries
+from helixframe.llm import mixing, pieces, queries
 from helixframe.llm.fingerprints import K
 from tests.llm.test_credentials import plain
 from tests.llm.test_fingerprints import edited, jaccard, shingles
@@ -57,14 +57,24 @@ def test_op1(spark, table):
 
 
 def test_op2(spark, table):
-    got = rows(spark, "op2_mixing")
+    got = sorted(rows(spark, "op2_mixing"), key=lambda r: r.position)
     assert Counter(r.doc_id for r in got) == Counter(list(table)) and len({r.position for r in got}) == len(got)
+    by = defaultdict(list)
     for r in got:
         assert r.slot == r.position // 16
-    by = defaultdict(list)
-    for r in sorted(got, key=lambda r: r.position):
         by[r.source].append(r.block)
     assert all(b == sorted(b) and set(b) == set(range(-(-len(b) // 16))) for b in by.values())
+    # against the weights themselves: less than a block off until a source runs out, and so on from there among the others
+    weights = mixing.whole_weights({s: len(b) ** 0.5 for s, b in by.items()}, mixing.PARTS)
+    left, ran, t = {s: -(-len(b) // 16) for s, b in by.items()}, Counter(), 0
+    for slot, s in sorted({(r.slot, r.source) for r in got}):
+        ran[s], t, left[s] = ran[s] + 1, t + 1, left[s] - 1
+        total = sum(weights[x] for x in left)
+        assert all(abs(ran[x] * total - t * weights[x]) < total for x in left), slot
+        if not left[s]:
+            del left[s]
+            ran, t = Counter(), 0
+    assert not left
 
 
 def test_op3(spark, table):
@@ -132,8 +142,28 @@ def test_op8(spark, table):
     assert sum(r.kept for r in clean) >= 0.97 * len(clean)
 
 
+def best_scores(text, scores, unknown, longest):
+    """The score of the best segmentation of a marked text, by trying every last piece."""
+    best = [0.0]
+    for end in range(1, len(text) + 1):
+        found = [best[k] + scores[t] for k in range(max(0, end - longest), end) if (t := text[k:end]) in scores]
+        if text[end - 1] not in scores:
+            found.append(best[-1] + unknown)
+        best.append(max(found))
+    return best[-1]
+
+
 def test_op9(spark, table):
-    assert {r.doc_id: r.decoded for r in rows(spark, "op9_pieces")} == table
+    got = {r.doc_id: r for r in rows(spark, "op9_pieces")}
+    assert {i: r.decoded for i, r in got.items()} == table
+    v = pieces.load_vocabulary()
+    scores = {k.decode(): s for k, s in zip(v.keys, v.scores, strict=True)}
+    by_id, lead = dict(zip(v.ids, v.scores, strict=True)), {i: b for b, i in enumerate(v.byte_ids)}
+    for i, text in sorted(table.items())[::2]:
+        if text and "\u2581" not in text and len(text) < 20_000:
+            own = sum(by_id[x] if x in by_id else v.unknown if lead[x] < 0x80 or lead[x] >= 0xC0 else 0.0 for x in got[i].ids)
+            want = best_scores("\u2581" + text.replace(" ", "\u2581"), scores, v.unknown, max(map(len, scores)))
+            assert abs(own - want) < 1e-6 * max(1, len(text)), i
 
 
 def test_op10(spark, table):
