@@ -14,10 +14,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, checkpointed, free_name, map_rows
+from .common import checkpointed, free_name, map_rows
 
 BITS = 64
 #: Blocks that a shard's fingerprints agree on: with a radius of 2, 3 of 5, which are 37 to 39 bits, so that 50 billion
@@ -249,15 +249,14 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # differ, give or take 6, and among unlike texts 128, give or take 8. Blocks of bits can't shard a search at such a
 # radius, so shards are texts that have the least of their shingles in common, by one of ANCHORS orders of shingles:
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
-# what the tree finds is checked by sketches, which are whole shingle sets (as 32-bit hashes) under SKETCH shingles;
-# pairs of larger sets that the sketches don't rule out are checked on whole sets.
-ANCHORS, SKETCH, FAR_BITS, WORDS, LIKENESS = 4, 1024, 58, 5, 0.8
-#: Over five times the standard error of a sketch's likeness at 0.8.
-MARGIN = 0.07
+# what the tree finds is checked on whole shingle sets, as 32-bit hashes.
+ANCHORS, FAR_BITS, WORDS, LIKENESS = 4, 58, 5, 0.8
 #: A shard of more members is dealt into parts of about so many (an eighth of it, between the two), and every two parts are compared.
 SHARD_MOST, PART_MOST = 512, 8192
-#: Members that are compared at once, and shards for which it pays.
-TILE, FEW = 1024, 32
+#: Hashes of a part, if its members are long texts.
+PART_HASHES = 1 << 24
+#: Members, and hashes, that are compared at once, and shards for which it pays.
+TILE, TILE_HASHES, FEW = 1024, 1 << 20, 32
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + ANCHORS)], dtype="<u8")
 
 
@@ -274,50 +273,34 @@ def wide_simhash(hashes: np.ndarray) -> bytes:
     return b"".join(simhash(_mixed(hashes, k)).to_bytes(8, "little") for k in range(4))
 
 
-def likeness(a: np.ndarray, b: np.ndarray, most: int = SKETCH) -> float:
-    """Jaccard likeness of two sketches (least `most` distinct hashes, in order): exact for sets of up to `most`. Empty ones are alike."""
-    if len(a) < most and len(b) < most:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
-    union = np.union1d(a, b)[:most]
-    return int(np.isin(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True).sum()) / len(union)
-
-
-def verdict(a: np.ndarray, b: np.ndarray, least: float) -> tuple[bool, bool] | None:
-    """Whether two sketches' texts are surely alike, and whether the sketches were whole sets; None if surely not alike.
-
-    With sketches of larger sets likeness is an estimate, off by MARGIN or more in about one of 10**8 pairs: one less by
-    MARGIN is rejected, and any other pair is to be checked on whole sets (at over `least` + MARGIN it may be taken as a link
-    for the time being, which spares the search of more links between the same classes).
-    """
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return None
-    like = likeness(a, b)
-    if len(a) < SKETCH and len(b) < SKETCH:
-        return (True, True) if like >= least else None
-    return None if like < least - MARGIN else (like >= least + MARGIN, False)
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard likeness of two sets (distinct hashes, in order); empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
 def _narrow(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """key, same (a hash of the shingle set), fp (32 bytes) and anchors of every row."""
+    """key, same (a hash of the shingle set), size (of that), fp (32 bytes) and anchors of every row."""
 
     def start():
         def one(t: bytes | None) -> tuple:
             distinct = np.unique(shingle_hashes(t, width))  # fingerprints are of sets, as likeness is
             anchors = [int(_mixed(distinct, 4 + k).min()) if len(distinct) else 0 for k in range(ANCHORS)]
-            return xxhash.xxh3_128_digest(distinct.tobytes()), wide_simhash(distinct), [a - (1 << 64) if a >> 63 else a for a in anchors]
+            return xxhash.xxh3_128_digest(distinct.tobytes()), len(distinct), wide_simhash(distinct), [a - (1 << 64) if a >> 63 else a for a in anchors]
 
         return lambda columns: [columns[0], *map(list, zip(*map(one, columns[1]), strict=True))]
 
-    return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), f"`{key}` long, same binary, fp binary, anchors array<long>", start)
+    return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), f"`{key}` long, same binary, size long, fp binary, anchors array<long>", start)
 
 
-def _sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+def _sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """key and set: the distinct shingles of the whole text as 32-bit hashes, in order."""
+
     def start():
-        sketch = lambda t: np.unique((_mixed(shingle_hashes(t, width), 0) >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
-        return lambda columns: [columns[0], [sketch(t) for t in columns[1]]]
+        whole = lambda t: np.unique((_mixed(shingle_hashes(t, width), 0) >> np.uint64(32)).astype("<u4")).tobytes()
+        return lambda columns: [columns[0], [whole(t) for t in columns[1]]]
 
-    return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), f"`{key}` long, sketch binary", start)
+    return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), f"`{key}` long, set binary", start)
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -362,84 +345,76 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 
 
 def alike(left: list[np.ndarray], right: list[np.ndarray], least: float) -> np.ndarray:
-    """Whether each whole set of `left` and each of `right` have a likeness of `least` or more; empty ones are alike."""
+    """Whether each set of `left` and each of `right` have a likeness of `least` or more; empty ones are alike."""
     common = common_counts(left, right)
     union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - common
     return np.where(union == 0, True, common >= least * union - 1e-3)  # counts are whole, and least * union isn't off by as much
 
 
-Member = tuple[int, bytes, np.ndarray]  # key, fingerprint, sketch
-Link = tuple[int, int, bool]  # greater key, lesser key, whether that is sure
+Member = tuple[int, bytes, np.ndarray]  # key, fingerprint, set
+
 
+def tiles(members: list[Member]) -> list[slice]:
+    """Members in runs of at most TILE, and of at most TILE_HASHES hashes or one member."""
+    out, start, hashes = [], 0, 0
+    for k, (_, _, own) in enumerate(members):
+        if k > start and (k - start == TILE or hashes + len(own) > TILE_HASHES):
+            out.append(slice(start, k))
+            start, hashes = k, 0
+        hashes += len(own)
+    return [*out, slice(start, len(members))] if members else out
 
-def own_links(members: list[Member], radius: int, least: float) -> list[Link]:
-    """Links (see `verdict`) that connect what is linked among a shard's members, found with a BK-tree of their fingerprints."""
+
+def own_links(members: list[Member], radius: int, least: float) -> list[tuple[int, int]]:
+    """Links (greater key, lesser key) that connect what is linked among a shard's members, found with a BK-tree of their fingerprints."""
     tree, at, classes, links = BKTree(), {}, Classes(), []
-    whole = [k for k, m in enumerate(members) if len(m[2]) < SKETCH] if len(members) > FEW else []
-    place = dict(zip(whole, range(len(whole)), strict=True))
-    sure = alike([members[k][2] for k in whole], [members[k][2] for k in whole], least) if whole else None
-    for k, (key, bits, sketch) in enumerate(members):
+    sure = None
+    if len(members) > FEW:
+        sets, runs = [m[2] for m in members], tiles(members)
+        sure = np.block([[alike(sets[a], sets[b], least) for b in runs] for a in runs])
+    for k, (key, bits, own) in enumerate(members):
         fp = int.from_bytes(bits, "little")
         for near in tree.within(fp, radius):
             for o in at[near]:
-                if classes.find(k) == classes.find(o):
-                    continue
-                if k in place and o in place:
-                    found = (True, True) if sure[place[k], place[o]] else None
-                else:
-                    found = verdict(sketch, members[o][2], least)
-                if found:
-                    if found[0]:
-                        classes.join(k, o)
-                    links.append((max(key, members[o][0]), min(key, members[o][0]), found[1]))
+                if classes.find(k) != classes.find(o) and (likeness(own, members[o][2]) >= least if sure is None else sure[k, o]):
+                    classes.join(k, o)
+                    links.append((max(key, members[o][0]), min(key, members[o][0])))
         if fp not in at:
             tree.add(fp, 0)
         at.setdefault(fp, []).append(k)
     return links
 
 
-def crossed_links(left: list[Member], right: list[Member], radius: int, least: float) -> list[Link]:
-    """Links (see `verdict`) that connect what is linked between members of `left` and of `right`; every pair is compared, TILE by TILE.
+def crossed_links(left: list[Member], right: list[Member], radius: int, least: float) -> list[tuple[int, int]]:
+    """Links (greater key, lesser key) that connect what is linked between members of `left` and of `right`; every pair is compared, tile by tile.
 
     Fingerprints are compared by counting bits: at a radius this wide a tree skips nothing.
     """
-    own, other = (np.array([m[0] for m in side], dtype=np.int64) for side in (left, right))
     words = [np.frombuffer(b"".join(m[1] for m in side), dtype="<u8").reshape(len(side), -1) for side in (left, right)]
     name = [np.arange(len(left)), np.arange(len(left), len(left) + len(right))]  # of each member's class
-    links: list[Link] = []
-
-    def link(i: int, j: int, found: tuple[bool, bool]) -> None:
-        if found[0]:
-            gone = name[1][j]
-            for side in name:
-                side[side == gone] = name[0][i]
-        links.append((int(max(own[i], other[j])), int(min(own[i], other[j])), found[1]))
-
-    for a in range(0, len(left), TILE):
-        for b in range(0, len(right), TILE):
-            rows, columns = left[a : a + TILE], right[b : b + TILE]
-            close = np.zeros((len(rows), len(columns)), dtype=np.uint16)
+    links: list[tuple[int, int]] = []
+    for a in tiles(left):
+        for b in tiles(right):
+            close = np.zeros((a.stop - a.start, b.stop - b.start), dtype=np.uint16)
             for w in range(words[0].shape[1]):
-                close += np.bitwise_count(words[0][a : a + TILE, None, w] ^ words[1][None, b : b + TILE, w])
+                close += np.bitwise_count(words[0][a, None, w] ^ words[1][None, b, w])
             close = close <= radius
-            short = [np.array([len(m[2]) < SKETCH for m in side], dtype=bool) for side in (rows, columns)]
-            x, y = (np.flatnonzero(k) for k in short)
-            if len(x) and len(y):
-                sure = alike([rows[k][2] for k in x], [columns[k][2] for k in y], least) & close[np.ix_(x, y)]
-                for k in np.flatnonzero(sure.any(axis=1)):
-                    i = a + x[k]
-                    near = b + y[np.flatnonzero(sure[k])]
-                    near = near[name[1][near] != name[0][i]]
-                    for j in near[np.unique(name[1][near], return_index=True)[1]]:  # one of each class
-                        link(i, j, (True, True))
-            for k, o in zip(*np.nonzero(close & ~(short[0][:, None] & short[1][None, :])), strict=True):
-                if name[0][a + k] != name[1][b + o] and (found := verdict(rows[k][2], columns[o][2], least)):
-                    link(a + k, b + o, found)
+            if not close.any():
+                continue
+            sure = close & alike([m[2] for m in left[a]], [m[2] for m in right[b]], least)
+            for k in np.flatnonzero(sure.any(axis=1)):
+                i, near = a.start + k, b.start + np.flatnonzero(sure[k])
+                near = near[name[1][near] != name[0][i]]
+                for j in near[np.unique(name[1][near], return_index=True)[1]]:  # one of each class
+                    gone = name[1][j]
+                    for side in name:
+                        side[side == gone] = name[0][i]
+                    links.append((max(left[i][0], right[j][0]), min(left[i][0], right[j][0])))
     return links
 
 
 def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
-    """a, b, whole: links between members (id, fp, sketch) of each shard, those not whole to be checked; a task holds one shard at a time.
+    """a, b: links between members (id, fp, set) of each shard; a task holds one shard at a time.
 
     Where side is 0, a shard's members are compared with each other, else those of side 1 with those of side 2.
     """
@@ -447,64 +422,29 @@ def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sides = None, ([], [], [])
 
-        def close() -> list[Link]:
+        def close() -> list[tuple[int, int]]:
             return own_links(sides[0], radius, least) + (crossed_links(*sides[1:], radius, least) if sides[1] and sides[2] else [])
 
-        def links(found: list[Link]) -> pa.RecordBatch:
-            columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "whole"])
+        def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
 
         for batch in batches:
-            found: list[Link] = []
-            for name, key, fp, side, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found: list[tuple[int, int]] = []
+            for name, key, fp, side, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if name != at:
                     found += close()
                     at, sides = name, ([], [], [])
-                sides[side].append((key, fp, np.frombuffer(sketch, dtype="<u4")))
+                sides[side].append((key, fp, np.frombuffer(own, dtype="<u4")))
             yield links(found)
         yield links(close())
 
-    return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "side", "sketch").mapInArrow(run, "a long, b long, whole boolean")
-
-
-def _alike_as_a_whole(edges: DataFrame, docs: DataFrame, least: float, key: str, text: str, width: int) -> DataFrame:
-    """Those of `edges` (a, b) whose texts' whole shingle sets have a likeness of `least` or more."""
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    n = edges.count()
-    if not n:
-        return edges
-    texts = texts.join(F.broadcast(ids) if 32 * n <= BROADCAST_BYTES else ids, "id", "left_semi")  # so that few texts are shuffled
-    met = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-
-    def start():
-        last: list = [None, None]  # one text's pairs often follow each other
-
-        def whole(t: bytes | None, keep: bool) -> np.ndarray:
-            if keep and last[0] == t:
-                return last[1]
-            made = np.unique(shingle_hashes(t, width))
-            if keep:
-                last[:] = t, made
-            return made
-
-        def step(columns: list[list]) -> list[list]:
-            kept = []
-            for a, b, left, right in zip(*columns, strict=True):
-                x, y = whole(left, False), whole(right, True)
-                if likeness(x, y, len(x) + len(y) + 1) >= least:
-                    kept.append((a, b))
-            return [[a for a, _ in kept], [b for _, b in kept]]
-
-        return step
-
-    return map_rows(met.select("a", "b", "left", "right"), "a long, b long", start)
+    return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "side", "set").mapInArrow(run, "a long, b long")
 
 
-def _with_sizes(placed: DataFrame) -> DataFrame:
-    """`placed` with the number n of members of their shard; members alone in theirs go."""
+def _with_sizes(placed: DataFrame, *more: Column) -> DataFrame:
+    """`placed` with the number n of members of their shard, and `more` (aggregates); members alone in theirs go."""
     # written first, so that both sides of the join are plain exchanges, and a large shard's rows can be split
-    sizes = checkpointed(placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    sizes = checkpointed(placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), *more).filter("n > 1"))
     return placed.join(sizes, "shard")
 
 
@@ -514,27 +454,26 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
     Near copies are texts whose sets of `width`-word shingles (words at ASCII spaces, A-Z lower-cased; fewer words make
     one shingle) have a likeness of `least` or more; texts without words are copies of each other. Equal sets are taken
     together before anything is searched. A shard of more than tree_most members is dealt by hash into parts of about an
-    eighth of it (tree_most to PART_MOST); each part, and each pair of parts, is a task's work, so that every two members
-    of a shard are compared, whatever its size (n members make 8 n rows, or n * n / PART_MOST if that is more). Keys must
-    tell rows apart; rows with a null key have no copies. An empty table gives none.
+    eighth of it (tree_most to PART_MOST, and about PART_HASHES hashes); each part, and each pair of parts, is a task's
+    work, so that every two members of a shard are compared on their whole sets, whatever its size (n members make 8 n
+    rows, or n * n / PART_MOST if that is more). Keys must tell rows apart; rows with a null key have no copies. An empty
+    table gives none.
     """
     rows = checkpointed(_narrow(docs, key, text, width).filter(F.col(key).isNotNull()))
-    same = rows.groupBy("same").agg(F.min(key).alias("id"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors"))
+    same = rows.groupBy("same").agg(F.min(key).alias("id"), F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors"))
     reps = checkpointed(same)
-    one = reps.select("id", "fp", F.posexplode("anchors").alias("k", "anchor")).select("id", "fp", F.xxhash64("k", "anchor").alias("shard"))
-    many = _with_sizes(one)
+    one = reps.select("id", "size", "fp", F.posexplode("anchors").alias("k", "anchor")).select("id", "size", "fp", F.xxhash64("k", "anchor").alias("shard"))
+    many = _with_sizes(one, F.sum("size").alias("hashes"))
     part = F.least(F.lit(max(PART_MOST, tree_most)), F.greatest(F.lit(tree_most), F.ceil(F.col("n") / 8)))
-    parts = F.ceil(F.col("n") / part).cast("int")
-    large = many.filter(F.col("n") > tree_most).select("id", "fp", "shard", parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
+    many = many.withColumn("parts", F.when((F.col("n") > tree_most) | (F.col("hashes") > PART_HASHES), F.greatest(F.ceil(F.col("n") / part), F.ceil(F.col("hashes") / PART_HASHES))).otherwise(1).cast("int"))
+    large = many.filter("parts > 1").select("id", "fp", "shard", "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"))
     met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # each part with itself and every other
     pair = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))
     side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
-    small = many.filter(F.col("n") <= tree_most).select("id", "fp", "shard", F.lit(0).alias("side"))
+    small = many.filter("parts = 1").select("id", "fp", "shard", F.lit(0).alias("side"))
     placed = small.unionByName(met.select("id", "fp", pair.alias("shard"), side.alias("side")))
-    members = _sketches(docs, key, text, width).withColumnRenamed(key, "id").join(placed, "id")
-    found = checkpointed(_checked_links(members, radius, least).distinct())
-    unsure = found.filter("not whole").select("a", "b")
-    edges = found.filter("whole").select("a", "b").unionByName(_alike_as_a_whole(unsure, docs, least, key, text, width))
+    members = _sets(docs, key, text, width).withColumnRenamed(key, "id").join(placed, "id")
+    edges = checkpointed(_checked_links(members, radius, least).distinct())
     tops = classes_of(edges).withColumnRenamed("fp", "id")
     named = reps.join(tops, "id", "left").select("same", F.coalesce("top", "id").alias("component_id"))
     return rows.join(named, "same").select(key, "component_id")
