@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..storage import checkpointed, shared_folder
 
-__all__ = ["BROADCAST_BYTES", "buckets_for", "checkpointed", "free_name", "map_rows", "numbered", "shared_folder", "table", "text_or_empty"]
+__all__ = ["BROADCAST_BYTES", "buckets_for", "checkpointed", "free_name", "map_batches", "map_rows", "numbered", "shared_folder", "table", "text_or_empty"]
 
 #: A frame is broadcast by hint only if its measured size is at most this; beyond it, joins shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -40,6 +40,18 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[list[list
     return df.mapInArrow(run, schema)
 
 
+def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+    """Rows of `df`, batch by batch, through `start()(batch)`, which returns a batch with the same columns; `start` runs once a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = start()
+        for batch in batches:
+            if batch.num_rows:
+                yield step(batch)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def buckets_for(rows: int) -> int:
     """How many hash buckets a group of so many rows is numbered in: about 65,536 rows each, 1,024 to 1,048,576 buckets."""
     return max(1024, min(1 << 20, rows >> 16))

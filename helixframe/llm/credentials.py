@@ -7,10 +7,11 @@ import math
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_batches, map_rows
 
 #: Kinds in the order in which spans that start together are listed; the last is the models'.
 KINDS = ("assign", "access", "hex", "random")
@@ -149,7 +150,6 @@ def redact_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None
     Null texts stay null, other columns are as they are, whatever they are called; repeated rows are each done; an empty table gives none.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit_models(samples or labelled_samples()))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at, count = docs.columns.index(text), docs.columns.index(chars) if chars in docs.columns else None
 
     def start():
@@ -163,13 +163,14 @@ def redact_secrets(docs: DataFrame, samples: list[tuple[str, int]] | None = None
                     done = e
             return "".join([*parts, t[done:]])
 
-        def step(columns):
-            new = [t if t is None else clean(t) for t in columns[at]]
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            columns, old = list(batch.columns), batch.column(at).to_pylist()
+            new = [t if t is None else clean(t) for t in old]
             if count is not None:
-                columns[count] = [n if a == b else len(b) for n, a, b in zip(columns[count], columns[at], new, strict=True)]
-            columns[at] = new
-            return columns
+                columns[count] = pa.array([n if a == b else len(b) for n, a, b in zip(columns[count].to_pylist(), old, new, strict=True)], columns[count].type)
+            columns[at] = pa.array(new, columns[at].type)
+            return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
         return step
 
-    return map_rows(docs, schema, start)
+    return map_batches(docs, start)

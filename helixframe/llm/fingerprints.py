@@ -128,7 +128,9 @@ def compare_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     The edited text has its last floor(n/2) code points replaced by the first as many (or all) of the next row's text,
     rows by descending key, the first after the last. Null texts are empty; an empty text has an empty fingerprint and
-    is like another empty text only. A lone row is its own next. Rows with null keys come last; repeated rows stay.
+    is like another empty text only; very long texts are sketched whole. A lone row is its own next. Rows with null keys
+    come last; rows with equal keys follow each other by their text's hash, then text; repeated rows stay; an empty table
+    gives none.
     """
     dealt, own, order = with_next(docs.select(F.col(key), text_or_empty(text).alias("_text")), key)
     half = F.floor(F.col("n_chars") / 2).cast("int")

@@ -6,10 +6,11 @@ import base64
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_batches, map_rows
 
 # Fixed values of the contract.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -161,16 +162,15 @@ def keep_good(docs: DataFrame, bands: dict | None = None, vocabulary: str | None
     Null and empty texts fail the base rules, and go; repeated rows are each judged; an empty table gives none.
     """
     make = _judge(docs, bands, vocabulary, pattern)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at, language = docs.columns.index(text), docs.columns.index(lang)
 
     def start():
         one = make()
 
-        def step(columns):
-            kept = [one(None if t is None else t.encode(), g)[_KEPT] for t, g in zip(columns[at], columns[language], strict=True)]
-            return [[x for x, k in zip(c, kept, strict=True) if k] for c in columns]
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = zip(batch.column(at).to_pylist(), batch.column(language).to_pylist(), strict=True)
+            return batch.filter(pa.array([one(None if t is None else t.encode(), g)[_KEPT] for t, g in rows], pa.bool_()))
 
         return step
 
-    return map_rows(docs, schema, start)
+    return map_batches(docs, start)

@@ -27,7 +27,8 @@ def assign_shards(docs: DataFrame, shards: int = 16, bins: int = 16_384, heavy_p
     bytes is an item of its own, and so at most shards * heavy_parts groups are; smaller groups are bundled by hash into
     `bins` items. The heap therefore gets at most shards * heavy_parts + bins items whatever the input, and its answer
     is a table of that size, which is what is broadcast. A group over 1/shards of all bytes makes its shard larger.
-    Rows with a null key or repeated rows are rows like any other. An empty table gives no rows.
+    Ties between loads go to the lowest shard, between sizes to the lesser item. Very long texts count whole. Rows with a
+    null key or repeated rows are rows like any other. An empty table gives no rows.
     """
     spark = docs.sparkSession
     whole = text_or_empty(text)

@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
     """`key`, fingerprint (16 lowercase hex digits) and component_id (the least key reachable by links) of every row.
 
     Texts without words have fingerprint zero, and are linked like any others. Equal fingerprints are taken together
-    before anything is searched. Null keys don't count as least unless all of a class are null; repeated rows stay; an
+    before anything is searched; very long texts are hashed whole, in bounded memory. Null keys don't count as least unless all of a class are null; repeated rows stay; an
     empty table gives none. A component is at most what is reachable over links of `radius` bits or fewer.
     """
     rows = checkpointed(fingerprints(docs, width, key, text))

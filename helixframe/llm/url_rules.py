@@ -73,7 +73,9 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str, str]], default: str =
     """`key` (a long), host, path, rule and verdict of every row of `df`; other columns are not read.
 
     rules: (allow or block, host, path). `default` is the verdict where no rule fits. Null or malformed urls have an
-    empty host and path, so that only the default applies; repeated rows are each judged; an empty table gives none.
+    empty host and path, so that only the default applies; very long ones are judged whole; of rules that fit, that with
+    most host labels wins, then that with the longest path (of two with the same host and path, the later); repeated rows are
+    each judged; an empty table gives none.
     """
     trie = df.sparkSession.sparkContext.broadcast(build_trie(rules))
 

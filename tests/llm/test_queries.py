@@ -1,15 +1,20 @@
 """The registered queries over whole small tables: against DuckDB where there is SQL, else against brute force."""
 
+import base64
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import duckdb
+import public_tokenizers
 import pytest
+import tiktoken
 
-from helixframe.llm import mixing, pieces, queries
+from helixframe.llm import credentials, mixing, pieces, quality, queries
 from helixframe.llm.fingerprints import K
 from tests.llm.test_credentials import plain
 from tests.llm.test_fingerprints import edited, jaccard, shingles
@@ -133,10 +138,44 @@ def test_op7(spark, table):
         assert [s for s in spans if not s.startswith("random")] == listed and len(spans) == len(listed) + r.n_random
 
 
+def test_op7_random_spans(spark, table):
+    """The models' spans: runs that are left once base spans are blanked out, judged one by one."""
+    ratio = credentials.fit_models(credentials.labelled_samples())
+    rng = random.Random(3)
+    planted = {i: f"{t} {''.join(rng.choices('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', k=24))}{'ab12' * 7}" for i, t in table.items()}
+    docs = spark.createDataFrame(list(planted.items()), "doc_id long, text string")
+    for r in credentials.scan_secrets(docs).collect():
+        text = list(planted[r.doc_id])
+        for s, e, _ in plain(planted[r.doc_id]):
+            text[s:e] = " " * (e - s)
+        runs = re.finditer("[A-Za-z0-9+/_=-]{12,}", "".join(text))
+        want = [f"random:{m.start()}:{m.end()}" for m in runs if sum(ratio.get(p, 0.0) for p in zip(["", *m[0]], m[0])) > 12 + 3 * max(0, 16 - len(m[0]))]  # noqa: B905
+        assert [x for x in r.spans.split(",") if x.startswith("random")] == want and r.n_random == len(want) >= 1
+
+
 def test_op8(spark, table):
     found = rows(spark, "op8_quality")
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    ranks = dict(line.split() for line in open(public_tokenizers.path(quality.VOCABULARY), "rb").read().splitlines())
+    tokens = {int(n): base64.b64decode(t) for t, n in ranks.items()}
+    coder = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: n for n, t in tokens.items()}, special_tokens={})
+
+    def partial(token):
+        return token.decode("utf-8", "ignore").encode() != token
+
     for r in found:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(table[r.doc_id])
+        if r.base_failed:
+            assert not r.kept and r.n_tokens is None
+            continue
+        ids = coder.encode_ordinary(table[r.doc_id])
+        times = Counter(ids)
+        entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in times.values())
+        chars, fallback = len(table[r.doc_id]) / len(ids), sum(partial(tokens[x]) for x in ids) / len(ids)
+        assert r.n_tokens == len(ids) and math.isclose(r.chars_per_token, chars) and math.isclose(r.fallback_share, fallback, abs_tol=1e-12) and math.isclose(r.token_entropy, entropy, rel_tol=1e-9)
+        band = quality.BANDS.get(lang[r.doc_id]) or quality.BANDS[None]
+        ends = [(chars, *band["chars"]), (fallback, *band["fallback"]), (entropy, min(band["entropy"][0], quality.SHARE * math.log2(len(ids))), band["entropy"][1])]
+        assert r.kept == all(lo <= x <= hi for x, lo, hi in ends)
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality}
     clean = [r for r in found if r.doc_id in good and not r.base_failed]
     assert sum(r.kept for r in clean) >= 0.97 * len(clean)
@@ -179,3 +218,19 @@ def test_op10(spark, table):
     assert all(len(x) == 1 for x in shard.values()) and all(sorted(x) == list(range(len(x))) for x in slots.values())
     largest = max(Counter({t: (len(t) + 1) * sum(x.encode() == t for x in table.values()) for t in shard}).values())
     assert set(load) == set(range(16)) and max(load.values()) - min(load.values()) <= largest
+    # the placement: groups over 1/1,024 of all bytes by themselves, others by bin of their hash, largest first to the least load
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    group = {r.doc_id: r.g for r in docs.selectExpr("doc_id", "xxhash64(coalesce(text, '')) g").collect()}
+    size = Counter()
+    for r in got:
+        size[group[r.doc_id]] += r["size"]
+    least = sum(size.values()) / (16 * 64)
+    item = {g: (-1, g) if n > least else (g % 16_384, 0) for g, n in size.items()}
+    weight = Counter()
+    for g, n in size.items():
+        weight[item[g]] += n
+    loads, place = [0] * 16, {}
+    for k in sorted(weight, key=lambda k: (-weight[k], k)):
+        place[k] = loads.index(min(loads))
+        loads[place[k]] += weight[k]
+    assert {r.doc_id: r.shard for r in got} == {i: place[item[g]] for i, g in group.items()}
