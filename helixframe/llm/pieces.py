@@ -14,7 +14,7 @@ from .common import map_rows
 MARK = "▁"
 #: A vocabulary is broadcast, so that a larger one is refused.
 MOST_PIECES = 1_000_000
-#: Segments of texts that a task keeps with their pieces, and the longest kept; beyond that it begins anew, which changes no result.
+#: Segments of texts that a worker keeps with their pieces, and the longest kept; beyond that it begins anew, which changes no result.
 MOST_KEPT, LONGEST_KEPT = 300_000, 64
 #: What an unknown character costs more than the worst piece.
 UNKNOWN = 10.0
@@ -93,6 +93,16 @@ class Vocabulary:
         self.byte_ids, self.size = byte_ids, size
         self.unknown = min(self.scores, default=0.0) - UNKNOWN
         self.line_ends = any("\n" in p for p, _, _ in pieces)
+        self._coder: Coder | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_coder": None}
+
+    def coder(self) -> Coder:
+        """The coder of this process: a worker's tasks, which have one broadcast value, share it and the segments that it keeps."""
+        if self._coder is None:
+            self._coder = Coder(self)
+        return self._coder
 
 
 def load_vocabulary(model: str | None = None, ranked: bool = True) -> Vocabulary:
@@ -110,7 +120,7 @@ def load_vocabulary(model: str | None = None, ranked: bool = True) -> Vocabulary
 
 
 class Coder:
-    """Encodes and decodes texts; one per task."""
+    """Encodes and decodes texts."""
 
     def __init__(self, v: Vocabulary) -> None:
         self.base, self.check = v.base.tolist(), v.check.tolist()
@@ -211,7 +221,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary | None = None, keep
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
 
     def start():
-        coder = Coder(shared.value)
+        coder = shared.value.coder()
 
         def step(columns):
             *kept, texts = columns
@@ -232,7 +242,7 @@ def decode_ids(rows: DataFrame, vocabulary: Vocabulary | None = None, keep: tupl
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
 
     def start():
-        coder = Coder(shared.value)
+        coder = shared.value.coder()
         return lambda columns: [*columns[:-1], [None if x is None else coder.decode(x) for x in columns[-1]]]
 
     got = rows.select(*keep, ids)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,12 @@ class Fertility:
         return len(text) / len(ids), float(times[self.is_byte[: len(times)]].sum() / len(ids)), float(-(share * np.log2(share)).sum()), len(ids)
 
 
+@lru_cache(1)
+def fertility(ranks: bytes, pattern: str) -> Fertility:
+    """The measures of this process: a worker's tasks, which have one broadcast value, share them."""
+    return Fertility(ranks, pattern)
+
+
 def _is_part(token: bytes) -> bool:
     try:
         token.decode()
@@ -116,7 +123,7 @@ def _judge(docs: DataFrame, bands: dict | None, vocabulary: str | None, pattern:
     bands = bands or BANDS
 
     def make():
-        model = Fertility(ranks.value, pattern)
+        model = fertility(ranks.value, pattern)
 
         def one(t: bytes | None, language: str | None) -> tuple:
             t = t or b""
