@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
 # what the tree finds is checked on whole shingle sets, as 32-bit hashes.
 ANCHORS, FAR_BITS, WORDS, LIKENESS = 4, 58, 5, 0.8
-#: A shard of more members is dealt into parts of about so many (an eighth of it, between the two), and every two parts are compared.
+#: A shard of more members is dealt into parts of about so many (a sixteenth of it, between the two), and every two parts are compared.
 SHARD_MOST, PART_MOST = 512, 8192
 #: Hashes of a part, if its members are long texts.
 PART_HASHES = 1 << 24
@@ -453,10 +453,10 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
 
     Near copies are texts whose sets of `width`-word shingles (words at ASCII spaces, A-Z lower-cased; fewer words make
     one shingle) have a likeness of `least` or more; texts without words are copies of each other. Equal sets are taken
-    together before anything is searched. A shard of more than tree_most members is dealt by hash into parts of about an
-    eighth of it (tree_most to PART_MOST, and about PART_HASHES hashes); each part, and each pair of parts, is a task's
-    work, so that every two members of a shard are compared on their whole sets, whatever its size (n members make 8 n
-    rows, or n * n / PART_MOST if that is more). Keys must tell rows apart; rows with a null key have no copies. An empty
+    together before anything is searched. A shard of more than tree_most members is dealt by hash into parts of about a
+    sixteenth of it (tree_most to PART_MOST, and about PART_HASHES hashes); each part, and each pair of parts, is a task's
+    work, so that every two members of a shard are compared on their whole sets, whatever its size (n members make up to
+    16 n rows, or n * n / PART_MOST if that is more). Keys must tell rows apart; rows with a null key have no copies. An empty
     table gives none.
     """
     rows = checkpointed(_narrow(docs, key, text, width).filter(F.col(key).isNotNull()))
@@ -464,7 +464,7 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
     reps = checkpointed(same)
     one = reps.select("id", "size", "fp", F.posexplode("anchors").alias("k", "anchor")).select("id", "size", "fp", F.xxhash64("k", "anchor").alias("shard"))
     many = _with_sizes(one, F.sum("size").alias("hashes"))
-    part = F.least(F.lit(max(PART_MOST, tree_most)), F.greatest(F.lit(tree_most), F.ceil(F.col("n") / 8)))
+    part = F.least(F.lit(max(PART_MOST, tree_most)), F.greatest(F.lit(tree_most), F.ceil(F.col("n") / 16)))
     many = many.withColumn("parts", F.when((F.col("n") > tree_most) | (F.col("hashes") > PART_HASHES), F.greatest(F.ceil(F.col("n") / part), F.ceil(F.col("hashes") / PART_HASHES))).otherwise(1).cast("int"))
     large = many.filter("parts > 1").select("id", "fp", "shard", "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"))
     met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))  # each part with itself and every other
