@@ -14,7 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, Greater
 from .files import local_path
 
 TWOBIT, BIGWIG = 0x1A412743, 0x888FFC26
-MOST_ROWS = 1 << 16
+MOST_ROWS, MOST_BASES = 1 << 16, 1 << 24
 
 
 def sniff(head: bytes) -> str:
@@ -34,6 +34,11 @@ class _Range(InputPartition):
         self.name, self.at, self.size = name, at, size
 
 
+class _Sequences(InputPartition):
+    def __init__(self, spots: list[tuple[str, int]]) -> None:
+        self.spots = spots
+
+
 def _order(head: bytes, magic: int) -> str:
     for order in "<>":
         if struct.unpack(order + "I", head)[0] == magic:
@@ -42,25 +47,38 @@ def _order(head: bytes, magic: int) -> str:
 
 
 class TwoBitReader(DataSourceReader):
-    """One partition a sequence; each task seeks to its own."""
+    """Each task seeks to its own sequences: one, or as many short ones as come to MOST_BASES."""
 
     def __init__(self, path: str, mask: bool) -> None:
         self.path, self.mask = local_path(path), mask
 
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[_Sequences]:
         with open(self.path, "rb") as f:
             order = _order(f.read(4), TWOBIT)
             _, n, _ = struct.unpack(order + "III", f.read(12))
-            found = []
+            spots = []
             for _ in range(n):
                 name = f.read(f.read(1)[0]).decode()
-                found.append(_Range(name, struct.unpack(order + "I", f.read(4))[0], 0))
+                spots.append((name, struct.unpack(order + "I", f.read(4))[0]))
+            found, bases = [], 0
+            for name, at in spots:
+                f.seek(at)
+                size = struct.unpack(order + "I", f.read(4))[0]
+                if not found or bases + size > MOST_BASES:
+                    found.append(_Sequences([]))
+                    bases = 0
+                found[-1].spots.append((name, at))
+                bases += size
         return found
 
-    def read(self, part: _Range) -> Iterator[tuple]:
+    def read(self, part: _Sequences) -> Iterator[tuple]:
+        for name, at in part.spots:
+            yield name, self._sequence(at)
+
+    def _sequence(self, at: int) -> str:
         with open(self.path, "rb") as f:
             order = _order(f.read(4), TWOBIT)
-            f.seek(part.at)
+            f.seek(at)
             numbers = lambda n: np.frombuffer(f.read(4 * n), dtype=order + "u4")
             size = int(numbers(1)[0])
             spans = []
@@ -76,7 +94,7 @@ class TwoBitReader(DataSourceReader):
         if self.mask:
             for start, length in zip(*spans[1], strict=True):
                 bases[start : start + length] |= 32
-        yield part.name, bases.tobytes().decode()
+        return bases.tobytes().decode()
 
 
 class TwoBitSource(DataSource):
