@@ -43,7 +43,7 @@ def whole_weights(weights: dict[str, float], total: int) -> dict[str, int]:
 
 def exact_weights(weights: dict[str, float | Fraction]) -> dict[str, int]:
     """The least whole numbers in the ratio of the weights, floats as they are written (0.1 is a tenth)."""
-    exact = {s: Fraction(repr(w) if isinstance(w, float) else w) for s, w in weights.items()}
+    exact = {s: Fraction(repr(float(w)) if isinstance(w, float) else w) for s, w in weights.items()}
     if min(exact.values()) <= 0:
         raise ValueError("weights must be over 0")
     down = lcm(*(x.denominator for x in exact.values()))
