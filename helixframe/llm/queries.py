@@ -35,7 +35,9 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SimHash fingerprints of all documents and their components at 2 bits (see simhash.near_duplicates).
+    """SimHash fingerprints of all documents, their components at 2 bits, and classes of near copies (see simhash.near_duplicates).
+
+    component_id is what the contract fixes; near_copy_id, a column more, is the least id of a text's near copies.
 
     BK-trees are built where the shuffle puts their shard and not broadcast, as all trees together grow with the corpus:
     no size bound could be proven. Null and empty texts have fingerprint zero; very long ones are hashed whole; equal

@@ -228,21 +228,34 @@ def classes_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("classes have not settled")
 
 
-def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key`, fingerprint (16 lowercase hex digits) and component_id (the least key reachable by links) of every row.
+def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str = "doc_id", text: str = "text", least: float | None = None) -> DataFrame:
+    """`key`, fingerprint (16 lowercase hex digits), component_id (the least key reachable by links) and near_copy_id of every row.
 
     Texts without words have fingerprint zero, and are linked like any others. Equal fingerprints are taken together
     before anything is searched; very long texts are hashed whole, in bounded memory. Null keys don't count as least unless all of a class are null; repeated rows stay; an
     empty table gives none. A component is at most what is reachable over links of `radius` bits or fewer.
+
+    So narrow a radius leaves out most near copies, so near_copy_id is the least key reachable over links of another
+    kind: shingle sets with a likeness of `least` (NEAR_LIKENESS) or more, the row itself included. They are found by
+    wider SimHashes and decided on whole sets (see `_classes_of_sets`); where keys are null or repeated, rows are told
+    apart by keys of their own, as in `drop_near_copies`.
     """
-    rows = checkpointed(fingerprints(docs, width, key, text))
-    least = rows.groupBy("fp").agg(F.min(key).alias("least"))
-    edges = checkpointed(links(least.select("fp"), radius))
+    docs, own = _told_apart(docs.select(F.col(key).cast("long").alias(key), text), key, text)
+    rows = _narrow(docs, own, text, width, NEAR_ANCHORS, whole="bits")
+    rows = checkpointed(rows if own == key else rows.join(docs.select(own, key), own))
+    first = rows.groupBy(F.col("bits").alias("fp")).agg(F.min(key).alias("least"))
+    edges = checkpointed(links(first.select("fp"), radius))
     tops = classes_of(edges)
-    named = least.join(tops, "fp", "left").withColumn("top", F.coalesce("top", "fp"))
+    named = first.join(tops, "fp", "left").withColumn("top", F.coalesce("top", "fp"))
     ids = checkpointed(named.groupBy("top").agg(F.min("least").alias("component_id")))  # see _with_sizes
-    named = named.join(ids, "top").select("fp", "component_id")
-    return rows.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = named.join(ids, "top").select(F.col("fp").alias("bits"), "component_id")
+    near = _classes_of_sets(rows, _sets(docs, own, text, width), own, least or NEAR_LIKENESS, NEAR_BITS, SHARD_MOST, sift=True)
+    if own == key:
+        near = near.withColumnRenamed("id", "near_copy_id")
+    else:  # own keys are in the order of `key`, so that the least of a class has the class's least key
+        near = near.join(rows.select(F.col(own).alias("id"), F.col(key).alias("near_copy_id")), "id").drop("id")
+    found = rows.select(key, "bits", "same").join(named, "bits").join(near, "same")
+    return found.select(key, F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id", "near_copy_id")
 
 
 # Near copies by likeness of shingle sets. Fingerprints have 256 bits here: at a likeness of 0.8 about 39 of them
@@ -251,13 +264,16 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, key: str =
 # at a likeness of 0.8 two texts share at least one of 4 shards in 99.8 % of cases. Each shard has its BK-tree, and
 # what the tree finds is checked on whole shingle sets, as 32-bit hashes.
 ANCHORS, FAR_BITS, WORDS, LIKENESS = 4, 58, 5, 0.8
+#: The same for near_copy_id: at a likeness of 0.5 about 69 bits differ, give or take 7, and two texts share at least one
+#: of 8 shards in 99.6 % of cases (at 0.65, 99.98 %).
+NEAR_ANCHORS, NEAR_BITS, NEAR_LIKENESS = 8, 90, 0.5
 #: A shard of more members is dealt into parts of about so many (a sixteenth of it, between the two), and every two parts are compared.
 SHARD_MOST, PART_MOST = 512, 8192
 #: Hashes of a part, if its members are long texts.
 PART_HASHES = 1 << 24
 #: Members, and hashes, that are compared at once, and shards for which it pays.
 TILE, TILE_HASHES, FEW = 1024, 1 << 20, 32
-_ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + ANCHORS)], dtype="<u8")
+_ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(4 + max(ANCHORS, NEAR_ANCHORS))], dtype="<u8")
 
 
 def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -268,6 +284,10 @@ def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 def wide_simhash(hashes: np.ndarray) -> bytes:
     """256 bits, each 1 if set in over half of the hashes; none give zeros."""
     return b"".join(simhash(_mixed(hashes, k)).to_bytes(8, "little") for k in range(4))
@@ -279,18 +299,24 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def _narrow(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """key, same (a hash of the shingle set), size (of that), fp (32 bytes) and anchors of every row."""
+def _narrow(docs: DataFrame, key: str, text: str, width: int, shards: int = ANCHORS, whole: str | None = None) -> DataFrame:
+    """key, same (a hash of the shingle set), size (of that), fp (32 bytes) and anchors of every row.
+
+    `whole` names a column more, with the 64-bit SimHash of all shingles, repeats included.
+    """
 
     def start():
         def one(t: bytes | None) -> tuple:
-            distinct = np.unique(shingle_hashes(t, width))  # fingerprints are of sets, as likeness is
-            anchors = [int(_mixed(distinct, 4 + k).min()) if len(distinct) else 0 for k in range(ANCHORS)]
-            return xxhash.xxh3_128_digest(distinct.tobytes()), len(distinct), wide_simhash(distinct), [a - (1 << 64) if a >> 63 else a for a in anchors]
+            hashes = shingle_hashes(t, width)
+            distinct = np.unique(hashes)  # fingerprints are of sets, as likeness is
+            anchors = [int(_mixed(distinct, 4 + k).min()) if len(distinct) else 0 for k in range(shards)]
+            narrow = xxhash.xxh3_128_digest(distinct.tobytes()), len(distinct), wide_simhash(distinct), [_signed(a) for a in anchors]
+            return (*narrow, _signed(simhash(hashes))) if whole else narrow
 
         return lambda columns: [columns[0], *map(list, zip(*map(one, columns[1]), strict=True))]
 
-    return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), f"`{key}` long, same binary, size long, fp binary, anchors array<long>", start)
+    schema = f"`{key}` long, same binary, size long, fp binary, anchors array<long>" + (f", `{whole}` long" if whole else "")
+    return map_rows(docs.select(F.col(key).cast("long"), F.col(text).cast("binary")), schema, start)
 
 
 def _sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -441,6 +467,56 @@ def _checked_links(shards: DataFrame, radius: int, least: float) -> DataFrame:
     return shards.repartition("shard").sortWithinPartitions("shard", "id").select("shard", "id", "fp", "side", "set").mapInArrow(run, "a long, b long")
 
 
+def close_others(left: list[bytes], right: list[bytes] | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each fingerprint of `left` has one of `right` within `radius`, and the reverse; without `right`, whether it has another of `left`."""
+    if right is None and len(left) <= FEW:
+        bits = [int.from_bytes(x, "little") for x in left]
+        met = {k for pair in combinations(range(len(bits)), 2) if (bits[pair[0]] ^ bits[pair[1]]).bit_count() <= radius for k in pair}
+        return (found := np.array([k in met for k in range(len(bits))], dtype=bool)), found
+    words = [np.frombuffer(b"".join(side), dtype="<u8").reshape(len(side), -1) for side in (left, left if right is None else right)]
+    found = [np.zeros(len(side), dtype=bool) for side in words]
+    for a in range(0, len(words[0]), TILE):
+        for b in range(0, len(words[1]), TILE):
+            some = [words[0][a : a + TILE], words[1][b : b + TILE]]
+            differ = np.zeros((len(some[0]), len(some[1])), dtype=np.uint16)
+            for w in range(some[0].shape[1]):
+                differ += np.bitwise_count(some[0][:, None, w] ^ some[1][None, :, w])
+            close = differ <= radius
+            if right is None and a == b:
+                np.fill_diagonal(close, False)
+            found[0][a : a + TILE] |= close.any(axis=1)
+            found[1][b : b + TILE] |= close.any(axis=0)
+    return found[0], found[1]
+
+
+def _with_close_others(shards: DataFrame, radius: int) -> DataFrame:
+    """Members (id, fp, shard, side) of shards that have another within `radius` among those that `_checked_links` compares them with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sides = None, ([], [], [])
+
+        def close() -> list[tuple]:
+            bits = [[m[1] for m in side] for side in sides]
+            kept = [close_others(bits[0], None, radius)[0], *(close_others(bits[1], bits[2], radius) if bits[1] and bits[2] else ([], []))]
+            return [(*m, at, k) for k in range(3) for m, there in zip(sides[k], kept[k], strict=False) if there]
+
+        def members(found: list[tuple]) -> pa.RecordBatch:
+            types = (pa.int64(), pa.binary(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], x) for k, x in enumerate(types)], names=["id", "fp", "shard", "side"])
+
+        for batch in batches:
+            found: list[tuple] = []
+            for name, key, fp, side in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name != at:
+                    found += close()
+                    at, sides = name, ([], [], [])
+                sides[side].append((key, fp))
+            yield members(found)
+        yield members(close())
+
+    return shards.repartition("shard").sortWithinPartitions("shard").select("shard", "id", "fp", "side").mapInArrow(run, "id long, fp binary, shard long, side int")
+
+
 def _with_sizes(placed: DataFrame, *more: Column) -> DataFrame:
     """`placed` with the number n of members of their shard, and `more` (aggregates); members alone in theirs go."""
     # written first, so that both sides of the join are plain exchanges, and a large shard's rows can be split
@@ -460,6 +536,16 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
     table gives none.
     """
     rows = checkpointed(_narrow(docs, key, text, width).filter(F.col(key).isNotNull()))
+    named = _classes_of_sets(rows, _sets(docs, key, text, width), key, least, radius, tree_most)
+    return rows.join(named, "same").select(key, F.col("id").alias("component_id"))
+
+
+def _classes_of_sets(rows: DataFrame, sets: DataFrame, key: str, least: float, radius: int, tree_most: int, sift: bool = False) -> DataFrame:
+    """same and id (least key of its class) of every shingle set in `rows` (see `_narrow`), whose keys tell them apart; `sets` is what `_sets` gives.
+
+    With `sift`, members go to their shards without their sets first, and only those that have another within `radius`
+    there come with their sets; no link is lost, as both are asked of one.
+    """
     same = rows.groupBy("same").agg(F.min(key).alias("id"), F.min("size").alias("size"), F.min("fp").alias("fp"), F.min("anchors").alias("anchors"))
     reps = checkpointed(same)
     one = reps.select("id", "size", "fp", F.posexplode("anchors").alias("k", "anchor")).select("id", "size", "fp", F.xxhash64("k", "anchor").alias("shard"))
@@ -472,11 +558,12 @@ def near_copy_classes(docs: DataFrame, least: float = LIKENESS, width: int = WOR
     side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
     small = many.filter("parts = 1").select("id", "fp", "shard", F.lit(0).alias("side"))
     placed = small.unionByName(met.select("id", "fp", pair.alias("shard"), side.alias("side")))
-    members = _sets(docs, key, text, width).withColumnRenamed(key, "id").join(placed, "id")
+    if sift:
+        placed = checkpointed(_with_close_others(placed, radius))
+    members = sets.withColumnRenamed(key, "id").join(placed, "id")
     edges = checkpointed(_checked_links(members, radius, least).distinct())
     tops = classes_of(edges).withColumnRenamed("fp", "id")
-    named = reps.join(tops, "id", "left").select("same", F.coalesce("top", "id").alias("component_id"))
-    return rows.join(named, "same").select(key, "component_id")
+    return reps.join(tops, "id", "left").select("same", F.coalesce("top", "id").alias("id"))
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -485,12 +572,19 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *
     Where keys are null or repeated, rows get keys of their own, in the order of `key` (nulls last), which are written
     once with the rows, so that rows are compared by their texts whatever their keys.
     """
+    docs, own = _told_apart(docs, key, text)
+    kept = _without_copies(docs, own, text, **how)
+    return kept if own == key else kept.drop(own)
+
+
+def _told_apart(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    """`docs` and a column that tells its rows apart: `key`, or where that is null or repeated a new one in its order (nulls last), written once."""
     if docs.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
-        return _without_copies(docs, key, text, **how)
+        return docs, key
     own = free_name(docs, "_place")
     order = [F.col(key).asc_nulls_last(), F.xxhash64(text).asc()]  # rows with one key can be on many tasks
     placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(own, F.monotonically_increasing_id())
-    return _without_copies(checkpointed(placed), own, text, **how).drop(own)
+    return checkpointed(placed), own
 
 
 def _without_copies(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
