@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, credentials, fingerprints, html_wrappers, mixing, pieces, quality, sharding, simhash, url_rules
+from . import chat, credentials, filter_audit, fingerprints, html_wrappers, language_id, merkle, mixing, pieces, quality, sharding, simhash, url_rules
 from .common import table
 
 #: Rules of op4 (verdict, host, path).
@@ -111,8 +111,45 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, by byte context trees fitted to a sample of three quarters of them (see language_id).
+
+    A null text, or one without a letter, is `und`; a null id isn't learned from and isn't held out; very long texts are
+    scored whole; ties go to the first language by name; repeated rows are each judged; an empty table gives no rows.
+    """
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    trees = language_id.fit(docs.filter(fold != 2))
+    return language_id.predict(docs.withColumn("held_out", F.coalesce(fold == 2, F.lit(False))), trees).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of all documents by source, with proofs checked against rows of which some are tampered with (see merkle).
+
+    A null column is `-` in a leaf; a null source is a group, a null id is first in its group and isn't tampered with; very
+    long texts are hashed whole; repeated rows are leaves of their own, next to each other; an empty table gives no rows.
+    """
+    docs = table(spark, sf_dir, "documents")
+    fields, text = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], F.col("text")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    leaf = merkle.leaf_of([*fields, text])
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    claimed = F.when(tampered, merkle.leaf_of([*fields, F.translate(text, upper, upper.lower())])).otherwise(leaf)
+    proven = merkle.manifest(docs.select("doc_id", "source", leaf.alias("leaf"), claimed.alias("claimed")), "doc_id", "source")
+    return proven.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents, by language, in all orders (see filter_audit.audit_filters).
+
+    A null text is empty, a null language the empty string, a null id greater than all others; very long texts count whole;
+    repeated rows fail alike; an empty table gives no rows.
+    """
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_simhash, op4_url_rules, op5_html, op6_chat, op7_secrets, op8_quality, op9_pieces, op10_sharding)
+    f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_simhash, op4_url_rules, op5_html, op6_chat, op7_secrets, op8_quality, op9_pieces, op10_sharding, op11_languages, op12_manifest, op13_filter_audit)
 }
 
 _URL_SQL = r"""
@@ -151,4 +188,82 @@ SELECT conv_id,
 FROM turns GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_url_rules": _URL_SQL, "op6_chat": _CHAT_SQL}
+_AUDIT_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), counted AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+           length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS capitals,
+           min(doc_id) OVER (PARTITION BY text) AS first_id
+    FROM texts
+), told AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           (len(words) < 200)::INT + 2 * (100 * list_unique(words) < 50 * len(words))::INT
+           + 4 * (100 * capitals > 3 * length(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+           + 16 * (first_id IS NOT NULL AND (doc_id IS NULL OR first_id < doc_id))::INT AS fails
+    FROM counted LEFT JOIN told USING (doc_id)
+), sets AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM failed GROUP BY part, fails
+), letters AS (
+    SELECT chr(65 + k::INT) AS letter, (1 << k)::INT AS bit FROM range(5) AS t(k)
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, step::INT AS step, l.bit,
+           (SELECT coalesce(sum(m.bit), 0)::INT FROM letters m WHERE strpos(filter_order, m.letter) < step) AS before
+    FROM orders, range(1, 6) AS s(step) JOIN letters l ON substr(filter_order, step::INT, 1) = l.letter
+)
+SELECT part, filter_order, step,
+       coalesce(sum(n) FILTER (WHERE fails & (before | bit) = 0), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (WHERE fails & bit > 0 AND fails & before = 0), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (WHERE fails & bit > 0 AND fails & before > 0), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (WHERE fails = bit), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (WHERE fails & bit > 0 AND fails & before = 0), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (WHERE fails & bit > 0 AND fails & before = 0), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * (120 // greatest(bit_count(fails), 1))) FILTER (WHERE fails & bit > 0), 0)::BIGINT AS shapley
+FROM sets, steps GROUP BY part, filter_order, step
+"""
+
+
+def _merkle_sql(levels: int = 5) -> str:
+    """The manifest in SQL, for groups of at most 16 ** levels rows and as many groups."""
+    field = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    fixed = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_reduce(list_concat([xor(a, b)], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"
+    crc = f"xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda a, b: {bits}), 4294967295)"
+    parts = [
+        f"leaves AS (SELECT doc_id, source AS g, sha256({fixed} || {field.format('text')}) AS leaf, coalesce({crc} % 5 = 0, false) AS tampered, sha256({fixed} || {field.format(lower)}) AS changed FROM documents)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, dense_rank() OVER (ORDER BY g IS NOT NULL, encode(g)) - 1 AS place FROM leaves)",
+        "a0 AS (SELECT place AS g, i, leaf AS d, count(*) OVER (PARTITION BY place) AS n FROM placed)",
+    ]
+
+    def tree(name: str) -> None:
+        for k in range(levels):
+            here = f"{name}{k}"
+            parts.append(f"{name}{k + 1} AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM (SELECT g, i // 16 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE any_value(d) END AS d FROM {here} GROUP BY g, i // 16))")
+            parts.append(
+                f"s{here} AS (SELECT x.g, x.i, any_value(x.n) > 1 AS more, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS l, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS r"
+                f" FROM {here} x JOIN {here} y ON x.g = y.g AND x.i // 16 = y.i // 16 GROUP BY x.g, x.i)"
+            )
+
+    tree("a")
+    parts.append(f"b0 AS (SELECT 0 AS g, g AS i, d, count(*) OVER () AS n FROM a{levels})")
+    tree("b")
+    parts.append("f0 AS (SELECT *, CASE WHEN tampered THEN changed ELSE leaf END AS f, '' AS p FROM placed)")
+    step = 0
+    for name, group, at in (("a", "z.place", "z.i"), ("b", "0", "z.place")):
+        for k in range(levels):
+            fold = "CASE WHEN s.more THEN sha256(s.l || f || s.r) ELSE f END"
+            parts.append(f"f{step + 1} AS (SELECT z.* EXCLUDE (f, p), {fold} AS f, p || s.l || s.r AS p FROM f{step} z JOIN s{name}{k} s ON s.g = {group} AND s.i = {at} // {16**k})")
+            step += 1
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT z.doc_id, z.leaf, a.d AS subroot, b.d AS root, sha256(z.p) AS proof_sha256, z.f AS folded_root, z.f = b.d AS verified"
+        f" FROM f{step} z JOIN a{levels} a ON a.g = z.place CROSS JOIN b{levels} b"
+    )
+
+
+ORACLE_SQL: dict[str, str] = {"op4_url_rules": _URL_SQL, "op6_chat": _CHAT_SQL, "op12_manifest": _merkle_sql(), "op13_filter_audit": _AUDIT_SQL}
