@@ -181,7 +181,7 @@ def grow(lang: np.ndarray, window: np.ndarray, n: np.ndarray, most_cells: int =
     pair[keys[2]] = first[2] + np.arange(len(keys[2]))
     longer = np.repeat(np.arange(first[3], dtype=np.int32)[:, None], 256, 1)
     longer[pair[keys[3] & 0xFFFF], keys[3] >> 16] = first[3] + np.arange(len(keys[3]))
-    units = np.rint(cost * UNIT).astype(np.int32).reshape(len(langs), -1)
+    units = np.rint(cost * UNIT).astype(np.int32).reshape(len(langs), int(first[-1]) * symbols)
     return Trees(langs, symbol.astype(np.int32), pair, longer.reshape(-1), units, symbols)
 
 

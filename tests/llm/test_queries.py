@@ -36,7 +36,7 @@ def rows(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "conversations"):
+    for t in ("documents", "labels", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(queries.ORACLE_SQL[name])
     got = queries.QUERIES[name](spark, SF)
