@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     command("chunk-utrs", ("--bed", need), ("--genome", need), ("--upstream", whole | {"default": 100}), ("--downstream", whole | {"default": 100}), ("--max-size", whole | {"default": 500}), ("--chunks", whole), ("--prefix", text | {"default": "part"}), ("--gzip", {"action": "store_true"}), ("--out", need))
     command("predict-utrs", ("--windows", need), ("--scorer", need), ("--prefix", text | {"default": "peaks"}), ("--mode", {"choices": ["bedgraph", "bed"], "default": "bedgraph"}), ("--threshold", real | {"default": 0.01}), ("--outdir", text | {"default": "."}))
     numbers = [("--min-score", 0), ("--min-target", 0), ("--min-query", 0), ("--gap-min-t", 10), ("--gap-max-t", 100_000), ("--gap-min-q", 10), ("--gap-max-q", 100_000), ("--min-patch", 2000)]
-    command("fill-gaps", ("--chain", need), ("--target", need), ("--query", need), ("--out", need), ("--aligner", text | {"default": "helixframe.operators.chains:longest_common_run"}), ("--unmask", {"action": "store_true"}), *((f, whole | {"default": d}) for f, d in numbers))
+    command("fill-gaps", ("--chain", need), ("--target", need), ("--query", need), ("--out", need), ("--aligner", text), ("--unmask", {"action": "store_true"}), *((f, whole | {"default": d}) for f, d in numbers))
     return p
 
 
@@ -54,7 +54,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         pipelines.predict_polya(spark, a.windows, named(a.scorer), a.outdir, a.prefix, a.mode, a.threshold)
     else:
         gaps = {"least_t": a.gap_min_t, "most_t": a.gap_max_t, "least_q": a.gap_min_q, "most_q": a.gap_max_q}
-        pipelines.fill_gaps(spark, a.chain, a.target, a.query, a.out, named(a.aligner), a.unmask, a.min_patch, a.min_score, a.min_target, a.min_query, **gaps)
+        pipelines.fill_gaps(spark, a.chain, a.target, a.query, a.out, named(a.aligner) if a.aligner else None, a.unmask, a.min_patch, a.min_score, a.min_target, a.min_query, **gaps)
 
 
 def main(arguments: list[str] | None = None) -> int:

@@ -74,7 +74,7 @@ def patched(blocks: DataFrame, patches: DataFrame) -> DataFrame:
 
 
 def realigned(jobs: DataFrame, align: Callable[[str, str], list[tuple]], t_seq: str = "t_seq", q_seq: str = "q_seq") -> DataFrame:
-    """Patches of gaps (with their two sequences) by an aligner: a function from two sequences to rows of
+    """Patches of gaps (with their two sequences) by an aligner of the caller's (alignment.aligned_gaps has our own): a function from two sequences to rows of
     (score, t_start, t_end, q_start, q_end, [(size, dt, dq), ...]), positions from 0 within the two."""
     schema = "chain_id long, block_no int, rank int, score long, t_start long, t_end long, q_start long, q_end long, blocks array<struct<size:long,dt:long,dq:long>>"
 
@@ -88,18 +88,3 @@ def realigned(jobs: DataFrame, align: Callable[[str, str], list[tuple]], t_seq:
             yield pd.DataFrame(rows, columns=["chain_id", "block_no", "rank", "score", "t_start", "t_end", "q_start", "q_end", "blocks"])
 
     return jobs.select(F.col("chain_id").cast("long"), F.col("block_no").cast("int"), F.col("t0").cast("long"), F.col("q0").cast("long"), t_seq, q_seq).mapInPandas(run, schema)
-
-
-def longest_common_run(t: str, q: str, match: int = 100) -> list[tuple]:
-    """A small local aligner: the longest run of equal letters, the first of equal ones."""
-    best, end_t, end_q = 0, 0, 0
-    row = [0] * (len(q) + 1)
-    for i, a in enumerate(t, 1):
-        new = [0] * (len(q) + 1)
-        for j, b in enumerate(q, 1):
-            if a == b:
-                new[j] = row[j - 1] + 1
-                if new[j] > best:
-                    best, end_t, end_q = new[j], i, j
-        row = new
-    return [(best * match, end_t - best, end_t, end_q - best, end_q, [(best, None, None)])] if best else []

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as q
-from ..operators import annotation, calibration, chains, genome, intervals, junctions, ordering, scoring, tracks
+from ..operators import alignment, annotation, calibration, chains, genome, intervals, junctions, ordering, scoring, tracks
 from . import views
 from .views import with_views
 
@@ -422,6 +422,28 @@ def gap_patch(spark, d):
     return chains.patched(placed, chains.best_patches(first.unionAll(second)))
 
 
+def edited_gaps(spark, d, placed: DataFrame) -> DataFrame:
+    """Gaps with t0, q0 and letters: the target's are of a document, the query's the same ones with a piece more or less in the
+    middle, as long as the gap's two sides differ, and another letter in every 13th place. Gaps longer than their document go."""
+    g = views.sequences(spark, d)
+    wide = chains.gaps(placed).select("chain_id", "block_no", "dt", "dq", (F.col("t_pos") + F.col("size")).alias("t0"), (F.col("q_pos") + F.col("size")).alias("q0"))
+    asked = wide.withColumn("chrom", F.concat(F.lit("doc"), F.col("chain_id") % max(1, g.count())))
+    sizes = genome.sizes(g).withColumnRenamed("chrom", "_chrom")
+    asked = asked.join(sizes, F.col("chrom") == F.col("_chrom")).filter("size >= dt").withColumn("start", (F.col("chain_id") * 31 + F.col("block_no") * 97) % (F.col("size") - F.col("dt") + 1))
+    cut = genome.cut(asked.withColumn("end", F.col("start") + F.col("dt")).drop("_chrom", "size"), g, to="t_seq", reach=120)
+    half = "int(least(dt, dq) div 2)"
+    more = "if(dq > dt, substr(repeat(reverse(t_seq), int(dq div dt) + 1), 1, int(dq - dt)), '')"
+    query = F.expr(f"concat(substr(t_seq, 1, {half}), {more}, right(t_seq, int(least(dt, dq)) - {half}))")
+    return cut.withColumn("q_seq", F.regexp_replace(query, "(.{12}).", "$1T"))
+
+
+@query()
+def gap_realignment(spark, d):
+    """All wide gaps aligned anew and patched into their chains; tested against a plain program, as SQL is too slow for one."""
+    placed = chains.coordinates(views.blocks(spark, d))
+    return chains.patched(placed, chains.best_patches(alignment.aligned_gaps(edited_gaps(spark, d, placed))))
+
+
 @query(with_views("sites") + "SELECT chrom, pos FROM sites WHERE chrom IN (SELECT event_type FROM events WHERE value > 490)")
 def chrom_semi(spark, d):
     known = views.table(spark, d, "events").filter("value > 490").select(F.col("event_type").alias("chrom"))

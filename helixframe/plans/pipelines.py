@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence
-from ..operators import annotation, calibration, chains, genome, intervals, junctions, scoring, tracks
+from ..operators import alignment, annotation, calibration, chains, genome, intervals, junctions, scoring, tracks
 from ..sources import binary, paths, sinks, text
 
 
@@ -111,8 +111,8 @@ def predict_polya(spark: SparkSession, path: str, scorer: Callable, out: str, pr
     return True
 
 
-def fill_gaps(spark: SparkSession, chain_path: str, target: str, query: str, out: str | None = None, align: Callable = chains.longest_common_run, unmask: bool = False, least_patch: int = 2000, least_score: int = 0, least_target: int = 0, least_query: int = 0, **limits) -> tuple[DataFrame, DataFrame]:
-    """Chains, and their blocks with patches in the gaps that `align` fills; written to `out`, if given, as chain text."""
+def fill_gaps(spark: SparkSession, chain_path: str, target: str, query: str, out: str | None = None, align: Callable | None = None, unmask: bool = False, least_patch: int = 2000, least_score: int = 0, least_target: int = 0, least_query: int = 0, **limits) -> tuple[DataFrame, DataFrame]:
+    """Chains, and their blocks with patches in the gaps that `align` fills (unset: our own aligner); written to `out`, if given, as chain text."""
     head, blocks = text.read_chains(spark, chain_path)
     eligible = chains.wanted(head, least_score, least_target, least_query)
     jobs = chains.gap_jobs(eligible, blocks.join(eligible.select("chain_id"), "chain_id", "left_semi"), **limits)
@@ -122,7 +122,8 @@ def fill_gaps(spark: SparkSession, chain_path: str, target: str, query: str, out
     q_at = t_cut.withColumnRenamed("q_name", "chrom").withColumn("_a", F.col("q_lo") - 1)
     both = genome.cut(q_at, paths.read_genome(spark, query), "_a", "q_hi", "q_seq", most[1]).withColumn("t_seq", base(F.col("t_seq")))
     both = both.withColumn("q_seq", base(F.when(F.col("q_strand") == "-", sequence.reverse_complement(F.col("q_seq"))).otherwise(F.col("q_seq"))))
-    best = chains.best_patches(chains.realigned(both.filter("t_seq is not null and q_seq is not null"), align), least_patch)
+    both = both.filter("t_seq is not null and q_seq is not null")
+    best = chains.best_patches(chains.realigned(both, align) if align else alignment.aligned_gaps(both), least_patch)
     done = chains.patched(chains.coordinates(blocks, head), best)
     if out:
         sinks.chain_lines(head, done).write.mode("overwrite").text(out)
