@@ -114,7 +114,7 @@ def track_discovery(spark, d):
     at = files.work_folder(spark)
     for name in ("a.Donor_Plus.bw", "minus-donor.BigWig", "plusAcceptor.bw", "x_acceptor__MINUS.bigwig", "readme.txt", "other.bw"):
         files.keep_stream(spark, io.BytesIO(), f"{at}/{name}")
-    found = paths.discover_tracks(files.local_path(at))
+    found = paths.discover_tracks(at)
     return spark.createDataFrame([(*kind, p.rsplit("/", 1)[-1]) for kind, p in found.items()], "site string, strand string, name string")
 
 

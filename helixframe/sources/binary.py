@@ -9,12 +9,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThan, GreaterThanOrEqual, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
-from .files import local_path
+from .named_files import opened
 
 TWOBIT, BIGWIG = 0x1A412743, 0x888FFC26
 MOST_ROWS, MOST_BASES = 1 << 16, 1 << 24
+#: Bytes of sections that one task reads of a BigWig file.
+TASK_BYTES = 4 << 20
+#: How far apart sections may be that are read at once.
+NEAR_BYTES = 1 << 12
 
 
 def sniff(head: bytes) -> str:
@@ -29,9 +33,11 @@ def sniff(head: bytes) -> str:
     raise ValueError("neither gzip, 2bit, BigWig nor FASTA")
 
 
-class _Range(InputPartition):
-    def __init__(self, name: str, at: int, size: int) -> None:
-        self.name, self.at, self.size = name, at, size
+class _Sections(InputPartition):
+    """Sections of a BigWig file by place, and the contigs (number: name, size) that they may have."""
+
+    def __init__(self, places: list[tuple[int, int]], contigs: dict[int, tuple[str, int]]) -> None:
+        self.places, self.contigs = places, contigs
 
 
 class _Sequences(InputPartition):
@@ -50,10 +56,10 @@ class TwoBitReader(DataSourceReader):
     """Each task seeks to its own sequences: one, or as many short ones as come to MOST_BASES."""
 
     def __init__(self, path: str, mask: bool) -> None:
-        self.path, self.mask = local_path(path), mask
+        self.path, self.mask = path, mask
 
     def partitions(self) -> list[_Sequences]:
-        with open(self.path, "rb") as f:
+        with opened(self.path) as f:
             order = _order(f.read(4), TWOBIT)
             _, n, _ = struct.unpack(order + "III", f.read(12))
             spots = []
@@ -76,7 +82,7 @@ class TwoBitReader(DataSourceReader):
             yield name, self._sequence(at)
 
     def _sequence(self, at: int) -> str:
-        with open(self.path, "rb") as f:
+        with opened(self.path) as f:
             order = _order(f.read(4), TWOBIT)
             f.seek(at)
             numbers = lambda n: np.frombuffer(f.read(4 * n), dtype=order + "u4")
@@ -112,17 +118,30 @@ class TwoBitSource(DataSource):
 
 
 class BigWigReader(DataSourceReader):
-    """One partition a contig. `score >= x` and `score > x` are applied while values are read."""
+    """Tasks by leaves of the file's index, TASK_BYTES each, so that a contig is many tasks.
+
+    Comparisons with chrom and pos leave out the index nodes and sections that have none of them; those of score are
+    applied while values are read. Spark tests all of them again.
+    """
 
     def __init__(self, path: str) -> None:
-        self.path, self.least, self.strictly = local_path(path), None, False
+        self.path, self.least, self.lo, self.hi, self.chroms = path, None, 0, None, None
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            if isinstance(f, GreaterThanOrEqual | GreaterThan) and tuple(f.attribute) == ("score",):
-                if self.least is None or f.value > self.least:
-                    self.least, self.strictly = f.value, isinstance(f, GreaterThan)
-            yield f  # Spark tests them too, which settles ties
+            column = tuple(f.attribute) if hasattr(f, "attribute") else ()
+            if column == ("score",) and isinstance(f, GreaterThanOrEqual | GreaterThan):
+                self.least = f.value if self.least is None else max(self.least, f.value)
+            elif column == ("pos",):
+                if isinstance(f, GreaterThanOrEqual | GreaterThan | EqualTo):
+                    self.lo = max(self.lo, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, LessThanOrEqual | LessThan | EqualTo):
+                    end = f.value + (not isinstance(f, LessThan))
+                    self.hi = end if self.hi is None else min(self.hi, end)
+            elif column == ("chrom",) and isinstance(f, EqualTo | In):
+                names = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.chroms = names if self.chroms is None else self.chroms & names
+            yield f
 
     def _header(self, f) -> tuple[str, int, int, int]:
         order = _order(f.read(4), BIGWIG)
@@ -130,46 +149,78 @@ class BigWigReader(DataSourceReader):
         f.seek(52)
         return order, tree, index, struct.unpack(order + "I", f.read(4))[0]
 
-    def partitions(self) -> list[_Range]:
-        with open(self.path, "rb") as f:
-            order, tree, _, _ = self._header(f)
-            f.seek(tree + 8)
-            key = struct.unpack(order + "I", f.read(4))[0]
-            found, todo = [], [tree + 32]
-            while todo:
-                f.seek(todo.pop())
-                leaf, _, n = struct.unpack(order + "BBH", f.read(4))
-                for _ in range(n):
-                    name = f.read(key).rstrip(b"\0").decode()
-                    if leaf:
-                        number, size = struct.unpack(order + "II", f.read(8))
-                        found.append(_Range(name, number, size))
-                    else:
-                        todo.append(struct.unpack(order + "Q", f.read(8))[0])
+    def _contigs(self, f, order: str, tree: int) -> dict[int, tuple[str, int]]:
+        """Number: name and size of the contigs that are asked for."""
+        f.seek(tree + 8)
+        key = struct.unpack(order + "I", f.read(4))[0]
+        found, todo = {}, [tree + 32]
+        while todo:
+            f.seek(todo.pop())
+            leaf, _, n = struct.unpack(order + "BBH", f.read(4))
+            for _ in range(n):
+                name = f.read(key).rstrip(b"\0").decode()
+                if leaf:
+                    number, size = struct.unpack(order + "II", f.read(8))
+                    if self.chroms is None or name in self.chroms:
+                        found[number] = name, size
+                else:
+                    todo.append(struct.unpack(order + "Q", f.read(8))[0])
         return found
 
-    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
-        with open(self.path, "rb") as f:
-            order, _, index, packed = self._header(f)
-            spots, todo = [], [index + 48]
-            while todo:
-                f.seek(todo.pop())
-                leaf, _, n = struct.unpack(order + "BBH", f.read(4))
-                for _ in range(n):
-                    first, _, last, _ = struct.unpack(order + "IIII", f.read(16))
-                    where = struct.unpack(order + ("QQ" if leaf else "Q"), f.read(16 if leaf else 8))
-                    if first <= part.at <= last:
-                        spots.append(where) if leaf else todo.append(where[0])
-            for offset, size in sorted(spots):
-                f.seek(offset)
-                data = f.read(size)
-                yield from self._section(zlib.decompress(data) if packed else data, order, part)
-
-    def _section(self, data: bytes, order: str, part: _Range) -> Iterator[pa.RecordBatch]:
+    def _places(self, f, order: str, index: int, contigs: dict[int, tuple[str, int]]) -> np.ndarray:
+        """(place, bytes) of the sections that may have what is asked for, by place."""
+        corner = [(c, order + "u4") for c in ("c0", "p0", "c1", "p1")]
+        kinds = {1: np.dtype([*corner, ("at", order + "u8"), ("size", order + "u8")]), 0: np.dtype([*corner, ("at", order + "u8")])}
+        wanted = np.array(sorted(contigs), np.int64)
+        found, todo = [np.empty((0, 2), np.int64)], [index + 48]
+        while todo:
+            f.seek(todo.pop())
+            leaf, _, n = struct.unpack(order + "BBH", f.read(4))
+            nodes = np.frombuffer(f.read(n * kinds[leaf].itemsize), kinds[leaf])
+            first, last = np.searchsorted(wanted, nodes["c0"]), np.searchsorted(wanted, nodes["c1"], "right")
+            # a contig that is asked for is within; if it is the only one, positions can tell too
+            kept, alone = last > first, nodes["c0"] == nodes["c1"]
+            kept &= ~alone | (nodes["p1"] > self.lo)
+            if self.hi is not None:
+                kept &= ~alone | (nodes["p0"] < self.hi)
+            if leaf:
+                found.append(np.stack([nodes["at"][kept], nodes["size"][kept]], 1).astype(np.int64))
+            else:
+                todo += nodes["at"][kept].tolist()
+        places = np.concatenate(found)
+        return places[np.argsort(places[:, 0])]
+
+    def partitions(self) -> list[_Sections]:
+        with opened(self.path) as f:
+            order, tree, index, _ = self._header(f)
+            contigs = self._contigs(f, order, tree)
+            places = self._places(f, order, index, contigs)
+        before = np.cumsum(places[:, 1]) - places[:, 1]
+        edges = np.flatnonzero(np.diff(before // TASK_BYTES)) + 1
+        return [_Sections([tuple(p) for p in own.tolist()], contigs) for own in np.split(places, edges) if len(own)] or [_Sections([], {})]
+
+    def read(self, part: _Sections) -> Iterator[pa.RecordBatch]:
+        with opened(self.path) as f:
+            order, _, _, packed = self._header(f)
+            k = 0
+            while k < len(part.places):
+                end = k + 1  # sections that are next to each other come with one read
+                while end < len(part.places) and part.places[end][0] - sum(part.places[end - 1]) <= NEAR_BYTES and sum(part.places[end]) - part.places[k][0] <= TASK_BYTES:
+                    end += 1
+                first = part.places[k][0]
+                f.seek(first)
+                data = f.read(sum(part.places[end - 1]) - first)
+                for offset, size in part.places[k:end]:
+                    section = data[offset - first : offset - first + size]
+                    yield from self._section(zlib.decompress(section) if packed else section, order, part)
+                k = end
+
+    def _section(self, data: bytes, order: str, part: _Sections) -> Iterator[pa.RecordBatch]:
         """The positions of a section that have a value, as Arrow batches of at most MOST_ROWS (or one item's) rows."""
         number, start, _, step, span, kind, _, n = struct.unpack(order + "IIIIIBBH", data[:24])
-        if number != part.at:
+        if number not in part.contigs:
             return
+        name, size = part.contigs[number]
         if kind == 1:
             rows = np.frombuffer(data, dtype=np.dtype([("s", order + "u4"), ("e", order + "u4"), ("v", order + "f4")]), count=n, offset=24)
             starts, ends, values = rows["s"], rows["e"], rows["v"]
@@ -180,7 +231,8 @@ class BigWigReader(DataSourceReader):
             values = np.frombuffer(data, dtype=order + "f4", count=n, offset=24)
             starts = start + step * np.arange(n, dtype=np.int64)
             ends = starts + span
-        starts, ends = starts.astype(np.int64), np.minimum(ends.astype(np.int64), part.size)
+        starts, ends = starts.astype(np.int64), np.minimum(ends.astype(np.int64), size if self.hi is None else min(size, self.hi))
+        starts = np.maximum(starts, self.lo)
         kept = (ends > starts) & (values >= np.float32(-np.inf if self.least is None else self.least))  # not where the value is NaN
         starts, lengths, values = starts[kept], (ends - starts)[kept], values[kept].astype(np.float32)
         total = np.cumsum(lengths)
@@ -188,8 +240,8 @@ class BigWigReader(DataSourceReader):
             n = max(1, int(np.searchsorted(total - total[0] + lengths[0], MOST_ROWS, side="right")))
             own = lengths[:n]
             pos = np.repeat(starts[:n] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-            name = pa.DictionaryArray.from_arrays(np.zeros(len(pos), dtype=np.int32), [part.name]).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([name, pa.array(pos), pa.array(np.repeat(values[:n], own))], names=["chrom", "pos", "score"])
+            names = pa.DictionaryArray.from_arrays(np.zeros(len(pos), dtype=np.int32), [name]).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(pos), pa.array(np.repeat(values[:n], own))], names=["chrom", "pos", "score"])
             starts, lengths, values, total = starts[n:], lengths[n:], values[n:], total[n:]
 
 

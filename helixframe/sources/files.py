@@ -19,11 +19,6 @@ def _at(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def local_path(path: str) -> str:
-    """A path that every machine has mounted, as Python opens it."""
-    return path.removeprefix("file://").removeprefix("file:")
-
-
 def parts(spark: SparkSession, folder: str) -> list[str]:
     """The files of a written folder, in order, without those that begin with a dot or an underscore."""
     p, fs = _at(spark, folder)

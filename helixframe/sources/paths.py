@@ -6,12 +6,13 @@ import io
 import re
 import shutil
 import sys
-from pathlib import Path
+from pathlib import Path, PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import files
 from .binary import register, sniff
+from .named_files import names_in
 from .text import read_fasta
 
 SITES, STRANDS = ("donor", "acceptor"), ("plus", "minus")
@@ -66,12 +67,13 @@ def classify_track(stem: str) -> tuple[str, str] | None:
 
 def discover_tracks(folder: str) -> dict[tuple[str, str], str]:
     """The BigWig file of each site and strand in a folder; each must be there once."""
-    if not Path(folder).is_dir():
+    names = names_in(folder)
+    if names is None:
         raise ValueError(f"{folder} isn't a folder of tracks")
     found: dict[tuple[str, str], list[str]] = {}
-    for p in sorted(Path(folder).iterdir()):
+    for p in map(PurePosixPath, names):
         if p.suffix.lower() in (".bw", ".bigwig") and (kind := classify_track(p.stem)):
-            found.setdefault(kind, []).append(str(p))
+            found.setdefault(kind, []).append(f"{folder.rstrip('/')}/{p}")
     for kind, paths in found.items():
         if len(paths) > 1:
             raise ValueError(f"{len(paths)} files tell {' '.join(kind)}: {', '.join(sorted(paths))}")

@@ -1,9 +1,7 @@
-"""Outputs with fixed names and layouts. Files are written by executors, to a path that they share."""
+"""Outputs with fixed names and layouts. Files are written by executors, where all machines reach them (see named_files)."""
 
 from __future__ import annotations
 
-import gzip
-import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import file_safe, region_header, site_key
 from ..operators.ordering import in_order
-from .files import local_path
+from .named_files import write_named
 from .paths import chunk_name
 
 
@@ -56,29 +54,9 @@ def numbered_patch_lines(patches: DataFrame, first: int = 0) -> DataFrame:
 
 
 def _write(groups: DataFrame, by: str, folder: str, gz: bool) -> list[str]:
-    """The lines (file, ord, value) of each file, joined; names of the files."""
-    folder = local_path(folder)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, out, names = None, None, []
-        os.makedirs(folder, exist_ok=True)
-        for b in batches:
-            for name, value in zip(b[by], b["value"], strict=True):
-                if name != at:
-                    if out:
-                        out.close()
-                        os.replace(f"{folder}/.{at}", f"{folder}/{at}")
-                    at = name
-                    names.append(name)
-                    out = gzip.open(f"{folder}/.{name}", "wt") if gz else open(f"{folder}/.{name}", "w")  # noqa: SIM115
-                out.write(value + "\n")
-        if out:
-            out.close()
-            os.replace(f"{folder}/.{at}", f"{folder}/{at}")  # so that a task that is run again leaves whole files
-        yield pd.DataFrame({"name": names})
-
-    rows = groups.repartition(by).sortWithinPartitions(by, "ord").select(by, "value").mapInPandas(run, "name string")
-    return sorted(r.name for r in rows.collect())
+    """The lines (file, ord, value) of each file, in ranges of the order, joined; names of the files."""
+    ranged = groups.repartitionByRange(by, "ord").sortWithinPartitions(by, "ord")
+    return write_named(ranged.select(F.col(by).alias("file"), F.concat("value", F.lit("\n")).alias("value")), folder, gz)
 
 
 def write_rotating(rows: DataFrame, folder: str, prefix: str, columns: list[str], order: list, most: int, gz: bool = False) -> list[str]:
@@ -116,36 +94,26 @@ def wig_lines(scored: DataFrame, column: str, least: float = 0.001, digits: int
 
 
 def write_wig(scored: DataFrame, folder: str, prefix: str, least: float = 0.001, digits: int = 4) -> list[str]:
-    """Four files, <prefix>.{acceptor,donor}_{plus,minus}.wig, each there even if empty; a task sorts and writes a file, block by block."""
+    """Four files, <prefix>.{acceptor,donor}_{plus,minus}.wig, each there even if empty; blocks are written in ranges of chrom and start."""
     both = wig_lines(scored, "acceptor", least, digits).unionAll(wig_lines(scored, "donor", least, digits))
-    folder = local_path(folder)
     made = _write(both.withColumn("file", F.concat(F.lit(f"{prefix}."), "file")), "file", folder, False)
-    os.makedirs(folder, exist_ok=True)
-    for kind in ("acceptor", "donor"):
-        for strand in ("plus", "minus"):
-            if (name := f"{prefix}.{kind}_{strand}.wig") not in made:
-                open(f"{folder}/{name}", "w").close()  # noqa: SIM115
-                made.append(name)
-    return sorted(made)
+    names = [f"{prefix}.{kind}_{strand}.wig" for kind in ("acceptor", "donor") for strand in ("plus", "minus")]
+    if empty := [(n, "") for n in names if n not in made]:
+        write_named(scored.sparkSession.createDataFrame(empty, "file string, value string"), folder)
+    return sorted(names)
 
 
 def write_parts(rows: DataFrame, folder: str, ending: str, pack: Callable[[list[tuple]], bytes]) -> list[str]:
     """A binary file of each partition's rows, as `pack` makes it; partitions without rows have none. Their paths."""
-    folder = local_path(folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         own = [r for b in batches for r in b.itertuples(index=False, name=None)]
         if own:
-            os.makedirs(folder, exist_ok=True)
-            name = f"{folder}/part-{TaskContext.get().partitionId():05d}.{ending}"
-            with open(f"{name}.tmp", "wb") as f:
-                f.write(pack(own))
-            os.replace(f"{name}.tmp", name)
-            yield pd.DataFrame({"name": [name]})
-
-    return sorted(r.name for r in rows.mapInPandas(run, "name string").collect())
+            yield pd.DataFrame({"file": [f"part-{TaskContext.get().partitionId():05d}.{ending}"], "value": [pack(own)]})
+
+    return [f"{folder}/{name}" for name in write_named(rows.mapInPandas(run, "file string, value binary"), folder)]
 
 
 def peak_lines(lines: DataFrame, mode: str = "bedgraph") -> DataFrame:
