@@ -51,12 +51,10 @@ def derive_scores(spark: SparkSession, folder: str, sequence_path: str, regions:
     """Derived scores of the four tracks in `folder`; <prefix>.derived.tsv in `out` is a folder of their lines, in order."""
     if floor > ceiling:
         raise ValueError("floor is over ceiling")
-    binary.register(spark)
     whole = paths.read_genome(spark, sequence_path, mode="strict")
     values = None
     for (site, strand), path in paths.discover_tracks(folder).items():
-        one = spark.read.format("bigwig").option("path", path).load().filter(F.col("score") >= F.lit(calibration.LEAST_SCORE).cast("float"))
-        one = one.select("chrom", "pos", "score", F.lit("+" if strand == "plus" else "-").alias("strand"), F.lit("D" if site == "donor" else "A").alias("site"))
+        one = binary.read_bigwig(spark, path, least=calibration.LEAST_SCORE).select("chrom", "pos", "score", F.lit("+" if strand == "plus" else "-").alias("strand"), F.lit("D" if site == "donor" else "A").alias("site"))
         values = one if values is None else values.unionAll(one)
     known = annotation.splice_sites(text.read_transcripts(spark, regions), whole)
     derived = calibration.derive_all(annotation.scored_sites(values, whole), known, genome.pair_counts(whole), floor, ceiling)

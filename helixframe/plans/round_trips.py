@@ -101,12 +101,21 @@ def twobit_scan(spark, d):
 @query(with_views("sites") + "SELECT chrom, pos, score FROM sites WHERE score >= CAST(0.001 AS FLOAT)")
 def bigwig_scan(spark, d):
     rows = views.sites(spark, d).select("chrom", "pos", "score").repartition(4, "pos")
-    made, out = sinks.write_parts(rows, files.work_folder(spark), "bw", binary.pack_bigwig), None
-    binary.register(spark)
-    for path in made:
-        one = spark.read.format("bigwig").option("path", path).load()
+    out = None
+    for path in sinks.write_parts(rows, files.work_folder(spark), "bw", binary.pack_bigwig):
+        one = binary.read_bigwig(spark, path, least=0.001)
         out = one if out is None else out.unionAll(one)
-    return out.filter(F.col("score") >= F.lit(0.001).cast("float"))
+    return out
+
+
+_RANGE = "SELECT chrom, pos, score FROM sites WHERE chrom = 'click' AND pos >= 100 AND pos < 5000 AND score >= CAST(0.25 AS FLOAT)"
+
+
+@query(with_views("sites") + _RANGE)
+def bigwig_range(spark, d):
+    """A contig's range of a whole genome's file, by its index."""
+    (path,) = sinks.write_parts(views.sites(spark, d).select("chrom", "pos", "score").coalesce(1), files.work_folder(spark), "bw", binary.pack_bigwig)
+    return binary.read_bigwig(spark, path, chroms=["click"], start=100, end=5000, least=0.25)
 
 
 @query("SELECT * FROM (VALUES ('donor', 'plus', 'a.Donor_Plus.bw'), ('donor', 'minus', 'minus-donor.BigWig'), ('acceptor', 'plus', 'plusAcceptor.bw'), ('acceptor', 'minus', 'x_acceptor__MINUS.bigwig')) AS t(site, strand, name)")

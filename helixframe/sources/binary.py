@@ -8,8 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .named_files import opened
 
@@ -120,28 +120,12 @@ class TwoBitSource(DataSource):
 class BigWigReader(DataSourceReader):
     """Tasks by leaves of the file's index, TASK_BYTES each, so that a contig is many tasks.
 
-    Comparisons with chrom and pos leave out the index nodes and sections that have none of them; those of score are
-    applied while values are read. Spark tests all of them again.
+    Of contigs other than `chroms`, and of positions outside [lo, hi), neither index nodes nor sections are read where they
+    have no others; values under `least` are left out while they are read.
     """
 
-    def __init__(self, path: str) -> None:
-        self.path, self.least, self.lo, self.hi, self.chroms = path, None, 0, None, None
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            column = tuple(f.attribute) if hasattr(f, "attribute") else ()
-            if column == ("score",) and isinstance(f, GreaterThanOrEqual | GreaterThan):
-                self.least = f.value if self.least is None else max(self.least, f.value)
-            elif column == ("pos",):
-                if isinstance(f, GreaterThanOrEqual | GreaterThan | EqualTo):
-                    self.lo = max(self.lo, f.value + isinstance(f, GreaterThan))
-                if isinstance(f, LessThanOrEqual | LessThan | EqualTo):
-                    end = f.value + (not isinstance(f, LessThan))
-                    self.hi = end if self.hi is None else min(self.hi, end)
-            elif column == ("chrom",) and isinstance(f, EqualTo | In):
-                names = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.chroms = names if self.chroms is None else self.chroms & names
-            yield f
+    def __init__(self, path: str, chroms: set[str] | None = None, lo: int = 0, hi: int | None = None, least: float | None = None) -> None:
+        self.path, self.chroms, self.lo, self.hi, self.least = path, chroms, lo, hi, least
 
     def _header(self, f) -> tuple[str, int, int, int]:
         order = _order(f.read(4), BIGWIG)
@@ -246,7 +230,7 @@ class BigWigReader(DataSourceReader):
 
 
 class BigWigSource(DataSource):
-    """chrom, pos (from 0) and score of every position with a value. Option: path."""
+    """chrom, pos (from 0) and score of every position with a value. Options: path; chroms (names, a tab between), start, end and least."""
 
     @classmethod
     def name(cls) -> str:
@@ -256,12 +240,26 @@ class BigWigSource(DataSource):
         return "chrom string, pos long, score float"
 
     def reader(self, schema) -> BigWigReader:
-        return BigWigReader(self.options["path"])
+        o = self.options
+        number = lambda key, kind: kind(o[key]) if key in o else None
+        return BigWigReader(o["path"], set(o["chroms"].split("\t")) if "chroms" in o else None, max(0, number("start", int) or 0), number("end", int), number("least", float))
+
+
+def read_bigwig(spark: SparkSession, path: str, chroms: list[str] | None = None, start: int | None = None, end: int | None = None, least: float | None = None) -> DataFrame:
+    """Values of `chroms` in [start, end) that are `least` or more; what is left out isn't read.
+
+    These are options and not filters that Spark pushes: Spark 4.1 keeps what one query pushed to a Python source for later
+    queries over the same frame, which would lack rows.
+    """
+    register(spark)
+    rows = spark.read.format("bigwig").option("path", path)
+    for key, value in (("chroms", None if chroms is None else "\t".join(chroms)), ("start", start), ("end", end), ("least", least)):
+        rows = rows if value is None else rows.option(key, value)
+    return rows.load()
 
 
 def register(spark: SparkSession) -> None:
-    """Make the formats `twobit` and `bigwig` known, with filters pushed down."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    """Make the formats `twobit` and `bigwig` known."""
     spark.dataSource.register(TwoBitSource)
     spark.dataSource.register(BigWigSource)
 

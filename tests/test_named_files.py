@@ -5,7 +5,6 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
 
 from helixframe.sources import binary, named_files, sinks
 
@@ -55,31 +54,30 @@ def track(tmp_path_factory):
     return str(at)
 
 
-def read(track, *filters):
-    reader = binary.BigWigReader(track)
-    list(reader.pushFilters(list(filters)))
+def read(track, **limits):
+    reader = binary.BigWigReader(track, **limits)
     parts = reader.partitions()
     rows = [row for p in parts for batch in reader.read(p) for row in zip(*batch.to_pydict().values(), strict=True)]
     return rows, sum(len(p.places) for p in parts), parts
 
 
-def test_a_contig_is_many_tasks_and_filters_leave_out_sections(track, monkeypatch):
+def test_a_contig_is_many_tasks_and_what_isnt_asked_for_isnt_read(track, monkeypatch):
     monkeypatch.setattr(binary, "TASK_BYTES", 10_000)
-    f32 = {v: float(binary.np.float32(v[2])) for v in VALUES}
     rows, every, parts = read(track)
-    assert sorted(rows) == sorted((c, p, f32[c, p, v]) for c, p, v in VALUES) and every == 521 and len(parts) > 20
-    pos = ("pos",)
-    rows, n, _ = read(track, EqualTo(("chrom",), "chr1"), GreaterThanOrEqual(pos, 75_000), LessThan(pos, 76_500))
+    assert sorted(rows) == sorted((c, p, float(binary.np.float32(v))) for c, p, v in VALUES) and every == 521 and len(parts) > 20
+    rows, n, _ = read(track, chroms={"chr1"}, lo=75_000, hi=76_500)
     assert sorted(r[:2] for r in rows) == [("chr1", p) for p in range(75_000, 76_500, 3)] and n <= 7  # about 1 % of chr1
-    rows, n, _ = read(track, In(("chrom",), ("chr2", "chr3", "chr9")))
+    rows, n, _ = read(track, chroms={"chr2", "chr3", "chr9"})
     assert len(rows) == 2001 and n == 21
-    rows, n, parts = read(track, EqualTo(("chrom",), "chr9"))
+    rows, n, parts = read(track, chroms={"chr9"})
     assert rows == [] and n == 0 and len(parts) == 1
-    assert len(read(track, EqualTo(pos, 9))[0]) == 3
+    assert len(read(track, lo=9, hi=10)[0]) == 3
 
 
-def test_filters_come_from_plain_queries(spark, track):
-    binary.register(spark)
-    rows = spark.read.format("bigwig").option("path", f"file://{track}").load()
-    assert rows.filter("chrom = 'chr1' AND pos >= 300 AND pos < 330 AND score > 0.055").count() == sum(c == "chr1" and 300 <= p < 330 and v > 0.055 for c, p, v in VALUES)
-    assert rows.filter("chrom IN ('chr2', 'chr3')").count() == 2001 and rows.count() == len(VALUES)
+def test_range_in_spark(spark, track):
+    got = binary.read_bigwig(spark, f"file://{track}", ["chr1"], 300, 330, 0.055)
+    assert got.count() == sum(c == "chr1" and 300 <= p < 330 and v > 0.055 for c, p, v in VALUES)
+    assert binary.read_bigwig(spark, track, ["chr2", "chr3"]).count() == 2001
+    # one frame in two branches
+    rows = binary.read_bigwig(spark, track)
+    assert rows.filter("chrom = 'chr2'").unionAll(rows.filter("chrom = 'chr3'")).count() == 2001 and rows.count() == len(VALUES)
