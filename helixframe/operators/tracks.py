@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,43 +87,3 @@ def profile_lines(profiles: DataFrame, least: float = 0.01) -> DataFrame:
     flat = rows.select("chrom", "start", "end", "strand", "_n", F.posexplode("_p").alias("_i", "value")).filter(F.col("value") >= least)
     line = F.when(F.col("strand") == "-", F.col("end") - F.col("_n") + F.col("_i")).otherwise(F.col("start") + F.col("_i") - 1)
     return flat.select("chrom", line.alias("line_start"), (line + 1).alias("line_end"), "value", F.concat(F.lit("peak_"), F.col("_i").cast("string")).alias("name"), "strand")
-
-
-def find_peaks(profile: np.ndarray, height: float = 0.001, distance: int = 3, prominence: float = 0.01) -> list[int]:
-    """Local maxima (the middle of a plateau) at least `height` high; of two nearer than `distance` the higher; then those of the prominence."""
-    x = np.asarray(profile, dtype=float)
-    peaks, i, n = [], 1, len(x)
-    while i < n - 1:
-        j = i
-        while j + 1 < n and x[j + 1] == x[i]:
-            j += 1
-        if x[i - 1] < x[i] and j + 1 < n and x[j + 1] < x[i] and x[i] >= height:
-            peaks.append((i + j) // 2)
-        i = j + 1
-    kept, gone = set(peaks), set()
-    for p in sorted(peaks, key=lambda p: (x[p], p), reverse=True):
-        if p not in gone:
-            gone |= {q for q in peaks if q != p and abs(q - p) < distance}
-    kept -= gone
-
-    def stands_out(p: int) -> float:
-        lows = []
-        for step in (-1, 1):
-            low, k = x[p], p
-            while 0 <= k < n and x[k] <= x[p]:
-                low, k = min(low, x[k]), k + step
-            lows.append(low)
-        return x[p] - max(lows)
-
-    return [p for p in sorted(kept) if stands_out(p) >= prominence]
-
-
-def peaks(profiles: DataFrame, key: str = "seq_id", **limits) -> DataFrame:
-    """`key` and peak (a position) of each row's profile, an array of doubles."""
-
-    def run(batches):
-        for b in batches:
-            rows = [(k, p) for k, v in zip(b[key], b["profile"], strict=True) for p in find_peaks(v, **limits)]
-            yield pd.DataFrame(rows, columns=[key, "peak"])
-
-    return profiles.select(F.col(key).cast("long"), "profile").mapInPandas(run, f"`{key}` long, peak int")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as q
-from ..operators import alignment, annotation, calibration, chains, genome, intervals, junctions, ordering, scoring, tracks
+from ..operators import alignment, annotation, calibration, chains, genome, intervals, junctions, ordering, peaks, scoring, tracks
 from . import views
 from .views import with_views
 
@@ -360,7 +360,14 @@ SELECT vec_id AS seq_id, CAST(i AS INT) AS peak FROM lows WHERE h - greatest(bel
 @query(with_views("tracks").replace("WITH", "WITH RECURSIVE", 1) + _PEAKS_SQL)
 def profile_peaks(spark, d):
     rows = views.table(spark, d, "embeddings").selectExpr("vec_id seq_id", "transform(embedding, x -> cast(x as double)) profile")
-    return tracks.peaks(rows)
+    return peaks.peaks(rows)
+
+
+@query(with_views("tracks").replace("WITH", "WITH RECURSIVE", 1) + _PEAKS_SQL)
+def tiled_profile_peaks(spark, d):
+    """The same from a row for each position, in tiles that are shorter than a profile."""
+    rows = views.table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    return peaks.tiled_peaks(rows.withColumnRenamed("vec_id", "seq_id"), tile=16, halo=4).select("seq_id", F.col("peak").cast("int").alias("peak"))
 
 
 _PLACED = """, placed AS (SELECT *, CAST(coalesce(sum(size + coalesce(dt, 0)) OVER w, 0) AS BIGINT) AS t_pos, CAST(coalesce(sum(size + coalesce(dq, 0)) OVER w, 0) AS BIGINT) AS q_pos FROM blocks

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.operators import annotation, calibration as c, chains, scoring, tracks
+from helixframe.operators import annotation, calibration as c, chains, peaks, scoring, tracks
 from helixframe.plans import pipelines
 
 SITES = "chrom string, pos long, strand string, site string, score float, motif string"
@@ -100,7 +100,7 @@ def test_peaks():
     x = np.zeros(40)
     x[[5, 7, 20, 30]] = [0.5, 0.6, 0.3, 0.005]
     x[12:15] = 0.2
-    assert tracks.find_peaks(x) == [7, 13, 20]
+    assert peaks.find_peaks(x) == [7, 13, 20]
 
 
 BLOCKS = "chain_id long, block_no int, size long, dt long, dq long"
