@@ -13,11 +13,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def coordinates(blocks: DataFrame, starts: DataFrame | None = None) -> DataFrame:
-    """`blocks` with t_pos and q_pos: where each begins, from 0 or from the t_start and q_start of `starts` (by chain_id)."""
-    before = Window.partitionBy("chain_id").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    at = lambda gap: F.coalesce(F.sum(F.col("size") + F.coalesce(gap, F.lit(0))).over(before), F.lit(0))
-    rows = blocks.withColumn("t_pos", at("dt")).withColumn("q_pos", at("dq"))
+#: Blocks of a chain that are summed together; longer chains are many tasks.
+BIN = 1 << 16
+
+
+def coordinates(blocks: DataFrame, starts: DataFrame | None = None, bin: int = BIN) -> DataFrame:
+    """`blocks` with t_pos and q_pos: where each begins, from 0 or from the t_start and q_start of `starts` (by chain_id).
+
+    Sums run within bins of block numbers; what comes before a bin is added from the sums of the chain's bins, which only
+    chains of more than one have.
+    """
+    binned = blocks.withColumn("_bin", F.floor(F.col("block_no") / bin))
+    step = lambda gap: F.col("size") + F.coalesce(F.col(gap), F.lit(0))
+    before = Window.partitionBy("chain_id", "_bin").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    rows = binned.withColumn("t_pos", F.coalesce(F.sum(step("dt")).over(before), F.lit(0))).withColumn("q_pos", F.coalesce(F.sum(step("dq")).over(before), F.lit(0)))
+    long = blocks.filter(F.col("block_no") >= bin).select(F.col("chain_id").alias("_long")).distinct()
+    sums = binned.join(long, F.col("chain_id") == F.col("_long"), "left_semi").groupBy("chain_id", "_bin").agg(F.sum(step("dt")).alias("_dt"), F.sum(step("dq")).alias("_dq"))
+    bins = Window.partitionBy("chain_id").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col("chain_id").alias("_chain"), F.col("_bin").alias("_b"), F.sum("_dt").over(bins).alias("_t"), F.sum("_dq").over(bins).alias("_q"))
+    rows = rows.join(carried, (F.col("chain_id") == F.col("_chain")) & (F.col("_bin") == F.col("_b")), "left")
+    rows = rows.withColumn("t_pos", F.col("t_pos") + F.coalesce("_t", F.lit(0))).withColumn("q_pos", F.col("q_pos") + F.coalesce("_q", F.lit(0))).drop("_bin", "_chain", "_b", "_t", "_q")
     if starts is None:
         return rows
     own = starts.select("chain_id", F.col("t_start").alias("_t"), F.col("q_start").alias("_q"))

@@ -73,7 +73,7 @@ def cut(rows: DataFrame, genome: DataFrame, start: str = "start", end: str = "en
     """`rows` with letters [start, end) of their chrom in `to`, null where those aren't within it.
 
     Rows meet pieces of the genome by chrom and tile, so that no row ever carries a whole sequence and no task needs
-    one. Intervals may be up to `reach` long; longer ones, and chroms that the genome lacks, are errors.
+    one. Intervals may be up to `reach` long; longer ones (see cut_any), and chroms that the genome lacks, are errors.
     """
     length = max(1 << 12, reach)
     tiled = pieces(genome, length, reach)
@@ -90,6 +90,30 @@ def cut(rows: DataFrame, genome: DataFrame, start: str = "start", end: str = "en
     return met.withColumn(to, found).drop("_chrom", "_t", "_piece", "_tile", "_size")
 
 
+def cut_any(rows: DataFrame, genome: DataFrame, start: str = "start", end: str = "end", to: str = "seq", reach: int = 1 << 12) -> DataFrame:
+    """As cut, for intervals of any length: those over `reach` are put together from the pieces that they reach over.
+
+    Each different long interval is cut piece by piece where the pieces are, and put together once, in order.
+    """
+    span = F.col(end) - F.col(start)
+    short = cut(rows.filter(~(span > reach) | span.isNull()), genome, start, end, to, reach)
+    long = rows.filter(span > reach)
+    length = max(1 << 12, reach)
+    lo, hi = F.col("_lo"), F.col("_hi")
+    asked = long.filter(F.col(start) >= 0).select(F.col("chrom").alias("_of"), F.col(start).alias("_lo"), F.col(end).alias("_hi")).distinct()
+    asked = asked.withColumn("_t", F.explode(F.sequence(F.floor(lo / length).cast("int"), F.floor((hi - 1) / length).cast("int"))))
+    met = asked.join(pieces(genome, length, 0), (F.col("_of") == F.col("chrom")) & (F.col("_t") == F.col("tile")))
+    begin = F.greatest(lo - F.col("_t") * length, F.lit(0))
+    part = F.substring("piece", (begin + 1).cast("int"), (hi - F.col("_t") * length - begin).cast("int"))
+    whole = met.groupBy("_of", "_lo", "_hi").agg(F.max("size").alias("_size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_t", part.alias("part")))), lambda x: x["part"]), "").alias("_whole"))
+    whole = whole.select("_of", "_lo", "_hi", F.when(hi <= F.col("_size"), F.col("_whole")).alias(to))
+    there = genome.select(F.col("chrom").alias("_chrom")).distinct()
+    known = long.join(there, F.col("chrom") == F.col("_chrom"), "left")
+    known = known.withColumn("chrom", F.when(F.col("_chrom").isNull(), F.raise_error(F.concat(F.lit("no such sequence: "), F.col("chrom"))).cast("string")).otherwise(F.col("chrom"))).drop("_chrom")
+    same = (F.col("chrom") == F.col("_of")) & (F.col(start) == lo) & (F.col(end) == hi)
+    return short.unionByName(known.join(whole, same, "left").drop("_of", "_lo", "_hi"))
+
+
 def known_only(rows: DataFrame, chroms: DataFrame) -> DataFrame:
     """Rows whose chrom is in `chroms`."""
     return rows.join(chroms.select("chrom").distinct(), "chrom", "left_semi")

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .genome import cut
 from .tracks import WINDOW
 
 CONTEXT = 5000
@@ -114,14 +115,23 @@ def score_windows(windows: DataFrame, scorer: Callable[[], Callable], key: str =
     return windows.selectExpr(f"cast(`{key}` as string) `{key}`", "window_start", "window").mapInPandas(run, schema)
 
 
-def peak_windows(peaks: DataFrame, stride: int = 2, reach: int = 30, left: int = 80, pad: int = 35) -> DataFrame:
-    """Windows around each peak (a position) of each seq, one a stride further left, with window_start; peaks near an end have none."""
-    n = F.length("seq")
-    inner = peaks.filter((F.col("peak") > 75) & (F.col("peak") < n - 150))
-    edge = F.repeat(F.lit("X"), F.lit(pad))
-    rows = inner.withColumn("_shift", F.explode(F.sequence(F.lit(0), F.lit(reach - stride), F.lit(stride)))).withColumn("window_start", F.col("peak") - left - F.col("_shift"))
-    rows = rows.withColumn("window", F.substring(F.concat(edge, "seq", edge), F.col("window_start") + pad + 1, F.lit(WINDOW)))
-    return rows.filter((F.col("window_start") + pad >= 0) & (F.length("window") == WINDOW)).drop("_shift")
+def peak_windows(peaks: DataFrame, seqs: DataFrame, key: str = "chrom", stride: int = 2, reach: int = 30, left: int = 80, pad: int = 35) -> DataFrame:
+    """`peaks` (`key` and peak, a position) with the windows around each, one a stride further left, as window_start and window.
+
+    Peaks near an end of their sequence (`key` and seq of `seqs`) have none; beyond the ends letters are X. Each peak meets the
+    one piece of its sequence that it is in, so that no row carries a sequence.
+    """
+    whole = seqs.select(F.col(key).alias("chrom"), "seq")
+    sizes = whole.select(F.col("chrom").alias("_of"), F.length("seq").cast("bigint").alias("_n"))
+    at, first = F.col("peak").cast("bigint"), F.col("peak").cast("bigint") - left - (reach - stride)
+    inner = peaks.join(sizes, F.col(key) == F.col("_of")).filter((at > 75) & (at < F.col("_n") - 150))
+    named = inner if key == "chrom" else inner.withColumn("chrom", F.col(key))
+    found = cut(named.withColumn("_lo", F.greatest(first, F.lit(0))).withColumn("_hi", F.least(at - left + WINDOW, F.col("_n"))), whole, "_lo", "_hi", "_near", reach=WINDOW + reach)
+    rows = found.withColumn("window_start", F.explode(F.sequence(first, at - left, F.lit(stride).cast("bigint"))))
+    padded = F.concat(F.repeat(F.lit("X"), F.lit(pad)), "_near", F.repeat(F.lit("X"), F.lit(pad)))
+    window = F.substring(padded, (F.col("window_start") - F.col("_lo") + pad + 1).cast("int"), F.lit(WINDOW))
+    kept = rows.withColumn("window", window).filter((F.col("window_start") + pad >= 0) & (F.length("window") == WINDOW))
+    return kept.select(*peaks.columns, F.col("window_start").cast("int").alias("window_start"), "window")
 
 
 def peak_scores(scored: DataFrame, peaks: DataFrame, by: list[str], aggregate: str = "max", mode: str = "both", unit: str = "log", none: float = -10.0) -> DataFrame:

@@ -11,11 +11,21 @@ KERNEL = (0.005, 0.01, 0.025, 0.05, 0.085, 0.175, 0.3, 0.175, 0.085, 0.05, 0.025
 
 
 def sliding_windows(seqs: DataFrame, length: int = WINDOW, stride: int = STRIDE, pad: str = "X") -> DataFrame:
-    """Each row's windows: `window_start` and `window`, the last one padded on the right; one where seq is no longer than a window, none where it is empty."""
-    n = F.length("seq")
-    last = F.when(n <= length, 0).otherwise(F.ceil((n - length) / stride) * stride).cast("int")
-    rows = seqs.filter(n > 0).withColumn("window_start", F.explode(F.sequence(F.lit(0), last, F.lit(stride))))
-    return rows.withColumn("window", F.rpad(F.substring("seq", F.col("window_start") + 1, F.lit(length)), length, pad))
+    """Each row's windows in place of seq: `window_start` and `window`, the last one padded on the right; one where seq is no longer than a window, none where it is empty.
+
+    A sequence is cut in one pass into pieces of a number of strides, each with what its windows reach of the next; windows
+    are counted from the start of their piece, so that time grows with the length and not with its square.
+    """
+    piece = stride * max(64, -(-length // stride))
+    n, start = F.length("seq"), F.col("_piece") * piece
+    cut = seqs.withColumn("_n", n.cast("bigint")).withColumn("_cut", F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))).filter(n > 0).drop("seq")
+    others = [F.col(f"`{c}`") for c in seqs.columns if c.lower() != "seq"]
+    more = lambda i: F.concat(F.get("_cut", i), F.substring(F.coalesce(F.get("_cut", i + 1), F.lit("")), 1, length - 1))
+    pieces = cut.select(*others, "_n", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("_cut") - 1), more)).alias("_piece", "_seq"))
+    last = F.when(F.col("_n") <= length, 0).otherwise(F.ceil((F.col("_n") - length) / stride) * stride)
+    inner = F.least(last - start, F.lit(piece - stride)).cast("int")  # the last one that begins in the piece
+    rows = pieces.filter(inner >= 0).withColumn("_at", F.explode(F.sequence(F.lit(0), inner, F.lit(stride))))
+    return rows.select(*others, (start + F.col("_at")).cast("int").alias("window_start"), F.rpad(F.substring("_seq", F.col("_at") + 1, F.lit(length)), length, pad).alias("window"))
 
 
 def overlap_add(values: DataFrame, key: str = "seq_id", pos: str = "pos", value: str = "value") -> DataFrame:

@@ -132,6 +132,20 @@ def interval_sequence(spark, d):
     return rows.select("chrom", "start", "end", "strand", F.when(F.col("strand") == "-", q.strict_reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
 
 
+@query(
+    with_views("sequences")
+    + """, asked AS (SELECT chrom, i * 50 AS start, CASE WHEN i % 3 = 0 THEN length(seq) WHEN i % 3 = 1 THEN i * 50 + 1 ELSE i * 50 + 40 * i END AS "end", seq FROM (SELECT *, unnest(range(0, length(seq) // 100 + 1)) AS i FROM sequences))
+SELECT chrom, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end", CASE WHEN "end" <= length(seq) AND "end" >= start THEN substr(seq, CAST(start + 1 AS INT), CAST("end" - start AS INT)) END AS seq FROM asked"""
+)
+def long_intervals(spark, d):
+    """Intervals of one letter to a whole sequence, and some past its end, in one call."""
+    g = views.sequences(spark, d)
+    i = F.col("i").cast("bigint")
+    end = F.when(i % 3 == 0, F.col("n")).when(i % 3 == 1, i * 50 + 1).otherwise(i * 90)
+    rows = g.select("chrom", F.length("seq").cast("bigint").alias("n"), F.explode(F.sequence(F.lit(0), F.floor(F.length("seq") / 100).cast("int"))).alias("i"))
+    return genome.cut_any(rows.select("chrom", (i * 50).alias("start"), end.alias("end")), g, reach=100)
+
+
 @query(
     with_views("sites")
     + """SELECT chrom || ':' || pos || '(' || strand || ')' AS site_key, chrom, pos, strand FROM sites"""
@@ -374,6 +388,18 @@ _PLACED = """, placed AS (SELECT *, CAST(coalesce(sum(size + coalesce(dt, 0)) OV
     WINDOW w AS (PARTITION BY chain_id ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 
 
+@query(
+    with_views("blocks")
+    + """, one AS (SELECT row_number() OVER (ORDER BY chain_id, block_no) - 1 AS block_no, size, coalesce(dt, 1) AS dt, coalesce(dq, 2) AS dq FROM blocks)
+SELECT block_no, CAST(coalesce(sum(size + dt) OVER w, 0) AS BIGINT) AS t_pos, CAST(coalesce(sum(size + dq) OVER w, 0) AS BIGINT) AS q_pos FROM one WINDOW w AS (ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+)
+def one_long_chain(spark, d):
+    """All blocks as one chain, whose positions are summed by bins."""
+    rows = ordering.in_order(views.blocks(spark, d).fillna({"dt": 1, "dq": 2}), ["chain_id", "block_no"], "_place")
+    one = rows.select(F.lit(0).cast("bigint").alias("chain_id"), F.col("_place").alias("block_no"), "size", "dt", "dq")
+    return chains.coordinates(one, bin=512).select("block_no", "t_pos", "q_pos")
+
+
 @query(with_views("blocks") + _PLACED + "SELECT chain_id, block_no, t_pos, q_pos FROM placed")
 def chain_coords(spark, d):
     return chains.coordinates(views.blocks(spark, d)).select("chain_id", "block_no", "t_pos", "q_pos")
@@ -551,12 +577,12 @@ windows AS (SELECT * FROM cut WHERE length(w) = 205)
 
 
 def _peaks(spark, d):
-    return views.sequences(spark, d).withColumn("peak", F.explode(F.sequence(F.lit(0), F.length("seq"), F.lit(100))))
+    return views.sequences(spark, d).select("chrom", F.explode(F.sequence(F.lit(0), F.length("seq"), F.lit(100))).alias("peak"))
 
 
 @query(with_views("sequences") + _PEAK_WINDOWS + "SELECT chrom, CAST(peak AS INT) AS peak, CAST(window_start AS INT) AS window_start, w AS window FROM windows")
 def peak_windows(spark, d):
-    return scoring.peak_windows(_peaks(spark, d)).select("chrom", "peak", "window_start", "window")
+    return scoring.peak_windows(_peaks(spark, d), views.sequences(spark, d)).select("chrom", "peak", "window_start", "window")
 
 
 def _peak_scores_sql(pick: str, value: str) -> str:
@@ -572,7 +598,7 @@ SELECT p.chrom || ':' || p.peak AS seq_id, coalesce(round_even(v, 3), -10.0) AS
 
 def _peak_scores(spark, d, **how):
     peaks = _peaks(spark, d).withColumn("seq_id", F.concat_ws(":", "chrom", "peak"))
-    return scoring.peak_scores(scoring.score_windows(scoring.peak_windows(peaks), scoring.composition_scorer), peaks, ["seq_id"], **how)
+    return scoring.peak_scores(scoring.score_windows(scoring.peak_windows(peaks, views.sequences(spark, d)), scoring.composition_scorer), peaks, ["seq_id"], **how)
 
 
 @query(_peak_scores_sql("max", "CASE WHEN iso + cuts > 0 AND iso + cuts < 2 THEN ln((iso + cuts) / 2 / (1 - (iso + cuts) / 2)) END"))

@@ -115,10 +115,9 @@ def fill_gaps(spark: SparkSession, chain_path: str, target: str, query: str, out
     eligible = chains.wanted(head, least_score, least_target, least_query)
     jobs = chains.gap_jobs(eligible, blocks.join(eligible.select("chain_id"), "chain_id", "left_semi"), **limits)
     base = (lambda c: F.upper(c)) if unmask else (lambda c: c)
-    most = limits.get("most_t", 100_000), limits.get("most_q", 100_000)
-    t_cut = genome.cut(jobs.withColumnRenamed("t_name", "chrom").withColumn("_a", F.col("t_lo") - 1), paths.read_genome(spark, target), "_a", "t_hi", "t_seq", most[0]).drop("chrom")
+    t_cut = genome.cut_any(jobs.withColumnRenamed("t_name", "chrom").withColumn("_a", F.col("t_lo") - 1), paths.read_genome(spark, target), "_a", "t_hi", "t_seq").drop("chrom")
     q_at = t_cut.withColumnRenamed("q_name", "chrom").withColumn("_a", F.col("q_lo") - 1)
-    both = genome.cut(q_at, paths.read_genome(spark, query), "_a", "q_hi", "q_seq", most[1]).withColumn("t_seq", base(F.col("t_seq")))
+    both = genome.cut_any(q_at, paths.read_genome(spark, query), "_a", "q_hi", "q_seq").withColumn("t_seq", base(F.col("t_seq")))
     both = both.withColumn("q_seq", base(F.when(F.col("q_strand") == "-", sequence.reverse_complement(F.col("q_seq"))).otherwise(F.col("q_seq"))))
     both = both.filter("t_seq is not null and q_seq is not null")
     best = chains.best_patches(chains.realigned(both, align) if align else alignment.aligned_gaps(both), least_patch)

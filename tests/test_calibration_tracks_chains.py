@@ -1,12 +1,13 @@
 import math
 import random
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.operators import annotation, calibration as c, chains, peaks, scoring, tracks
+from helixframe.operators import annotation, calibration as c, chains, genome, peaks, scoring, tracks
 from helixframe.plans import pipelines
 
 SITES = "chrom string, pos long, strand string, site string, score float, motif string"
@@ -65,6 +66,43 @@ def test_sliding_windows(spark):
     assert got.filter(F.length("window") != 205).count() == 0 and got.filter("n = 206 and window_start = 10").first().window == "A" * 196 + "X" * 9
 
 
+def test_windows_of_long_sequences_take_time_in_proportion(spark):
+    """20 million letters in one row: all windows, and those around peaks, are where they belong."""
+    n = 20_000_000
+    seqs = spark.range(1).select(F.lit("c").alias("chrom"), F.repeat(F.lit("ACGTTGCATT"), F.lit(n // 10)).alias("seq"))
+    began = time.time()
+    got = tracks.sliding_windows(seqs).agg(F.count(F.lit(1)).alias("n"), F.max("window_start").alias("last"), F.count_if(F.col("window") == "ACGTTGCATT" * 20 + "ACGTT").alias("same")).first()
+    assert (got.n, got.last, got.same) == ((n - 205 + 9) // 10 + 1, n - 200, got.n - 1)
+    peaks = spark.range(0, n, 100_000).select(F.lit("c").alias("chrom"), F.col("id").alias("peak"))
+    found = scoring.peak_windows(peaks, seqs)
+    assert found.count() == 199 * 15 and found.filter(~F.col("window").startswith(F.lit("ACGTTGCATTACGTTGCATT"))).filter("window_start % 10 = 0").count() == 0
+    assert time.time() - began < 120
+
+
+def test_intervals_of_any_length(spark):
+    rng = random.Random(7)
+    seqs = {"a": "".join(rng.choices("ACGTN", k=30_000)), "b": "ACG", "e": ""}
+    g = spark.createDataFrame(list(seqs.items()), "chrom string, seq string")
+    asked = [("a", s, e) for s, e in ((0, 30_000), (0, 1), (29_999, 30_000), (4095, 4097), (4096, 12_288), (5, 29_990), (100, 4196), (100, 4197), (-1, 9000), (9, 30_001), (20_000, 40_000))] + [("b", 0, 3), ("b", 0, 9000), ("e", 0, 0)]
+    got = genome.cut_any(spark.createDataFrame([*asked, asked[0]], "chrom string, start long, end long"), g).collect()
+    assert sorted(((r.chrom, r.start, r.end), r.seq) for r in got if r.seq is not None) == sorted(((c, s, e), seqs[c][s:e]) for c, s, e in [*asked, asked[0]] if 0 <= s and e <= len(seqs[c]))
+    assert len(got) == 15
+    with pytest.raises(Exception, match="no such sequence"):
+        genome.cut_any(spark.createDataFrame([("z", 0, 9000)], "chrom string, start long, end long"), g).collect()
+
+
+def test_positions_along_long_chains(spark):
+    rng = random.Random(8)
+    rows = [(c, k, rng.randrange(9), rng.randrange(5), None if k == n - 1 else rng.randrange(7)) for c, n in ((1, 1), (2, 64), (3, 65), (4, 500)) for k in range(n)]
+    blocks = spark.createDataFrame(rows, BLOCKS)
+    want = sorted(map(tuple, chains.coordinates(blocks).collect()))
+    assert sorted(map(tuple, chains.coordinates(blocks, bin=32).collect())) == want
+    t = 0
+    for r in [r for r in want if r[0] == 4]:
+        assert r[5] == t
+        t += r[2] + r[3]
+
+
 def test_profile_lines(spark):
     rows = spark.createDataFrame([("c", 100, 103, s, [0.5, 0.0, 0.7]) for s in "+-"], "chrom string, start long, end long, strand string, profile array<double>")
     got = {s: [(r.line_start, r.line_end, r.value, r.name) for r in tracks.profile_lines(rows.filter(F.col("strand") == s)).collect()] for s in "+-"}
@@ -144,8 +182,8 @@ def test_scoring(spark):
     rows = spark.createDataFrame([("c", 100, 400, s, "ACGTT" * 60) for s in "+-"], "chrom string, start long, end long, strand string, seq string")
     made = pipelines.polya_profiles(rows, scoring.composition_scorer).collect()
     assert len(made) == 2 and all(len(r.profile) == 300 for r in made)
-    peaks = spark.createDataFrame([("c", "ACGTT" * 60, 120), ("c", "ACGTT" * 60, 20)], "seq_id string, seq string, peak int")
-    windows = scoring.peak_windows(peaks)
+    peaks = spark.createDataFrame([("c", 120), ("c", 20)], "seq_id string, peak int")
+    windows = scoring.peak_windows(peaks, spark.createDataFrame([("c", "ACGTT" * 60)], "seq_id string, seq string"), "seq_id")
     assert windows.count() == 15 and windows.filter("window_start < 0 and window like 'X%'").count() == 0
     keyed = windows.withColumn("seq_id", F.concat_ws("|", "seq_id", "peak"))
     wanted = peaks.withColumn("seq_id", F.concat_ws("|", "seq_id", "peak"))
