@@ -265,65 +265,3 @@ def test_parts_by_hashes_lose_no_pair(spark, monkeypatch):
     monkeypatch.setattr(s, "PART_HASHES", 20_000)
     classes = {r.doc_id: r.component_id for r in s.near_copy_classes(spark.createDataFrame(list(text.items()), "doc_id long, text string")).collect()}
     assert all(classes[2 * i] == classes[2 * i + 1] == 2 * i for i in range(30))
-
-
-def triples(text):
-    w = (text or "").lower().split()
-    return {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
-
-
-def alike_classes(text, least):
-    """The least id reachable over links of likeness `least` between sets of three-word shingles, by comparing all pairs."""
-    sets, up = {i: triples(t) for i, t in text.items()}, s.Classes()
-    for a in text:
-        for b in text:
-            if a < b and (len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])):
-                up.join(a, b)
-    return {i: up.find(i) for i in text}
-
-
-def test_near_copies_beyond_two_bits_in_large_groups(spark):
-    rng = random.Random(51)
-    text = {}
-    for g in range(3):  # a group of copies each: exact ones, and others with 2 to 8 % of their words changed
-        base = [f"v{rng.randrange(3000)}" for _ in range(300)]
-        for i in range(120):
-            copy = list(base)
-            for _ in range(i // 5 if i >= 30 else 0):
-                copy[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
-            text[1000 * g + i] = " ".join(copy)
-    text |= {9000 + i: " ".join(f"v{rng.randrange(3000)}" for _ in range(300)) for i in range(60)}
-    got = {r.doc_id: r for r in s.near_duplicates(spark.createDataFrame(list(text.items()), "doc_id long, text string").repartition(5)).collect()}
-    assert {i: r.component_id for i, r in got.items()} == components({i: fingerprint(t) for i, t in text.items()}, 2)
-    assert {i: r.near_copy_id for i, r in got.items()} == {i: i if i >= 9000 else i // 1000 * 1000 for i in text}
-    assert sum(r.component_id != r.near_copy_id for r in got.values()) > 100
-
-
-def test_near_copy_ids_of_odd_rows(docs, odd_docs, texts):
-    want = alike_classes(texts, s.NEAR_LIKENESS)
-    assert {r.doc_id: r.near_copy_id for r in s.near_duplicates(docs).collect()} == want
-    odd = [(r.doc_id, r.near_copy_id) for r in s.near_duplicates(odd_docs).collect()]
-    assert sorted(odd, key=str) == sorted([*want.items(), (10, want[10]), (14, want[14]), (None, None)], key=str)
-
-
-def test_repeated_ids_of_unlike_texts_join_no_classes(spark):
-    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
-    rows = [(5, a), (5, b), (7, a), (3, b + " more"), (None, a + " more"), (9, None), (None, "")]
-    got = [(r.doc_id, r.near_copy_id) for r in s.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
-    assert sorted(got, key=str) == sorted([(5, 5), (5, 3), (7, 5), (3, 3), (None, 5), (9, 9), (None, 9)], key=str)
-
-
-@pytest.mark.parametrize("tile", [1024, 7])
-def test_close_others(monkeypatch, tile):
-    monkeypatch.setattr(s, "TILE", tile)
-    rng = random.Random(6)
-    flipped = lambda x, n: x ^ sum(1 << k for k in rng.sample(range(256), n))
-    base = [rng.getrandbits(256) for _ in range(30)]
-    left = [x.to_bytes(32, "little") for x in base + [flipped(x, 90) for x in base[:5]] + [flipped(x, 91) for x in base[5:10]]]
-    right = [flipped(x, 90).to_bytes(32, "little") for x in base[20:25]] + [rng.getrandbits(256).to_bytes(32, "little") for _ in range(9)]
-    for few in (left, left[:7] + left[30:37]):
-        near = lambda x, y: (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count() <= 90
-        assert s.close_others(few, None, 90)[0].tolist() == [any(near(x, y) for k, y in enumerate(few) if k != i) for i, x in enumerate(few)]
-    found = s.close_others(left, right, 90)
-    assert [f.tolist() for f in found] == [[any(near(x, y) for y in right) for x in left], [any(near(x, y) for x in left) for y in right]]
-    assert found[0].sum() == found[1].sum() == 5
