@@ -22,48 +22,91 @@ def split_url(url: str | None) -> tuple[str, str]:
     return (found[1].translate(_LOWER), found[2]) if found else ("", "")
 
 
-def build_trie(rules: list[tuple[str, str, str]]) -> dict:
-    """`rules`: (verdict, host, path). A host node has label edges, and under "/" the trie of paths that hold there.
+class Trie:
+    """Rules by host labels from the last on, then by whole path segments, then by the letters of what follows the last slash.
 
-    Path edges are whole segments with their slash; what follows a rule's last slash is matched as a prefix and kept
-    at its node, longest first. A rule given twice: the last one holds.
+    Nodes are numbers, so that tries of any depth can be sent. A host node leads to the paths that hold there and a segment
+    node to the tails that do; tails share edges as far as they are alike, so that one walk over a segment finds the longest.
     """
+
+    def __init__(self, rules: list[tuple[str, str, str]]) -> None:
+        self.edges: list[dict] = [{}]
+        self.below: dict[int, int] = {}  # host node: its paths' root; segment node: its tails' root
+        self.ends: dict[int, tuple[str, str]] = {}  # tail node: rule and verdict
+        for verdict, host, path in rules:
+            at = 0
+            for label in reversed(host.translate(_LOWER).split(".")):
+                at = self._next(at, label)
+            *whole, tail = path.split("/")
+            at = self._under(at)
+            for segment in whole:
+                at = self._next(at, segment)
+            self.ends[self._tail(self._under(at), tail)] = f"{host}{path}", verdict
+
+    def _new(self) -> int:
+        self.edges.append({})
+        return len(self.edges) - 1
+
+    def _next(self, at: int, key: str) -> int:
+        if key not in self.edges[at]:
+            self.edges[at][key] = self._new()
+        return self.edges[at][key]
+
+    def _under(self, at: int) -> int:
+        if at not in self.below:
+            self.below[at] = self._new()
+        return self.below[at]
+
+    def _tail(self, at: int, tail: str) -> int:
+        """The node of a tail; edges are (letters, node) by their first letter, split where a tail leaves them."""
+        while tail:
+            if tail[0] not in self.edges[at]:
+                self.edges[at][tail[0]] = tail, self._new()
+                return self.edges[at][tail[0]][1]
+            letters, to = self.edges[at][tail[0]]
+            if not tail.startswith(letters):
+                n = next((k for k, (a, b) in enumerate(zip(letters, tail, strict=False)) if a != b), len(tail))
+                middle = self._new()
+                self.edges[middle][letters[n]] = letters[n:], to
+                self.edges[at][tail[0]] = letters[:n], middle
+                letters, to = letters[:n], middle
+            at, tail = to, tail[len(letters) :]
+        return at
+
+    def longest_tail(self, at: int, segment: str) -> tuple[str, str] | None:
+        """Rule and verdict of the longest tail that the segment begins with."""
+        best, k = self.ends.get(at), 0
+        while k < len(segment) and (edge := self.edges[at].get(segment[k])) and segment.startswith(edge[0], k):
+            k, at = k + len(edge[0]), edge[1]
+            best = self.ends.get(at, best)
+        return best
+
+
+def build_trie(rules: list[tuple[str, str, str]]) -> Trie:
+    """`rules`: (verdict, host, path), in time that grows with their letters. A rule given twice: the last one holds."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are broadcast")
-    root: dict = {"labels": {}}
-    for verdict, host, path in rules:
-        node = root
-        for label in reversed(host.translate(_LOWER).split(".")):
-            node = node["labels"].setdefault(label, {"labels": {}})
-        node = node.setdefault("paths", {"segments": {}, "ends": []})
-        *whole, rest = path.split("/")
-        for segment in whole:
-            node = node["segments"].setdefault(segment, {"segments": {}, "ends": []})
-        node["ends"] = sorted([e for e in node["ends"] if e[0] != rest] + [(rest, verdict, f"{host}{path}")], key=lambda e: -len(e[0]))
-    return root
-
-
-def judge(trie: dict, host: str, path: str) -> tuple[str | None, str | None]:
+    return Trie(rules)
+
+
+def judge(trie: Trie, host: str, path: str) -> tuple[str | None, str | None]:
     """Rule and verdict of the longest match: most host labels first, then the longest path; (None, None) if none fits."""
-    labels, node, at_hosts = host.split("."), trie, []
-    for label in reversed(labels):
-        node = node["labels"].get(label)
-        if node is None:
+    at, hosts = 0, []
+    for label in reversed(host.split(".")):
+        at = trie.edges[at].get(label)
+        if at is None:
             break
-        if "paths" in node:
-            at_hosts.append(node["paths"])
+        if at in trie.below:
+            hosts.append(trie.below[at])
     segments = path.split("/")
-    for paths in reversed(at_hosts):
-        best, at, k = None, paths, 0
-        while at is not None:
-            rest = None
-            for end, verdict, rule in at["ends"]:
-                rest = "/".join(segments[k:]) if rest is None else rest
-                if rest.startswith(end):
-                    best = (rule, verdict)
-                    break
-            at = at["segments"].get(segments[k]) if k < len(segments) - 1 else None
-            k += 1
+    for node in reversed(hosts):
+        best = None
+        for segment in segments:
+            if node in trie.below:
+                best = trie.longest_tail(trie.below[node], segment) or best
+            node = trie.edges[node].get(segment)
+            if node is None:
+                break
         if best:
             return best
     return None, None
