@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as q
 from ..operators import chains, counters, genome, ordering, scoring, tracks
-from ..sources import binary, files, paths, sinks, text
+from ..sources import binary, block_gzip, files, named_files, paths, sinks, text
 from . import catalogue, pipelines, views
 from .catalogue import query, tiles_sql
 from .views import with_views
@@ -89,6 +89,43 @@ def fasta_by_content(spark, d):
     return paths.read_genome(spark, files.copied(spark, one, f"{files.work_folder(spark)}/genome.fa"))
 
 
+@query(with_views("sequences") + "SELECT chrom, seq FROM sequences")
+def fasta_block_gzip(spark, d):
+    """A block gzip file, read as many tasks that each begin within it."""
+    def packed(rows: list[tuple]) -> bytes:
+        return block_gzip.pack("".join(f">{chrom}\n{seq}\n" for chrom, seq in rows).encode(), 5000)
+
+    (path,) = sinks.write_parts(views.sequences(spark, d).coalesce(1), files.work_folder(spark), "fa.gz", packed)
+    return text.read_fasta(spark, path, task_bytes=1 << 14)
+
+
+@query(with_views("sequences") + "SELECT chrom, seq FROM sequences")
+def piped_genome(spark, d):
+    """A genome that comes as a stream, which isn't kept in memory."""
+    rows = views.sequences(spark, d).select(F.concat(F.lit(">"), "chrom", F.lit("\n"), "seq").alias("value"))
+    (path,) = files.parts(spark, _written(rows.coalesce(1)))
+    with named_files.opened(path) as stream:
+        return paths.read_genome(spark, "-", stream=stream)
+
+
+@query(with_views("sequences") + """, starts AS (SELECT chrom, seq, unnest(range(0, CASE WHEN length(seq) <= 185 THEN 1 ELSE CAST(ceil((length(seq) - 185) / 50.0) AS BIGINT) * 50 + 1 END, 50)) AS s FROM sequences WHERE length(seq) > 0),
+cut AS (SELECT chrom, upper(substr(seq, CAST(s + 1 AS INT), 185)) AS w FROM starts)
+SELECT chrom, count(*) AS windows, """ + ", ".join(f"CAST(sum(length(w) - length(replace(w, '{x}', ''))) AS BIGINT) AS {x.lower()}" for x in "ACGT") + """, CAST(36 AS BIGINT) AS libraries FROM cut GROUP BY chrom""")
+def encoded_legacy(spark, d):
+    """How many rows of each letter are in the inputs of older models: windows of 185, channels first, no library."""
+    seqs = views.sequences(spark, d).select("chrom", F.upper("seq").alias("seq"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                x, library, _ = scoring.window_inputs(list(b["window"]), length=185, library=36, at=None, channels_last=False)
+                sums = x[:, 0].sum(1).astype(int)
+                yield pd.DataFrame({"chrom": b["chrom"], **{c: sums[:, k] for k, c in enumerate("acgt")}, "libraries": library.shape[1]})
+
+    coded = tracks.sliding_windows(seqs, 185, 50).select("chrom", "window").mapInPandas(run, "chrom string, a long, c long, g long, t long, libraries long")
+    return coded.groupBy("chrom").agg(F.count(F.lit(1)).alias("windows"), *[F.sum(c).alias(c) for c in "acgt"], F.max("libraries").alias("libraries"))
+
+
 @query(with_views("sequences") + "SELECT chrom, upper(seq) AS seq FROM sequences")
 def twobit_scan(spark, d):
     made = sinks.write_parts(views.sequences(spark, d).repartition(4, "chrom"), files.work_folder(spark), "2bit", binary.pack_twobit)

@@ -7,6 +7,7 @@ import re
 import shutil
 import sys
 from pathlib import Path, PurePosixPath
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +40,15 @@ def genome_kind(path: str) -> str:
     raise ValueError(f"{path} has the ending of neither FASTA nor 2bit")
 
 
-def read_genome(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
-    """chrom and seq of a FASTA or 2bit file; `-` is standard input, kept in the shared folder, told by its first bytes."""
+def read_genome(spark: SparkSession, path: str, mode: str = "lenient", stream: BinaryIO | None = None) -> DataFrame:
+    """chrom and seq of a FASTA or 2bit file; `-` is a stream (standard input), kept in the shared folder, told by its first bytes."""
     if path == "-":
-        head = sys.stdin.buffer.read(1 << 16)
+        stream = stream or sys.stdin.buffer
+        head = stream.read(1 << 16)
         if not head:
             raise ValueError("standard input is empty")
         name = {"gzip": "input.fa.gz", "2bit": "input.2bit", "fasta": "input.fa"}[sniff(head)]
-        path = files.keep_stream(spark, _After(head, sys.stdin.buffer), f"{files.work_folder(spark)}/{name}")
+        path = files.keep_stream(spark, _After(head, stream), f"{files.work_folder(spark)}/{name}")
     if genome_kind(path) == "2bit":
         register(spark)
         return spark.read.format("twobit").option("path", path).load()

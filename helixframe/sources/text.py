@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import files
+from ..storage import checkpointed, small
+from . import block_gzip, files
 
 _JUNCTION = ("chr", "start", "end", "strand", "motif", "annotated", "coverage", "multimap", "overhang")
 
@@ -29,31 +30,40 @@ def read_junctions(spark: SparkSession, paths: list[str]) -> DataFrame:
     return named.select(*[F.col("f")[k].cast(kinds.get(c, "string")).alias(c) for k, c in enumerate(_JUNCTION)], "file_ord", "at")
 
 
-def read_fasta(spark: SparkSession, path: str, mode: str = "lenient") -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, mode: str = "lenient", task_bytes: int = block_gzip.TASK_BYTES) -> DataFrame:
     """chrom (the whole header line) and seq of FASTA files; gzip by name, or of a single file by its first bytes.
 
-    lenient: white space at line ends is dropped, a repeated header's last record holds, and letters before a single
-    file's first header begin its first record. strict: headers are trimmed and must be non-empty, space or tab within a
+    lenient: white space at line ends is dropped, a repeated header's last record holds, and letters before a file's
+    first header begin its first record. strict: headers are trimmed and must be non-empty, space or tab within a
     sequence is an error. predict: lines are stripped at both ends. In these two a file must begin with a header.
-    Records are split by the text source, so a file of many records is read in parallel unless it is compressed.
+    Records are split by the text source, so a file of many records is read in parallel unless it is compressed; a single
+    block gzip file is, too, in ranges of `task_bytes`.
     """
     if mode not in ("lenient", "strict", "predict"):
         raise ValueError(f"no such mode: {mode}")
     head = files.head_of(spark, path)
-    if head and head[:2] == files.GZIP:
-        path, head = files.named_gz(spark, path), files.unpacked(head)
-    headless = bool(head) and mode == "lenient" and head.strip()[:1] not in (b">", b"")
-    raw = spark.read.option("lineSep", "\n>").text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
+    if head and block_gzip.member_size(head):
+        head = files.unpacked(head)
+        raw = block_gzip.read_records(spark, path, "\n>", task_bytes).select("value", F.lit(path).alias("_file"), F.col("at").alias("_at"))
+    else:
+        if head and head[:2] == files.GZIP:
+            path, head = files.named_gz(spark, path), files.unpacked(head)
+        raw = spark.read.option("lineSep", "\n>").text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
     # the first record of a file still has its `>`
     first = raw.groupBy("_file").agg(F.min("_at").alias("_first"))
-    rows = raw.join(F.broadcast(first), "_file").filter(F.length(F.trim("value")) > 0)
-    if headless:  # the file's first record is letters only; the next one gets them
-        lead = rows.filter(F.col("_at") == F.col("_first")).select("_file", F.col("value").alias("_lead"))
-        second = rows.filter(F.col("_at") > F.col("_first")).groupBy("_file").agg(F.min("_at").alias("_second"))
-        rows = rows.filter(F.col("_at") > F.col("_first")).join(F.broadcast(second), "_file").join(lead, "_file")
-        joined = F.concat(F.substring_index("value", "\n", 1), F.lit("\n"), "_lead", F.substring("value", F.length(F.substring_index("value", "\n", 1)) + 1, F.length("value")))
-        rows = rows.withColumn("value", F.when(F.col("_at") == F.col("_second"), joined).otherwise(F.col("value")))
-    begins = F.col("value").startswith(">") | F.lit(headless)
+    rows = raw.join(small(checkpointed(first)), "_file").filter(F.length(F.trim("value")) > 0)
+    is_first, has_mark = F.col("_at") == F.col("_first"), F.col("value").startswith(">")
+    if mode == "lenient" and (head is None or head.strip()[:1] not in (b">", b"")):
+        # a file's first record may be letters only: the next one gets them
+        lead = rows.filter(is_first & ~has_mark).select("_file", F.col("value").alias("_lead"))
+        second = rows.join(lead.select("_file"), "_file", "left_semi").filter(~is_first).groupBy("_file").agg(F.min("_at").alias("_second"))
+        leads = checkpointed(lead.join(second, "_file").select(F.col("_file").alias("_of"), "_second", "_lead"))
+        rows = rows.filter(~is_first | has_mark)
+        if not leads.isEmpty():
+            rows = rows.join(leads, (F.col("_file") == F.col("_of")) & (F.col("_at") == F.col("_second")), "left")
+            joined = F.concat(F.substring_index("value", "\n", 1), F.lit("\n"), "_lead", F.substring("value", F.length(F.substring_index("value", "\n", 1)) + 1, F.length("value")))
+            rows = rows.withColumn("value", F.coalesce(joined, F.col("value")))
+    begins = F.col("value").startswith(">")
     record = F.when((F.col("_at") == F.col("_first")) & ~begins, F.raise_error(F.lit("the file doesn't begin with a header"))).when((F.col("_at") == F.col("_first")) & F.col("value").startswith(">"), F.substring("value", 2, 2_000_000_000)).otherwise(F.col("value"))
     rows = rows.select(F.regexp_replace(record, "\r", "").alias("r"), "_at")
     header, body = F.substring_index("r", "\n", 1), F.when(F.instr("r", "\n") > 0, F.substring("r", F.instr("r", "\n") + 1, F.length("r"))).otherwise(F.lit(""))
