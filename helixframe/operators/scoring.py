@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,22 +62,48 @@ def pair_inputs(sites: pd.DataFrame) -> list[np.ndarray]:
     return [near, far, *(column(c) for c in ("proximal_start", "proximal_end", "distal_start", "distal_end")), np.log(column("distance")), library, ones]
 
 
-def score_sites(chunks: DataFrame, scorer: Callable[[], Callable[[np.ndarray], np.ndarray]], context: int = CONTEXT, keep: tuple[str, ...] = ()) -> DataFrame:
+#: Bases that a model gets at once, context included; a longer sequence comes alone.
+CALL_BASES = 1 << 20
+
+
+def _loaded(kept: Broadcast, scorer: Callable[[], Callable]) -> Callable:
+    """The model, loaded once a worker: its tasks have one value of a broadcast (an empty table), which keeps it."""
+    if "model" not in kept.value:
+        kept.value["model"] = scorer()
+    return kept.value["model"]
+
+
+def calls(lengths: list[int], most: int = CALL_BASES) -> list[list[int]]:
+    """Places of sequences that go to a model together: equally long ones, at most `most` bases unless it is one."""
+    by_length: dict[int, list[int]] = {}
+    for k, n in enumerate(lengths):
+        by_length.setdefault(n, []).append(k)
+    return [own[a : a + step] for n, own in sorted(by_length.items()) for step in [max(1, most // max(n, 1))] for a in range(0, len(own), step)]
+
+
+def score_sites(chunks: DataFrame, scorer: Callable[[], Callable[[np.ndarray], np.ndarray]], context: int = CONTEXT, keep: tuple[str, ...] = (), call_bases: int = CALL_BASES) -> DataFrame:
     """chrom, start, end, strand, the columns `keep` (longs), acceptor and donor (arrays, one value a base of seq).
 
-    The model gets (1, L + 2 * context, 4) and gives (1, L, 3): nothing, acceptor, donor. Models of an ensemble are
-    averaged by the scorer that is given (see `ensemble`).
+    The model gets (n, L + 2 * context, 4) and gives (n, L, 3): nothing, acceptor, donor. Records of a task are sorted by
+    length, and equally long ones (chunks of a genome are, but for the last of a contig) go to it in one call. It is loaded
+    once a worker and not once a task. Models of an ensemble are averaged by the scorer that is given (see `ensemble`).
     """
     more = "".join(f"`{c}` long, " for c in keep)
     schema = f"chrom string, start long, end long, strand string, {more}acceptor array<float>, donor array<float>"
+    kept = chunks.sparkSession.sparkContext.broadcast({})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = scorer()
+        predict = _loaded(kept, scorer)
         for b in batches:
-            made = [predict(one_hot_mod("N" * context + s + "N" * context)[None])[0] for s in b["seq"]]
-            yield pd.DataFrame({**{c: b[c] for c in ("chrom", "start", "end", "strand", *keep)}, "acceptor": [y[:, 1] for y in made], "donor": [y[:, 2] for y in made]})
+            seqs, acceptor, donor = list(b["seq"]), [None] * len(b), [None] * len(b)
+            for own in calls([len(s) + 2 * context for s in seqs], call_bases):
+                made = predict(np.stack([one_hot_mod("N" * context + seqs[k] + "N" * context) for k in own]))
+                for k, y in zip(own, made, strict=True):
+                    acceptor[k], donor[k] = y[:, 1], y[:, 2]
+            yield pd.DataFrame({**{c: b[c] for c in ("chrom", "start", "end", "strand", *keep)}, "acceptor": acceptor, "donor": donor})
 
-    return chunks.selectExpr("chrom", "cast(start as long) start", "cast(`end` as long) `end`", "strand", "seq", *[f"cast(`{c}` as long) `{c}`" for c in keep]).mapInPandas(run, schema)
+    rows = chunks.selectExpr("chrom", "cast(start as long) start", "cast(`end` as long) `end`", "strand", "seq", *[f"cast(`{c}` as long) `{c}`" for c in keep])
+    return rows.sortWithinPartitions(F.length("seq")).mapInPandas(run, schema)
 
 
 def ensemble(scorers: list[Callable[[], Callable]]) -> Callable[[], Callable]:
@@ -90,7 +117,7 @@ def ensemble(scorers: list[Callable[[], Callable]]) -> Callable[[], Callable]:
 
 
 def models_from(paths: list[str], load: Callable[[str], Callable]) -> Callable[[], Callable]:
-    """One scorer of the models at `paths`, each loaded by `load` once a task; a path that isn't there is an error on the driver."""
+    """One scorer of the models at `paths`, each loaded by `load` once a worker; a path that isn't there is an error on the driver."""
     if lacking := [p for p in paths if not Path(p).exists()]:
         raise FileNotFoundError(f"no model at {', '.join(lacking)}")
     if not paths:
@@ -104,9 +131,10 @@ def score_windows(windows: DataFrame, scorer: Callable[[], Callable], key: str =
     The model gets [(n, 205, 4, 1), (n, 13), (n, 1)] and gives iso (n, 1) and cuts (n, 206).
     """
     schema = f"`{key}` string, window_start int, iso double, cuts array<double>"
+    kept = windows.sparkSession.sparkContext.broadcast({})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = scorer()
+        predict = _loaded(kept, scorer)
         for b in batches:
             if len(b):
                 iso, cuts = predict(window_inputs(list(b["window"])))

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.junctions import KEY, long_enough, unannotated
+from .counters import counted
 
 SCHEMA = "chr string, start string, end string, strand string, motif int, annotated int, coverage bigint, multimap bigint, overhang bigint, file_ord int, at bigint"
 
 
-def read_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Parquet files of junction rows (see SCHEMA), a file at a time or more."""
-    return spark.readStream.schema(SCHEMA).parquet(folder)
+def read_stream(spark: SparkSession, folder: str, files: int = 1000) -> DataFrame:
+    """Parquet files of junction rows (see SCHEMA), at most `files` a batch; each batch is counted as `junctions` (see counters)."""
+    rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", files).parquet(folder)
+    return counted(rows, "junctions", n_annotated=F.count_if(F.col("annotated") == 1), coverage=F.sum("coverage"))
 
 
 def running_merge(rows: DataFrame, least_length: int = 50, least_coverage: int = 5) -> DataFrame:

@@ -79,6 +79,33 @@ def test_windows_of_long_sequences_take_time_in_proportion(spark):
     assert time.time() - began < 120
 
 
+def test_models_get_equally_long_records_at_once_and_are_loaded_once_a_worker(spark, tmp_path):
+    log = tmp_path / "log"
+
+    def scorer():
+        with open(log, "a") as f:
+            f.write("load\n")
+
+        def predict(x):
+            with open(log, "a") as f:
+                f.write(f"{x.shape[0]} {x.shape[1]}\n")
+            return np.stack([x[:, 2:-2].sum(2), np.cumsum(x[:, 2:-2, 0], 1), x[:, 2:-2, 3]], axis=2)
+
+        return predict
+
+    rows = [("c", k, k + n, "+", "ACGTN"[k % 5] + "A" * (n - 1)) for k, n in enumerate([40] * 30 + [17, 17, 9])]
+    chunks = spark.createDataFrame(rows, "chrom string, start long, end long, strand string, seq string").repartition(1)
+    got = {r.start: list(r.acceptor) for r in scoring.score_sites(chunks, scorer, context=2).collect()}
+    assert got == {k: list(np.cumsum([x == "A" for x in s])) for _, k, _, _, s in rows}
+    assert sorted(x for x in log.read_text().split("\n") if x not in ("", "load")) == ["1 13", "2 21", "30 44"]
+    log.unlink()
+    scoring.score_sites(chunks, scorer, context=2, call_bases=100).collect()
+    assert len([x for x in log.read_text().split("\n") if x.endswith(" 44")]) == 15
+    log.unlink()
+    scoring.score_sites(chunks.repartition(20), scorer, context=2).collect()
+    assert log.read_text().split("\n").count("load") <= 4  # of twenty tasks in four workers
+
+
 def test_intervals_of_any_length(spark):
     rng = random.Random(7)
     seqs = {"a": "".join(rng.choices("ACGTN", k=30_000)), "b": "ACG", "e": ""}
