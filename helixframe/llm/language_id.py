@@ -233,12 +233,12 @@ def predict(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
     made = ("lang_pred", "score", "bits_per_byte")
     others = [c for c in docs.columns if c != text and c.lower() not in made]
     whole, has = free_name(docs, "_coded"), free_name(docs, "_letters")
-    sent = docs.sparkSession.sparkContext.broadcast(trees)
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(trees))  # plain, as executors may not have the class
     ready = docs.select(*[F.col(f"`{c}`") for c in others], F.coalesce(coded(text), F.lit(START)).alias(whole), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(has))
     schema = ready.select(*[f"`{c}`" for c in others], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = sent.value
+        trees = Trees(*sent.value)
         judge, names = judged(trees), pa.array([*trees.langs, "und"])
         for batch in batches:
             if batch.num_rows:

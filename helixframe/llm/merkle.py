@@ -83,6 +83,13 @@ class UpperTree:
         self.place = {g: i for i, g in enumerate(order)}
         self.top = reduced([self.of_group[g][-1][0] for g in order])
 
+    @classmethod
+    def of(cls, parts: dict) -> UpperTree:
+        """The tree whose parts (`vars`) were sent: executors may not have this class to read it by."""
+        made = cls.__new__(cls)
+        made.__dict__.update(parts)
+        return made
+
     @property
     def root(self) -> str | None:
         return self.top[-1][0] if self.place else None
@@ -153,15 +160,16 @@ def manifest(leaves: DataFrame, key: str, group: str, leaf: str = "leaf", claime
     for r in found.toArrow().to_pylist():
         by_group.setdefault(r["_group"], []).append((r["_block"], r["_digest"]))
     upper = UpperTree({g: [d for _, d in sorted(b)] for g, b in by_group.items()})
-    if len(pickle.dumps(upper)) > MOST_BYTES:
+    if len(pickle.dumps(vars(upper))) > MOST_BYTES:
         raise ValueError(f"the tree above the blocks takes over {MOST_BYTES} bytes")
-    sent = spark.sparkContext.broadcast(upper)
+    sent = spark.sparkContext.broadcast(vars(upper))
     step = pa.struct([("left", pa.string()), ("right", pa.string())])
 
     def down(keys: tuple[pa.Scalar, ...], tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, block = keys[0].as_py(), keys[1].as_py()
         t, levels = tree(pa.Table.from_batches(tables))
-        above, root, subroot = sent.value.suffix(group, block), sent.value.root, sent.value.subroot(group)
+        upper = UpperTree.of(sent.value)
+        above, root, subroot = upper.suffix(group, block), upper.root, upper.subroot(group)
         proven = t["_claimed"].to_pylist()
         for begin in range(0, t.num_rows, 1024):  # a leaf's proof has some kilobytes
             proofs, roots = [], []

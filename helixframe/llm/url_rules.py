@@ -43,6 +43,13 @@ class Trie:
                 at = self._next(at, segment)
             self.ends[self._tail(self._under(at), tail)] = f"{host}{path}", verdict
 
+    @classmethod
+    def of(cls, parts: dict) -> Trie:
+        """The trie whose parts (`vars`) were sent: executors may not have this class to read it by."""
+        made = cls.__new__(cls)
+        made.__dict__.update(parts)
+        return made
+
     def _new(self) -> int:
         self.edges.append({})
         return len(self.edges) - 1
@@ -120,10 +127,10 @@ def filter_urls(df: DataFrame, rules: list[tuple[str, str, str]], default: str =
     most host labels wins, then that with the longest path (of two with the same host and path, the later); repeated rows are
     each judged; an empty table gives none.
     """
-    trie = df.sparkSession.sparkContext.broadcast(build_trie(rules))
+    trie = df.sparkSession.sparkContext.broadcast(vars(build_trie(rules)))
 
     def start():
-        root = trie.value
+        root = Trie.of(trie.value)
 
         def step(columns):
             keys, urls = columns
