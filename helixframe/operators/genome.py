@@ -13,14 +13,24 @@ def sizes(genome: DataFrame, least: int = 0) -> DataFrame:
 
 
 def tiles(genome: DataFrame, chunk: int = 6_000_000, flank: int = 50_000, least: int = 500, n_to_a: bool = True) -> DataFrame:
-    """chrom, chunk_index (from 0), start, end, flank_start, flank_end and seq (with flanks) of each chunk of contigs of `least` or more."""
+    """chrom, chunk_index (from 0), start, end, flank_start, flank_end and seq (with flanks) of each chunk of contigs of `least` or more.
+
+    A contig is cut into chunks in one pass; flanks come from as many chunks beside a chunk as they reach over.
+    """
     if chunk <= 0 or flank < 0:
         raise ValueError("chunk must be over 0, and flank not under it")
-    length = F.length("seq").cast("bigint")
-    rows = genome.filter((length >= least) & (length > 0)).select("chrom", "seq", length.alias("_n"), F.posexplode(F.sequence(F.lit(0).cast("bigint"), length - 1, F.lit(chunk).cast("bigint"))).alias("chunk_index", "start"))
+    length, i = F.length("seq").cast("bigint"), F.col("chunk_index")
+    near = -(-flank // chunk)
+    cut = genome.filter((length >= least) & (length > 0)).select("chrom", length.alias("_n"), F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0)).alias("_cut"))
+    part = lambda at: F.coalesce(F.get("_cut", at), F.lit(""))
+
+    def flanked(_, at):
+        before, after = (F.concat(*[part(at + k) for k in side]) if near else F.lit("") for side in (range(-near, 0), range(1, near + 1)))
+        return F.concat(F.right(before, F.lit(flank)), part(at), F.left(after, F.lit(flank)))
+
+    rows = cut.select("chrom", "_n", F.posexplode(F.transform("_cut", flanked)).alias("chunk_index", "seq")).withColumn("start", i.cast("bigint") * chunk)
     rows = rows.withColumn("end", F.least(F.col("start") + chunk, "_n")).withColumn("flank_start", F.greatest(F.lit(0), F.col("start") - flank)).withColumn("flank_end", F.least("_n", F.col("end") + flank))
-    seq = F.substring("seq", (F.col("flank_start") + 1).cast("int"), (F.col("flank_end") - F.col("flank_start")).cast("int"))
-    return rows.select("chrom", "chunk_index", "start", "end", "flank_start", "flank_end", (normalized(seq) if n_to_a else seq).alias("seq"))
+    return rows.select("chrom", "chunk_index", "start", "end", "flank_start", "flank_end", (normalized(F.col("seq")) if n_to_a else F.col("seq")).alias("seq"))
 
 
 def both_strands(rows: DataFrame, revcomp_minus: bool = False) -> DataFrame:

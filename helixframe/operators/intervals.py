@@ -29,9 +29,10 @@ def merge(rows: DataFrame, by: tuple[str, ...] = ("chrom", "strand"), touch: boo
 
     Intervals are merged within bins of their start, many tasks to a chrom. What passes from bin to bin is how far the
     bins before reach, and where the last union that they begin starts: one row a bin, and the only thing that is put in
-    order along a whole chrom. A bin's unions that begin before that reach belong to that last union.
+    order along a whole chrom. A bin's unions that begin before that reach belong to that last union. Of intervals with one
+    start only the longest is dealt to its bin, so that a bin has at most as many rows as starts, however high they pile up.
     """
-    rows = rows.select(*by, "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_width))
+    rows = rows.groupBy(*by, "start").agg(F.max("end").alias("end")).withColumn("_bin", F.floor(F.col("start") / bin_width))
     unions = _islands(rows, [*by, "_bin"], touch)
     apart = lambda start: F.col("_reach").isNull() | ((start > F.col("_reach")) if touch else (start >= F.col("_reach")))
     before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -54,9 +54,9 @@ def test_site_motifs(spark):
 
 
 def test_keys_and_records(spark):
-    rows = spark.createDataFrame([("chr1:42(-)\tA\t0.75\tag",), ("a\tb",), ("x:1:2(+)\tD\tx\tGT",)], "line string")
+    rows = spark.createDataFrame([("scaf_B:907(+)\tD\t0.375\tgc",), ("a\tb",), ("x:1:2(+)\tD\tx\tGT",)], "line string")
     got = [r[0] for r in rows.select(q.parsed_scored_site(F.col("line"))).collect()]
-    assert tuple(got[0]) == ("chr1", 42, "-", "A", 0.75, "AG") and got[1:] == [None, None]
+    assert tuple(got[0]) == ("scaf_B", 907, "+", "D", 0.375, "GC") and got[1:] == [None, None]
     head = spark.createDataFrame([("a:b:1-20(+)",), ("a",)], "h string").select(q.parsed_region_header(F.col("h")).alias("x")).collect()
     assert tuple(head[0].x) == ("a:b", 1, 20, "+") and head[1].x.chrom is None
     assert [r[0] for r in spark.createDataFrame([("chr 1/x",), ("",)], "c string").select(q.file_safe(F.col("c"))).collect()] == ["chr_1_x", "unknown"]
@@ -78,6 +78,28 @@ def test_pair_counts(spark):
         assert counts(*seqs) == want
 
 
+@pytest.mark.parametrize(("chunk", "flank"), [(7, 0), (7, 3), (7, 7), (7, 20), (1000, 5), (1, 4)])
+def test_tiles_with_any_flank(spark, chunk, flank):
+    rng = random.Random(chunk + flank)
+    seqs = {f"c{n}": "".join(rng.choices("ACGTNn", k=n)) for n in (0, 1, 6, 7, 8, 50)}
+    g = spark.createDataFrame(list(seqs.items()), "chrom string, seq string")
+    got = sorted((r.chrom, r.chunk_index, r.start, r.end, r.flank_start, r.flank_end, r.seq) for r in genome.tiles(g, chunk, flank, 1, n_to_a=False).collect())
+    want = []
+    for name, s in seqs.items():
+        for k, a in enumerate(range(0, len(s), chunk)):
+            b = min(a + chunk, len(s))
+            lo, hi = max(0, a - flank), min(len(s), b + flank)
+            want.append((name, k, a, b, lo, hi, s[lo:hi]))
+    assert got == sorted(want)
+
+
+def test_piles_of_intervals(spark):
+    """A hundred thousand intervals with three starts are three rows of their bin."""
+    rows = spark.range(100_000).selectExpr("'c' chrom", "'+' strand", "(id % 3) * 50 start", "(id % 3) * 50 + id % 60 `end`")
+    assert sorted((r.start, r.end) for r in intervals.merge(rows).collect()) == [(0, 159)]
+    assert sorted((r.start, r.end) for r in intervals.merge(rows.filter("id % 60 < 50")).collect()) == [(0, 48), (50, 99), (100, 147)]
+
+
 def test_tiles(spark):
     g = spark.createDataFrame([("chr1", "ACGTACGT"), ("n", "ACN"), ("e", "")], "chrom string, seq string")
     got = {(r.chrom, r.chunk_index, r.start, r.end, r.strand): r.seq for r in genome.both_strands(genome.tiles(g, 4, 1, 1)).collect()}
