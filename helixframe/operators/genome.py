@@ -79,15 +79,19 @@ def pieces(genome: DataFrame, length: int = 1 << 12, reach: int = 0) -> DataFram
     return cut.select("chrom", "size", F.posexplode(whole).alias("tile", "piece"))
 
 
-def cut(rows: DataFrame, genome: DataFrame, start: str = "start", end: str = "end", to: str = "seq", reach: int = 1 << 12) -> DataFrame:
+def cut(rows: DataFrame, genome: DataFrame | None, start: str = "start", end: str = "end", to: str = "seq", reach: int = 1 << 12, tiled: DataFrame | None = None) -> DataFrame:
     """`rows` with letters [start, end) of their chrom in `to`, null where those aren't within it.
 
     Rows meet pieces of the genome by chrom and tile, so that no row ever carries a whole sequence and no task needs
     one. Intervals may be up to `reach` long; longer ones (see cut_any), and chroms that the genome lacks, are errors.
+    In place of a genome, pieces that are read as such will do (`tiled`, of max(4096, reach) letters and `reach` more).
     """
     length = max(1 << 12, reach)
-    tiled = pieces(genome, length, reach)
-    sizes = genome.select(F.col("chrom").alias("_chrom"), F.length("seq").cast("bigint").alias("_size"))
+    if tiled is None:
+        tiled = pieces(genome, length, reach)
+        sizes = genome.select(F.col("chrom").alias("_chrom"), F.length("seq").cast("bigint").alias("_size"))
+    else:
+        sizes = tiled.filter("tile = 0").select(F.col("chrom").alias("_chrom"), F.col("size").alias("_size"))
     known = rows.join(sizes, F.col("chrom") == F.col("_chrom"), "left")
     size = F.when(F.col("_chrom").isNull(), F.raise_error(F.concat(F.lit("no such sequence: "), F.col("chrom"))).cast("bigint")).otherwise(F.col("_size"))
     known = known.withColumn("_size", size).withColumn("_tile", F.floor(F.greatest(F.col(start), F.lit(0)) / length).cast("int")).drop("_chrom")

@@ -135,6 +135,13 @@ def twobit_scan(spark, d):
     return out
 
 
+@query(with_views("sequences") + "SELECT chrom, length(seq) AS size, CAST(tile AS INT) AS tile, upper(substr(seq, CAST(tile * 100 + 1 AS INT), 130)) AS piece FROM (SELECT *, unnest(range(0, CAST(greatest(1, ceil(length(seq) / 100.0)) AS BIGINT))) AS tile FROM sequences)")
+def twobit_pieces(spark, d):
+    """Pieces of 100 bases, with 30 of the next, read as ranges of a whole genome's file."""
+    (path,) = sinks.write_parts(views.sequences(spark, d).coalesce(1), files.work_folder(spark), "2bit", binary.pack_twobit)
+    return binary.read_twobit_pieces(spark, path, 100, 30)
+
+
 @query(with_views("sites") + "SELECT chrom, pos, score FROM sites WHERE score >= CAST(0.001 AS FLOAT)")
 def bigwig_scan(spark, d):
     rows = views.sites(spark, d).select("chrom", "pos", "score").repartition(4, "pos")

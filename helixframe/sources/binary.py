@@ -41,7 +41,9 @@ class _Sections(InputPartition):
 
 
 class _Sequences(InputPartition):
-    def __init__(self, spots: list[tuple[str, int]]) -> None:
+    """Sequences of a 2bit file by place, with the bounds of what is read of each."""
+
+    def __init__(self, spots: list[tuple[str, int, int, int]]) -> None:
         self.spots = spots
 
 
@@ -53,10 +55,14 @@ def _order(head: bytes, magic: int) -> str:
 
 
 class TwoBitReader(DataSourceReader):
-    """Each task seeks to its own sequences: one, or as many short ones as come to MOST_BASES."""
+    """Each task seeks to its own bases, about MOST_BASES: of one sequence or of many short ones.
+
+    Without `piece`, rows are whole sequences. With it they are (chrom, size, tile, piece): `piece` bases each, and the
+    `reach` bases that follow, so that a long sequence is many tasks and no row.
+    """
 
-    def __init__(self, path: str, mask: bool) -> None:
-        self.path, self.mask = path, mask
+    def __init__(self, path: str, mask: bool, piece: int = 0, reach: int = 0) -> None:
+        self.path, self.mask, self.piece, self.reach = path, mask, piece, reach
 
     def partitions(self) -> list[_Sequences]:
         with opened(self.path) as f:
@@ -70,51 +76,70 @@ class TwoBitReader(DataSourceReader):
             for name, at in spots:
                 f.seek(at)
                 size = struct.unpack(order + "I", f.read(4))[0]
-                if not found or bases + size > MOST_BASES:
-                    found.append(_Sequences([]))
-                    bases = 0
-                found[-1].spots.append((name, at))
-                bases += size
+                most = max(self.piece, MOST_BASES // self.piece * self.piece) if self.piece else max(size, 1)
+                for begin in range(0, max(size, 1), most):
+                    end = min(size, begin + most)
+                    if not found or bases + end - begin > MOST_BASES:
+                        found.append(_Sequences([]))
+                        bases = 0
+                    found[-1].spots.append((name, at, begin, end))
+                    bases += end - begin
         return found
 
     def read(self, part: _Sequences) -> Iterator[tuple]:
-        for name, at in part.spots:
-            yield name, self._sequence(at)
-
-    def _sequence(self, at: int) -> str:
+        for name, at, begin, end in part.spots:
+            if not self.piece:
+                yield name, self._bases(at, begin, end)[1]
+                continue
+            size, bases = self._bases(at, begin, end + self.reach)
+            for start in range(begin, max(end, begin + 1), self.piece):
+                yield name, size, start // self.piece, bases[start - begin : start - begin + self.piece + self.reach]
+
+    def _bases(self, at: int, begin: int, end: int) -> tuple[int, str]:
+        """The size of a sequence, and its bases in [begin, end)."""
         with opened(self.path) as f:
             order = _order(f.read(4), TWOBIT)
             f.seek(at)
-            numbers = lambda n: np.frombuffer(f.read(4 * n), dtype=order + "u4")
+            numbers = lambda n: np.frombuffer(f.read(4 * n), dtype=order + "u4").astype(np.int64)
             size = int(numbers(1)[0])
             spans = []
             for _ in range(2):
                 n = int(numbers(1)[0])
                 spans.append((numbers(n), numbers(n)))
             numbers(1)
-            packed = np.frombuffer(f.read((size + 3) // 4), dtype=np.uint8)
-        codes = np.stack([packed >> 6, packed >> 4 & 3, packed >> 2 & 3, packed & 3], axis=1).reshape(-1)[:size]
+            end, first = min(end, size), begin // 4
+            f.seek(f.tell() + first)
+            packed = np.frombuffer(f.read((end + 3) // 4 - first), dtype=np.uint8)
+        codes = np.stack([packed >> 6, packed >> 4 & 3, packed >> 2 & 3, packed & 3], axis=1).reshape(-1)[begin - 4 * first : end - 4 * first]
         bases = np.frombuffer(b"TCAG", dtype=np.uint8)[codes]
-        for start, length in zip(*spans[0], strict=True):
-            bases[start : start + length] = ord("N")
-        if self.mask:
-            for start, length in zip(*spans[1], strict=True):
-                bases[start : start + length] |= 32
-        return bases.tobytes().decode()
+        for k, (starts, lengths) in enumerate(spans if self.mask else spans[:1]):
+            near = (starts < end) & (starts + lengths > begin)
+            for lo, hi in zip(np.maximum(starts[near] - begin, 0), (starts + lengths)[near] - begin, strict=True):
+                if k:
+                    bases[lo:hi] |= 32
+                else:
+                    bases[lo:hi] = ord("N")
+        return size, bases.tobytes().decode()
 
 
 class TwoBitSource(DataSource):
-    """Options: path, mask (lower-case what the file masks; false)."""
+    """Options: path, mask (lower-case what the file masks; false), piece and reach (rows of pieces; see TwoBitReader)."""
 
     @classmethod
     def name(cls) -> str:
         return "twobit"
 
     def schema(self) -> str:
-        return "chrom string, seq string"
+        return "chrom string, size long, tile int, piece string" if "piece" in self.options else "chrom string, seq string"
 
     def reader(self, schema) -> TwoBitReader:
-        return TwoBitReader(self.options["path"], self.options.get("mask", "false").lower() == "true")
+        return TwoBitReader(self.options["path"], self.options.get("mask", "false").lower() == "true", int(self.options.get("piece", 0)), int(self.options.get("reach", 0)))
+
+
+def read_twobit_pieces(spark: SparkSession, path: str, length: int = 1 << 12, reach: int = 0, mask: bool = False) -> DataFrame:
+    """chrom, size, tile and piece of a 2bit file, as genome.pieces has them of whole sequences, without any row for those."""
+    register(spark)
+    return spark.read.format("twobit").option("path", path).option("mask", str(mask).lower()).option("piece", length).option("reach", reach).load()
 
 
 class BigWigReader(DataSourceReader):

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from helixframe.operators import genome
 from helixframe.sources import binary, named_files, sinks
 
 
@@ -81,3 +82,23 @@ def test_range_in_spark(spark, track):
     # one frame in two branches
     rows = binary.read_bigwig(spark, track)
     assert rows.filter("chrom = 'chr2'").unionAll(rows.filter("chrom = 'chr3'")).count() == 2001 and rows.count() == len(VALUES)
+
+
+@pytest.mark.parametrize("mask", [False, True])
+def test_twobit_by_ranges(spark, tmp_path, monkeypatch, mask):
+    rng = random.Random(9)
+    seqs = {f"c{n}": "".join(rng.choice(["ACGT", "acgt", "N", "n", "TTGA"]) for _ in range(n))[:n] for n in (0, 1, 5, 63, 64, 65, 3000)}
+    at = str(tmp_path / "g.2bit")
+    (tmp_path / "g.2bit").write_bytes(binary.pack_twobit(list(seqs.items())))
+    shown = {n: s if mask else s.upper() for n, s in seqs.items()}
+    monkeypatch.setattr(binary, "MOST_BASES", 200)
+    for length, reach in ((64, 0), (64, 10), (7, 7), (1000, 3)):
+        reader = binary.TwoBitReader(at, mask, length, reach)
+        parts = reader.partitions()
+        got = [r for p in parts for r in reader.read(p)]
+        assert got == [(n, len(s), k, s[k * length : (k + 1) * length + reach]) for n, s in shown.items() for k in range(max(1, -(-len(s) // length)))]
+        assert len(parts) > 3
+    assert dict(r for p in binary.TwoBitReader(at, mask).partitions() for r in binary.TwoBitReader(at, mask).read(p)) == shown
+    asked = spark.createDataFrame([("c3000", 0, 3000), ("c3000", 17, 99), ("c65", 64, 65), ("c65", 60, 70)], "chrom string, start long, end long")
+    cut = genome.cut(asked, None, tiled=binary.read_twobit_pieces(spark, at, 4096, 4096, mask))
+    assert sorted((r.chrom, r.start, r.end, r.seq) for r in cut.collect()) == sorted((c, s, e, shown[c][s:e] if e <= len(shown[c]) else None) for c, s, e in map(tuple, asked.collect()))
