@@ -77,6 +77,19 @@ def test_2000_small_gaps_as_a_plain_program(letters):
         assert a is None or rescored(t, q, a) == want
 
 
+def test_small_gaps_cost_little_of_what_a_plain_program_does():
+    rng = random.Random(13)
+    ts = ["".join(rng.choices(LETTERS, k=rng.randrange(10, 120))) for _ in range(6000)]
+    qs = [planted(rng, t, 5) for t in ts]
+    began = time.perf_counter()
+    for t, q in zip(ts[:40], qs[:40], strict=True):
+        plain_score(t, q)
+    plain = (time.perf_counter() - began) / 40
+    began = time.perf_counter()
+    al.best_alignments(ts, qs)
+    assert (time.perf_counter() - began) / 6000 < plain / 20
+
+
 def test_long_gaps_in_a_band():
     rng = random.Random(12)
     t = "".join(rng.choices(LETTERS, k=6000))
