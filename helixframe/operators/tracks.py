@@ -24,7 +24,8 @@ def sliding_windows(seqs: DataFrame, length: int = WINDOW, stride: int = STRIDE,
     pieces = cut.select(*others, "_n", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("_cut") - 1), more)).alias("_piece", "_seq"))
     last = F.when(F.col("_n") <= length, 0).otherwise(F.ceil((F.col("_n") - length) / stride) * stride)
     inner = F.least(last - start, F.lit(piece - stride)).cast("int")  # the last one that begins in the piece
-    rows = pieces.filter(inner >= 0).withColumn("_at", F.explode(F.sequence(F.lit(0), inner, F.lit(stride))))
+    # dealt to all tasks before there are many windows of each
+    rows = pieces.filter(inner >= 0).repartition(*others, "_piece").withColumn("_at", F.explode(F.sequence(F.lit(0), inner, F.lit(stride))))
     return rows.select(*others, (start + F.col("_at")).cast("int").alias("window_start"), F.rpad(F.substring("_seq", F.col("_at") + 1, F.lit(length)), length, pad).alias("window"))
 
 

@@ -598,7 +598,7 @@ SELECT p.chrom || ':' || p.peak AS seq_id, coalesce(round_even(v, 3), -10.0) AS
 
 def _peak_scores(spark, d, **how):
     peaks = _peaks(spark, d).withColumn("seq_id", F.concat_ws(":", "chrom", "peak"))
-    return scoring.peak_scores(scoring.score_windows(scoring.peak_windows(peaks, views.sequences(spark, d)), scoring.composition_scorer), peaks, ["seq_id"], **how)
+    return scoring.peak_scores(scoring.score_windows(scoring.peak_windows(peaks, views.sequences(spark, d)), scoring.composition_scorer, near=scoring.NEAR), peaks, ["seq_id"], **how)
 
 
 @query(_peak_scores_sql("max", "CASE WHEN iso + cuts > 0 AND iso + cuts < 2 THEN ln((iso + cuts) / 2 / (1 - (iso + cuts) / 2)) END"))

@@ -1,6 +1,7 @@
 import math
 import random
 import time
+import weakref
 
 import numpy as np
 import pandas as pd
@@ -216,3 +217,50 @@ def test_scoring(spark):
     wanted = peaks.withColumn("seq_id", F.concat_ws("|", "seq_id", "peak"))
     got = {r.seq_id: r.peak_score for r in scoring.peak_scores(scoring.score_windows(keyed, scoring.composition_scorer), wanted, ["seq_id"]).collect()}
     assert got["c|20"] == -10 and got["c|120"] > -10
+
+
+def test_windows_are_dealt_to_all_tasks_and_models_get_them_by_parts(spark):
+    seqs = spark.createDataFrame([("c", "ACGT" * 20_000)], "chrom string, seq string").coalesce(1)
+    most = scoring.CALL_WINDOWS
+
+    def scorer():
+        def predict(inputs):
+            assert len(inputs[0]) <= most
+            return scoring.composition_scorer()(inputs)
+
+        return predict
+
+    peaks = seqs.select("chrom", F.explode(F.sequence(F.lit(0), F.lit(80_000), F.lit(100))).alias("peak"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for windows in (tracks.sliding_windows(seqs), scoring.peak_windows(peaks, seqs)):
+            assert windows.select(F.spark_partition_id()).distinct().count() == 4
+        one = scoring.peak_windows(peaks, seqs).coalesce(1)
+        summed = scoring.score_windows(one, scorer, "chrom", near=scoring.NEAR).agg(F.sum("near")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    whole = scoring.score_windows(one, scorer, "chrom").select(F.explode(F.slice("cuts", 78, 30)).alias("c")).agg(F.sum("c")).first()[0]
+    assert abs(summed - whole) < 1e-9 * whole
+
+
+def test_what_a_model_gave_is_gone_before_its_next_call(spark):
+    def scorer():
+        last = []
+
+        def predict(x):
+            assert not last or last.pop()() is None
+            made = np.stack([x[:, 2:-2].sum(2)] * 3, axis=2)
+            last.append(weakref.ref(made))
+            return made
+
+        return predict
+
+    chunks = spark.range(400).selectExpr("'c' chrom", "id start", "id + 50 `end`", "'+' strand", "repeat('A', 50) seq").coalesce(1)
+    assert scoring.score_sites(chunks, scorer, context=2, call_bases=1000).selectExpr("sum(size(acceptor)) n").first().n == 400 * 50
+
+
+def test_medians_of_even_odd_and_no_values(spark):
+    rows = spark.createDataFrame([("a", 0.25), ("a", 0.5), ("b", 0.1), ("b", 0.7), ("b", 0.3), ("c", None)], "k string, iso double").withColumn("near", F.col("iso"))
+    made = scoring.peak_scores(rows, rows.select("k").distinct(), ["k"], "median", "from_iso", "probability")
+    assert {r.k: r.peak_score for r in made.collect()} == {"a": 0.375, "b": 0.3, "c": -10.0}
