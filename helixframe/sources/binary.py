@@ -289,34 +289,72 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BigWigSource)
 
 
-def pack_twobit(records: list[tuple[str, str]]) -> bytes:
-    """A 2bit file of (name, sequence): letters other than A, C, G and T are N, lower case is masked."""
+_CODE = np.full(256, 255, dtype=np.uint8)
+for _k, _letter in enumerate("TCAG"):
+    _CODE[ord(_letter)] = _CODE[ord(_letter.lower())] = _k
+
+
+def twobit_body(seq: str) -> bytes:
+    """A sequence as a 2bit file has it: letters other than A, C, G and T are N, lower case is masked."""
 
     def spans(marks: np.ndarray) -> bytes:
         edge = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
         starts, ends = edge[::2], edge[1::2]
         return struct.pack("<I", len(starts)) + starts.astype("<u4").tobytes() + (ends - starts).astype("<u4").tobytes()
 
-    code = np.full(256, 255, dtype=np.uint8)
-    for k, letter in enumerate("TCAG"):
-        code[ord(letter)] = code[ord(letter.lower())] = k
-    bodies = []
-    for _, seq in records:
-        letters = np.frombuffer(seq.encode(), dtype=np.uint8)
-        codes = code[letters]
-        two = np.concatenate([np.where(codes == 255, 0, codes), np.zeros(-len(codes) % 4, dtype=np.uint8)]).reshape(-1, 4)
-        packed = two[:, 0] << 6 | two[:, 1] << 4 | two[:, 2] << 2 | two[:, 3]
-        bodies.append(struct.pack("<I", len(letters)) + spans(codes == 255) + spans((letters >= 97) & (letters <= 122)) + struct.pack("<I", 0) + packed.astype(np.uint8).tobytes())
-    names = [n.encode() for n, _ in records]
+    letters = np.frombuffer(seq.encode(), dtype=np.uint8)
+    codes = _CODE[letters]
+    two = np.concatenate([np.where(codes == 255, 0, codes), np.zeros(-len(codes) % 4, dtype=np.uint8)]).reshape(-1, 4)
+    packed = two[:, 0] << 6 | two[:, 1] << 4 | two[:, 2] << 2 | two[:, 3]
+    return struct.pack("<I", len(letters)) + spans(codes == 255) + spans((letters >= 97) & (letters <= 122)) + struct.pack("<I", 0) + packed.astype(np.uint8).tobytes()
+
+
+def twobit_head(n: int) -> bytes:
+    return struct.pack("<IIII", TWOBIT, 0, n, 0)
+
+
+def twobit_entry(name: bytes, at: int) -> bytes:
+    """What the index has of a sequence: its name and place."""
+    return bytes([len(name)]) + name + struct.pack("<I", at)
+
+
+def pack_twobit(records: list[tuple[str, str]]) -> bytes:
+    """A 2bit file of a few (name, sequence); see sinks.write_twobit."""
+    names, bodies = [n.encode() for n, _ in records], [twobit_body(seq) for _, seq in records]
     at, index = 16 + sum(len(n) + 5 for n in names), []
     for name, body in zip(names, bodies, strict=True):
-        index.append(bytes([len(name)]) + name + struct.pack("<I", at))
+        index.append(twobit_entry(name, at))
         at += len(body)
-    return struct.pack("<IIII", TWOBIT, 0, len(records), 0) + b"".join(index) + b"".join(bodies)
+    return twobit_head(len(records)) + b"".join(index) + b"".join(bodies)
+
+
+def bigwig_section(number: int, starts: np.ndarray, values: np.ndarray) -> bytes:
+    """A compressed section of single bases of a contig, in order."""
+    rows = np.empty(len(starts), np.dtype([("s", "<u4"), ("e", "<u4"), ("v", "<f4")]))
+    rows["s"], rows["e"], rows["v"] = starts, starts + 1, values
+    return zlib.compress(struct.pack("<IIIIIBBH", number, int(starts[0]), int(starts[-1]) + 1, 0, 0, 1, 0, len(rows)) + rows.tobytes())
+
+
+def bigwig_head(contigs: list[tuple[str, int]], data: int) -> bytes:
+    """Everything before the sections (`data` bytes of them): the header and the contigs, by number, with their sizes."""
+    names = [n.encode() for n, _ in contigs]
+    key = max([len(n) for n in names], default=1)
+    items = b"".join(n.ljust(key, b"\0") + struct.pack("<II", k, size) for k, (n, (_, size)) in enumerate(zip(names, contigs, strict=True)))
+    tree = struct.pack("<IIIIQQBBH", 0x78CA8C91, max(1, len(names)), key, 8, len(names), 0, 1, 0, len(names)) + items
+    return struct.pack("<IHHQQQHHQQIQ", BIGWIG, 4, 0, 64, 64 + len(tree), 64 + len(tree) + data, 0, 0, 0, 0, 1 << 16, 0) + tree
+
+
+def bigwig_root(nodes: list[tuple[int, int, int, int, int]], sections: int, at: int) -> bytes:
+    """The index's header, and its root: bounds and number of items of each leaf node. They follow the root, which begins behind a header at `at`."""
+    place, items = at + 48 + 4 + 24 * len(nodes), []
+    for c0, p0, c1, p1, n in nodes:
+        items.append(struct.pack("<IIIIQ", c0, p0, c1, p1, place))
+        place += 4 + 32 * n
+    return struct.pack("<IIQIIIIQII", 0x2468ACE0, max(1, len(nodes)), sections, 0, 0, 0, 0, at, 1, 0) + struct.pack("<BBH", 0, 0, len(nodes)) + b"".join(items)
 
 
 def pack_bigwig(values: list[tuple[str, int, float]], per_section: int = 1024) -> bytes:
-    """A BigWig file of (chrom, position, score), one base each: sections of (start, end, score), compressed, one index node."""
+    """A BigWig file of a few (chrom, position, score), one base each (see sinks.write_bigwig): sections of (start, end, score), compressed, one index node."""
     rows: dict[str, list[tuple[int, float]]] = {}
     for chrom, pos, score in values:
         rows.setdefault(chrom, []).append((pos, score))

@@ -38,16 +38,29 @@ def unpacked_member(data: bytes) -> bytes:
     return zlib.decompress(data[12 + struct.unpack("<H", data[10:12])[0] : -8], -15)
 
 
-def pack(data: bytes, size: int = 60_000) -> bytes:
-    """`data` as block gzip, `size` bytes a member, with the empty member that ends such files."""
+def members(data: bytes, size: int = 60_000) -> bytes:
+    """`data` as members of block gzip, `size` bytes each."""
     out = []
-    for part in [*(data[k : k + size] for k in range(0, len(data), size)), b""]:
-        deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
-        body = deflate.compress(part) + deflate.flush()
-        out.append(_MAGIC + b"\0\0\0\0\0\xff" + struct.pack("<HBBHH", 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(part), len(part)))
+    for k in range(0, len(data), size):
+        out.append(_member(data[k : k + size]))
     return b"".join(out)
 
 
+def _member(part: bytes) -> bytes:
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(part) + deflate.flush()
+    return _MAGIC + b"\0\0\0\0\0\xff" + struct.pack("<HBBHH", 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(part), len(part))
+
+
+#: The empty member that ends such files.
+END = _member(b"")
+
+
+def pack(data: bytes, size: int = 60_000) -> bytes:
+    """`data` as block gzip, `size` bytes a member, with the empty member that ends such files."""
+    return members(data, size) + END
+
+
 class Range(InputPartition):
     def __init__(self, number: int, start: int, end: int) -> None:
         self.number, self.start, self.end = number, start, end

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import uuid
 import zlib
+from collections.abc import Iterator
 from typing import BinaryIO
 
 from pyspark.sql import SparkSession
@@ -73,3 +75,18 @@ def keep_stream(spark: SparkSession, stream: BinaryIO, to: str) -> str:
     finally:
         out.close()
     return to
+
+
+class Joined(io.RawIOBase):
+    """Files one after the other, as one stream."""
+
+    def __init__(self, opened: Iterator[BinaryIO]) -> None:
+        self.rest, self.now = opened, None
+
+    def read(self, n: int = -1) -> bytes:
+        while True:
+            if self.now and (piece := self.now.read(n)):
+                return piece
+            self.now = next(self.rest, None)
+            if self.now is None:
+                return b""

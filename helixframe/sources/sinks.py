@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
+import struct
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import file_safe, region_header, site_key
 from ..operators.ordering import in_order
+from ..storage import checkpointed, small
+from . import binary, block_gzip
 from .named_files import write_named
 from .paths import chunk_name
 
@@ -103,17 +110,116 @@ def write_wig(scored: DataFrame, folder: str, prefix: str, least: float = 0.001,
     return sorted(names)
 
 
-def write_parts(rows: DataFrame, folder: str, ending: str, pack: Callable[[list[tuple]], bytes]) -> list[str]:
-    """A binary file of each partition's rows, as `pack` makes it; partitions without rows have none. Their paths."""
+def _kept(parts: DataFrame) -> DataFrame:
+    """`parts` of a file, written to the shared folder, with their partition (_p) and place in it (_k)."""
+    return checkpointed(parts.withColumn("_p", F.spark_partition_id()).withColumn("_k", F.monotonically_increasing_id()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
 
-        own = [r for b in batches for r in b.itertuples(index=False, name=None)]
-        if own:
-            yield pd.DataFrame({"file": [f"part-{TaskContext.get().partitionId():05d}.{ending}"], "value": [pack(own)]})
+def _before(kept: DataFrame, sizes: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """What parts before each one come to (`sizes`: name and column), and what all do. Partitions' totals alone are put together."""
+    totals = checkpointed(kept.groupBy("_p").agg(*[F.sum(c).cast("bigint").alias(f"_{n}") for n, c in sizes.items()]))
+    along, within = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("_p").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(F.col("_p").alias("_q"), *[F.coalesce(F.sum(f"_{n}").over(along), F.lit(0)).alias(f"_{n}") for n in sizes])
+    rows = kept.select("*", *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(n) for n, c in sizes.items()]).join(small(checkpointed(starts)), F.col("_p") == F.col("_q"))
+    whole = totals.agg(*[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(n) for n in sizes]).first().asDict()
+    return rows.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sizes}).drop("_q", *[f"_{n}" for n in sizes]), whole
 
-    return [f"{folder}/{name}" for name in write_named(rows.mapInPandas(run, "file string, value binary"), folder)]
+
+def _values(rows: DataFrame, value: Callable[..., bytes], *columns: str) -> DataFrame:
+    """value: bytes of each row's columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([pa.array([value(*r) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)], pa.binary())], names=["value"])
+
+    return rows.select(*columns).mapInArrow(run, "value binary")
+
+
+def _one_file(folder: str, name: str, *parts: DataFrame | bytes) -> str:
+    """A file of these bytes and rows (value), as they are dealt and ordered; its path."""
+    spark = next(p for p in parts if isinstance(p, DataFrame)).sparkSession
+    rows = [spark.createDataFrame([(bytearray(p),)], "value binary").coalesce(1) if isinstance(p, bytes) else p.select("value") for p in parts]
+    write_named(reduce(DataFrame.unionAll, rows).select(F.lit(name).alias("file"), "value"), folder)
+    return f"{folder}/{name}"
+
+
+def write_twobit(genome: DataFrame, folder: str, name: str = "genome.2bit") -> str:
+    """A 2bit file of chrom and seq; its path. Sequences are packed where they are, and no task has more than one at a time in bytes."""
+    body = _values(genome, lambda chrom, seq: struct.pack("<H", len(chrom.encode())) + chrom.encode() + binary.twobit_body(seq), "chrom", "seq")
+    kept = _kept(body)
+    n = F.conv(F.hex(F.concat(F.substring("value", 2, 1), F.substring("value", 1, 1))), 16, 10).cast("int")
+    kept = kept.select("_p", "_k", "value", n.alias("_n"), F.octet_length("value").alias("_bytes"))
+    slim = kept.select("_p", "_k", F.substring(F.col("value"), F.lit(3), F.col("_n")).alias("name"), (F.col("_bytes") - 2 - F.col("_n")).alias("_bytes"))
+    placed, whole = _before(slim, {"at": F.col("_bytes"), "index": F.octet_length("name") + 5, "n": F.lit(1)})
+    first = 16 + whole["index"]
+    if first + whole["at"] >= 1 << 32:
+        raise ValueError("a 2bit file has at most 4 GB")
+    index = placed.withColumn("at", F.col("at") + first).repartitionByRange("_p", "_k").sortWithinPartitions("_p", "_k")
+    bodies = kept.select(F.substring(F.col("value"), F.col("_n") + 3, F.col("_bytes")).alias("value"))
+    return _one_file(folder, name, binary.twobit_head(whole["n"]), _values(index, binary.twobit_entry, "name", "at"), bodies)
+
+
+#: Contigs of a BigWig file, and leaf nodes of its index: what a node may have.
+NODE_MOST = (1 << 16) - 1
+
+
+def write_bigwig(values: DataFrame, folder: str, name: str = "track.bw", per_section: int = 1024, per_node: int = 1024) -> str:
+    """A BigWig file of chrom, pos and score, one base each; its path. Values are put in order by ranges, and sections are packed where those are."""
+    contigs = [(r.chrom, r.size) for r in values.groupBy("chrom").agg((F.max("pos") + 1).alias("size")).limit(NODE_MOST + 1).collect()]
+    if len(contigs) > NODE_MOST:
+        raise ValueError(f"more than {NODE_MOST} contigs")
+    contigs.sort()
+    numbers = {c: k for k, (c, _) in enumerate(contigs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["value", "c", "p0", "p1"]
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        held: tuple[np.ndarray, ...] = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))
+
+        def sections(c: np.ndarray, pos: np.ndarray, score: np.ndarray, end: bool) -> tuple[list[tuple], int]:
+            made, at = [], 0
+            while at < len(c):
+                last = min(int(np.searchsorted(c, c[at], "right")), at + per_section)
+                if last == len(c) and last - at < per_section and not end:
+                    break  # it may go on
+                made.append((binary.bigwig_section(int(c[at]), pos[at:last], score[at:last]), int(c[at]), int(pos[at]), int(pos[last - 1]) + 1))
+                at = last
+            return made, at
+
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                new = np.array([numbers[x] for x in b.column(0).to_pylist()], np.int64), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
+                held = tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+            made, at = sections(*held, b is None)
+            held = tuple(x[at:] for x in held)
+            yield pa.record_batch([pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds)], names=names)
+
+    ranged = values.select("chrom", F.col("pos").cast("long"), F.col("score").cast("float")).repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
+    kept = _kept(ranged.mapInArrow(run, "value binary, c long, p0 long, p1 long"))
+    slim = kept.select("_p", "_k", "c", "p0", "p1", F.octet_length("value").alias("_bytes"))
+    placed, whole = _before(slim, {"at": F.col("_bytes"), "n": F.lit(1)})
+    head = binary.bigwig_head(contigs, whole["at"])
+    grouped = placed.withColumn("node", F.floor(F.col("n") / per_node)).withColumn("at", F.col("at") + len(head))
+    leaf = F.sort_array(F.collect_list(F.struct("n", "c", "p0", "p1", "at", "_bytes"))).alias("items")
+    nodes = checkpointed(grouped.groupBy("node").agg(leaf))
+    bounds = nodes.select("node", F.get("items", F.lit(0)).alias("a"), F.element_at("items", -1).alias("z"), F.size("items").alias("n")).select("node", F.col("a.c").alias("c0"), F.col("a.p0").alias("p0"), F.col("z.c").alias("c1"), F.col("z.p1").alias("p1"), "n")
+    if whole["n"] > per_node * NODE_MOST:
+        raise ValueError(f"more than {NODE_MOST} nodes of the index")
+    root = binary.bigwig_root([r[1:] for r in sorted(map(tuple, bounds.collect()))], whole["n"], len(head) + whole["at"])
+    packed = lambda items: struct.pack("<BBH", 1, 0, len(items)) + b"".join(struct.pack("<IIIIQQ", i["c"], i["p0"], i["c"], i["p1"], i["at"], i["_bytes"]) for i in items)
+    leaves = _values(nodes.repartitionByRange("node").sortWithinPartitions("node"), packed, "items")
+    return _one_file(folder, name, head, kept, root, leaves)
+
+
+def write_block_gzip(lines: DataFrame, folder: str, name: str, size: int = 60_000) -> str:
+    """A block gzip file of the lines (value), as they are dealt and ordered; its path. Each task packs its own, a batch at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text = "".join(f"{v}\n" for v in b.column(0).to_pylist()).encode()
+            yield pa.record_batch([pa.array([block_gzip.members(text, size)], pa.binary())], names=["value"])
+
+    return _one_file(folder, name, lines.select("value").mapInArrow(run, "value binary"), block_gzip.END)
 
 
 def peak_lines(lines: DataFrame, mode: str = "bedgraph") -> DataFrame:

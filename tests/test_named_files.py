@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.operators import genome
-from helixframe.sources import binary, named_files, sinks
+from helixframe.sources import binary, block_gzip, named_files, sinks
 
 
 def listed(folder):
@@ -102,3 +102,22 @@ def test_twobit_by_ranges(spark, tmp_path, monkeypatch, mask):
     asked = spark.createDataFrame([("c3000", 0, 3000), ("c3000", 17, 99), ("c65", 64, 65), ("c65", 60, 70)], "chrom string, start long, end long")
     cut = genome.cut(asked, None, tiled=binary.read_twobit_pieces(spark, at, 4096, 4096, mask))
     assert sorted((r.chrom, r.start, r.end, r.seq) for r in cut.collect()) == sorted((c, s, e, shown[c][s:e] if e <= len(shown[c]) else None) for c, s, e in map(tuple, asked.collect()))
+
+
+def test_binary_files_are_written_by_many_tasks(spark, tmp_path):
+    rng = random.Random(6)
+    seqs = [(f"c{k}", "".join(rng.choices("ACGTNacgt", k=rng.choice([0, 1, 7, 400])))) for k in range(60)]
+    genome = spark.createDataFrame(seqs, "chrom string, seq string").repartition(5, "chrom")
+    at = sinks.write_twobit(genome, str(tmp_path))
+    data = open(at, "rb").read()
+    assert data == binary.pack_twobit([tuple(r) for r in genome.collect()])
+    values = [(f"c{rng.randrange(4)}", k, rng.randrange(9) / 8) for k in range(3000)]
+    rows = spark.createDataFrame(values, "chrom string, pos long, score float").repartition(5)
+    at = sinks.write_bigwig(rows, str(tmp_path), per_section=50, per_node=4)
+    assert sorted(map(tuple, binary.read_bigwig(spark, at).collect())) == sorted(values)
+    assert sorted(map(tuple, binary.read_bigwig(spark, at, ["c2"], 700, 900, 0.5).collect())) == sorted(v for v in values if v[0] == "c2" and 700 <= v[1] < 900 and v[2] >= 0.5)
+    assert binary.read_bigwig(spark, sinks.write_bigwig(rows.limit(0), str(tmp_path), "none.bw")).count() == 0
+    lines = spark.range(5000).selectExpr("cast(id as string) value").repartition(5, "value")
+    at = sinks.write_block_gzip(lines, str(tmp_path), "l.gz", 700)
+    assert [r.value for r in block_gzip.read_records(spark, at, task_bytes=500).orderBy("at").collect() if r.value] == [r.value for r in lines.collect()]
+    assert gzip.open(at).read().count(b"\n") == 5000
