@@ -1,7 +1,7 @@
 """Files with fixed names: written by many tasks, there only once all of them are written, and whole.
 
-Each task writes what it has of a file under a name of its own; on commit, a file of one part is moved to its place, and
-the parts of others are joined by tasks, a file each, and then moved. Failed attempts leave nothing under a fixed name, and
+Each task writes what it has of a file under a name of its own, and a list of what it wrote; the driver gets the lists' places
+only. On commit, tasks move files of one part to their place, and join the parts of others, a file each, and then move them. Failed attempts leave nothing under a fixed name, and
 what they wrote goes with the run's folder. Any file system that Arrow opens will do (mounted paths, HDFS, object stores).
 """
 
@@ -18,8 +18,11 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from ..storage import checkpointed
+
 
 def at(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path there."""
@@ -42,9 +45,9 @@ def names_in(folder: str) -> list[str] | None:
 
 @dataclass
 class Parts(WriterCommitMessage):
-    """What a task wrote: (file, partition, where)."""
+    """Where the list is of what a task wrote: lines of file, partition, where."""
 
-    written: list[tuple[str, int, str]]
+    listed: str | None
 
 
 class NamedFilesWriter(DataSourceArrowWriter):
@@ -71,25 +74,20 @@ class NamedFilesWriter(DataSourceArrowWriter):
         finally:
             if out:
                 out.close()
-        return Parts(written)
+        if not written:
+            return Parts(None)
+        listed = f"{run}/listed/{uuid.uuid4().hex}"
+        system.create_dir(f"{run}/listed", recursive=True)
+        with system.open_output_stream(listed) as out:
+            out.write("".join(f"{file}\t{number}\t{where}\n" for file, number, where in written).encode())
+        return Parts(listed)
 
     def commit(self, messages: list[Parts | None]) -> None:
         (system, run), (_, folder) = at(self.run), at(self.folder)
-        files: dict[str, list[tuple[int, str]]] = {}
-        for m in messages:
-            for file, number, where in m.written if m else ():
-                files.setdefault(file, []).append((number, where))
         system.create_dir(run, recursive=True)
         system.create_dir(folder, recursive=True)
-        lines = []
-        for file, parts in sorted(files.items()):
-            if len(parts) == 1:
-                system.move(parts[0][1], f"{folder}/{file}")
-                lines.append(file)
-            else:
-                lines.append("\t".join([file, *[where for _, where in sorted(parts)]]))
         with system.open_output_stream(f"{run}/made") as out:
-            out.write("\n".join(lines).encode())
+            out.write("\n".join(m.listed for m in messages if m and m.listed).encode())
 
     def abort(self, messages: list[Parts | None]) -> None:
         system, run = at(self.run)
@@ -111,32 +109,47 @@ class NamedFiles(DataSource):
         return NamedFilesWriter(self.options["path"], self.options["run"], self.options.get("gz", "false") == "true")
 
 
-def write_named(rows: DataFrame, folder: str, gz: bool = False) -> list[str]:
-    """Writes rows (file, value: text or bytes), as they are dealt and ordered, to files of these names in `folder`; their names."""
+def write_files(rows: DataFrame, folder: str, gz: bool = False) -> DataFrame:
+    """Writes rows (file, value: text or bytes), as they are dealt and ordered, to files of these names in `folder`; their names (file)."""
     spark = rows.sparkSession
     spark.dataSource.register(NamedFiles)
     run = f"{folder}/.parts-{uuid.uuid4().hex}"
     rows.select("file", "value").write.format("named_files").option("path", folder).option("run", run).option("gz", str(gz).lower()).mode("append").save()
     system, where = at(run)
     with system.open_input_stream(f"{where}/made") as f:
-        made = [line.split("\t") for line in f.read().decode().split("\n") if line]
-    split = [(m[0], m[1:]) for m in made if len(m) > 1]
+        lists = [(line,) for line in f.read().decode().split("\n") if line]
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _ = at(run)
+        for batch in batches:
+            for listed in batch["listed"].to_pylist():
+                with system.open_input_stream(listed) as f:
+                    own = [line.split("\t") for line in f.read().decode().split("\n") if line]
+                yield pa.record_batch([pa.array([o[0] for o in own], pa.string()), pa.array([int(o[1]) for o in own], pa.int64()), pa.array([o[2] for o in own], pa.string())], names=["file", "number", "where"])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, where = at(run)
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (system, where), (_, to) = at(run), at(folder)
         for batch in batches:
-            done = []
-            for parts in batch["parts"].to_pylist():
-                done.append(f"{where}/tried/{uuid.uuid4().hex}")
-                with system.open_output_stream(done[-1], compression=None) as out:
-                    for part in parts:
-                        with system.open_input_stream(part, compression=None) as f:
-                            shutil.copyfileobj(f, out, 1 << 22)
-            yield pa.record_batch([batch["file"], pa.array(done, pa.string())], names=["file", "at"])
-
-    if split:
-        todo = spark.createDataFrame(split, "file string, parts array<string>").repartition(min(len(split), 1000), "file")
-        for r in todo.mapInArrow(join, "file string, at string").collect():
-            system.move(r["at"], f"{at(folder)[1]}/{r['file']}")
+            for file, own in zip(batch["file"].to_pylist(), batch["parts"].to_pylist(), strict=True):
+                one = own[0]["where"]
+                if len(own) > 1:
+                    one = f"{where}/tried/{uuid.uuid4().hex}"
+                    with system.open_output_stream(one, compression=None) as out:
+                        for part in own:
+                            with system.open_input_stream(part["where"], compression=None) as f:
+                                shutil.copyfileobj(f, out, 1 << 22)
+                elif system.get_file_info(one).type == fs.FileType.NotFound and system.get_file_info(f"{to}/{file}").type == fs.FileType.File:
+                    continue  # an attempt before this one moved it
+                system.move(one, f"{to}/{file}")
+            yield pa.record_batch([batch["file"]], names=["file"])
+
+    listed = spark.createDataFrame(lists, "listed string").repartition(max(1, min(len(lists), 1000)), "listed")
+    files = listed.mapInArrow(parts, "file string, number long, where string").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("number", "where"))).alias("parts"))
+    made = checkpointed(files.mapInArrow(settle, "file string"))
     system.delete_dir(where)
-    return sorted(m[0] for m in made)
+    return made
+
+
+def write_named(rows: DataFrame, folder: str, gz: bool = False) -> list[str]:
+    """As write_files, where the files are few; their names, in order."""
+    return sorted(r.file for r in write_files(rows, folder, gz).collect())

@@ -17,7 +17,7 @@ from ..functions.sequence import file_safe, region_header, site_key
 from ..operators.ordering import in_order
 from ..storage import checkpointed, small
 from . import binary, block_gzip
-from .named_files import write_named
+from .named_files import write_files, write_named
 from .paths import chunk_name
 
 
@@ -60,10 +60,10 @@ def numbered_patch_lines(patches: DataFrame, first: int = 0) -> DataFrame:
     return lines_of(placed.withColumn("number", F.col("_k") + first), ["score", "t_start", "t_end", "q_start", "q_end", "number"], ["number"])
 
 
-def _write(groups: DataFrame, by: str, folder: str, gz: bool) -> list[str]:
-    """The lines (file, ord, value) of each file, in ranges of the order, joined; names of the files."""
+def _write(groups: DataFrame, by: str, folder: str, gz: bool, write: Callable = write_named):
+    """The lines (file, ord, value) of each file, in ranges of the order, joined; what `write` gives, names of the files."""
     ranged = groups.repartitionByRange(by, "ord").sortWithinPartitions(by, "ord")
-    return write_named(ranged.select(F.col(by).alias("file"), F.concat("value", F.lit("\n")).alias("value")), folder, gz)
+    return write(ranged.select(F.col(by).alias("file"), F.concat("value", F.lit("\n")).alias("value")), folder, gz)
 
 
 def write_rotating(rows: DataFrame, folder: str, prefix: str, columns: list[str], order: list, most: int, gz: bool = False) -> list[str]:
@@ -74,14 +74,19 @@ def write_rotating(rows: DataFrame, folder: str, prefix: str, columns: list[str]
 
 
 def write_chunk_fasta(chunks: DataFrame, folder: str, gz: bool = False) -> list[str]:
-    """tmp.<chrom>.chunk.<i>.fa files with a record for each strand; chroms that would have one file name are an error."""
+    """As chunk_fasta, where the files are few; their names."""
+    return sorted(r.file for r in chunk_fasta(chunks, folder, gz).collect())
+
+
+def chunk_fasta(chunks: DataFrame, folder: str, gz: bool = False) -> DataFrame:
+    """tmp.<chrom>.chunk.<i>.fa files with a record for each strand, and their names (file); chroms that would have one file name are an error."""
     safe = chunks.select("chrom").distinct().groupBy(file_safe(F.col("chrom")).alias("s")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if clash := [r.s for r in safe.take(3)]:
         raise ValueError(f"chroms with the same file name: {clash}")
     name = F.concat(F.lit("tmp."), file_safe(F.col("chrom")), F.lit(".chunk."), F.col("chunk_index").cast("string"), F.lit(".fa.gz" if gz else ".fa"))
     header = F.concat(F.lit(">"), region_header(F.col("chrom"), F.col("start"), F.col("end"), F.col("strand")))
     rows = chunks.select(name.alias("file"), (F.col("strand") != "+").cast("int").alias("ord"), F.concat(header, F.lit("\n"), F.col("seq")).alias("value"))
-    return _write(rows, "file", folder, gz)
+    return _write(rows, "file", folder, gz, write_files)
 
 
 def wig_lines(scored: DataFrame, column: str, least: float = 0.001, digits: int = 4) -> DataFrame:

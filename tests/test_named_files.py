@@ -1,8 +1,10 @@
 """Files with fixed names: whole, in order, only on commit; and BigWig files read by the leaves of their index."""
 
 import gzip
+import pickle
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,13 @@ def test_binary_files_are_written_by_many_tasks(spark, tmp_path):
     at = sinks.write_block_gzip(lines, str(tmp_path), "l.gz", 700)
     assert [r.value for r in block_gzip.read_records(spark, at, task_bytes=500).orderBy("at").collect() if r.value] == [r.value for r in lines.collect()]
     assert gzip.open(at).read().count(b"\n") == 5000
+
+
+def test_the_driver_gets_a_place_a_task_and_not_a_name_a_file(spark, tmp_path, monkeypatch):
+    writer = named_files.NamedFilesWriter(str(tmp_path), str(tmp_path / ".run"), False)
+    monkeypatch.setattr(named_files, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 3})())}))
+    rows = pa.record_batch([pa.array([f"f{k}" for k in range(500)]), pa.array(["x"] * 500)], names=["file", "value"])
+    assert len(pickle.dumps(writer.write(iter([rows])))) < 500
+    monkeypatch.undo()
+    made = named_files.write_files(spark.range(500).select(F.concat(F.lit("f"), "id").alias("file"), F.lit("x").alias("value")), str(tmp_path / "all"))
+    assert made.count() == 500 == len(listed(tmp_path / "all"))
