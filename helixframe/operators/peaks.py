@@ -19,7 +19,7 @@ from ..storage import checkpointed, small
 
 HEIGHT, DISTANCE, PROMINENCE = 0.001, 3, 0.01
 TILE = 1 << 16
-#: Tiles whose least and greatest values may be broadcast (32 MB); more are an error: take larger tiles.
+#: Tiles that one profile may have; more are an error: take larger tiles.
 MOST_TILES = 1 << 21
 
 
@@ -195,18 +195,11 @@ def tiled_peaks(rows: DataFrame, key: str = "seq_id", pos: str = "pos", value: s
     too near are told with a halo, grown only where a chain of ever higher peaks leaves it; walls beyond a tile are found by
     the greatest values of tiles, and then in the one tile that has them. The result is that of find_peaks on the whole.
     """
-    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
+    kind = rows.schema[key].dataType.simpleString()
     flat = rows.select(F.col(key).alias("_key"), F.floor(F.col(pos) / tile).alias("_tile"), F.col(pos).cast("long").alias("_pos"), F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("_x"))
     found, tiles = _candidates(flat, kind)
     kept = checkpointed(_apart(found.filter(F.col("_x") >= height), kind, distance, tile, halo or 64 * distance))
-    if tiles.limit(MOST_TILES + 1).count() > MOST_TILES:
-        raise ValueError(f"more than {MOST_TILES} tiles")
-    known: dict = {}
-    for name, own in tiles.select("_key", "_tile", "low", "high").toPandas().groupby("_key", dropna=False):
-        own = own.sort_values("_tile")
-        known[None if pd.isna(name) else name] = tuple(own[c].to_numpy() for c in ("_tile", "low", "high"))
-    sent = spark.sparkContext.broadcast(known)
-    # _low of each side (0: left, 1: right); where it goes on beyond the tile, _to is the tile in which it ends
+    # _low of each side (0: left, 1: right); where it goes on beyond the tile, _to is this one, and then the tile in which it ends
     schema = f"_key {kind}, _pos long, _x double, _side int, _low double, _to long"
 
     def within(keys: tuple[pa.Scalar, ...], t: pa.Table, ours: pa.Table) -> pa.Table:
@@ -214,21 +207,34 @@ def tiled_peaks(rows: DataFrame, key: str = "seq_id", pos: str = "pos", value: s
             return pa.schema([("_key", keys[0].type), ("_pos", pa.int64()), ("_x", pa.float64()), ("_side", pa.int32()), ("_low", pa.float64()), ("_to", pa.int64())]).empty_table()
         place, x = _ordered(t)
         at, top = ours["_pos"].to_numpy(), ours["_x"].to_numpy()
-        numbers, least, most = sent.value[keys[0].as_py()]
-        here = int(np.searchsorted(numbers, keys[1].as_py()))
-        beyond = [tuple(c[:here][::-1] for c in (numbers, least, most)), tuple(c[here + 1 :] for c in (numbers, least, most))]  # nearest first
         sides, lowest, to = np.repeat(np.array([0, 1], np.int32), len(at)), [], []
-        for (low, free), (number, below, above) in zip(both_lows(x, at - place[0]), beyond, strict=True):
-            goes_on: list[int | None] = [None] * len(at)
-            for i in np.flatnonzero(free):
-                higher = np.flatnonzero(above > top[i])
-                low[i] = min(low[i], below[: higher[0] if len(higher) else None].min(initial=np.inf))
-                goes_on[i] = number[higher[0]].item() if len(higher) else None
+        for low, free in both_lows(x, at - place[0]):
             lowest.append(low)
-            to += goes_on
+            to += [keys[1].as_py() if f else None for f in free.tolist()]
         return pa.table({"_key": _whole(keys, len(sides)), "_pos": np.tile(at, 2), "_x": np.tile(top, 2), "_side": sides, "_low": np.concatenate(lowest), "_to": pa.array(to, pa.int64())})
 
-    sides = checkpointed(flat.groupBy("_key", "_tile").cogroup(kept.groupBy("_key", "_tile")).applyInArrow(within, schema))
+    def beyond(keys: tuple[pa.Scalar, ...], t: pa.Table, free: pa.Table) -> pa.Table:
+        """What is known of the other tiles of a profile: the first that has what is higher, and the least up to it."""
+        if t.num_rows > MOST_TILES:
+            raise ValueError(f"more than {MOST_TILES} tiles")
+        t = t.sort_by("_tile")
+        numbers, least, most = (t[c].to_numpy() for c in ("_tile", "low", "high"))
+        top, side, low = (free[c].to_numpy() for c in ("_x", "_side", "_low"))
+        low, here, to = low.copy(), np.searchsorted(numbers, free["_to"].to_numpy()), []
+        for i, (k, s) in enumerate(zip(here.tolist(), side.tolist(), strict=True)):
+            number, below, above = (c[k + 1 :] if s else c[:k][::-1] for c in (numbers, least, most))  # nearest first
+            first, step = None, 64
+            for at in range(0, len(above), step):
+                if (above[at : at + step] > top[i]).any():
+                    first = at + int((above[at : at + step] > top[i]).argmax())
+                    break
+            low[i] = min(low[i], below[:first].min(initial=np.inf))
+            to.append(None if first is None else number[first].item())
+        return pa.table({"_key": free["_key"], "_pos": free["_pos"], "_x": top, "_side": side, "_low": low, "_to": pa.array(to, pa.int64())})
+
+    told = checkpointed(flat.groupBy("_key", "_tile").cogroup(kept.groupBy("_key", "_tile")).applyInArrow(within, schema))
+    free = told.filter("_to IS NOT NULL")
+    sides = checkpointed(told.filter("_to IS NULL").unionAll(tiles.groupBy("_key").cogroup(free.groupBy("_key")).applyInArrow(beyond, schema)))
     open_ = sides.filter("_to IS NOT NULL").withColumnRenamed("_to", "_tile")
 
     def ended(keys: tuple[pa.Scalar, ...], t: pa.Table, asked: pa.Table) -> pa.Table:

@@ -94,3 +94,11 @@ def test_ten_million_positions(spark):
     limits = {"distance": 60, "prominence": 0.1}
     got = np.sort(p.tiled_peaks(rows, **limits).toPandas()["peak"].to_numpy())
     assert len(got) > 1000 and got.tolist() == p.find_peaks(x, **limits)
+
+
+def test_many_profiles_have_more_tiles_than_one_may(spark, monkeypatch):
+    monkeypatch.setattr(p, "MOST_TILES", 8)
+    rows = spark.range(30).selectExpr("id seq_id", "explode(sequence(0, 31)) pos").selectExpr("seq_id", "pos", "cast((pos * 7 + seq_id) % 11 as double) value")
+    got = {tuple(r) for r in p.tiled_peaks(rows, tile=8).collect()}
+    want = {(k, at) for k in range(30) for at in p.find_peaks(np.array([(x * 7 + k) % 11 for x in range(32)], float))}
+    assert got == want
