@@ -23,6 +23,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from ..storage import checkpointed
 
+#: Files that one task opens by name.
+FILES_A_TASK = 4096
+
 
 def at(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path there."""
@@ -150,6 +153,44 @@ def write_files(rows: DataFrame, folder: str, gz: bool = False) -> DataFrame:
     return made
 
 
+def _split(stream: pa.NativeFile | gzip.GzipFile, sep: bytes) -> Iterator[bytes]:
+    """What is between separators, read in pieces of 4 MB."""
+    held = bytearray()
+    while piece := stream.read(1 << 22):
+        seen = max(0, len(held) - len(sep) + 1)
+        held += piece
+        while (end := held.find(sep, seen)) >= 0:
+            yield bytes(held[:end])
+            del held[: end + len(sep)]
+            seen = 0
+    yield bytes(held)
+
+
+def read_named(names: DataFrame, folder: str, sep: str) -> DataFrame:
+    """file, at (from 0 in each file) and value of what `sep` divides in files of `folder` by name (file); gzip by name.
+
+    Tasks open the files by name, about FILES_A_TASK each, so that nobody lists the folder: of each file that Spark
+    lists, the driver keeps a status. `names` are counted first, and a file is one task's.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (system, where), rows, size = at(folder), [], 0
+        made = lambda: pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.binary()))], names=["file", "at", "value"])
+        for batch in batches:
+            for file in batch["file"].to_pylist():
+                with system.open_input_stream(f"{where}/{file}", compression=None) as f:
+                    for k, value in enumerate(_split(gzip.GzipFile(fileobj=f) if file.endswith(".gz") else f, sep.encode())):
+                        rows.append((file, k, value))
+                        size += len(value)
+                        if size >= 1 << 22 or len(rows) >= 10_000:
+                            yield made()
+                            rows, size = [], 0
+        yield made()
+
+    tasks = max(names.sparkSession.sparkContext.defaultParallelism, -(-names.count() // FILES_A_TASK))
+    return names.select("file").repartition(tasks, "file").mapInArrow(run, "file string, at long, value binary").withColumn("value", F.col("value").cast("string"))
+
+
 def write_named(rows: DataFrame, folder: str, gz: bool = False) -> list[str]:
     """As write_files, where the files are few; their names, in order."""
     return sorted(r.file for r in write_files(rows, folder, gz).collect())

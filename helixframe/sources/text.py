@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..storage import checkpointed, small
 from . import block_gzip, files
+from .named_files import read_named
 
 _JUNCTION = ("chr", "start", "end", "strand", "motif", "annotated", "coverage", "multimap", "overhang")
 
@@ -49,11 +50,27 @@ def read_fasta(spark: SparkSession, path: str, mode: str = "lenient", task_bytes
         if head and head[:2] == files.GZIP:
             path, head = files.named_gz(spark, path), files.unpacked(head)
         raw = spark.read.option("lineSep", "\n>").text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
-    # the first record of a file still has its `>`
     first = raw.groupBy("_file").agg(F.min("_at").alias("_first"))
-    rows = raw.join(small(checkpointed(first)), "_file").filter(F.length(F.trim("value")) > 0)
+    return _fasta(raw.join(small(checkpointed(first)), "_file"), mode, head is None or head.strip()[:1] not in (b">", b""))
+
+
+def read_fasta_files(names: DataFrame, folder: str, mode: str = "lenient") -> DataFrame:
+    """As read_fasta, of the files of `folder` that `names` has (file; see sinks.chunk_fasta), which are opened by tasks; the driver lists none.
+
+    Of a header in more files than one, the last record of the last file by name holds.
+    """
+    if mode not in ("lenient", "strict", "predict"):
+        raise ValueError(f"no such mode: {mode}")
+    place = lambda k: F.struct(F.col("file").alias("f"), k.alias("k"))
+    return _fasta(read_named(names, folder, "\n>").select("value", F.col("file").alias("_file"), place(F.col("at")).alias("_at"), place(F.lit(0).cast("long")).alias("_first")), mode)
+
+
+def _fasta(raw: DataFrame, mode: str, may_lead: bool = True) -> DataFrame:
+    """chrom and seq of records (value) with their file, place, and the place of the file's first; may_lead: letters may be before a first header."""
+    # the first record of a file still has its `>`
+    rows = raw.filter(F.length(F.trim("value")) > 0)
     is_first, has_mark = F.col("_at") == F.col("_first"), F.col("value").startswith(">")
-    if mode == "lenient" and (head is None or head.strip()[:1] not in (b">", b"")):
+    if mode == "lenient" and may_lead:
         # a file's first record may be letters only: the next one gets them
         lead = rows.filter(is_first & ~has_mark).select("_file", F.col("value").alias("_lead"))
         second = rows.join(lead.select("_file"), "_file", "left_semi").filter(~is_first).groupBy("_file").agg(F.min("_at").alias("_second"))
