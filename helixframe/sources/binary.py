@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -15,6 +16,10 @@ from .named_files import opened
 
 TWOBIT, BIGWIG = 0x1A412743, 0x888FFC26
 MOST_ROWS, MOST_BASES = 1 << 16, 1 << 24
+#: Where 2bit files must have places of 64 bits (version 1).
+TWOBIT_BYTES = 1 << 32
+#: Bytes of a 2bit index that are read at once, and the most that an entry has.
+INDEX_BYTES, ENTRY_MOST = 1 << 20, 1 + 255 + 8
 #: Bytes of sections that one task reads of a BigWig file.
 TASK_BYTES = 4 << 20
 #: How far apart sections may be that are read at once.
@@ -41,10 +46,10 @@ class _Sections(InputPartition):
 
 
 class _Sequences(InputPartition):
-    """Sequences of a 2bit file by place, with the bounds of what is read of each."""
+    """n sequences of a 2bit file by their place in its index, with the bounds of what is read of one (else all of each)."""
 
-    def __init__(self, spots: list[tuple[str, int, int, int]]) -> None:
-        self.spots = spots
+    def __init__(self, at: int, n: int, begin: int = 0, end: int | None = None) -> None:
+        self.at, self.n, self.begin, self.end = at, n, begin, end
 
 
 def _order(head: bytes, magic: int) -> str:
@@ -55,61 +60,83 @@ def _order(head: bytes, magic: int) -> str:
 
 
 class TwoBitReader(DataSourceReader):
-    """Each task seeks to its own bases, about MOST_BASES: of one sequence or of many short ones.
+    """Each task seeks to its own records, about MOST_BASES / 4 bytes of them: a range of a long sequence, or many short ones.
 
     Without `piece`, rows are whole sequences. With it they are (chrom, size, tile, piece): `piece` bases each, and the
-    `reach` bases that follow, so that a long sequence is many tasks and no row.
+    `reach` bases that follow, so that a long sequence is many tasks and no row. The driver reads the index in pieces and
+    keeps what a task begins with; names are read by tasks. Places have 32 bits in files of version 0 and 64 in version 1.
     """
 
     def __init__(self, path: str, mask: bool, piece: int = 0, reach: int = 0) -> None:
         self.path, self.mask, self.piece, self.reach = path, mask, piece, reach
 
+    def _head(self, f) -> tuple[str, struct.Struct, int]:
+        """The byte order, what a place is, and how many sequences there are."""
+        order = _order(f.read(4), TWOBIT)
+        version, n, _ = struct.unpack(order + "III", f.read(12))
+        if version > 1:
+            raise ValueError(f"a 2bit file of version {version}")
+        return order, struct.Struct(order + "IQ"[version]), n
+
+    def _entries(self, f, place: struct.Struct, at: int, n: int) -> Iterator[tuple[int, bytes, int]]:
+        """(its place in the index, name, place of the record) of n entries of the index from `at` on, which is read in pieces."""
+        held, k = b"", 0
+        for left in range(n, 0, -1):
+            if len(held) - k < ENTRY_MOST:
+                f.seek(at + len(held) - k)
+                held, k = held[k:] + f.read(min(INDEX_BYTES, left * ENTRY_MOST)), 0
+            end = k + 1 + held[k]
+            yield at, held[k + 1 : end], place.unpack_from(held, end)[0]
+            at, k = at + end + place.size - k, end + place.size
+
     def partitions(self) -> list[_Sequences]:
         with opened(self.path) as f:
-            order = _order(f.read(4), TWOBIT)
-            _, n, _ = struct.unpack(order + "III", f.read(12))
-            spots = []
-            for _ in range(n):
-                name = f.read(f.read(1)[0]).decode()
-                spots.append((name, struct.unpack(order + "I", f.read(4))[0]))
-            found, bases = [], 0
-            for name, at in spots:
-                f.seek(at)
-                size = struct.unpack(order + "I", f.read(4))[0]
-                most = max(self.piece, MOST_BASES // self.piece * self.piece) if self.piece else max(size, 1)
-                for begin in range(0, max(size, 1), most):
-                    end = min(size, begin + most)
-                    if not found or bases + end - begin > MOST_BASES:
-                        found.append(_Sequences([]))
-                        bases = 0
-                    found[-1].spots.append((name, at, begin, end))
-                    bases += end - begin
+            order, place, n = self._head(f)
+            found, many, most, held = [], None, MOST_BASES // 4, 0
+            entries = self._entries(f, place, f.tell(), n)
+            for (at, _, record), (_, _, following) in itertools.pairwise(itertools.chain(entries, [(0, b"", f.size())])):
+                size, weight = 0, following - record
+                if not 0 < weight <= most:  # a long one, or one that isn't before the next one's
+                    f.seek(record)
+                    size = struct.unpack(order + "I", f.read(4))[0]
+                    weight = weight if weight > 0 else size // 4
+                if self.piece and size > MOST_BASES:
+                    step, many = max(self.piece, MOST_BASES // self.piece * self.piece), None
+                    found += [_Sequences(at, 1, begin, min(size, begin + step)) for begin in range(0, size, step)]
+                    continue
+                if many is None or held + weight > most:
+                    many, held = _Sequences(at, 0), 0
+                    found.append(many)
+                many.n += 1
+                held += weight
         return found
 
     def read(self, part: _Sequences) -> Iterator[tuple]:
-        for name, at, begin, end in part.spots:
-            if not self.piece:
-                yield name, self._bases(at, begin, end)[1]
-                continue
-            size, bases = self._bases(at, begin, end + self.reach)
-            for start in range(begin, max(end, begin + 1), self.piece):
-                yield name, size, start // self.piece, bases[start - begin : start - begin + self.piece + self.reach]
-
-    def _bases(self, at: int, begin: int, end: int) -> tuple[int, str]:
-        """The size of a sequence, and its bases in [begin, end)."""
         with opened(self.path) as f:
-            order = _order(f.read(4), TWOBIT)
-            f.seek(at)
-            numbers = lambda n: np.frombuffer(f.read(4 * n), dtype=order + "u4").astype(np.int64)
-            size = int(numbers(1)[0])
-            spans = []
-            for _ in range(2):
-                n = int(numbers(1)[0])
-                spans.append((numbers(n), numbers(n)))
-            numbers(1)
-            end, first = min(end, size), begin // 4
-            f.seek(f.tell() + first)
-            packed = np.frombuffer(f.read((end + 3) // 4 - first), dtype=np.uint8)
+            order, place, _ = self._head(f)
+            for _, name, at in self._entries(f, place, part.at, part.n):
+                chrom = name.decode()
+                size, bases = self._bases(f, order, at, part.begin, part.end)
+                if not self.piece:
+                    yield chrom, bases
+                    continue
+                end = size if part.end is None else part.end
+                for start in range(part.begin, max(end, part.begin + 1), self.piece):
+                    yield chrom, size, start // self.piece, bases[start - part.begin : start - part.begin + self.piece + self.reach]
+
+    def _bases(self, f, order: str, at: int, begin: int, end: int | None) -> tuple[int, str]:
+        """The size of a sequence, and its bases in [begin, end) and `reach` more; all of them where end is None."""
+        f.seek(at)
+        numbers = lambda n: np.frombuffer(f.read(4 * n), dtype=order + "u4").astype(np.int64)
+        size = int(numbers(1)[0])
+        spans = []
+        for _ in range(2):
+            n = int(numbers(1)[0])
+            spans.append((numbers(n), numbers(n)))
+        numbers(1)
+        end, first = size if end is None else min(end + self.reach, size), begin // 4
+        f.seek(f.tell() + first)
+        packed = np.frombuffer(f.read((end + 3) // 4 - first), dtype=np.uint8)
         codes = np.stack([packed >> 6, packed >> 4 & 3, packed >> 2 & 3, packed & 3], axis=1).reshape(-1)[begin - 4 * first : end - 4 * first]
         bases = np.frombuffer(b"TCAG", dtype=np.uint8)[codes]
         for k, (starts, lengths) in enumerate(spans if self.mask else spans[:1]):
@@ -309,13 +336,14 @@ def twobit_body(seq: str) -> bytes:
     return struct.pack("<I", len(letters)) + spans(codes == 255) + spans((letters >= 97) & (letters <= 122)) + struct.pack("<I", 0) + packed.astype(np.uint8).tobytes()
 
 
-def twobit_head(n: int) -> bytes:
-    return struct.pack("<IIII", TWOBIT, 0, n, 0)
+def twobit_head(n: int, long: bool = False) -> bytes:
+    """long: the index has places of 64 bits."""
+    return struct.pack("<IIII", TWOBIT, int(long), n, 0)
 
 
-def twobit_entry(name: bytes, at: int) -> bytes:
+def twobit_entry(name: bytes, at: int, long: bool = False) -> bytes:
     """What the index has of a sequence: its name and place."""
-    return bytes([len(name)]) + name + struct.pack("<I", at)
+    return bytes([len(name)]) + name + struct.pack("<Q" if long else "<I", at)
 
 
 def pack_twobit(records: list[tuple[str, str]]) -> bytes:

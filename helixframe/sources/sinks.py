@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import struct
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -149,7 +149,10 @@ def _one_file(folder: str, name: str, *parts: DataFrame | bytes) -> str:
 
 
 def write_twobit(genome: DataFrame, folder: str, name: str = "genome.2bit") -> str:
-    """A 2bit file of chrom and seq; its path. Sequences are packed where they are, and no task has more than one at a time in bytes."""
+    """A 2bit file of chrom and seq; its path. Sequences are packed where they are, and no task has more than one at a time in bytes.
+
+    From 4 GB on, the file is of version 1, whose index has places of 64 bits; smaller ones are of version 0.
+    """
     body = _values(genome, lambda chrom, seq: struct.pack("<H", len(chrom.encode())) + chrom.encode() + binary.twobit_body(seq), "chrom", "seq")
     kept = _kept(body)
     n = F.conv(F.hex(F.concat(F.substring("value", 2, 1), F.substring("value", 1, 1))), 16, 10).cast("int")
@@ -157,11 +160,11 @@ def write_twobit(genome: DataFrame, folder: str, name: str = "genome.2bit") -> s
     slim = kept.select("_p", "_k", F.substring(F.col("value"), F.lit(3), F.col("_n")).alias("name"), (F.col("_bytes") - 2 - F.col("_n")).alias("_bytes"))
     placed, whole = _before(slim, {"at": F.col("_bytes"), "index": F.octet_length("name") + 5, "n": F.lit(1)})
     first = 16 + whole["index"]
-    if first + whole["at"] >= 1 << 32:
-        raise ValueError("a 2bit file has at most 4 GB")
+    long = first + whole["at"] >= binary.TWOBIT_BYTES
+    first += 4 * whole["n"] * long
     index = placed.withColumn("at", F.col("at") + first).repartitionByRange("_p", "_k").sortWithinPartitions("_p", "_k")
     bodies = kept.select(F.substring(F.col("value"), F.col("_n") + 3, F.col("_bytes")).alias("value"))
-    return _one_file(folder, name, binary.twobit_head(whole["n"]), _values(index, binary.twobit_entry, "name", "at"), bodies)
+    return _one_file(folder, name, binary.twobit_head(whole["n"], long), _values(index, partial(binary.twobit_entry, long=long), "name", "at"), bodies)
 
 
 #: Contigs of a BigWig file, and leaf nodes of its index: what a node may have.

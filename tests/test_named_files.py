@@ -106,6 +106,46 @@ def test_twobit_by_ranges(spark, tmp_path, monkeypatch, mask):
     assert sorted((r.chrom, r.start, r.end, r.seq) for r in cut.collect()) == sorted((c, s, e, shown[c][s:e] if e <= len(shown[c]) else None) for c, s, e in map(tuple, asked.collect()))
 
 
+def test_a_twobit_file_of_any_size(spark, tmp_path, monkeypatch):
+    rng = random.Random(7)
+    seqs = {f"c{k}" + "x" * (k % 240): "".join(rng.choices("ACGTNacgt", k=rng.choice([0, 1, 7, 400, 900]))) for k in range(300)}
+    genome = spark.createDataFrame(list(seqs.items()), "chrom string, seq string").repartition(5, "chrom")
+    short = open(sinks.write_twobit(genome, str(tmp_path), "short.2bit"), "rb").read()
+    monkeypatch.setattr(binary, "TWOBIT_BYTES", len(short), raising=False)  # what 4 GB are otherwise
+    at = sinks.write_twobit(genome, str(tmp_path), "long.2bit")
+    long = open(at, "rb").read()
+    assert short[4:8] == b"\0\0\0\0" and long[4:8] == b"\1\0\0\0" and len(long) == len(short) + 4 * len(seqs)
+    first = 16 + sum(len(n) + 9 for n in seqs)
+    assert int.from_bytes(long[17 + long[16] :][:8], "little") == first and long[first:] == short[first - 4 * len(seqs) :]
+    # places beyond 32 bits, in a file that is mostly a hole
+    far = 5 << 30
+    with open(tmp_path / "far.2bit", "wb") as f:
+        f.write(binary.twobit_head(2, True) + binary.twobit_entry(b"near", 100, True) + binary.twobit_entry(b"far", far, True))
+        for place, seq in ((100, "ACGTN"), (far, "TTTGA" * 50)):
+            f.seek(place)
+            f.write(binary.twobit_body(seq))
+    assert {r.chrom: r.seq for r in spark.read.format("twobit").option("path", str(tmp_path / "far.2bit")).load().collect()} == {"near": "ACGTN", "far": "TTTGA" * 50}
+    for bases, index in ((1 << 24, 1 << 20), (600, 300), (4, 1)):  # many short ones a task, entries that are divided by the pieces of a read
+        monkeypatch.setattr(binary, "MOST_BASES", bases)
+        monkeypatch.setattr(binary, "INDEX_BYTES", max(index, binary.ENTRY_MOST))
+        for path in (at, str(tmp_path / "short.2bit")):
+            reader = binary.TwoBitReader(path, True, 100, 30)
+            parts = reader.partitions()
+            got = [r for p in parts for r in reader.read(p)]
+            assert sorted(got) == sorted((n, len(s), k, s[k * 100 : k * 100 + 130]) for n, s in seqs.items() for k in range(max(1, -(-len(s) // 100))))
+            assert (len(parts) == 1) == (bases == 1 << 24) and all(len(pickle.dumps(p)) < 200 for p in parts)
+            assert dict(r for p in binary.TwoBitReader(path, True).partitions() for r in binary.TwoBitReader(path, True).read(p)) == seqs
+    # records that are in another order than the index
+    bodies = {n: binary.twobit_body(s) for n, s in seqs.items()}
+    place, places = 16 + sum(len(n) + 5 for n in seqs), {}
+    for n in reversed(seqs):
+        places[n] = place
+        place += len(bodies[n])
+    (tmp_path / "back.2bit").write_bytes(binary.twobit_head(len(seqs)) + b"".join(binary.twobit_entry(n.encode(), places[n]) for n in seqs) + b"".join(bodies[n] for n in reversed(seqs)))
+    reader = binary.TwoBitReader(str(tmp_path / "back.2bit"), True)
+    assert dict(r for p in reader.partitions() for r in reader.read(p)) == seqs
+
+
 def test_binary_files_are_written_by_many_tasks(spark, tmp_path):
     rng = random.Random(6)
     seqs = [(f"c{k}", "".join(rng.choices("ACGTNacgt", k=rng.choice([0, 1, 7, 400])))) for k in range(60)]
